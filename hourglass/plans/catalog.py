@@ -246,3 +246,153 @@ def _reason_case() -> str:
 def q_quarantine_counts(spark, sf_dir):
     p = parsed_stream(spark, sf_dir)
     return decode.to_quarantine(p).groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
+# --- serving: G1..G5, A3..A6, F4..F7 -------------------------------------------------
+
+# Fixed query parameters of the serving checks: a 161-hour range, and the hour
+# before which facts count as absorbed by the batch layer.
+RANGE_START, RANGE_END = 473600, 473760
+BATCH_SPLIT_HOUR = 473688
+
+NORM_RT = (f"SELECT {G.normalize_url_sql('raw_url')} AS url, secs, secs // 3600 AS h "
+           f"FROM ({PV_COARSE_SQL})")
+URLS_SQL = f"SELECT DISTINCT {G.normalize_url_sql('url')} AS url FROM pages"
+
+
+def _batch_side_sql(split: bool) -> str:
+    where = f"WHERE h < {BATCH_SPLIT_HOUR}" if split else ""
+    return f"""
+    SELECT u.url, CAST(coalesce(sum(v.n), 0) AS BIGINT) AS batch_pageviews,
+           CAST(max(v.h) AS BIGINT) AS hour_done
+    FROM ({URLS_SQL}) u
+    LEFT JOIN (SELECT * FROM ({HOURLY_SQL}) {where}) v
+      ON v.url = u.url AND v.h BETWEEN {RANGE_START} AND {RANGE_END}
+    GROUP BY u.url"""
+
+
+def page_urls(spark, sf_dir) -> DataFrame:
+    return td.table(spark, sf_dir, "pages").select("url")
+
+
+def realtime_rows(spark, sf_dir, coarse: bool = True) -> dict[str, DataFrame]:
+    p = parsed_stream(spark, sf_dir, coarse=coarse, strict_urls=True)
+    return decode.realtime_rows(p)
+
+
+def split_view(spark, sf_dir) -> DataFrame:
+    """Batch view of the facts absorbed so far (hours before the split)."""
+    f = pageview_facts(spark, sf_dir)
+    f = f.where(F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600)
+    return views.batch_view(f)
+
+
+@register("batch_range_count", _batch_side_sql(split=False))
+def q_batch_range_count(spark, sf_dir):
+    from hourglass.operators import serving
+    v = views.batch_view(pageview_facts(spark, sf_dir))
+    u = serving.url_list(page_urls(spark, sf_dir))
+    return serving.batch_range(v, u, RANGE_START, RANGE_END)
+
+
+@register("realtime_distinct_seconds", f"""
+    SELECT url, CAST(h AS BIGINT) AS hour_bucket, count(DISTINCT secs) AS pageviews
+    FROM ({NORM_RT}) GROUP BY 1, 2
+""")
+def q_realtime_distinct_seconds(spark, sf_dir):
+    from hourglass.operators import realtime
+    rows = realtime_rows(spark, sf_dir)["pageviews"]
+    return realtime.distinct_second_counts(rows)
+
+
+@register("rt_pageviews", f"""
+    SELECT url, CAST(h AS BIGINT) AS hour_bucket, secs, count(*) AS versions
+    FROM ({NORM_RT}) GROUP BY 1, 2, 3
+""")
+def q_rt_pageviews(spark, sf_dir):
+    """The realtime pageview table (one row per url, hour, second) with the
+    number of writes each row absorbed; the kept person is checked in tests."""
+    from hourglass.operators import realtime
+    rows = realtime_rows(spark, sf_dir)["pageviews"]
+    t = realtime.pageview_table(rows)
+    versions = rows.groupBy("url", "hour_bucket", "secs").agg(
+        F.count(F.lit(1)).alias("versions"))
+    return t.join(versions, ["url", "hour_bucket", "secs"]).select(
+        "url", "hour_bucket", "secs", "versions")
+
+
+COUNT_SQL = f"""
+    WITH b AS ({_batch_side_sql(split=True)}),
+    bounds AS (
+      SELECT url, greatest({RANGE_START}, coalesce(hour_done + 1, {RANGE_START})) AS lo FROM b),
+    r AS (
+      SELECT bounds.url, count(DISTINCT rt.secs) AS realtime_pageviews
+      FROM bounds JOIN ({NORM_RT}) rt
+        ON rt.url = bounds.url AND rt.h BETWEEN bounds.lo AND {RANGE_END}
+      GROUP BY bounds.url)
+    SELECT b.url, b.batch_pageviews, b.hour_done,
+           CAST(coalesce(r.realtime_pageviews, 0) AS BIGINT) AS realtime_pageviews,
+           CAST(b.batch_pageviews + coalesce(r.realtime_pageviews, 0) AS BIGINT) AS pageviews
+    FROM b LEFT JOIN r ON r.url = b.url
+"""
+
+
+@register("count_pageviews", COUNT_SQL)
+def q_count_pageviews(spark, sf_dir):
+    from hourglass.operators import serving
+    rt = realtime_rows(spark, sf_dir)["pageviews"]
+    return serving.count_pageviews(split_view(spark, sf_dir), rt, page_urls(spark, sf_dir),
+                                   RANGE_START, RANGE_END)
+
+
+@register("get_pageviews", f"""
+    WITH b AS ({_batch_side_sql(split=True)}),
+    bounds AS (
+      SELECT url, greatest({RANGE_START}, coalesce(hour_done + 1, {RANGE_START})) AS lo FROM b)
+    SELECT 'batch' AS source, v.url, CAST(v.h AS BIGINT) AS hour_bucket,
+           CAST(NULL AS BIGINT) AS secs, CAST(v.n AS BIGINT) AS pageviews
+    FROM ({HOURLY_SQL}) v JOIN ({URLS_SQL}) u ON u.url = v.url
+    WHERE v.h < {BATCH_SPLIT_HOUR} AND v.h BETWEEN {RANGE_START} AND {RANGE_END}
+    UNION ALL
+    SELECT DISTINCT 'realtime', rt.url, CAST(rt.h AS BIGINT), rt.secs, CAST(1 AS BIGINT)
+    FROM bounds JOIN ({NORM_RT}) rt ON rt.url = bounds.url AND rt.h BETWEEN bounds.lo AND {RANGE_END}
+""")
+def q_get_pageviews(spark, sf_dir):
+    from hourglass.operators import serving
+    rt = realtime_rows(spark, sf_dir)["pageviews"]
+    return serving.get_pageviews(split_view(spark, sf_dir), rt, page_urls(spark, sf_dir),
+                                 RANGE_START, RANGE_END)
+
+
+# --- T2..T4 in batch form ------------------------------------------------------------
+
+@register("rt_pages", f"""
+    SELECT url, arg_max(pedigree, secs) AS pedigree, arg_max(pageview, secs) AS pageview
+    FROM (SELECT {G.normalize_url_sql('url')} AS url, CAST(secs AS VARCHAR) AS pedigree,
+                 pageview, secs FROM ({G.page_rows_sql()}))
+    GROUP BY url
+""")
+def q_rt_pages(spark, sf_dir):
+    from hourglass.operators import realtime
+    return realtime.latest_per_key(realtime_rows(spark, sf_dir)["pages"], "pages")
+
+
+@register("rt_persons", f"""
+    SELECT personid, arg_max(CAST(secs AS VARCHAR), secs) AS pedigree,
+           arg_max(gendertype, secs) AS gendertype, arg_max(fullname, secs) AS fullname,
+           arg_max(city, secs) AS city, arg_max(state, secs) AS state,
+           arg_max(country, secs) AS country
+    FROM ({G.person_rows_sql()}) GROUP BY personid
+""")
+def q_rt_persons(spark, sf_dir):
+    from hourglass.operators import realtime
+    return realtime.latest_per_key(realtime_rows(spark, sf_dir)["persons"], "persons")
+
+
+@register("rt_equivs", f"""
+    SELECT personid1, personid2, arg_max(CAST(secs AS VARCHAR), secs) AS pedigree
+    FROM ({G.equiv_rows_sql()}) GROUP BY 1, 2
+""")
+def q_rt_equivs(spark, sf_dir):
+    from hourglass.operators import realtime
+    return realtime.latest_per_key(realtime_rows(spark, sf_dir)["equivs"], "equivs")
