@@ -45,8 +45,13 @@ def latest_per_key(rows: DataFrame, table: str) -> DataFrame:
 
 
 def pageview_table(rows: DataFrame) -> DataFrame:
-    """(url, hour_bucket, secs, personid): the realtime pageview table."""
-    return latest_per_key(rows, "pageviews")
+    """(url, hour_bucket, secs, personid, events): the realtime pageview
+    table; ``events`` counts the writes each entry absorbed."""
+    keys = RT_KEYS["pageviews"]
+    order = F.struct(F.col("secs"), F.col("ord_raw"))
+    out = rows.groupBy(*keys).agg(F.max_by(F.col("personid"), order).alias("personid"),
+                                  F.count(F.lit(1)).alias("events"))
+    return out
 
 
 def equiv_adjacency(equivs: DataFrame) -> DataFrame:

@@ -98,11 +98,12 @@ def realtime_range(rt: DataFrame, bounds: DataFrame, mode: str = "distinct_secon
         raise ValueError(f"mode must be one of {MODES}")
     b = broadcast_if_small(bounds, max_broadcast_rows) if max_broadcast_rows \
         else broadcast_if_small(bounds)
-    r = rt.select("url", "hour_bucket", "secs").alias("r")
+    ev = F.col("events") if "events" in rt.columns else F.lit(1).cast("bigint")
+    r = rt.select("url", "hour_bucket", "secs", ev.alias("events")).alias("r")
     j = r.join(b.alias("b"), (F.col("r.url") == F.col("b.url"))
                & F.col("r.hour_bucket").between(F.col("b.lo"), F.col("b.hi")))
     agg = (F.count_distinct(F.col("r.secs")) if mode == "distinct_seconds"
-           else F.count(F.lit(1)))
+           else F.sum(F.col("r.events")))
     return j.groupBy(F.col("r.url").alias("url")).agg(agg.cast("bigint").alias("realtime_pageviews"))
 
 
@@ -151,12 +152,13 @@ def get_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
                      F.col("bucket").alias("hour_bucket"),
                      F.lit(None).cast("bigint").alias("secs"),
                      F.col("total_pageviews").alias("pageviews")))
-    r = rt.select("url", "hour_bucket", "secs").alias("r")
+    ev = F.col("events") if "events" in rt.columns else F.lit(1).cast("bigint")
+    r = rt.select("url", "hour_bucket", "secs", ev.alias("events")).alias("r")
     j = r.join(bounds.alias("b"), (F.col("r.url") == F.col("b.url"))
                & F.col("r.hour_bucket").between(F.col("b.lo"), F.col("b.hi")))
     rrows = (j.groupBy(F.col("r.url").alias("url"), F.col("r.hour_bucket").alias("hour_bucket"),
                        F.col("r.secs").alias("secs"))
-             .agg(F.count(F.lit(1)).alias("_n"))
+             .agg(F.sum(F.col("r.events")).alias("_n"))
              .select(F.lit("realtime").alias("source"), "url", "hour_bucket", "secs",
                      (F.lit(1) if mode == "distinct_seconds" else F.col("_n"))
                      .cast("bigint").alias("pageviews")))
