@@ -396,3 +396,181 @@ def q_rt_persons(spark, sf_dir):
 def q_rt_equivs(spark, sf_dir):
     from hourglass.operators import realtime
     return realtime.latest_per_key(realtime_rows(spark, sf_dir)["equivs"], "equivs")
+
+
+# --- storage and streaming (write to fresh folders under spark.checkpoint.dir) --------
+
+FACTS_PARTITION_SQL = ORACLES["facts_by_partition"]
+QUARANTINE_SQL = ORACLES["quarantine_counts"]
+
+
+def _write_input(spark, sf_dir, root, kinds, files=4, coarse=False, mode="overwrite"):
+    from hourglass.sources import messages as M
+    lines = td.message_lines(spark, sf_dir, kinds=kinds, coarse=coarse)
+    df = lines.repartitionByRange(files, "id").sortWithinPartitions("id").select("value")
+    df.write.mode(mode).text(f"{root}/in")
+
+
+@register("stream_ingest", f"""
+    SELECT dataunit_id, value_id, CAST(NULL AS VARCHAR) AS reason, facts AS rows_written
+    FROM ({FACTS_PARTITION_SQL})
+    UNION ALL
+    SELECT 0, 0, reason, messages FROM ({QUARANTINE_SQL})
+""")
+def q_stream_ingest(spark, sf_dir):
+    """Queue lines in 4 files -> ingest stream (1 file per micro-batch) ->
+    new-data sink; rows written per partition and quarantine reason."""
+    from hourglass.operators import storage
+    from hourglass.session import work_dir
+    from hourglass.sources import messages as M
+    from hourglass.streaming import ingest
+    root = work_dir(spark, "stream_ingest")
+    _write_input(spark, sf_dir, root, kinds=("pageview", "page", "person", "equiv", "broken"))
+    q = ingest.start_ingest(M.text_source(spark, f"{root}/in", max_files_per_trigger=1),
+                            f"{root}/new", f"{root}/ck", trigger={"availableNow": True})
+    q.awaitTermination()
+    new = storage.read_new_data(spark, f"{root}/new")
+    return new.groupBy("dataunit_id", "value_id", "reason").agg(
+        F.count(F.lit(1)).alias("rows_written"))
+
+
+@register("master_after_batch", FACTS_PARTITION_SQL)
+def q_master_after_batch(spark, sf_dir):
+    """Two ingest + absorb rounds (pageviews/pages, then persons/equivs/broken
+    lines) -> master dataset; facts per partition = sum of both inputs."""
+    from hourglass.operators import storage
+    from hourglass.session import work_dir
+    from hourglass.sources import messages as M
+    from hourglass.streaming import ingest
+    root = work_dir(spark, "master_after_batch")
+    for i, kinds in enumerate([("pageview", "page"), ("person", "equiv", "broken")]):
+        _write_input(spark, sf_dir, f"{root}/round{i}", kinds=kinds)
+        # the second round's files join the same queue folder
+        src_dir = f"{root}/queue"
+        spark.read.text(f"{root}/round{i}/in").write.mode("append").text(src_dir)
+        q = ingest.start_ingest(M.text_source(spark, src_dir), f"{root}/new", f"{root}/ck_ingest",
+                                trigger={"availableNow": True})
+        q.awaitTermination()
+        storage.absorb(spark, f"{root}/new", f"{root}/master", f"{root}/ck_absorb")
+    from hourglass.sources import facts as FS
+    return FS.partition_counts(FS.read_facts(spark, f"{root}/master"))
+
+
+@register("stream_pageviews", ORACLES["realtime_distinct_seconds"])
+def q_stream_pageviews(spark, sf_dir):
+    """Coarse pageview lines delivered in event order, 2 files, then a restart
+    from the checkpoint with 2 more files -> speed-layer pageview table ->
+    distinct seconds per (url, hour)."""
+    from hourglass.operators import realtime
+    from hourglass.session import work_dir
+    from hourglass.sources import messages as M
+    from hourglass.streaming import speed
+    root = work_dir(spark, "stream_pageviews")
+    lines = td.message_lines(spark, sf_dir, kinds=("pageview",), coarse=True)
+    # event ids increase with event time: files in id order arrive in time order
+    staged = f"{root}/staged"
+    lines.repartitionByRange(4, "id").sortWithinPartitions("id").select("value") \
+        .write.mode("overwrite").text(staged)
+    files = sorted(spark.read.text(staged).inputFiles())
+    queue = f"{root}/queue"
+    for part in (files[:2], files[2:]):
+        for f in part:  # one write per file: modification times keep the order
+            spark.read.text(f).write.mode("append").text(queue)
+        qs = speed.start_speed(M.text_source(spark, queue, max_files_per_trigger=1),
+                               f"{root}/rt", f"{root}/ck", trigger={"availableNow": True},
+                               watermark="1 day", tables=("pageviews",))
+        speed.await_all(qs)
+    pv = speed.read_realtime(spark, f"{root}/rt", "pageviews")
+    return realtime.distinct_second_counts(pv)
+
+
+@register("view_stored", VIEW_SQL)
+def q_view_stored(spark, sf_dir):
+    """Batch view written partitioned by granularity, URL-range files, read back."""
+    from hourglass.operators import storage
+    from hourglass.session import work_dir
+    root = work_dir(spark, "view_stored")
+    storage.write_view(views.batch_view(pageview_facts(spark, sf_dir)), f"{root}/view")
+    return storage.read_view(spark, f"{root}/view")
+
+
+@register("view_sharded", VIEW_SQL)
+def q_view_sharded(spark, sf_dir):
+    """Batch view as a 4-bucket table on url (S17), read back through the catalog."""
+    from hourglass.operators import storage
+    from hourglass.session import work_dir
+    root = work_dir(spark, "view_sharded")
+    name = "hg_view_" + root.rsplit("-", 1)[-1]
+    storage.write_view_sharded(views.batch_view(pageview_facts(spark, sf_dir)), name,
+                               f"{root}/table", shards=4)
+    return spark.table(name).select("url", "granularity", "bucket", "total_pageviews")
+
+
+@register("view_kv_sharded", VIEW_SQL)
+def q_view_kv_sharded(spark, sf_dir):
+    """Key/value view in 4 url-sharded files, read back and decoded."""
+    from hourglass.operators import storage
+    from hourglass.session import work_dir
+    root = work_dir(spark, "view_kv")
+    storage.write_view_kv(views.batch_view(pageview_facts(spark, sf_dir)), f"{root}/kv")
+    return views.from_key_value(storage.read_view_kv(spark, f"{root}/kv"))
+
+
+@register("incremental_view", VIEW_SQL)
+def q_incremental_view(spark, sf_dir):
+    """View of the facts before the split hour, then refreshed additively with
+    the view of the facts after it: equal to the full view."""
+    from hourglass.operators import storage
+    from hourglass.session import work_dir
+    root = work_dir(spark, "incremental_view")
+    f = pageview_facts(spark, sf_dir)
+    cut = F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600
+    storage.write_view(views.batch_view(f.where(cut)), f"{root}/v1")
+    storage.refresh_view(spark, f"{root}/v1", f.where(~cut), f"{root}/v2")
+    return storage.read_view(spark, f"{root}/v2")
+
+
+@register("normalized_urls", f"""
+    SELECT 4 AS dataunit_id, url, count(*) AS facts
+    FROM (SELECT {G.normalize_url_sql('raw_url')} AS url FROM ({PV_SQL})
+          UNION ALL SELECT raw_url FROM ({G.bad_url_rows_sql()}))
+    GROUP BY 1, 2
+    UNION ALL
+    SELECT 2, {G.normalize_url_sql('url')}, count(*) FROM pages GROUP BY 1, 2
+""")
+def q_normalized_urls(spark, sf_dir):
+    """All facts -> partitioned master -> normalized copy (R8) -> facts per
+    (kind, page URL) for the two kinds that carry a URL."""
+    from hourglass.operators import storage
+    from hourglass.session import work_dir
+    from hourglass.sources import facts as FS
+    root = work_dir(spark, "normalized_urls")
+    FS.write_facts(all_facts(spark, sf_dir), f"{root}/master")
+    storage.normalize_master(spark, f"{root}/master", f"{root}/normalized")
+    n = FS.read_kinds(spark, f"{root}/normalized", 2, 4)
+    url = F.coalesce(F.col("page_view.page.url"), F.col("page_property.id.url"))
+    return n.groupBy("dataunit_id", url.alias("url")).agg(F.count(F.lit(1)).alias("facts"))
+
+
+@register("compacted_master", FACTS_PARTITION_SQL)
+def q_compacted_master(spark, sf_dir):
+    """Facts written in many small files, compacted with REBALANCE into a new
+    generation; counts per partition are unchanged."""
+    from hourglass.operators import storage
+    from hourglass.session import work_dir
+    from hourglass.sources import facts as FS
+    root = work_dir(spark, "compacted_master")
+    FS.write_facts(all_facts(spark, sf_dir).repartition(16), f"{root}/master")
+    storage.compact(spark, f"{root}/master", f"{root}/master-gen2")
+    return FS.partition_counts(FS.read_facts(spark, f"{root}/master-gen2"))
+
+
+@register("rt_equiv_adjacency", f"""
+    SELECT personid1, string_agg(personid2, ',' ORDER BY personid2) AS personid2s
+    FROM (SELECT DISTINCT personid1, personid2 FROM ({G.equiv_rows_sql()})) GROUP BY 1
+""")
+def q_rt_equiv_adjacency(spark, sf_dir):
+    from hourglass.operators import realtime
+    eq = realtime.latest_per_key(realtime_rows(spark, sf_dir)["equivs"], "equivs")
+    adj = realtime.equiv_adjacency(eq)
+    return adj.select("personid1", F.array_join("personid2s", ",").alias("personid2s"))
