@@ -62,12 +62,16 @@ def parse_messages(lines: DataFrame, value_col: str = "value",
         p.alias("_p"),
     )
     pc = F.col("_p")
-    not_json = F.col("_line").isNull() | pc.isNull() | pc[S.CORRUPT_COLUMN].isNotNull()
     top_type = pc["messagetype"]
-    is_env = top_type == S.ENVELOPE_TYPE
+    is_env = F.coalesce(top_type == S.ENVELOPE_TYPE, F.lit(False))
+    # Malformed JSON parses to all-NULL fields plus the corrupt-record column;
+    # a well-formed envelope whose "messages" is not an array of objects keeps
+    # its messagetype (partial result) and is a bad envelope instead.
+    corrupt = F.col("_line").isNull() | pc.isNull() | pc[S.CORRUPT_COLUMN].isNotNull()
     single = F.struct(*[pc[n].alias(n) for n in S.MESSAGE_FIELDS])
     line_reason = (
-        F.when(not_json, "not_json")
+        F.when(corrupt & is_env, "bad_envelope")
+        .when(corrupt, "not_json")
         .when(top_type.isNull(), "missing_messagetype")
         .when(is_env & pc["messages"].isNull(), "bad_envelope")
     )
