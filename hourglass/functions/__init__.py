@@ -5,7 +5,7 @@ from hourglass.functions.buckets import (  # noqa: F401
     month_bucket, parse_query_hour, week_bucket,
 )
 from hourglass.functions.ids import (  # noqa: F401
-    dataunit_id, gender, parse_int, parse_long, person_id, person_id_string,
+    dataunit_id, gender, is_person_id, parse_int, parse_long, person_id, person_id_string,
 )
 from hourglass.functions.keys import (  # noqa: F401
     bucketed_key, bucketed_key_string, deserialize_long, key_bucket,

@@ -29,6 +29,12 @@ def person_id(s: Column | str) -> Column:
     )
 
 
+def is_person_id(s: Column | str) -> Column:
+    """True when ``person_id`` would accept the string (cheap, no struct)."""
+    c = _col(s)
+    return F.coalesce(c.startswith(COOKIE_PREFIX) | parse_long(c).isNotNull(), F.lit(False))
+
+
 def person_id_string(pid: Column | str) -> Column:
     """The message form of a person id struct: the cookie, else the user id."""
     p = _col(pid)

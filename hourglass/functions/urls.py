@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The protocols whose URLs are normalized; anything else passes
-# through unchanged, like a URL the reference's parser rejects.
+# The protocols whose URLs are normalized (any letter case);
+# anything else passes through unchanged, like a URL the reference's parser
+# rejects.
 NORMALIZED_PROTOCOLS = ["http", "https", "ftp"]
 
 # protocol :// [userinfo@] host [:port] [path] [?query | #fragment]
 # group 1 = protocol, group 2 = host (bracketed IPv6 allowed), group 3 = path.
 URL_PATTERN = (
-    r"^([A-Za-z][A-Za-z0-9+.\-]*)://(?:[^/?#@]*@)?(\[[^\]]*\]|[^:/?#]*)"
+    r"^((?i:" + "|".join(NORMALIZED_PROTOCOLS) + r"))://(?:[^/?#@]*@)?(\[[^\]]*\]|[^:/?#]*)"
     r"(?::[0-9]*)?((?:/[^?#]*)?)(?:[?#].*)?$"
 )
 
@@ -26,19 +27,15 @@ def normalize_url(url: Column | str) -> Column:
     dropped, the protocol is lower-cased and the host keeps its case.
 
     A URL that does not parse (unknown protocol, non-numeric port, no ``://``)
-    is returned unchanged; NULL stays NULL. Runs as a codegen'd regex, never
-    per-row Python.
+    is returned unchanged; NULL stays NULL. Two codegen'd regex evaluations,
+    never per-row Python.
     """
     u = _col(url)
-    proto = F.lower(F.regexp_extract(u, URL_PATTERN, 1))
-    host = F.regexp_extract(u, URL_PATTERN, 2)
-    path = F.regexp_extract(u, URL_PATTERN, 3)
-    ok = u.rlike(URL_PATTERN) & proto.isin(*NORMALIZED_PROTOCOLS)
-    return F.when(ok, F.concat(proto, F.lit("://"), host, path)).otherwise(u)
+    proto = F.regexp_extract(u, URL_PATTERN, 1)       # '' when the URL does not match
+    rest = F.regexp_replace(u, URL_PATTERN, "://$2$3")
+    return F.when(proto != "", F.concat(F.lower(proto), rest)).otherwise(u)
 
 
 def is_valid_url(url: Column | str) -> Column:
     """True when ``normalize_url`` would rewrite the URL (it parses)."""
-    u = _col(url)
-    proto = F.lower(F.regexp_extract(u, URL_PATTERN, 1))
-    return F.coalesce(u.rlike(URL_PATTERN) & proto.isin(*NORMALIZED_PROTOCOLS), F.lit(False))
+    return F.coalesce(_col(url).rlike(URL_PATTERN), F.lit(False))

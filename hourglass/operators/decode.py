@@ -18,6 +18,7 @@ from hourglass import schemas as S
 from hourglass.functions import (
     gender,
     hour_bucket,
+    is_person_id,
     is_valid_url,
     normalize_url,
     parse_int,
@@ -90,7 +91,7 @@ def parse_messages(lines: DataFrame, value_col: str = "value",
 
     t = F.col("messagetype")
     secs = parse_long(F.col("pedigree"))
-    pid_bad = lambda c: person_id(F.col(c)).isNull()
+    pid_bad = lambda c: ~is_person_id(F.col(c))
     msg_reason = (
         F.when(F.col("_line_reason").isNotNull(), F.col("_line_reason"))
         .when(t.isNull(), "missing_messagetype")
@@ -142,18 +143,33 @@ def to_facts(parsed: DataFrame, last_property_only: bool = False) -> DataFrame:
 
 
 def facts_from_valid(valid: DataFrame, last_property_only: bool = False) -> DataFrame:
+    return _fact_projection(valid, last_property_only, keep_quarantine=False)
+
+
+def _fact_projection(parsed: DataFrame, last_property_only: bool,
+                     keep_quarantine: bool) -> DataFrame:
+    """One Generate + Project from parsed messages to fact rows.
+
+    With ``keep_quarantine`` a quarantined message becomes one row with
+    ``dataunit_id = 0``, NULL fact columns and its raw text and reason, so
+    facts and quarantine come out of the same single pass.
+    """
     t = F.col("messagetype")
+    bad = F.col("reason").isNotNull()
     person_vids = (F.array(F.lit(S.FULL_NAME)) if last_property_only
                    else F.array(F.lit(S.FULL_NAME), F.lit(S.GENDER), F.lit(S.LOCATION)))
     value_ids = (
-        F.when(t == "person", person_vids)
+        F.when(bad, F.array(F.lit(S.EDGE_VALUE_ID)))
+        .when(t == "person", person_vids)
         .when(t == "page", F.array(F.lit(S.PAGE_VIEWS)))
         .otherwise(F.array(F.lit(S.EDGE_VALUE_ID)))
     )
-    df = valid.select("*", F.explode(value_ids).alias("value_id"))
+    df = parsed if keep_quarantine else parsed.where(~bad)
+    df = df.select("*", F.explode(value_ids).alias("value_id"))
     vid = F.col("value_id")
+    ok = ~bad
 
-    person_property = F.when(t == "person", F.struct(
+    person_property = F.when(ok & (t == "person"), F.struct(
         person_id(F.col("personid")).alias("id"),
         F.struct(
             F.when(vid == S.FULL_NAME, F.col("fullname")).alias("full_name"),
@@ -164,34 +180,38 @@ def facts_from_valid(valid: DataFrame, last_property_only: bool = False) -> Data
                 F.col("country").alias("country"))).alias("location"),
         ).alias("property"),
     ))
-    page_property = F.when(t == "page", F.struct(
+    page_property = F.when(ok & (t == "page"), F.struct(
         F.struct(F.col("url").alias("url")).alias("id"),
         F.struct(parse_int(F.col("pageview")).alias("page_views")).alias("property"),
     ))
-    equiv = F.when(t == "equiv", F.struct(
+    equiv = F.when(ok & (t == "equiv"), F.struct(
         person_id(F.col("personid1")).alias("id1"),
         person_id(F.col("personid2")).alias("id2"),
     ))
-    page_view = F.when(t == "pageview", F.struct(
+    page_view = F.when(ok & (t == "pageview"), F.struct(
         person_id(F.col("personid")).alias("person"),
         F.struct(F.col("pageid").alias("url")).alias("page"),
         F.xxhash64(F.col("line_hash"), F.col("pos")).alias("nonce"),
     ))
     dataunit = (
-        F.when(t == "person", S.PERSON_PROPERTY)
+        F.when(bad, S.QUARANTINE_DATAUNIT_ID)
+        .when(t == "person", S.PERSON_PROPERTY)
         .when(t == "page", S.PAGE_PROPERTY)
         .when(t == "equiv", S.EQUIV)
         .when(t == "pageview", S.PAGE_VIEW)
     )
-    return df.select(
-        F.col("secs").alias("true_as_of_secs"),
+    cols = [
+        F.when(ok, F.col("secs")).alias("true_as_of_secs"),
         dataunit.cast("int").alias("dataunit_id"),
         vid.cast("int").alias("value_id"),
         person_property.cast(S.PERSON_PROPERTY_T).alias("person_property"),
         page_property.cast(S.PAGE_PROPERTY_T).alias("page_property"),
         equiv.cast(S.EQUIV_T).alias("equiv"),
         page_view.cast(S.PAGE_VIEW_T).alias("page_view"),
-    )
+    ]
+    if keep_quarantine:
+        cols += [F.when(bad, F.col("raw")).alias("raw"), F.col("reason")]
+    return df.select(*cols)
 
 
 def to_quarantine(parsed: DataFrame) -> DataFrame:
@@ -206,18 +226,7 @@ def to_new_data(parsed: DataFrame, last_property_only: bool = False) -> DataFram
     single pass (and a single exactly-once sink) writes both; readers select
     them back apart with a partition filter.
     """
-    facts = facts_from_valid(parsed.where(F.col("reason").isNull()), last_property_only)
-    facts = facts.select(*S.FACT_COLUMNS,
-                         F.lit(None).cast("string").alias("raw"),
-                         F.lit(None).cast("string").alias("reason"))
-    bad = parsed.where(F.col("reason").isNotNull()).select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in S.FACTS.fields
-          if f.name not in ("dataunit_id", "value_id")],
-        F.lit(S.QUARANTINE_DATAUNIT_ID).cast("int").alias("dataunit_id"),
-        F.lit(S.EDGE_VALUE_ID).cast("int").alias("value_id"),
-        "raw", "reason",
-    ).select(*S.NEW_DATA.fieldNames())
-    return facts.unionByName(bad)
+    return _fact_projection(parsed, last_property_only, keep_quarantine=True)
 
 
 def decode_facts(lines: DataFrame, value_col: str = "value",

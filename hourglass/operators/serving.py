@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from hourglass.functions import normalize_url
 from hourglass.functions.buckets import HOUR_SECS
-from hourglass.operators.joins import broadcast_if_small
+from hourglass.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_rows
 
 MODES = ("distinct_seconds", "every_event")
 
@@ -36,6 +36,11 @@ def query_hour(value: int | str, legacy_12h: bool = False) -> int:
     return (int(d.timestamp()) + h * HOUR_SECS) // HOUR_SECS
 
 
+# Literal URL lists up to this size are also pushed into the scans as
+# ``url IN (...)`` so Parquet min/max statistics skip row groups.
+MAX_PUSHED_URLS = 10_000
+
+
 def url_list(urls: DataFrame | list[str], spark=None, normalize: bool = True) -> DataFrame:
     """Distinct (url) query list; normalized like the views unless told not to."""
     if isinstance(urls, list):
@@ -44,19 +49,34 @@ def url_list(urls: DataFrame | list[str], spark=None, normalize: bool = True) ->
     return urls.select((normalize_url(u) if normalize else u).alias("url")).distinct()
 
 
+def literal_urls(urls: DataFrame | list[str], u: DataFrame) -> list[str] | None:
+    """The normalized URLs of a short literal list (a local relation, so this
+    is evaluated without a cluster job); None for DataFrame inputs."""
+    if isinstance(urls, list) and len(urls) <= MAX_PUSHED_URLS:
+        return [r.url for r in u.collect() if r.url is not None]
+    return None
+
+
+def _restrict(df: DataFrame, lits: list[str] | None) -> DataFrame:
+    return df if lits is None else df.where(F.col("url").isin(lits))
+
+
 def batch_range(view: DataFrame, urls: DataFrame, start_hour: int, end_hour: int,
-                max_broadcast_rows: int | None = None) -> DataFrame:
+                small: bool | None = None, literals: list[str] | None = None) -> DataFrame:
     """(url, batch_pageviews, hour_done) for every URL of ``urls``.
 
     The view's hour rows are filtered by granularity and range (pushed into
-    the Parquet scan), semi-joined with the URL list (broadcast after a size
-    check) and summed per URL; URLs without batch data get 0 and NULL.
+    the Parquet scan; with ``literals`` also by url), semi-joined with the URL
+    list — broadcast when its size is proven small, else a shuffle join — and
+    summed per URL; URLs without batch data get 0 and NULL.
     """
-    h = view.where((F.col("granularity") == "h")
-                   & F.col("bucket").between(F.lit(start_hour), F.lit(end_hour)))
-    small = broadcast_if_small(urls, max_broadcast_rows) if max_broadcast_rows \
-        else broadcast_if_small(urls)
-    agg = (h.join(small, "url", "left_semi")
+    if small is None:
+        small = bounded_rows(urls, DEFAULT_BROADCAST_ROWS)
+    h = _restrict(view, literals).where(
+        (F.col("granularity") == "h")
+        & F.col("bucket").between(F.lit(start_hour), F.lit(end_hour)))
+    side = F.broadcast(urls) if small else urls
+    agg = (h.join(side, "url", "left_semi")
            .groupBy("url")
            .agg(F.sum("total_pageviews").cast("bigint").alias("batch_pageviews"),
                 F.max("bucket").cast("bigint").alias("hour_done")))
@@ -85,21 +105,22 @@ def realtime_bounds(batch: DataFrame, start_hour: int, end_hour: int,
 
 
 def realtime_range(rt: DataFrame, bounds: DataFrame, mode: str = "distinct_seconds",
-                   max_broadcast_rows: int | None = None) -> DataFrame:
+                   small: bool | None = None, literals: list[str] | None = None) -> DataFrame:
     """(url, realtime_pageviews) of realtime rows inside each URL's bounds.
 
     ``distinct_seconds`` counts distinct seconds (the realtime table keeps one
-    entry per URL, hour and second); ``every_event`` counts every row, which
+    entry per URL, hour and second); ``every_event`` counts every write, which
     agrees with the batch layer. The range join is an equi-join on url plus a
     range condition; the bounds side (one row per queried URL) is broadcast
-    after a size check.
+    when its size is proven small.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    b = broadcast_if_small(bounds, max_broadcast_rows) if max_broadcast_rows \
-        else broadcast_if_small(bounds)
+    if small is None:
+        small = bounded_rows(bounds, DEFAULT_BROADCAST_ROWS)
+    b = F.broadcast(bounds) if small else bounds
     ev = F.col("events") if "events" in rt.columns else F.lit(1).cast("bigint")
-    r = rt.select("url", "hour_bucket", "secs", ev.alias("events")).alias("r")
+    r = _restrict(rt, literals).select("url", "hour_bucket", "secs", ev.alias("events")).alias("r")
     j = r.join(b.alias("b"), (F.col("r.url") == F.col("b.url"))
                & F.col("r.hour_bucket").between(F.col("b.lo"), F.col("b.hi")))
     agg = (F.count_distinct(F.col("r.secs")) if mode == "distinct_seconds"
@@ -119,9 +140,12 @@ def count_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
     spark = view.sparkSession
     a, b = query_hour(start, legacy_12h), query_hour(end, legacy_12h)
     u = url_list(urls, spark, normalize)
-    batch = batch_range(view, u, a, b)
+    lits = literal_urls(urls, u)
+    # bounds has one row per queried URL: one size check covers both joins
+    small = lits is not None or bounded_rows(u, DEFAULT_BROADCAST_ROWS)
+    batch = batch_range(view, u, a, b, small, lits)
     bounds = realtime_bounds(batch, a, b, legacy_lower_bound)
-    rtc = realtime_range(rt, bounds, mode)
+    rtc = realtime_range(rt, bounds, mode, small, lits)
     z = F.lit(0).cast("bigint")
     return batch.join(rtc, "url", "left").select(
         "url", "batch_pageviews", "hour_done",
@@ -142,9 +166,14 @@ def get_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
     spark = view.sparkSession
     a, b = query_hour(start, legacy_12h), query_hour(end, legacy_12h)
     u = url_list(urls, spark, normalize)
-    batch = batch_range(view, u, a, b)
-    bounds = broadcast_if_small(realtime_bounds(batch, a, b, legacy_lower_bound))
-    ub = broadcast_if_small(u)
+    lits = literal_urls(urls, u)
+    small = lits is not None or bounded_rows(u, DEFAULT_BROADCAST_ROWS)
+    batch = batch_range(view, u, a, b, small, lits)
+    bounds = realtime_bounds(batch, a, b, legacy_lower_bound)
+    bounds = F.broadcast(bounds) if small else bounds
+    ub = F.broadcast(u) if small else u
+    view = _restrict(view, lits)
+    rt = _restrict(rt, lits)
     brows = (view.where((F.col("granularity") == "h")
                         & F.col("bucket").between(F.lit(a), F.lit(b)))
              .join(ub, "url", "left_semi")

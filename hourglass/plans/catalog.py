@@ -275,11 +275,18 @@ def page_urls(spark, sf_dir) -> DataFrame:
     return td.table(spark, sf_dir, "pages").select("url")
 
 
-def realtime_rows(spark, sf_dir, coarse: bool = True) -> dict[str, DataFrame]:
-    p = parsed_stream(spark, sf_dir, coarse=coarse, strict_urls=True)
+def realtime_rows(spark, sf_dir, coarse: bool = True,
+                  kinds=("pageview", "page", "person", "equiv", "broken")) -> dict[str, DataFrame]:
+    p = parsed_stream(spark, sf_dir, kinds=kinds, coarse=coarse, strict_urls=True)
     return decode.realtime_rows(p)
 
 
+def realtime_pageview_rows(spark, sf_dir) -> DataFrame:
+    """Speed-layer rows of the coarse pageview stream (with the broken lines,
+    which the speed path quarantines)."""
+    return realtime_rows(spark, sf_dir, kinds=("pageview", "broken"))["pageviews"]
+
+
 def split_view(spark, sf_dir) -> DataFrame:
     """Batch view of the facts absorbed so far (hours before the split)."""
     f = pageview_facts(spark, sf_dir)
@@ -301,7 +308,7 @@ def q_batch_range_count(spark, sf_dir):
 """)
 def q_realtime_distinct_seconds(spark, sf_dir):
     from hourglass.operators import realtime
-    rows = realtime_rows(spark, sf_dir)["pageviews"]
+    rows = realtime_pageview_rows(spark, sf_dir)
     return realtime.distinct_second_counts(rows)
 
 
@@ -313,7 +320,7 @@ def q_rt_pageviews(spark, sf_dir):
     """The realtime pageview table (one row per url, hour, second) with the
     number of writes each row absorbed; the kept person is checked in tests."""
     from hourglass.operators import realtime
-    rows = realtime_rows(spark, sf_dir)["pageviews"]
+    rows = realtime_pageview_rows(spark, sf_dir)
     t = realtime.pageview_table(rows)
     versions = rows.groupBy("url", "hour_bucket", "secs").agg(
         F.count(F.lit(1)).alias("versions"))
@@ -340,7 +347,7 @@ COUNT_SQL = f"""
 @register("count_pageviews", COUNT_SQL)
 def q_count_pageviews(spark, sf_dir):
     from hourglass.operators import serving
-    rt = realtime_rows(spark, sf_dir)["pageviews"]
+    rt = realtime_pageview_rows(spark, sf_dir)
     return serving.count_pageviews(split_view(spark, sf_dir), rt, page_urls(spark, sf_dir),
                                    RANGE_START, RANGE_END)
 
@@ -359,7 +366,7 @@ def q_count_pageviews(spark, sf_dir):
 """)
 def q_get_pageviews(spark, sf_dir):
     from hourglass.operators import serving
-    rt = realtime_rows(spark, sf_dir)["pageviews"]
+    rt = realtime_pageview_rows(spark, sf_dir)
     return serving.get_pageviews(split_view(spark, sf_dir), rt, page_urls(spark, sf_dir),
                                  RANGE_START, RANGE_END)
 
@@ -374,7 +381,7 @@ def q_get_pageviews(spark, sf_dir):
 """)
 def q_rt_pages(spark, sf_dir):
     from hourglass.operators import realtime
-    return realtime.latest_per_key(realtime_rows(spark, sf_dir)["pages"], "pages")
+    return realtime.latest_per_key(realtime_rows(spark, sf_dir, kinds=("page", "broken"))["pages"], "pages")
 
 
 @register("rt_persons", f"""
@@ -386,7 +393,7 @@ def q_rt_pages(spark, sf_dir):
 """)
 def q_rt_persons(spark, sf_dir):
     from hourglass.operators import realtime
-    return realtime.latest_per_key(realtime_rows(spark, sf_dir)["persons"], "persons")
+    return realtime.latest_per_key(realtime_rows(spark, sf_dir, kinds=("person", "broken"))["persons"], "persons")
 
 
 @register("rt_equivs", f"""
@@ -395,7 +402,7 @@ def q_rt_persons(spark, sf_dir):
 """)
 def q_rt_equivs(spark, sf_dir):
     from hourglass.operators import realtime
-    return realtime.latest_per_key(realtime_rows(spark, sf_dir)["equivs"], "equivs")
+    return realtime.latest_per_key(realtime_rows(spark, sf_dir, kinds=("equiv", "broken"))["equivs"], "equivs")
 
 
 # --- storage and streaming (write to fresh folders under spark.checkpoint.dir) --------
@@ -571,6 +578,6 @@ def q_compacted_master(spark, sf_dir):
 """)
 def q_rt_equiv_adjacency(spark, sf_dir):
     from hourglass.operators import realtime
-    eq = realtime.latest_per_key(realtime_rows(spark, sf_dir)["equivs"], "equivs")
+    eq = realtime.latest_per_key(realtime_rows(spark, sf_dir, kinds=("equiv", "broken"))["equivs"], "equivs")
     adj = realtime.equiv_adjacency(eq)
     return adj.select("personid1", F.array_join("personid2s", ",").alias("personid2s"))

@@ -4,7 +4,7 @@ both sides)."""
 
 from __future__ import annotations
 
-from hourglass.functions.urls import NORMALIZED_PROTOCOLS, URL_PATTERN
+from hourglass.functions.urls import URL_PATTERN
 from hourglass.sources import testdata as td
 
 
@@ -14,9 +14,8 @@ def q(s: str) -> str:
 
 def normalize_url_sql(expr: str) -> str:
     rx = q(URL_PATTERN)
-    protos = ", ".join(q(p) for p in NORMALIZED_PROTOCOLS)
     proto = f"lower(regexp_extract({expr}, {rx}, 1))"
-    return (f"(CASE WHEN regexp_matches({expr}, {rx}) AND {proto} IN ({protos}) "
+    return (f"(CASE WHEN regexp_matches({expr}, {rx}) "
             f"THEN {proto} || '://' || regexp_extract({expr}, {rx}, 2) || "
             f"regexp_extract({expr}, {rx}, 3) ELSE {expr} END)")
 

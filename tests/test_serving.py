@@ -98,3 +98,13 @@ def test_range_filter_reaches_the_scan(spark, tables, workdir):
     assert any("granularity" in p for p in inspect.partition_filters(q))
     assert "BroadcastHashJoin" in inspect.plan_text(q) or "BroadcastExchange" in inspect.plan_text(q)
     assert F is not None
+
+
+def test_point_lookup_pushes_url_into_scan(spark, tables, workdir):
+    v, rt = tables
+    v.write.partitionBy("granularity").parquet(f"{workdir}/view")
+    stored = spark.read.parquet(f"{workdir}/view")
+    q = serving.count_pageviews(stored, rt, ["http://a.org/x?x=1"], 100, 105)
+    pushed = " ".join(inspect.pushed_filters(q))
+    assert "EqualTo(url,http://a.org/x)" in pushed or "In(url, [http://a.org/x])" in pushed, pushed
+    assert result(q)["http://a.org/x"]["pageviews"] == 14
