@@ -5,7 +5,7 @@
   distinct seconds.
 * pages / persons: the latest version per key.
 * equivs: per (personid1, personid2) the latest pedigree; the adjacency of a
-  person is the set of its rows.
+  person is the set of its rows (summarized by ``equiv_adjacency``).
 
 "Latest" is ordered by (event seconds, message text) so that results do not
 depend on arrival order or wall clocks.
@@ -55,9 +55,17 @@ def pageview_table(rows: DataFrame) -> DataFrame:
 
 
 def equiv_adjacency(equivs: DataFrame) -> DataFrame:
-    """(personid1, personid2s): each person's equivalent ids as a sorted array."""
+    """Per person: how many equivalent ids it has and the first and last of
+    them (``personid1, equivs, first_personid2, last_personid2``).
+
+    The adjacency itself is the set of ``equivs`` rows keyed by personid1; it
+    is never gathered into one array, so a person with millions of
+    equivalents stays a streaming aggregate (partial count/min/max per task).
+    """
     return equivs.groupBy("personid1").agg(
-        F.array_sort(F.collect_set("personid2")).alias("personid2s"))
+        F.count(F.lit(1)).alias("equivs"),
+        F.min("personid2").alias("first_personid2"),
+        F.max("personid2").alias("last_personid2"))
 
 
 def distinct_second_counts(rows: DataFrame) -> DataFrame:

@@ -5,6 +5,9 @@
   snapshot), the sink's log makes the append exactly-once (bag semantics:
   duplicates are kept), and nothing has to be deleted from new data (R5):
   the next run resumes after the last committed file.
+* Every batch write goes to its own new path (a generation) with mode
+  ``overwrite``: a job retried after a lost driver rewrites its own
+  generation, and readers switch only to a completed one.
 * Compaction (R3): rewrite a fact dataset into a new directory with
   ``REBALANCE(dataunit_id, value_id)``; AQE splits a hot kind over several
   tasks and packs small ones, so files come out near the advisory size.
@@ -75,7 +78,7 @@ def compact(spark: SparkSession, src_path: str, dst_path: str) -> None:
     ``dst_path`` is a new generation; readers switch to it once written.
     """
     f = FS.read_facts(spark, src_path)
-    f.hint("rebalance", *S.PARTITION_COLUMNS).write.mode("errorifexists") \
+    f.hint("rebalance", *S.PARTITION_COLUMNS).write.mode("overwrite") \
         .partitionBy(*S.PARTITION_COLUMNS).parquet(dst_path)
 
 
@@ -83,13 +86,13 @@ def normalize_master(spark: SparkSession, src_path: str, dst_path: str) -> None:
     """Materialized URL normalization of a whole fact dataset (R8); the view
     build normally inlines the normalization instead."""
     FS.write_facts(views.normalize_facts(FS.read_facts(spark, src_path)), dst_path,
-                   mode="errorifexists")
+                   mode="overwrite")
 
 
 # --- view sinks ----------------------------------------------------------------------
 
 def write_view(view: DataFrame, path: str, files_per_granularity: int | None = None,
-               mode: str = "errorifexists") -> None:
+               mode: str = "overwrite") -> None:
     """Batch view as Parquet partitioned by granularity, sorted by (url, bucket).
 
     Range partitioning by (granularity, url) puts disjoint URL ranges in each
@@ -124,7 +127,7 @@ def write_view_kv(view: DataFrame, path: str, shards: int = 4) -> None:
         serialize_long("total_pageviews").alias("value"),
     )
     (kv.repartition(shards, "_url").sortWithinPartitions("key").drop("_url")
-     .write.mode("errorifexists").parquet(path))
+     .write.mode("overwrite").parquet(path))
 
 
 def read_view_kv(spark: SparkSession, path: str) -> DataFrame:

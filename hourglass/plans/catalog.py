@@ -573,11 +573,13 @@ def q_compacted_master(spark, sf_dir):
 
 
 @register("rt_equiv_adjacency", f"""
-    SELECT personid1, string_agg(personid2, ',' ORDER BY personid2) AS personid2s
+    SELECT personid1, count(*) AS equivs, min(personid2) AS first_personid2,
+           max(personid2) AS last_personid2
     FROM (SELECT DISTINCT personid1, personid2 FROM ({G.equiv_rows_sql()})) GROUP BY 1
 """)
 def q_rt_equiv_adjacency(spark, sf_dir):
+    """Realtime equivs (latest per pair) summarized per person: degree and
+    the first/last equivalent id."""
     from hourglass.operators import realtime
-    eq = realtime.latest_per_key(realtime_rows(spark, sf_dir, kinds=("equiv", "broken"))["equivs"], "equivs")
-    adj = realtime.equiv_adjacency(eq)
-    return adj.select("personid1", F.array_join("personid2s", ",").alias("personid2s"))
+    rows = realtime_rows(spark, sf_dir, kinds=("equiv", "broken"))["equivs"]
+    return realtime.equiv_adjacency(realtime.latest_per_key(rows, "equivs"))
