@@ -96,12 +96,16 @@ def write_view(view: DataFrame, path: str, files_per_granularity: int | None = N
     """Batch view as Parquet partitioned by granularity, sorted by (url, bucket).
 
     Range partitioning by (granularity, url) puts disjoint URL ranges in each
-    file, so a URL lookup reads one file's matching row groups.
+    file, so a URL lookup reads one file's matching row groups. Without
+    ``files_per_granularity`` the number of ranges is left to AQE, which
+    sizes them by ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
     """
-    spark = view.sparkSession
-    n = files_per_granularity or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (view.repartitionByRange(n * len(S.GRANULARITIES), "granularity", "url")
-     .sortWithinPartitions("granularity", "url", "bucket")
+    if files_per_granularity:
+        ranged = view.repartitionByRange(files_per_granularity * len(S.GRANULARITIES),
+                                         "granularity", "url")
+    else:
+        ranged = view.repartitionByRange("granularity", "url")
+    (ranged.sortWithinPartitions("granularity", "url", "bucket")
      .write.mode(mode).partitionBy("granularity").parquet(path))
 
 

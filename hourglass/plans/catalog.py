@@ -583,3 +583,66 @@ def q_rt_equiv_adjacency(spark, sf_dir):
     from hourglass.operators import realtime
     rows = realtime_rows(spark, sf_dir, kinds=("equiv", "broken"))["equivs"]
     return realtime.equiv_adjacency(realtime.latest_per_key(rows, "equivs"))
+
+
+# --- option paths of the original semantics ------------------------------------------
+
+@register("count_pageviews_every_event", COUNT_SQL.replace(
+    "count(DISTINCT rt.secs) AS realtime_pageviews", "count(*) AS realtime_pageviews"))
+def q_count_pageviews_every_event(spark, sf_dir):
+    """``count_pageviews`` counting every realtime write (batch-consistent mode)."""
+    from hourglass.operators import realtime, serving
+    rows = realtime_pageview_rows(spark, sf_dir)
+    table = realtime.pageview_table(rows)     # one row per second with its write count
+    return serving.count_pageviews(split_view(spark, sf_dir), table, page_urls(spark, sf_dir),
+                                   RANGE_START, RANGE_END, mode="every_event")
+
+
+@register("count_pageviews_legacy_bound", COUNT_SQL.replace(
+    f"greatest({RANGE_START}, coalesce(hour_done + 1, {RANGE_START})) AS lo",
+    "coalesce(hour_done, 0) + 1 AS lo"))
+def q_count_pageviews_legacy_bound(spark, sf_dir):
+    """``count_pageviews`` with the original lower bound: hour_done + 1, with
+    hour_done = 0 when a URL has no batch data in range."""
+    from hourglass.operators import serving
+    rt = realtime_pageview_rows(spark, sf_dir)
+    return serving.count_pageviews(split_view(spark, sf_dir), rt, page_urls(spark, sf_dir),
+                                   RANGE_START, RANGE_END, legacy_lower_bound=True)
+
+
+@register("person_facts_last_property", f"""
+    SELECT secs AS true_as_of_secs, {_pid_sql('personid', '')}, fullname AS full_name
+    FROM ({G.person_rows_sql()})
+""")
+def q_person_facts_last_property(spark, sf_dir):
+    """Person messages decoded keeping only the last property set (the full
+    name), as a union set three times does."""
+    p = parsed_stream(spark, sf_dir, kinds=("person", "broken"))
+    f = decode.to_facts(p, last_property_only=True).where(F.col("dataunit_id") == 1)
+    return f.select(
+        "true_as_of_secs",
+        F.col("person_property.id.cookie").alias("cookie"),
+        F.col("person_property.id.user_id").alias("user_id"),
+        F.col("person_property.property.full_name").alias("full_name"),
+    )
+
+
+@register("fact_validation", f"""
+    SELECT dataunit_id, CAST(sum(facts) AS BIGINT) AS facts, CAST(0 AS BIGINT) AS invalid,
+           CAST(0 AS BIGINT) AS bad_partitions
+    FROM ({FACTS_PARTITION_SQL}) GROUP BY 1
+""")
+def q_fact_validation(spark, sf_dir):
+    """Required-field (S16) and partition-target (S15) validation of every
+    decoded fact, summarized per fact kind."""
+    from hourglass.sources import facts as FS
+    f = all_facts(spark, sf_dir)
+    bad = FS.invalid_facts(f).groupBy("dataunit_id").agg(F.count(F.lit(1)).alias("invalid"))
+    badp = FS.invalid_partitions(f).groupBy("dataunit_id").agg(
+        F.count(F.lit(1)).alias("bad_partitions"))
+    per_kind = f.groupBy("dataunit_id").agg(F.count(F.lit(1)).alias("facts"))
+    z = F.lit(0).cast("bigint")
+    return (per_kind.join(bad, "dataunit_id", "left").join(badp, "dataunit_id", "left")
+            .select("dataunit_id", "facts",
+                    F.coalesce("invalid", z).alias("invalid"),
+                    F.coalesce("bad_partitions", z).alias("bad_partitions")))
