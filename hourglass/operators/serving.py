@@ -38,23 +38,41 @@ def query_hour(value: int | str, legacy_12h: bool = False) -> int:
 
 # Literal URL lists up to this size are also pushed into the scans as
 # ``url IN (...)`` so Parquet min/max statistics skip row groups.
-MAX_PUSHED_URLS = 10_000
+MAX_PUSHED_URLS = 1_000
+
+
+def _literal_frame(spark, values: list[str]) -> DataFrame:
+    """A one-column (url) DataFrame of literals, planned as Range(1) +
+    Generate: no RDD, no shuffle, nothing shipped but the literals."""
+    structs = [F.struct(F.lit(v).cast("string").alias("url")) for v in values]
+    if not structs:
+        return spark.range(1).select(F.lit(None).cast("string").alias("url")).where("false")
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def url_list(urls: DataFrame | list[str], spark=None, normalize: bool = True) -> DataFrame:
     """Distinct (url) query list; normalized like the views unless told not to."""
     if isinstance(urls, list):
+        lits = literal_urls(urls, spark, normalize)
+        if lits is not None:
+            return _literal_frame(spark, lits)
         urls = spark.createDataFrame([(u,) for u in urls], "url string")
     u = F.col("url")
     return urls.select((normalize_url(u) if normalize else u).alias("url")).distinct()
 
 
-def literal_urls(urls: DataFrame | list[str], u: DataFrame) -> list[str] | None:
-    """The normalized URLs of a short literal list (a local relation, so this
-    is evaluated without a cluster job); None for DataFrame inputs."""
-    if isinstance(urls, list) and len(urls) <= MAX_PUSHED_URLS:
-        return [r.url for r in u.collect() if r.url is not None]
-    return None
+def literal_urls(urls: DataFrame | list[str], spark=None,
+                 normalize: bool = True) -> list[str] | None:
+    """Distinct normalized URLs of a short literal list (normalized by the same
+    column expression, on a one-row local plan); None for DataFrame inputs
+    and long lists."""
+    if not isinstance(urls, list) or len(urls) > MAX_PUSHED_URLS:
+        return None
+    raw = [u for u in dict.fromkeys(urls) if u is not None]
+    if not normalize or not raw:
+        return raw
+    f = _literal_frame(spark, raw).select(normalize_url("url").alias("url"))
+    return list(dict.fromkeys(r.url for r in f.collect()))
 
 
 def _restrict(df: DataFrame, lits: list[str] | None) -> DataFrame:
@@ -139,15 +157,18 @@ def count_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
     """
     spark = view.sparkSession
     a, b = query_hour(start, legacy_12h), query_hour(end, legacy_12h)
-    u = url_list(urls, spark, normalize)
-    lits = literal_urls(urls, u)
-    # bounds has one row per queried URL: one size check covers both joins
+    lits = literal_urls(urls, spark, normalize)
+    u = _literal_frame(spark, lits) if lits is not None else url_list(urls, spark, normalize)
+    # bounds and per-URL realtime counts have one row per queried URL: one
+    # size check covers every join of the plan
     small = lits is not None or bounded_rows(u, DEFAULT_BROADCAST_ROWS)
     batch = batch_range(view, u, a, b, small, lits)
     bounds = realtime_bounds(batch, a, b, legacy_lower_bound)
+    if not legacy_lower_bound:   # lo >= start for every URL: prune statically too
+        rt = rt.where(F.col("hour_bucket") >= F.lit(a))
     rtc = realtime_range(rt, bounds, mode, small, lits)
     z = F.lit(0).cast("bigint")
-    return batch.join(rtc, "url", "left").select(
+    return batch.join(F.broadcast(rtc) if small else rtc, "url", "left").select(
         "url", "batch_pageviews", "hour_done",
         F.coalesce("realtime_pageviews", z).alias("realtime_pageviews"),
         (F.col("batch_pageviews") + F.coalesce("realtime_pageviews", z))
@@ -165,8 +186,8 @@ def get_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
     event count in ``every_event`` mode)."""
     spark = view.sparkSession
     a, b = query_hour(start, legacy_12h), query_hour(end, legacy_12h)
-    u = url_list(urls, spark, normalize)
-    lits = literal_urls(urls, u)
+    lits = literal_urls(urls, spark, normalize)
+    u = _literal_frame(spark, lits) if lits is not None else url_list(urls, spark, normalize)
     small = lits is not None or bounded_rows(u, DEFAULT_BROADCAST_ROWS)
     batch = batch_range(view, u, a, b, small, lits)
     bounds = realtime_bounds(batch, a, b, legacy_lower_bound)
@@ -174,6 +195,8 @@ def get_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
     ub = F.broadcast(u) if small else u
     view = _restrict(view, lits)
     rt = _restrict(rt, lits)
+    if not legacy_lower_bound:
+        rt = rt.where(F.col("hour_bucket") >= F.lit(a))
     brows = (view.where((F.col("granularity") == "h")
                         & F.col("bucket").between(F.lit(a), F.lit(b)))
              .join(ub, "url", "left_semi")
