@@ -646,3 +646,29 @@ def q_fact_validation(spark, sf_dir):
             .select("dataunit_id", "facts",
                     F.coalesce("invalid", z).alias("invalid"),
                     F.coalesce("bad_partitions", z).alias("bad_partitions")))
+
+
+@register("realtime_compacted", f"""
+    SELECT url, CAST(h AS BIGINT) AS hour_bucket, count(DISTINCT secs) AS pageviews
+    FROM ({NORM_RT}) WHERE h >= {BATCH_SPLIT_HOUR} GROUP BY 1, 2
+""")
+def q_realtime_compacted(spark, sf_dir):
+    """Speed layer over the coarse pageview stream, then the realtime table is
+    folded into a snapshot expiring the hours the batch view covers (all hours
+    before the split); distinct seconds per (url, hour) read through it."""
+    from hourglass.operators import realtime
+    from hourglass.session import work_dir
+    from hourglass.sources import messages as M
+    from hourglass.streaming import speed
+    root = work_dir(spark, "realtime_compacted")
+    lines = td.message_lines(spark, sf_dir, kinds=("pageview", "broken"), coarse=True)
+    lines.repartitionByRange(4, "id").sortWithinPartitions("id").select("value") \
+        .write.mode("overwrite").text(f"{root}/queue")
+    qs = speed.start_speed(M.text_source(spark, f"{root}/queue", max_files_per_trigger=1),
+                           f"{root}/rt", f"{root}/ck", trigger={"availableNow": True},
+                           watermark=None, tables=("pageviews",))
+    speed.await_all(qs)
+    speed.compact_realtime(spark, f"{root}/rt", "pageviews", f"{root}/snap",
+                           expire_before_hour=BATCH_SPLIT_HOUR)
+    pv = speed.read_realtime(spark, f"{root}/rt", "pageviews", snapshot_path=f"{root}/snap")
+    return realtime.distinct_second_counts(pv)

@@ -9,7 +9,9 @@ from hourglass import schemas as S
 from hourglass.operators import serving, storage, views
 from hourglass.sources import facts as FS
 from hourglass.streaming.ingest import start_ingest  # noqa: F401  (J3)
-from hourglass.streaming.speed import read_realtime, start_speed  # noqa: F401  (J2)
+from hourglass.streaming.speed import (  # noqa: F401  (J2)
+    compact_realtime, read_realtime, start_speed,
+)
 
 
 def run_batch(spark: SparkSession, new_data_path: str, master_path: str, view_path: str,
@@ -42,21 +44,33 @@ def run_incremental(spark: SparkSession, new_data_path: str, master_path: str,
 
 
 def count_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
-                    urls, start, end, **kw) -> DataFrame:
+                    urls, start, end, snapshot_path: str | None = None, **kw) -> DataFrame:
     """J4 countpageviews over stored views."""
     view = storage.read_view(spark, view_path)
-    rt = read_realtime(spark, realtime_root, "pageviews")
+    rt = read_realtime(spark, realtime_root, "pageviews", snapshot_path)
     return serving.count_pageviews(view, rt, urls, start, end, **kw)
 
 
 def get_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
-                  urls, start, end, **kw) -> DataFrame:
+                  urls, start, end, snapshot_path: str | None = None, **kw) -> DataFrame:
     """J4 getpageviews over stored views."""
     view = storage.read_view(spark, view_path)
-    rt = read_realtime(spark, realtime_root, "pageviews")
+    rt = read_realtime(spark, realtime_root, "pageviews", snapshot_path)
     return serving.get_pageviews(view, rt, urls, start, end, **kw)
 
 
+def expire_realtime(spark: SparkSession, view_path: str, realtime_root: str,
+                    snapshot_path: str, previous_snapshot: str | None = None) -> int:
+    """After a batch run: fold the realtime pageview table into a snapshot and
+    drop the hours the stored view now covers (its last hour bucket + 1)."""
+    from pyspark.sql import functions as F
+    last = (storage.read_view(spark, view_path).where(F.col("granularity") == "h")
+            .agg(F.max("bucket")).first()[0])
+    expire = None if last is None else int(last) + 1
+    return compact_realtime(spark, realtime_root, "pageviews", snapshot_path,
+                            previous_snapshot, expire)
+
+
 def inspect_view(spark: SparkSession, view_path: str, key_value: bool = False) -> DataFrame:
     """The stored batch view, typed or in key/value form."""
     v = storage.read_view(spark, view_path)

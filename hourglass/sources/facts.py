@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass import schemas as S
+from hourglass.functions import dataunit_id
 
 
 def read_facts(spark: SparkSession, path: str) -> DataFrame:
@@ -76,9 +77,11 @@ def invalid_facts(facts: DataFrame) -> DataFrame:
     n_person_vals = (prop["full_name"].isNotNull().cast("int")
                      + prop["gender"].isNotNull().cast("int")
                      + prop["location"].isNotNull().cast("int"))
+    branch = dataunit_id(pr, pp, eq, pv)
     problem = (
         F.when(F.col("true_as_of_secs").isNull(), "missing_pedigree")
         .when(set_branches != 1, "union_not_exactly_one")
+        .when(branch != F.col("dataunit_id"), "branch_mismatch")
         .when((F.col("dataunit_id") == S.PAGE_VIEW)
               & ~(pv.isNotNull() & pid_ok(pv["person"]) & pv["page"]["url"].isNotNull()
                   & pv["nonce"].isNotNull()), "bad_page_view")

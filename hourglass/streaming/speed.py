@@ -10,7 +10,8 @@ Each table is a streaming aggregation keyed like the realtime store:
 Update-mode output of every micro-batch is written by ``foreachBatch`` to
 ``<root>/<table>/batch_id=<n>`` with overwrite, so a retried batch replaces
 its own output (idempotent). ``read_realtime`` takes the newest version of
-each key across batches.
+each key across batches; ``compact_realtime`` folds them into a snapshot and
+expires pageview hours the batch layer has absorbed.
 """
 
 from __future__ import annotations
@@ -75,17 +76,67 @@ def start_speed(lines: DataFrame, out_root: str, checkpoint_root: str,
     return out
 
 
-def read_realtime(spark: SparkSession, out_root: str, table: str) -> DataFrame:
-    """Current content of a realtime table: newest batch's version per key."""
+def _latest(df: DataFrame, table: str) -> DataFrame:
     keys, vals = RT_KEYS[table], RT_VALUES[table] + EXTRA_VALUES.get(table, [])
-    path = f"{out_root}/{table}"
-    if not path_exists(spark, path):
-        return _empty(spark, table)
-    df = spark.read.parquet(path)
     latest = F.max_by(F.struct(*[F.col(v) for v in vals]), F.col("batch_id")).alias("_v")
     return df.groupBy(*keys).agg(latest).select(*keys, *[F.col("_v")[v].alias(v) for v in vals])
 
 
+def read_realtime(spark: SparkSession, out_root: str, table: str,
+                  snapshot_path: str | None = None) -> DataFrame:
+    """Current content of a realtime table: newest version per key.
+
+    With ``snapshot_path`` (written by ``compact_realtime``) only the batch
+    folders newer than the snapshot are read next to it (partition pruning on
+    ``batch_id``), so reads stay proportional to the recent stream.
+    """
+    path = f"{out_root}/{table}"
+    parts = []
+    upto = None
+    if snapshot_path and path_exists(spark, snapshot_path):
+        base = spark.read.parquet(snapshot_path)
+        upto = base.agg(F.max("batch_id")).first()[0]
+        parts.append(base)
+    if path_exists(spark, path):
+        b = spark.read.parquet(path)
+        parts.append(b if upto is None else b.where(F.col("batch_id") > F.lit(upto)))
+    if not parts:
+        return _empty(spark, table)
+    df = parts[0]
+    for p in parts[1:]:
+        df = df.unionByName(p)
+    return _latest(df, table)
+
+
+def compact_realtime(spark: SparkSession, out_root: str, table: str, snapshot_path: str,
+                     previous_snapshot: str | None = None,
+                     expire_before_hour: int | None = None) -> int:
+    """Fold the realtime table (previous snapshot + batch folders) into one
+    latest-per-key snapshot at ``snapshot_path``; returns the last batch id
+    folded in.
+
+    ``expire_before_hour`` drops pageview entries of hours the batch view has
+    absorbed (serving reads realtime rows only after the last batch hour), so
+    realtime data does not grow without bound. The streaming query keeps
+    running; batches committed later are read on top of the snapshot.
+    """
+    b = spark.read.parquet(f"{out_root}/{table}")
+    upto = b.agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        return -1
+    if previous_snapshot is None:
+        cur = _latest(b.where(F.col("batch_id") <= F.lit(upto)), table)
+    else:
+        base = spark.read.parquet(previous_snapshot)
+        done = base.agg(F.max("batch_id")).first()[0]
+        newer = b.where((F.col("batch_id") > F.lit(done)) & (F.col("batch_id") <= F.lit(upto)))
+        cur = _latest(base.unionByName(newer), table)
+    if table == "pageviews" and expire_before_hour is not None:
+        cur = cur.where(F.col("hour_bucket") >= F.lit(expire_before_hour))
+    cur.withColumn("batch_id", F.lit(upto).cast("int")).write.mode("overwrite").parquet(snapshot_path)
+    return int(upto)
+
+
 def _empty(spark: SparkSession, table: str) -> DataFrame:
     types = {"hour_bucket": "bigint", "secs": "bigint", "events": "bigint"}
     cols = RT_KEYS[table] + RT_VALUES[table] + EXTRA_VALUES.get(table, [])

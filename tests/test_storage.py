@@ -31,6 +31,8 @@ def test_partition_validity(spark):
     no_nonce = facts.withColumn("page_view", F.col("page_view").withField("nonce", F.lit(None)))
     probs = {r.problem for r in FS.invalid_facts(no_nonce).collect()}
     assert probs == {"bad_page_view"}
+    moved = facts.where("dataunit_id = 3").withColumn("dataunit_id", F.lit(4))
+    assert {r.problem for r in FS.invalid_facts(moved).collect()} == {"branch_mismatch"}
 
 
 def test_ingest_absorb_exactly_once_and_compaction(spark, workdir):

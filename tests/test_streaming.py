@@ -104,3 +104,28 @@ def test_ingest_stream_equals_batch_decode(spark, workdir):
     wq = decode.to_quarantine(decode.parse_messages(lines)).groupBy("reason").count()
     assert sorted(gq.collect()) == sorted(wq.collect())
     assert F is not None
+
+
+def test_realtime_compaction_and_expiry(spark, workdir):
+    lines = td.message_lines(spark, SF_SMALL, kinds=("pageview",), coarse=True)
+    files = deliver(spark, lines, f"{workdir}/x", "id")
+    queue = f"{workdir}/queue"
+    rt_root, snaps = f"{workdir}/rt", []
+    for i, part in enumerate((files[:2], files[2:])):
+        for f in part:
+            spark.read.text(f).write.mode("append").text(queue)
+        qs = speed.start_speed(M.text_source(spark, queue, max_files_per_trigger=1), rt_root,
+                               f"{workdir}/ck", trigger={"availableNow": True}, watermark=None,
+                               tables=("pageviews",))
+        speed.await_all(qs)
+        if i == 0:   # compact after the first delivery; the second lands on top of it
+            snaps.append(f"{workdir}/snap0")
+            speed.compact_realtime(spark, rt_root, "pageviews", snaps[0])
+    full = speed.read_realtime(spark, rt_root, "pageviews")
+    via_snapshot = speed.read_realtime(spark, rt_root, "pageviews", snapshot_path=snaps[0])
+    assert sorted(full.collect()) == sorted(via_snapshot.collect())
+    cut = 473688
+    speed.compact_realtime(spark, rt_root, "pageviews", f"{workdir}/snap1",
+                           previous_snapshot=snaps[0], expire_before_hour=cut)
+    expired = speed.read_realtime(spark, rt_root, "pageviews", snapshot_path=f"{workdir}/snap1")
+    assert sorted(expired.collect()) == sorted(full.where(F.col("hour_bucket") >= cut).collect())
