@@ -2,7 +2,7 @@
 
 from hourglass.functions.buckets import (  # noqa: F401
     day_bucket, epoch_secs, granularity_buckets, hour_bucket, idiv,
-    month_bucket, parse_query_hour, week_bucket,
+    month_bucket, parse_query_hour, view_period, week_bucket,
 )
 from hourglass.functions.ids import (  # noqa: F401
     dataunit_id, gender, is_person_id, parse_int, parse_long, person_id, person_id_string,

@@ -54,6 +54,24 @@ def granularity_buckets(hour: Column | str) -> Column:
     )
 
 
+HOURS_PER_PERIOD = HOURS_PER_DAY * DAYS_PER_MONTH   # 672
+WEEKS_PER_PERIOD = DAYS_PER_MONTH // DAYS_PER_WEEK   # 4
+
+
+def view_period(gran: Column | str, bucket: Column | str) -> Column:
+    """Storage period (28-day epoch month) a view row's bucket falls in.
+
+    Used only as a partition column of the stored view: a refresh rewrites
+    the periods its new facts touch, and a serving range prunes to the
+    periods it spans.
+    """
+    g, b = _col(gran), _col(bucket)
+    return (F.when(g == "h", idiv(b, HOURS_PER_PERIOD))
+            .when(g == "d", idiv(b, DAYS_PER_MONTH))
+            .when(g == "w", idiv(b, WEEKS_PER_PERIOD))
+            .otherwise(b))
+
+
 def epoch_secs(ts: Column | str) -> Column:
     """Whole epoch seconds of a timestamp (floor)."""
     return F.unix_timestamp(_col(ts))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.functions import normalize_url
-from hourglass.functions.buckets import HOUR_SECS
+from hourglass.functions.buckets import DAYS_PER_MONTH, HOUR_SECS, HOURS_PER_DAY
 from hourglass.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_rows
 
 MODES = ("distinct_seconds", "every_event")
@@ -79,6 +79,20 @@ def _restrict(df: DataFrame, lits: list[str] | None) -> DataFrame:
     return df if lits is None else df.where(F.col("url").isin(lits))
 
 
+def _hour_rows(view: DataFrame, start_hour: int, end_hour: int) -> DataFrame:
+    """Hour rows of the view in [start, end]; a stored view's ``period``
+    partition column (when read with it) prunes to the periods spanned."""
+    h = view.where((F.col("granularity") == "h")
+                   & F.col("bucket").between(F.lit(start_hour), F.lit(end_hour)))
+    if "period" in view.columns:
+        per = HOURS_PER_DAY * DAYS_PER_MONTH
+        # period = hour div 672, truncating like the stored partition value
+        def tdiv(x: int) -> int:
+            return x // per if x >= 0 else -((-x) // per)
+        h = h.where(F.col("period").between(F.lit(tdiv(start_hour)), F.lit(tdiv(end_hour))))
+    return h
+
+
 def batch_range(view: DataFrame, urls: DataFrame, start_hour: int, end_hour: int,
                 small: bool | None = None, literals: list[str] | None = None) -> DataFrame:
     """(url, batch_pageviews, hour_done) for every URL of ``urls``.
@@ -90,9 +104,7 @@ def batch_range(view: DataFrame, urls: DataFrame, start_hour: int, end_hour: int
     """
     if small is None:
         small = bounded_rows(urls, DEFAULT_BROADCAST_ROWS)
-    h = _restrict(view, literals).where(
-        (F.col("granularity") == "h")
-        & F.col("bucket").between(F.lit(start_hour), F.lit(end_hour)))
+    h = _hour_rows(_restrict(view, literals), start_hour, end_hour)
     side = F.broadcast(urls) if small else urls
     agg = (h.join(side, "url", "left_semi")
            .groupBy("url")
@@ -197,8 +209,7 @@ def get_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
     rt = _restrict(rt, lits)
     if not legacy_lower_bound:
         rt = rt.where(F.col("hour_bucket") >= F.lit(a))
-    brows = (view.where((F.col("granularity") == "h")
-                        & F.col("bucket").between(F.lit(a), F.lit(b)))
+    brows = (_hour_rows(view, a, b)
              .join(ub, "url", "left_semi")
              .select(F.lit("batch").alias("source"), "url",
                      F.col("bucket").alias("hour_bucket"),

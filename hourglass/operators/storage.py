@@ -20,9 +20,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from hourglass import schemas as S
-from hourglass.functions import bucketed_key, serialize_long
+from hourglass.functions import bucketed_key, serialize_long, view_period
 from hourglass.operators import views
 from hourglass.sources import facts as FS
 
@@ -46,12 +47,16 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
 
 
 def absorb(spark: SparkSession, new_data_path: str, master_path: str,
-           checkpoint: str, max_files_per_trigger: int | None = None) -> int:
+           checkpoint: str, max_files_per_trigger: int | None = None,
+           run_id: str | None = None) -> int:
     """Append every not-yet-absorbed fact of ``new_data_path`` to the master
     dataset (R1-R4); returns the number of micro-batches run.
 
     Safe to re-run and to kill at any point: a restart resumes from the
-    checkpoint and the file sink never commits a batch twice.
+    checkpoint and the file sink never commits a batch twice. With
+    ``run_id`` the rows also carry that id as the outermost partition
+    column, so the facts one run added can be read back by partition (the
+    delta stream of incremental refreshes).
     """
     src = spark.readStream.schema(NEW_DATA_READ)
     if max_files_per_trigger:
@@ -59,10 +64,14 @@ def absorb(spark: SparkSession, new_data_path: str, master_path: str,
     facts = (src.parquet(new_data_path)
              .where(F.col("dataunit_id") != S.QUARANTINE_DATAUNIT_ID)
              .select(*S.FACT_COLUMNS))
+    parts = list(S.PARTITION_COLUMNS)
+    if run_id is not None:
+        facts = facts.withColumn("run_id", F.lit(run_id))
+        parts = ["run_id"] + parts
     q = (facts.writeStream.format("parquet")
          .option("path", master_path)
          .option("checkpointLocation", checkpoint)
-         .partitionBy(*S.PARTITION_COLUMNS)
+         .partitionBy(*parts)
          .outputMode("append")
          .trigger(availableNow=True)
          .start())
@@ -72,6 +81,15 @@ def absorb(spark: SparkSession, new_data_path: str, master_path: str,
     return len(q.recentProgress)
 
 
+def read_run(spark: SparkSession, path: str, run_id: str, *dataunit_ids: int) -> DataFrame:
+    """Facts one tagged ``absorb`` run wrote (partition-pruned to the run)."""
+    schema = StructType([StructField("run_id", StringType())] + S.FACTS.fields)
+    df = spark.read.schema(schema).parquet(path).where(F.col("run_id") == run_id)
+    if dataunit_ids:
+        df = df.where(F.col("dataunit_id").isin(*dataunit_ids))
+    return df.select(*S.FACT_COLUMNS)
+
+
 def compact(spark: SparkSession, src_path: str, dst_path: str) -> None:
     """Rewrite a fact dataset into ``dst_path`` with few, large files.
 
@@ -91,26 +109,45 @@ def normalize_master(spark: SparkSession, src_path: str, dst_path: str) -> None:
 
 # --- view sinks ----------------------------------------------------------------------
 
-def write_view(view: DataFrame, path: str, files_per_granularity: int | None = None,
-               mode: str = "overwrite") -> None:
-    """Batch view as Parquet partitioned by granularity, sorted by (url, bucket).
+VIEW_LAYOUT = ["granularity", "period"]
+STORED_VIEW = StructType(S.BATCH_VIEW.fields + [StructField("period", LongType())])
+
+
+def with_period(view: DataFrame) -> DataFrame:
+    return view.withColumn("period", view_period("granularity", "bucket"))
+
 
-    Range partitioning by (granularity, url) puts disjoint URL ranges in each
-    file, so a URL lookup reads one file's matching row groups. Without
-    ``files_per_granularity`` the number of ranges is left to AQE, which
-    sizes them by ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+def write_view(view: DataFrame, path: str, files_per_granularity: int | None = None,
+               mode: str = "overwrite", dynamic: bool = False) -> None:
+    """Batch view as Parquet partitioned by (granularity, period), sorted by
+    (url, bucket) inside.
+
+    ``period`` is the 28-day epoch month of the bucket: serving ranges prune
+    to the periods they span, refreshes rewrite only the periods they touch.
+    Range partitioning by (granularity, period, url) gives each task one
+    contiguous slice, so files hold disjoint URL ranges (row-group pruning for
+    URL lookups) and a task writes few files. Without ``files_per_granularity``
+    AQE sizes the ranges. ``dynamic=True`` replaces only the partitions
+    present in ``view``.
     """
+    v = with_period(view.select(*S.BATCH_VIEW.fieldNames()))
     if files_per_granularity:
-        ranged = view.repartitionByRange(files_per_granularity * len(S.GRANULARITIES),
-                                         "granularity", "url")
+        ranged = v.repartitionByRange(files_per_granularity * len(S.GRANULARITIES),
+                                      *VIEW_LAYOUT, "url")
     else:
-        ranged = view.repartitionByRange("granularity", "url")
-    (ranged.sortWithinPartitions("granularity", "url", "bucket")
-     .write.mode(mode).partitionBy("granularity").parquet(path))
+        ranged = v.repartitionByRange(*VIEW_LAYOUT, "url")
+    w = ranged.sortWithinPartitions(*VIEW_LAYOUT, "url", "bucket").write.mode(mode)
+    if dynamic:
+        w = w.option("partitionOverwriteMode", "dynamic")
+    w.partitionBy(*VIEW_LAYOUT).parquet(path)
 
 
-def read_view(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(S.BATCH_VIEW).parquet(path).select(*S.BATCH_VIEW.fieldNames())
+def read_view(spark: SparkSession, path: str, keep_period: bool = False) -> DataFrame:
+    """The stored view; ``keep_period=True`` keeps the partition column so
+    serving can prune periods (``serving.batch_range`` uses it when present)."""
+    df = spark.read.schema(STORED_VIEW).parquet(path)
+    cols = S.BATCH_VIEW.fieldNames() + (["period"] if keep_period else [])
+    return df.select(*cols)
 
 
 def write_view_sharded(view: DataFrame, table: str, path: str, shards: int = 4) -> None:
@@ -140,7 +177,36 @@ def read_view_kv(spark: SparkSession, path: str) -> DataFrame:
 
 def refresh_view(spark: SparkSession, view_path: str, new_facts: DataFrame,
                  out_path: str) -> None:
-    """Incremental refresh: old view + view of the new facts, written as a
-    new generation (counts are additive over disjoint fact sets)."""
+    """Incremental refresh as a new generation: old view + view of the new
+    facts (counts are additive over disjoint fact sets)."""
     merged = views.merge_views(read_view(spark, view_path), views.batch_view(new_facts))
     write_view(merged, out_path)
+
+
+def refresh_view_in_place(spark: SparkSession, view_path: str, new_facts: DataFrame,
+                          staging_path: str) -> list[tuple[str, int]]:
+    """Incremental refresh rewriting only the (granularity, period) partitions
+    the new facts touch; returns those partitions.
+
+    The delta view is aggregated first; its partition list (4 granularities
+    x the periods the new facts span: a handful of rows) is the only thing
+    collected. Old rows of just those partitions are read (partition
+    pruning), merged with the delta and staged under ``staging_path`` (a fresh
+    folder in the shared checkpoint area; the written copy also cuts the
+    lineage to the files about to be replaced), then swapped in with dynamic
+    partition overwrite. Untouched partitions are neither read nor written.
+    """
+    delta = with_period(views.batch_view(new_facts))
+    touched = [(r.granularity, int(r.period))
+               for r in delta.select(*VIEW_LAYOUT).distinct().collect()]
+    if not touched:
+        return []
+    cond = None
+    for g, p in touched:
+        c = (F.col("granularity") == g) & (F.col("period") == p)
+        cond = c if cond is None else (cond | c)
+    old = read_view(spark, view_path, keep_period=True).where(cond)
+    merged = views.merge_views(old, delta)
+    write_view(merged, staging_path)
+    write_view(read_view(spark, staging_path), view_path, dynamic=True)
+    return touched

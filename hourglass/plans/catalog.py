@@ -672,3 +672,18 @@ def q_realtime_compacted(spark, sf_dir):
                            expire_before_hour=BATCH_SPLIT_HOUR)
     pv = speed.read_realtime(spark, f"{root}/rt", "pageviews", snapshot_path=f"{root}/snap")
     return realtime.distinct_second_counts(pv)
+
+
+@register("incremental_view_in_place", VIEW_SQL)
+def q_incremental_view_in_place(spark, sf_dir):
+    """View of the facts before the split hour, then refreshed in place with
+    the facts after it: only the (granularity, period) partitions those
+    facts touch are rewritten; the result equals the full view."""
+    from hourglass.operators import storage
+    from hourglass.session import work_dir
+    root = work_dir(spark, "incremental_in_place")
+    f = pageview_facts(spark, sf_dir)
+    cut = F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600
+    storage.write_view(views.batch_view(f.where(cut)), f"{root}/view")
+    storage.refresh_view_in_place(spark, f"{root}/view", f.where(~cut), f"{root}/stage")
+    return storage.read_view(spark, f"{root}/view")

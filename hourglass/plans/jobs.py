@@ -15,38 +15,48 @@ from hourglass.streaming.speed import (  # noqa: F401  (J2)
 
 
 def run_batch(spark: SparkSession, new_data_path: str, master_path: str, view_path: str,
-              checkpoint: str, files_per_granularity: int | None = None) -> DataFrame:
+              checkpoint: str, files_per_granularity: int | None = None,
+              run_id: str = "full") -> DataFrame:
     """Absorb new data into the master dataset, then rebuild the batch
-    view from the master's page-view partition. Returns the written view."""
-    storage.absorb(spark, new_data_path, master_path, checkpoint)
+    view from the master's page-view partition. Returns the written view.
+
+    ``checkpoint`` is the job's checkpoint root, shared with
+    ``run_incremental``: the delta stream is advanced here too, so a later
+    incremental run sees only files absorbed after this rebuild.
+    """
+    storage.absorb(spark, new_data_path, master_path, f"{checkpoint}/absorb")
+    storage.absorb(spark, new_data_path, f"{checkpoint}/delta", f"{checkpoint}/delta-ck",
+                   run_id=run_id)
     facts = FS.read_kinds(spark, master_path, S.PAGE_VIEW)
     storage.write_view(views.batch_view(facts), view_path, files_per_granularity)
     return storage.read_view(spark, view_path)
 
 
 def run_incremental(spark: SparkSession, new_data_path: str, master_path: str,
-                    old_view_path: str, new_view_path: str, checkpoint: str,
-                    run_id: str) -> DataFrame:
+                    view_path: str, checkpoint: str, run_id: str) -> list[tuple[str, int]]:
     """J1, incremental: absorb, then add the view of only the newly absorbed
-    facts to the previous view (written as a new generation).
+    facts to the stored view, rewriting just the (granularity, period)
+    partitions they touch. Returns the rewritten partitions.
 
     The new facts are copied by a second ``availableNow`` stream (its own
     checkpoint, so each new-data file enters exactly one delta) into
-    ``<checkpoint>/delta/<run_id>``. Re-running a killed refresh with the same
-    ``run_id`` resumes both streams and completes the same delta.
+    ``<checkpoint>/delta``, tagged with ``run_id`` as a partition. Re-running
+    a killed refresh with the same ``run_id`` resumes both streams and
+    completes the same delta; the merge is staged under
+    ``<checkpoint>/stage/<run_id>`` before the partition swap.
     """
-    delta_path = f"{checkpoint}/delta/{run_id}"
     storage.absorb(spark, new_data_path, master_path, f"{checkpoint}/absorb")
-    storage.absorb(spark, new_data_path, delta_path, f"{checkpoint}/delta")
-    delta = FS.read_kinds(spark, delta_path, S.PAGE_VIEW)
-    storage.refresh_view(spark, old_view_path, delta, new_view_path)
-    return storage.read_view(spark, new_view_path)
+    storage.absorb(spark, new_data_path, f"{checkpoint}/delta", f"{checkpoint}/delta-ck",
+                   run_id=run_id)
+    delta = storage.read_run(spark, f"{checkpoint}/delta", run_id, S.PAGE_VIEW)
+    return storage.refresh_view_in_place(spark, view_path, delta,
+                                         f"{checkpoint}/stage/{run_id}")
 
 
 def count_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
                     urls, start, end, snapshot_path: str | None = None, **kw) -> DataFrame:
     """J4 countpageviews over stored views."""
-    view = storage.read_view(spark, view_path)
+    view = storage.read_view(spark, view_path, keep_period=True)
     rt = read_realtime(spark, realtime_root, "pageviews", snapshot_path)
     return serving.count_pageviews(view, rt, urls, start, end, **kw)
 
@@ -54,7 +64,7 @@ def count_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
 def get_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
                   urls, start, end, snapshot_path: str | None = None, **kw) -> DataFrame:
     """J4 getpageviews over stored views."""
-    view = storage.read_view(spark, view_path)
+    view = storage.read_view(spark, view_path, keep_period=True)
     rt = read_realtime(spark, realtime_root, "pageviews", snapshot_path)
     return serving.get_pageviews(view, rt, urls, start, end, **kw)
 
