@@ -1,17 +1,27 @@
-"""Speed layer (T1-T4, S19, J2): queue lines -> four realtime tables.
-
-Each table is a streaming aggregation keyed like the realtime store:
-* pageviews (url, hour_bucket, secs): last writer's person + event count,
-  with a watermark on event time so state for old hours is dropped (those
-  facts reach the batch view through the batch layer);
-* pages (url), persons (personid), equivs (personid1, personid2): the latest
-  version per key; state is one entry per entity (RocksDB state store).
-
-Update-mode output of every micro-batch is written by ``foreachBatch`` to
-``<root>/<table>/batch_id=<n>`` with overwrite, so a retried batch replaces
-its own output (idempotent). ``read_realtime`` takes the newest version of
-each key across batches; ``compact_realtime`` folds them into a snapshot and
-expires pageview hours the batch layer has absorbed.
+"""Speed layer (T1-T4, S19, J2): queue lines -> four realtime tables in ONE
+streaming query.
+
+Every decoded message becomes one keyed row (no union, no per-table re-scan
+of the source): ``tbl`` names its table, ``k1, k2, n1, n2`` hold the table's
+key and ``v`` its values. One stateful aggregation keeps, per key, the
+version with the greatest (event seconds, message text) and the number of
+writes:
+
+* pageviews  key (url, hour_bucket, secs), value personid; a watermark on the
+  event time bounds this state (old hours belong to the batch layer);
+* pages      key (url), values pedigree, pageview;
+* persons    key (personid), values pedigree, gendertype, fullname, city,
+             state, country;
+* equivs     key (personid1, personid2), value pedigree.
+
+Entity tables have no event time in their key (NULL), so the watermark never
+evicts them: their state is one entry per entity (RocksDB state store).
+
+The update-mode output of micro-batch ``n`` is written by ``foreachBatch`` to
+``<root>/batch_id=<n>/tbl=<table>`` with overwrite, so a retried batch
+replaces its own output (idempotent). ``read_realtime`` returns one table,
+typed, newest version per key; ``compact_realtime`` folds batches into a
+snapshot and expires pageview hours the batch layer has absorbed.
 """
 
 from __future__ import annotations
@@ -20,42 +30,76 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from hourglass.functions import hour_bucket, normalize_url
 from hourglass.operators import decode
 from hourglass.operators.realtime import RT_KEYS, RT_VALUES
 from hourglass.session import path_exists
 
 TABLES = ("pageviews", "pages", "persons", "equivs")
+TABLE_OF_TYPE = {"pageview": "pageviews", "page": "pages", "person": "persons",
+                 "equiv": "equivs"}
 EXTRA_VALUES = {"pageviews": ["events"]}
-
-
-def _aggregate(rows: DataFrame, table: str, watermark: str | None) -> DataFrame:
-    keys, vals = list(RT_KEYS[table]), RT_VALUES[table]
-    df = rows
-    if table == "pageviews" and watermark:
-        df = df.withColumn("event_time", F.timestamp_seconds("secs")) \
-               .withWatermark("event_time", watermark)
-        keys = keys + ["event_time"]
-    order = F.struct(F.col("secs"), F.col("ord_raw"))
-    aggs = [F.max_by(F.struct(*[F.col(v) for v in vals]), order).alias("_v")]
-    if table == "pageviews":
-        aggs.append(F.count(F.lit(1)).alias("events"))
-    out = df.groupBy(*keys).agg(*aggs)
-    cols = [F.col(k) for k in RT_KEYS[table]] + [F.col("_v")[v].alias(v) for v in vals]
-    cols += [F.col(c) for c in EXTRA_VALUES.get(table, [])]
-    return out.select(*cols)
-
-
-def speed_frames(lines: DataFrame, coordinate_cols: tuple[str, ...] = (),
-                 watermark: str | None = "2 hours") -> dict[str, DataFrame]:
-    """The four streaming aggregates (not started)."""
+VALUE_FIELDS = ["personid", "pedigree", "pageview", "gendertype", "fullname", "city",
+                "state", "country"]
+# typed column -> generic column, per table
+TYPED = {
+    "pageviews": {"url": "k1", "hour_bucket": "n1", "secs": "n2", "personid": "v.personid",
+                  "events": "events"},
+    "pages": {"url": "k1", "pedigree": "v.pedigree", "pageview": "v.pageview"},
+    "persons": {"personid": "k1", **{c: f"v.{c}" for c in
+                                     ["pedigree", "gendertype", "fullname", "city", "state",
+                                      "country"]}},
+    "equivs": {"personid1": "k1", "personid2": "k2", "pedigree": "v.pedigree"},
+}
+
+
+def keyed_rows(parsed: DataFrame) -> DataFrame:
+    """One generic keyed row per valid message (a single projection)."""
+    t = F.col("messagetype")
+    s = lambda c: F.col(c).cast("string")
+    tbl = (F.when(t == "pageview", "pageviews").when(t == "page", "pages")
+           .when(t == "person", "persons").when(t == "equiv", "equivs"))
+    k1 = (F.when(t == "pageview", normalize_url(F.col("pageid")))
+          .when(t == "page", normalize_url(F.col("url")))
+          .when(t == "person", s("personid"))
+          .when(t == "equiv", s("personid1")))
+    k2 = F.when(t == "equiv", s("personid2"))
+    n1 = F.when(t == "pageview", hour_bucket(F.col("secs")))
+    n2 = F.when(t == "pageview", F.col("secs"))
+    v = F.struct(
+        F.when(t == "pageview", s("personid")).alias("personid"),
+        F.when(t != "pageview", s("pedigree")).alias("pedigree"),
+        *[F.col(c).alias(c) for c in VALUE_FIELDS[2:]],
+    )
+    ok = parsed.where(F.col("reason").isNull())
+    return ok.select(tbl.alias("tbl"), k1.alias("k1"), k2.alias("k2"),
+                     n1.cast("bigint").alias("n1"), n2.cast("bigint").alias("n2"),
+                     v.alias("v"), F.col("secs"), F.col("raw").alias("ord_raw"))
+
+
+def speed_frame(lines: DataFrame, coordinate_cols: tuple[str, ...] = (),
+                watermark: str | None = "2 hours",
+                tables: tuple[str, ...] = TABLES) -> DataFrame:
+    """The streaming aggregate behind all four tables (not started)."""
     parsed = decode.parse_messages(lines, coordinate_cols=coordinate_cols, strict_urls=True)
-    rows = decode.realtime_rows(parsed)
-    return {t: _aggregate(rows[t], t, watermark) for t in TABLES}
+    rows = keyed_rows(parsed)
+    if tuple(tables) != TABLES:
+        rows = rows.where(F.col("tbl").isin(*tables))
+    keys = ["tbl", "k1", "k2", "n1", "n2"]
+    if watermark:
+        rows = rows.withColumn(
+            "event_time", F.when(F.col("tbl") == "pageviews", F.timestamp_seconds("n2"))
+        ).withWatermark("event_time", watermark)
+        keys.append("event_time")
+    order = F.struct(F.col("secs"), F.col("ord_raw"))
+    out = rows.groupBy(*keys).agg(F.max_by(F.col("v"), order).alias("v"),
+                                  F.count(F.lit(1)).alias("events"))
+    return out.select("tbl", "k1", "k2", "n1", "n2", "v", "events")
 
 
-def _batch_writer(path: str):
+def _batch_writer(root: str):
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        df.write.mode("overwrite").partitionBy("tbl").parquet(f"{root}/batch_id={batch_id}")
     return write
 
 
@@ -63,17 +107,19 @@ def start_speed(lines: DataFrame, out_root: str, checkpoint_root: str,
                 coordinate_cols: tuple[str, ...] = (), watermark: str | None = "2 hours",
                 trigger: dict | None = None,
                 tables: tuple[str, ...] = TABLES) -> dict[str, StreamingQuery]:
-    """Start one update-mode query per realtime table; returns them by name."""
-    frames = speed_frames(lines, coordinate_cols, watermark)
-    out = {}
-    for t in tables:
-        w = (frames[t].writeStream.outputMode("update")
-             .option("checkpointLocation", f"{checkpoint_root}/{t}")
-             .foreachBatch(_batch_writer(f"{out_root}/{t}")))
-        if trigger:
-            w = w.trigger(**trigger)
-        out[t] = w.start()
-    return out
+    """Start the speed-layer query; returns it as ``{"speed": query}``."""
+    w = (speed_frame(lines, coordinate_cols, watermark, tables).writeStream
+         .outputMode("update")
+         .option("checkpointLocation", f"{checkpoint_root}/speed")
+         .foreachBatch(_batch_writer(out_root)))
+    if trigger:
+        w = w.trigger(**trigger)
+    return {"speed": w.start()}
+
+
+def _typed(generic: DataFrame, table: str) -> DataFrame:
+    cols = [F.col(src).alias(dst) for dst, src in TYPED[table].items()]
+    return generic.select(*cols, F.col("batch_id").cast("int").alias("batch_id"))
 
 
 def _latest(df: DataFrame, table: str) -> DataFrame:
@@ -82,6 +128,15 @@ def _latest(df: DataFrame, table: str) -> DataFrame:
     return df.groupBy(*keys).agg(latest).select(*keys, *[F.col("_v")[v].alias(v) for v in vals])
 
 
+def _batches(spark: SparkSession, out_root: str, table: str) -> DataFrame | None:
+    if not path_exists(spark, out_root):
+        return None
+    g = spark.read.parquet(out_root)
+    if "tbl" not in g.columns:      # only empty micro-batches so far
+        return None
+    return _typed(g.where(F.col("tbl") == table), table)
+
+
 def read_realtime(spark: SparkSession, out_root: str, table: str,
                   snapshot_path: str | None = None) -> DataFrame:
     """Current content of a realtime table: newest version per key.
@@ -90,15 +145,14 @@ def read_realtime(spark: SparkSession, out_root: str, table: str,
     folders newer than the snapshot are read next to it (partition pruning on
     ``batch_id``), so reads stay proportional to the recent stream.
     """
-    path = f"{out_root}/{table}"
     parts = []
     upto = None
     if snapshot_path and path_exists(spark, snapshot_path):
         base = spark.read.parquet(snapshot_path)
         upto = base.agg(F.max("batch_id")).first()[0]
         parts.append(base)
-    if path_exists(spark, path):
-        b = spark.read.parquet(path)
+    b = _batches(spark, out_root, table)
+    if b is not None:
         parts.append(b if upto is None else b.where(F.col("batch_id") > F.lit(upto)))
     if not parts:
         return _empty(spark, table)
@@ -111,7 +165,7 @@ def read_realtime(spark: SparkSession, out_root: str, table: str,
 def compact_realtime(spark: SparkSession, out_root: str, table: str, snapshot_path: str,
                      previous_snapshot: str | None = None,
                      expire_before_hour: int | None = None) -> int:
-    """Fold the realtime table (previous snapshot + batch folders) into one
+    """Fold a realtime table (previous snapshot + batch folders) into one
     latest-per-key snapshot at ``snapshot_path``; returns the last batch id
     folded in.
 
@@ -120,17 +174,17 @@ def compact_realtime(spark: SparkSession, out_root: str, table: str, snapshot_pa
     realtime data does not grow without bound. The streaming query keeps
     running; batches committed later are read on top of the snapshot.
     """
-    b = spark.read.parquet(f"{out_root}/{table}")
-    upto = b.agg(F.max("batch_id")).first()[0]
-    if upto is None:
+    b = _batches(spark, out_root, table)
+    if b is None:
         return -1
-    if previous_snapshot is None:
-        cur = _latest(b.where(F.col("batch_id") <= F.lit(upto)), table)
-    else:
+    upto = spark.read.parquet(out_root).agg(F.max("batch_id")).first()[0]
+    parts = [b.where(F.col("batch_id") <= F.lit(upto))]
+    if previous_snapshot is not None:
         base = spark.read.parquet(previous_snapshot)
         done = base.agg(F.max("batch_id")).first()[0]
-        newer = b.where((F.col("batch_id") > F.lit(done)) & (F.col("batch_id") <= F.lit(upto)))
-        cur = _latest(base.unionByName(newer), table)
+        parts = [base, parts[0].where(F.col("batch_id") > F.lit(done))]
+    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    cur = _latest(df, table)
     if table == "pageviews" and expire_before_hour is not None:
         cur = cur.where(F.col("hour_bucket") >= F.lit(expire_before_hour))
     cur.withColumn("batch_id", F.lit(upto).cast("int")).write.mode("overwrite").parquet(snapshot_path)

@@ -79,7 +79,7 @@ def test_watermark_bounds_pageview_state(spark, workdir):
                            f"{workdir}/ck", trigger={"availableNow": True}, watermark="2 hours",
                            tables=("pageviews",))
     speed.await_all(qs)
-    last = qs["pageviews"].recentProgress[-1]["stateOperators"][0]
+    last = qs["speed"].recentProgress[-1]["stateOperators"][0]
     assert last["numRowsTotal"] == 1 and last["numRowsRemoved"] >= 1
     got = speed.read_realtime(spark, f"{workdir}/rt", "pageviews").collect()
     assert {100_000, 100_000 + 7200 * 3} <= {r.secs for r in got}
@@ -129,3 +129,24 @@ def test_realtime_compaction_and_expiry(spark, workdir):
                            previous_snapshot=snaps[0], expire_before_hour=cut)
     expired = speed.read_realtime(spark, rt_root, "pageviews", snapshot_path=f"{workdir}/snap1")
     assert sorted(expired.collect()) == sorted(full.where(F.col("hour_bucket") >= cut).collect())
+
+
+def test_watermark_never_drops_entity_tables(spark, workdir):
+    """Pageviews push the watermark to late January first; person, page and
+    equiv messages with early-January pedigrees arrive afterwards and must
+    all be kept (their key has no event time)."""
+    queue = f"{workdir}/q"
+    pv = td.message_lines(spark, SF_SMALL, kinds=("pageview",))
+    ent = td.message_lines(spark, SF_SMALL, kinds=("person", "page", "equiv"))
+    for df in (pv, ent):
+        df.select("value").coalesce(1).write.mode("append").text(queue)
+    qs = speed.start_speed(M.text_source(spark, queue, max_files_per_trigger=1),
+                           f"{workdir}/rt", f"{workdir}/ck", trigger={"availableNow": True},
+                           watermark="1 hour")
+    speed.await_all(qs)
+    rows = decode.realtime_rows(decode.parse_messages(ent, strict_urls=True))
+    for t in ("pages", "persons", "equivs"):
+        want = realtime.latest_per_key(rows[t], t)
+        got = speed.read_realtime(spark, f"{workdir}/rt", t)
+        cols = sorted(want.columns)
+        assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect()), t
