@@ -81,8 +81,12 @@ def parse_messages(lines: DataFrame, value_col: str = "value",
         .when(is_env, pc["messages"])
         .otherwise(F.array(single))
     )
+    # Only a line that failed as a whole keeps its text (as its single
+    # quarantine row); a good envelope's text is not copied into each of its
+    # messages, which would make decoding quadratic in envelope size.
     df = df.select(
-        "_line", "line_hash", line_reason.alias("_line_reason"),
+        F.when(line_reason.isNotNull(), F.col("_line")).alias("_line"),
+        "line_hash", line_reason.alias("_line_reason"),
         F.posexplode(items).alias("pos", "_m"),
     )
     m = F.col("_m")

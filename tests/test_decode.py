@@ -118,3 +118,11 @@ def test_new_data_carries_quarantine_in_partition_zero(spark):
     got = {(r.dataunit_id, r.reason) for r in nd.collect()}
     assert got == {(4, None), (0, "not_json")}
     assert F is not None
+
+
+def test_large_envelope_decodes_every_message(spark):
+    msgs = [{**PV, "pedigree": str(1391212800 + i), "personid": str(i)} for i in range(20000)]
+    p = decode.parse_messages(lines(spark, envelope(*msgs)))
+    facts = decode.to_facts(p)
+    assert facts.count() == 20000
+    assert facts.select("page_view.nonce").distinct().count() == 20000
