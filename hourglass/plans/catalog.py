@@ -687,3 +687,24 @@ def q_incremental_view_in_place(spark, sf_dir):
     storage.write_view(views.batch_view(f.where(cut)), f"{root}/view")
     storage.refresh_view_in_place(spark, f"{root}/view", f.where(~cut), f"{root}/stage")
     return storage.read_view(spark, f"{root}/view")
+
+
+TOP_URL_SQL = f"""
+    SELECT url FROM ({NORM_PV}) GROUP BY url ORDER BY count(*) DESC, url LIMIT 1"""
+
+
+@register("count_pageviews_one_url", f"""
+    WITH c AS ({COUNT_SQL})
+    SELECT c.* FROM c WHERE c.url = ({TOP_URL_SQL})
+""")
+def q_count_pageviews_one_url(spark, sf_dir):
+    """countpageviews for one URL (G1), given as a literal the way a user
+    asks: the most viewed page (a top-1 report computed by Spark). The lookup
+    takes the literal path: ``url = ...`` reaches the scans of both views."""
+    from hourglass.operators import serving
+    top = (views.pageview_fields(pageview_facts(spark, sf_dir)).groupBy("url")
+           .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "url").limit(1)
+           .first().url)
+    rt = realtime_pageview_rows(spark, sf_dir)
+    return serving.count_pageviews(split_view(spark, sf_dir), rt, [top],
+                                   RANGE_START, RANGE_END)
