@@ -110,7 +110,8 @@ def normalize_master(spark: SparkSession, src_path: str, dst_path: str) -> None:
 # --- view sinks ----------------------------------------------------------------------
 
 VIEW_LAYOUT = ["granularity", "period"]
-STORED_VIEW = StructType(S.BATCH_VIEW.fields + [StructField("period", LongType())])
+STORED_VIEW = StructType(S.BATCH_VIEW.fields + [StructField("last_hour", LongType()),
+                                                StructField("period", LongType())])
 
 
 def with_period(view: DataFrame) -> DataFrame:
@@ -119,8 +120,8 @@ def with_period(view: DataFrame) -> DataFrame:
 
 def write_view(view: DataFrame, path: str, files_per_granularity: int | None = None,
                mode: str = "overwrite", dynamic: bool = False) -> None:
-    """Batch view as Parquet partitioned by (granularity, period), sorted by
-    (url, bucket) inside.
+    """Batch view (with ``last_hour``, see ``views.batch_view``) as Parquet
+    partitioned by (granularity, period), sorted by (url, bucket) inside.
 
     ``period`` is the 28-day epoch month of the bucket: serving ranges prune
     to the periods they span, refreshes rewrite only the periods they touch.
@@ -130,7 +131,10 @@ def write_view(view: DataFrame, path: str, files_per_granularity: int | None = N
     AQE sizes the ranges. ``dynamic=True`` replaces only the partitions
     present in ``view``.
     """
-    v = with_period(view.select(*S.BATCH_VIEW.fieldNames()))
+    if "last_hour" not in view.columns:
+        raise ValueError("the stored view needs last_hour: build it with "
+                         "views.batch_view(..., with_last_hour=True)")
+    v = with_period(view.select(*S.BATCH_VIEW.fieldNames(), "last_hour"))
     if files_per_granularity:
         ranged = v.repartitionByRange(files_per_granularity * len(S.GRANULARITIES),
                                       *VIEW_LAYOUT, "url")
@@ -142,11 +146,12 @@ def write_view(view: DataFrame, path: str, files_per_granularity: int | None = N
     w.partitionBy(*VIEW_LAYOUT).parquet(path)
 
 
-def read_view(spark: SparkSession, path: str, keep_period: bool = False) -> DataFrame:
-    """The stored view; ``keep_period=True`` keeps the partition column so
-    serving can prune periods (``serving.batch_range`` uses it when present)."""
+def read_view(spark: SparkSession, path: str, keep_layout: bool = False) -> DataFrame:
+    """The stored view (schema ``BATCH_VIEW``); ``keep_layout=True`` keeps
+    ``last_hour`` and the ``period`` partition column, which serving uses to
+    cover ranges with coarse buckets and to prune periods."""
     df = spark.read.schema(STORED_VIEW).parquet(path)
-    cols = S.BATCH_VIEW.fieldNames() + (["period"] if keep_period else [])
+    cols = S.BATCH_VIEW.fieldNames() + (["last_hour", "period"] if keep_layout else [])
     return df.select(*cols)
 
 
@@ -179,7 +184,8 @@ def refresh_view(spark: SparkSession, view_path: str, new_facts: DataFrame,
                  out_path: str) -> None:
     """Incremental refresh as a new generation: old view + view of the new
     facts (counts are additive over disjoint fact sets)."""
-    merged = views.merge_views(read_view(spark, view_path), views.batch_view(new_facts))
+    merged = views.merge_views(read_view(spark, view_path, keep_layout=True),
+                               views.batch_view(new_facts, with_last_hour=True))
     write_view(merged, out_path)
 
 
@@ -196,7 +202,7 @@ def refresh_view_in_place(spark: SparkSession, view_path: str, new_facts: DataFr
     lineage to the files about to be replaced), then swapped in with dynamic
     partition overwrite. Untouched partitions are neither read nor written.
     """
-    delta = with_period(views.batch_view(new_facts))
+    delta = with_period(views.batch_view(new_facts, with_last_hour=True))
     touched = [(r.granularity, int(r.period))
                for r in delta.select(*VIEW_LAYOUT).distinct().collect()]
     if not touched:
@@ -205,8 +211,8 @@ def refresh_view_in_place(spark: SparkSession, view_path: str, new_facts: DataFr
     for g, p in touched:
         c = (F.col("granularity") == g) & (F.col("period") == p)
         cond = c if cond is None else (cond | c)
-    old = read_view(spark, view_path, keep_period=True).where(cond)
+    old = read_view(spark, view_path, keep_layout=True).where(cond)
     merged = views.merge_views(old, delta)
     write_view(merged, staging_path)
-    write_view(read_view(spark, staging_path), view_path, dynamic=True)
+    write_view(read_view(spark, staging_path, keep_layout=True), view_path, dynamic=True)
     return touched

@@ -71,29 +71,45 @@ def hourly_counts(facts: DataFrame, normalize: bool = True) -> DataFrame:
         F.count(F.lit(1)).alias("pageviews"))
 
 
-def rollup_granularities(hourly: DataFrame, count_col: str = "pageviews") -> DataFrame:
-    """(url, granularity, bucket, total_pageviews) from hourly counts."""
-    g = hourly.select("url", F.col(count_col).alias("_n"),
+def rollup_granularities(hourly: DataFrame, count_col: str = "pageviews",
+                         with_last_hour: bool = False) -> DataFrame:
+    """(url, granularity, bucket, total_pageviews) from hourly counts.
+
+    ``with_last_hour`` also keeps, per row, the last hour with views inside
+    its bucket (``last_hour``): the stored view carries it so a serving range
+    can be covered by coarse buckets and still know its exact last batch hour.
+    """
+    g = hourly.select("url", F.col(count_col).alias("_n"), F.col("hour_bucket").alias("_h"),
                       F.inline(granularity_buckets(F.col("hour_bucket"))))
-    return g.groupBy("url", "granularity", "bucket").agg(
-        F.sum("_n").cast("bigint").alias("total_pageviews"))
+    aggs = [F.sum("_n").cast("bigint").alias("total_pageviews")]
+    if with_last_hour:
+        aggs.append(F.max("_h").cast("bigint").alias("last_hour"))
+    return g.groupBy("url", "granularity", "bucket").agg(*aggs)
 
 
-def batch_view(facts: DataFrame, normalize: bool = True) -> DataFrame:
-    """The full batch view of a fact dataset (schema ``BATCH_VIEW``)."""
-    return rollup_granularities(hourly_counts(facts, normalize))
+def batch_view(facts: DataFrame, normalize: bool = True,
+               with_last_hour: bool = False) -> DataFrame:
+    """The full batch view of a fact dataset (schema ``BATCH_VIEW``, plus
+    ``last_hour`` when asked: the form ``storage.write_view`` stores)."""
+    return rollup_granularities(hourly_counts(facts, normalize), with_last_hour=with_last_hour)
 
 
 def merge_views(old_view: DataFrame, delta_view: DataFrame) -> DataFrame:
-    """Additive merge of two views: counts of disjoint fact sets add up.
+    """Additive merge of two views: counts of disjoint fact sets add up
+    (``last_hour``, when both carry it, is the later one).
 
     This is the incremental refresh: the view of the newly absorbed facts is
     added to the existing view instead of recounting the master dataset.
     """
-    both = old_view.select(*S.BATCH_VIEW.fieldNames()).unionByName(
-        delta_view.select(*S.BATCH_VIEW.fieldNames()))
-    return both.groupBy("url", "granularity", "bucket").agg(
-        F.sum("total_pageviews").cast("bigint").alias("total_pageviews"))
+    cols = S.BATCH_VIEW.fieldNames()
+    last = "last_hour" in old_view.columns and "last_hour" in delta_view.columns
+    if last:
+        cols = cols + ["last_hour"]
+    both = old_view.select(*cols).unionByName(delta_view.select(*cols))
+    aggs = [F.sum("total_pageviews").cast("bigint").alias("total_pageviews")]
+    if last:
+        aggs.append(F.max("last_hour").cast("bigint").alias("last_hour"))
+    return both.groupBy("url", "granularity", "bucket").agg(*aggs)
 
 
 def to_key_value(view: DataFrame) -> DataFrame:

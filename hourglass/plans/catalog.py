@@ -260,14 +260,16 @@ NORM_RT = (f"SELECT {G.normalize_url_sql('raw_url')} AS url, secs, secs // 3600
 URLS_SQL = f"SELECT DISTINCT {G.normalize_url_sql('url')} AS url FROM pages"
 
 
-def _batch_side_sql(split: bool) -> str:
+def _batch_side_sql(split: bool, start: int | None = None, end: int | None = None) -> str:
     where = f"WHERE h < {BATCH_SPLIT_HOUR}" if split else ""
+    a = RANGE_START if start is None else start
+    b = RANGE_END if end is None else end
     return f"""
     SELECT u.url, CAST(coalesce(sum(v.n), 0) AS BIGINT) AS batch_pageviews,
            CAST(max(v.h) AS BIGINT) AS hour_done
     FROM ({URLS_SQL}) u
     LEFT JOIN (SELECT * FROM ({HOURLY_SQL}) {where}) v
-      ON v.url = u.url AND v.h BETWEEN {RANGE_START} AND {RANGE_END}
+      ON v.url = u.url AND v.h BETWEEN {a} AND {b}
     GROUP BY u.url"""
 
 
@@ -497,7 +499,8 @@ def q_view_stored(spark, sf_dir):
     from hourglass.operators import storage
     from hourglass.session import work_dir
     root = work_dir(spark, "view_stored")
-    storage.write_view(views.batch_view(pageview_facts(spark, sf_dir)), f"{root}/view")
+    storage.write_view(views.batch_view(pageview_facts(spark, sf_dir), with_last_hour=True),
+                       f"{root}/view")
     return storage.read_view(spark, f"{root}/view")
 
 
@@ -532,7 +535,7 @@ def q_incremental_view(spark, sf_dir):
     root = work_dir(spark, "incremental_view")
     f = pageview_facts(spark, sf_dir)
     cut = F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600
-    storage.write_view(views.batch_view(f.where(cut)), f"{root}/v1")
+    storage.write_view(views.batch_view(f.where(cut), with_last_hour=True), f"{root}/v1")
     storage.refresh_view(spark, f"{root}/v1", f.where(~cut), f"{root}/v2")
     return storage.read_view(spark, f"{root}/v2")
 
@@ -684,7 +687,7 @@ def q_incremental_view_in_place(spark, sf_dir):
     root = work_dir(spark, "incremental_in_place")
     f = pageview_facts(spark, sf_dir)
     cut = F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600
-    storage.write_view(views.batch_view(f.where(cut)), f"{root}/view")
+    storage.write_view(views.batch_view(f.where(cut), with_last_hour=True), f"{root}/view")
     storage.refresh_view_in_place(spark, f"{root}/view", f.where(~cut), f"{root}/stage")
     return storage.read_view(spark, f"{root}/view")
 
@@ -708,3 +711,37 @@ def q_count_pageviews_one_url(spark, sf_dir):
     rt = realtime_pageview_rows(spark, sf_dir)
     return serving.count_pageviews(split_view(spark, sf_dir), rt, [top],
                                    RANGE_START, RANGE_END)
+
+
+# All of January 2024 in hours (the whole time span of the events table).
+MONTH_START, MONTH_END = 473352, 474095
+
+
+def stored_view(spark, sf_dir, facts: DataFrame, name: str) -> DataFrame:
+    from hourglass.operators import storage
+    from hourglass.session import work_dir
+    path = work_dir(spark, name) + "/view"
+    storage.write_view(views.batch_view(facts, with_last_hour=True), path)
+    return storage.read_view(spark, path, keep_layout=True)
+
+
+@register("count_pageviews_stored", COUNT_SQL)
+def q_count_pageviews_stored(spark, sf_dir):
+    """``count_pageviews`` over a stored view: the range is read through
+    its coarse-bucket cover and period partitions, hour_done from last_hour."""
+    from hourglass.operators import serving
+    f = pageview_facts(spark, sf_dir).where(F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600)
+    v = stored_view(spark, sf_dir, f, "count_pageviews_stored")
+    rt = realtime_pageview_rows(spark, sf_dir)
+    return serving.count_pageviews(v, rt, page_urls(spark, sf_dir), RANGE_START, RANGE_END)
+
+
+@register("batch_range_long", _batch_side_sql(split=False, start=MONTH_START, end=MONTH_END))
+def q_batch_range_long(spark, sf_dir):
+    """Batch-side range count over the whole month for every page URL, from
+    a stored view: months, weeks and days cover the range, hours only at
+    its edges."""
+    from hourglass.operators import serving
+    v = stored_view(spark, sf_dir, pageview_facts(spark, sf_dir), "batch_range_long")
+    u = serving.url_list(page_urls(spark, sf_dir))
+    return serving.batch_range(v, u, MONTH_START, MONTH_END)

@@ -28,7 +28,8 @@ def run_batch(spark: SparkSession, new_data_path: str, master_path: str, view_pa
     storage.absorb(spark, new_data_path, f"{checkpoint}/delta", f"{checkpoint}/delta-ck",
                    run_id=run_id)
     facts = FS.read_kinds(spark, master_path, S.PAGE_VIEW)
-    storage.write_view(views.batch_view(facts), view_path, files_per_granularity)
+    storage.write_view(views.batch_view(facts, with_last_hour=True), view_path,
+                       files_per_granularity)
     return storage.read_view(spark, view_path)
 
 
@@ -56,7 +57,7 @@ def run_incremental(spark: SparkSession, new_data_path: str, master_path: str,
 def count_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
                     urls, start, end, snapshot_path: str | None = None, **kw) -> DataFrame:
     """J4 countpageviews over stored views."""
-    view = storage.read_view(spark, view_path, keep_period=True)
+    view = storage.read_view(spark, view_path, keep_layout=True)
     rt = read_realtime(spark, realtime_root, "pageviews", snapshot_path)
     return serving.count_pageviews(view, rt, urls, start, end, **kw)
 
@@ -64,7 +65,7 @@ def count_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
 def get_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
                   urls, start, end, snapshot_path: str | None = None, **kw) -> DataFrame:
     """J4 getpageviews over stored views."""
-    view = storage.read_view(spark, view_path, keep_period=True)
+    view = storage.read_view(spark, view_path, keep_layout=True)
     rt = read_realtime(spark, realtime_root, "pageviews", snapshot_path)
     return serving.get_pageviews(view, rt, urls, start, end, **kw)
 

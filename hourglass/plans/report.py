@@ -26,11 +26,11 @@ def main(sf_dir: str, out: str) -> None:
     decode.to_new_data(parsed).write.partitionBy(*S.PARTITION_COLUMNS).parquet(f"{root}/new")
     FS.write_facts(storage.read_new_facts(spark, f"{root}/new"), f"{root}/master")
     master_pv = FS.read_kinds(spark, f"{root}/master", S.PAGE_VIEW)
-    storage.write_view(views.batch_view(master_pv), f"{root}/view")
+    storage.write_view(views.batch_view(master_pv, with_last_hour=True), f"{root}/view")
     qs = speed.start_speed(M.text_source(spark, f"{root}/queue"), f"{root}/rt", f"{root}/ck",
                            trigger={"availableNow": True}, tables=("pageviews",))
     speed.await_all(qs)
-    view = storage.read_view(spark, f"{root}/view")
+    view = storage.read_view(spark, f"{root}/view", keep_layout=True)
     rt = speed.read_realtime(spark, f"{root}/rt", "pageviews")
     one = [view.first().url]
     many = view.select("url").distinct()

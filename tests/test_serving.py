@@ -108,3 +108,42 @@ def test_point_lookup_pushes_url_into_scan(spark, tables, workdir):
     pushed = " ".join(inspect.pushed_filters(q))
     assert "EqualTo(url,http://a.org/x)" in pushed or "In(url, [http://a.org/x])" in pushed, pushed
     assert result(q)["http://a.org/x"]["pageviews"] == 14
+
+
+def test_cover_is_exact_and_small():
+    import random
+    rnd = random.Random(7)
+    sizes = {"h": 1, "d": 24, "w": 168, "m": 672}
+    for _ in range(300):
+        a = rnd.randrange(0, 20000)
+        b = a + rnd.randrange(0, 20000)
+        pieces = serving.cover(a, b)
+        hours = []
+        for g, lo, hi in pieces:
+            s = sizes[g]
+            hours.extend(range(lo * s, (hi + 1) * s))
+        assert hours == list(range(a, b + 1))
+        assert sum(hi - lo + 1 for _, lo, hi in pieces) <= (b - a + 1) // 672 + 2 * (3 + 6 + 23) + 1
+    assert serving.cover(5, 4) == []
+
+
+def test_coarse_cover_equals_hour_sum_on_stored_view(spark, workdir):
+    from hourglass.operators import decode, storage, views
+    import json
+    docs = [json.dumps({"messagetype": "pageview", "pedigree": str(s), "personid": "1",
+                        "pageid": f"http://u{s % 3}.org/"})
+            for s in range(0, 3600 * 24 * 90, 3600 * 7 + 13)]
+    facts = decode.to_facts(decode.parse_messages(
+        spark.createDataFrame([(d,) for d in docs], "value string")))
+    storage.write_view(views.batch_view(facts, with_last_hour=True), f"{workdir}/v")
+    layout = storage.read_view(spark, f"{workdir}/v", keep_layout=True)
+    plain = storage.read_view(spark, f"{workdir}/v")
+    urls = spark.createDataFrame([("http://u0.org/",), ("http://u1.org/",), ("http://u2.org/",),
+                                  ("http://none.org/",)], "url string")
+    for a, b in [(0, 2159), (5, 1500), (700, 701), (30, 40), (100, 1400)]:
+        got = sorted(serving.batch_range(layout, urls, a, b).collect())
+        want = sorted(serving.batch_range(plain, urls, a, b).collect())
+        assert got == want, (a, b)
+    q = serving.batch_range(layout, urls, 5, 1500)
+    pushed = " ".join(inspect.pushed_filters(q)) + " ".join(inspect.partition_filters(q))
+    assert "granularity" in pushed and "period" in pushed

@@ -64,7 +64,7 @@ def test_ingest_absorb_exactly_once_and_compaction(spark, workdir):
 def test_view_sinks_round_trip(spark, workdir):
     facts = decode.to_facts(decode.parse_messages(sample_lines(spark)))
     v = views.batch_view(facts)
-    storage.write_view(v, f"{workdir}/view")
+    storage.write_view(views.batch_view(facts, with_last_hour=True), f"{workdir}/view")
     storage.write_view_kv(v, f"{workdir}/kv", shards=4)
     storage.write_view_sharded(v, "hg_test_view", f"{workdir}/tbl", shards=4)
     want = sorted(v.collect())
@@ -108,7 +108,7 @@ def test_in_place_refresh_touches_only_new_periods(spark, workdir):
     facts = decode.to_facts(decode.parse_messages(sample_lines(spark, n=60)))
     cut = 1704067200 + 40 * 600
     old, new = facts.where(F.col("true_as_of_secs") < cut), facts.where(F.col("true_as_of_secs") >= cut)
-    storage.write_view(views.batch_view(old), f"{workdir}/view")
+    storage.write_view(views.batch_view(old, with_last_hour=True), f"{workdir}/view")
     before = {f for f in spark.read.parquet(f"{workdir}/view").inputFiles()}
     touched = storage.refresh_view_in_place(spark, f"{workdir}/view", new, f"{workdir}/stage")
     assert set(g for g, _ in touched) == {"h", "d", "w", "m"}
@@ -121,8 +121,8 @@ def test_period_pruning_in_serving(spark, workdir):
     from hourglass.operators import serving
     from hourglass.plans import inspect
     facts = decode.to_facts(decode.parse_messages(sample_lines(spark)))
-    storage.write_view(views.batch_view(facts), f"{workdir}/view")
-    v = storage.read_view(spark, f"{workdir}/view", keep_period=True)
+    storage.write_view(views.batch_view(facts, with_last_hour=True), f"{workdir}/view")
+    v = storage.read_view(spark, f"{workdir}/view", keep_layout=True)
     rt = spark.createDataFrame([], "url string, hour_bucket long, secs long")
     q = serving.count_pageviews(v, rt, ["http://p0.org/a"], 473352, 473360)
     pf = " ".join(inspect.partition_filters(q))
