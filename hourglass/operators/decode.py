@@ -29,11 +29,6 @@ from hourglass.functions import (
 # A trailing comma before the closing "]}" of an envelope.
 TRAILING_COMMA = r",\s*\]\s*\}\s*$"
 
-PARSED_COLUMNS = [
-    "line_hash", "pos", "raw", "reason", "secs",
-] + S.MESSAGE_FIELDS
-
-
 def _null_message() -> Column:
     return F.lit(None).cast(S.MESSAGE)
 

@@ -414,7 +414,6 @@ QUARANTINE_SQL = ORACLES["quarantine_counts"]
 
 
 def _write_input(spark, sf_dir, root, kinds, files=4, coarse=False, mode="overwrite"):
-    from hourglass.sources import messages as M
     lines = td.message_lines(spark, sf_dir, kinds=kinds, coarse=coarse)
     df = lines.repartitionByRange(files, "id").sortWithinPartitions("id").select("value")
     df.write.mode(mode).text(f"{root}/in")

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from hourglass.functions import (
     bucketed_key_string, deserialize_long, gender, granularity_buckets, hour_bucket,
     key_bucket, key_granularity, key_url, normalize_url, parse_query_hour, person_id,
-    serialize_long,
+    person_id_string, serialize_long,
 )
 
 
@@ -84,3 +84,9 @@ def test_query_hour(spark):
     assert query_hour("15.01.2024|12", legacy_12h=True) == 473688
     assert one(spark, parse_query_hour(F.col("v")), "15.01.2024|13") == 473701
     assert one(spark, parse_query_hour(F.col("v"), legacy_12h=True), "15.01.2024|12") == 473688
+
+
+def test_person_id_round_trip(spark):
+    df = spark.createDataFrame([("cookie_3",), ("17",), ("x",)], "v string")
+    got = [r[0] for r in df.select(person_id_string(person_id("v"))).collect()]
+    assert got == ["cookie_3", "17", None]
