@@ -22,3 +22,26 @@ def bounded_rows(df: DataFrame, max_rows: int) -> bool:
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when its row count is proven <= ``max_rows``, else ``df``."""
     return F.broadcast(df) if bounded_rows(df, max_rows) else df
+
+
+# Salt buckets for shuffle joins whose large side may be dominated by one key.
+DEFAULT_SALTS = 32
+
+
+def salted_range_join(rows: DataFrame, bounds: DataFrame, key: str, value: str,
+                      lo: str, hi: str, salt_of: str, salts: int = DEFAULT_SALTS) -> DataFrame:
+    """``rows`` joined with ``bounds`` on ``key`` and ``lo <= value <= hi``,
+    as a shuffle join that splits hot keys.
+
+    Each row gets a salt ``pmod(xxhash64(salt_of), salts)`` (deterministic,
+    so retried tasks agree); each bounds row (one per key) is replicated once
+    per salt. A key holding a third of all rows is then spread over ``salts``
+    tasks instead of one, whether or not AQE's skew handling is on. Returns
+    the columns of ``rows`` plus those of ``bounds`` except ``key``.
+    """
+    r = rows.withColumn("_salt", F.pmod(F.xxhash64(F.col(salt_of)), F.lit(salts)).cast("int"))
+    b = (bounds.withColumn("_bsalt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+         .withColumnRenamed(key, "_bkey"))
+    j = r.join(b, (F.col(key) == F.col("_bkey")) & (F.col("_salt") == F.col("_bsalt"))
+               & F.col(value).between(F.col(lo), F.col(hi)))
+    return j.drop("_salt", "_bsalt", "_bkey")

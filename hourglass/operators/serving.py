@@ -16,7 +16,9 @@ from pyspark.sql import functions as F
 
 from hourglass.functions import normalize_url
 from hourglass.functions.buckets import DAYS_PER_MONTH, HOUR_SECS, HOURS_PER_DAY
-from hourglass.operators.joins import DEFAULT_BROADCAST_ROWS, bounded_rows
+from hourglass.operators.joins import (
+    DEFAULT_BROADCAST_ROWS, bounded_rows, salted_range_join,
+)
 
 MODES = ("distinct_seconds", "every_event")
 
@@ -194,7 +196,8 @@ def realtime_range(rt: DataFrame, bounds: DataFrame, mode: str = "distinct_secon
     entry per URL, hour and second); ``every_event`` counts every write, which
     agrees with the batch layer. The range join is an equi-join on url plus a
     range condition; the bounds side (one row per queried URL) is broadcast
-    when its size is proven small.
+    when its size is proven small, otherwise the join shuffles with hot URLs
+    salted over several tasks (``joins.salted_range_join``).
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
@@ -202,12 +205,16 @@ def realtime_range(rt: DataFrame, bounds: DataFrame, mode: str = "distinct_secon
         small = bounded_rows(bounds, DEFAULT_BROADCAST_ROWS)
     b = F.broadcast(bounds) if small else bounds
     ev = F.col("events") if "events" in rt.columns else F.lit(1).cast("bigint")
-    r = _restrict(rt, literals).select("url", "hour_bucket", "secs", ev.alias("events")).alias("r")
-    j = r.join(b.alias("b"), (F.col("r.url") == F.col("b.url"))
-               & F.col("r.hour_bucket").between(F.col("b.lo"), F.col("b.hi")))
-    agg = (F.count_distinct(F.col("r.secs")) if mode == "distinct_seconds"
-           else F.sum(F.col("r.events")))
-    return j.groupBy(F.col("r.url").alias("url")).agg(agg.cast("bigint").alias("realtime_pageviews"))
+    r = _restrict(rt, literals).select("url", "hour_bucket", "secs", ev.alias("events"))
+    if small:
+        j = r.join(b.withColumnRenamed("url", "_bkey"),
+                   (F.col("url") == F.col("_bkey"))
+                   & F.col("hour_bucket").between(F.col("lo"), F.col("hi")))
+    else:   # too many URLs to broadcast: shuffle join, hot URLs salted apart
+        j = salted_range_join(r, bounds, "url", "hour_bucket", "lo", "hi", salt_of="secs")
+    agg = (F.count_distinct(F.col("secs")) if mode == "distinct_seconds"
+           else F.sum(F.col("events")))
+    return j.groupBy("url").agg(agg.cast("bigint").alias("realtime_pageviews"))
 
 
 def count_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
@@ -268,12 +275,15 @@ def get_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
                      F.lit(None).cast("bigint").alias("secs"),
                      F.col("total_pageviews").alias("pageviews")))
     ev = F.col("events") if "events" in rt.columns else F.lit(1).cast("bigint")
-    r = rt.select("url", "hour_bucket", "secs", ev.alias("events")).alias("r")
-    j = r.join(bounds.alias("b"), (F.col("r.url") == F.col("b.url"))
-               & F.col("r.hour_bucket").between(F.col("b.lo"), F.col("b.hi")))
-    rrows = (j.groupBy(F.col("r.url").alias("url"), F.col("r.hour_bucket").alias("hour_bucket"),
-                       F.col("r.secs").alias("secs"))
-             .agg(F.sum(F.col("r.events")).alias("_n"))
+    r = rt.select("url", "hour_bucket", "secs", ev.alias("events"))
+    if small:
+        j = r.join(bounds.withColumnRenamed("url", "_bkey"),
+                   (F.col("url") == F.col("_bkey"))
+                   & F.col("hour_bucket").between(F.col("lo"), F.col("hi")))
+    else:
+        j = salted_range_join(r, bounds, "url", "hour_bucket", "lo", "hi", salt_of="secs")
+    rrows = (j.groupBy("url", "hour_bucket", "secs")
+             .agg(F.sum(F.col("events")).alias("_n"))
              .select(F.lit("realtime").alias("source"), "url", "hour_bucket", "secs",
                      (F.lit(1) if mode == "distinct_seconds" else F.col("_n"))
                      .cast("bigint").alias("pageviews")))
