@@ -32,6 +32,21 @@ DEFAULT_CONF = {
 }
 
 
+# Suggested settings for a large cluster (~100 TB of facts, ~1000 executors).
+# Partitions are sized by bytes, not by count: AQE coalesces shuffle output
+# to the advisory size and splits skewed partitions above the threshold.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",          # upper bound; AQE coalesces
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",     # scan splits of Parquet facts
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.fileSink.log.compactInterval": "10",
+    "spark.sql.sources.partitionOverwriteMode": "static",   # dynamic only per write
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "hourglass", extra: dict | None = None) -> SparkSession:
     """A session for local runs and tests. On a cluster, pass your own session."""
