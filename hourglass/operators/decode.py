@@ -238,11 +238,18 @@ def decode_facts(lines: DataFrame, value_col: str = "value",
 
 # --- realtime rows (speed layer) --------------------------------------------------------
 
+def order_key() -> Column:
+    """Tie-break among versions of one key with the same event second."""
+    return F.xxhash64(*[F.col(n) for n in S.MESSAGE_FIELDS])
+
+
 def realtime_rows(parsed: DataFrame) -> dict[str, DataFrame]:
     """Keyed rows for the four realtime tables from valid parsed messages.
 
-    URLs are normalized; ``ord_raw`` (the message JSON) breaks ties between
-    versions with the same timestamp so "last write wins" is deterministic.
+    URLs are normalized; ``ord_key`` (a 64-bit hash of the message fields)
+    breaks ties between versions with the same timestamp, so "last write
+    wins" is deterministic while state keeps one bigint per key, not the
+    message text.
     """
     ok = parsed.where(F.col("reason").isNull())
     t = F.col("messagetype")
@@ -251,17 +258,17 @@ def realtime_rows(parsed: DataFrame) -> dict[str, DataFrame]:
         hour_bucket(F.col("secs")).alias("hour_bucket"),
         F.col("secs"),
         F.col("personid"),
-        F.col("raw").alias("ord_raw"),
+        order_key().alias("ord_key"),
     )
     pages = ok.where(t == "page").select(
         normalize_url(F.col("url")).alias("url"),
-        F.col("pedigree"), F.col("pageview"), F.col("secs"), F.col("raw").alias("ord_raw"),
+        F.col("pedigree"), F.col("pageview"), F.col("secs"), order_key().alias("ord_key"),
     )
     persons = ok.where(t == "person").select(
         "personid", "pedigree", "gendertype", "fullname", "city", "state", "country",
-        F.col("secs"), F.col("raw").alias("ord_raw"),
+        F.col("secs"), order_key().alias("ord_key"),
     )
     equivs = ok.where(t == "equiv").select(
-        "personid1", "personid2", "pedigree", F.col("secs"), F.col("raw").alias("ord_raw"),
+        "personid1", "personid2", "pedigree", F.col("secs"), order_key().alias("ord_key"),
     )
     return {"pageviews": pageviews, "pages": pages, "persons": persons, "equivs": equivs}

@@ -7,8 +7,8 @@
 * equivs: per (personid1, personid2) the latest pedigree; the adjacency of a
   person is the set of its rows (summarized by ``equiv_adjacency``).
 
-"Latest" is ordered by (event seconds, message text) so that results do not
-depend on arrival order or wall clocks.
+"Latest" is ordered by (event seconds, hash of the message) so that results
+do not depend on arrival order or wall clocks.
 """
 
 from __future__ import annotations
@@ -32,13 +32,13 @@ RT_VALUES = {
 
 def latest_per_key(rows: DataFrame, table: str) -> DataFrame:
     """Last-write-wins upsert of keyed rows: one row per key, values of the
-    version with the greatest (secs, ord_raw).
+    version with the greatest (secs, ord_key).
 
     ``max_by`` is an ordinary aggregate: partial per task, then merged after
     the shuffle, so a hot key is reduced map-side and never gathered.
     """
     keys, vals = RT_KEYS[table], RT_VALUES[table]
-    order = F.struct(F.col("secs"), F.col("ord_raw"))
+    order = F.struct(F.col("secs"), F.col("ord_key"))
     latest = F.max_by(F.struct(*[F.col(v) for v in vals]), order).alias("_v")
     out = rows.groupBy(*keys).agg(latest)
     return out.select(*keys, *[F.col("_v")[v].alias(v) for v in vals])
@@ -48,7 +48,7 @@ def pageview_table(rows: DataFrame) -> DataFrame:
     """(url, hour_bucket, secs, personid, events): the realtime pageview
     table; ``events`` counts the writes each entry absorbed."""
     keys = RT_KEYS["pageviews"]
-    order = F.struct(F.col("secs"), F.col("ord_raw"))
+    order = F.struct(F.col("secs"), F.col("ord_key"))
     out = rows.groupBy(*keys).agg(F.max_by(F.col("personid"), order).alias("personid"),
                                   F.count(F.lit(1)).alias("events"))
     return out

@@ -4,7 +4,7 @@ streaming query.
 Every decoded message becomes one keyed row (no union, no per-table re-scan
 of the source): ``tbl`` names its table, ``k1, k2, n1, n2`` hold the table's
 key and ``v`` its values. One stateful aggregation keeps, per key, the
-version with the greatest (event seconds, message text) and the number of
+version with the greatest (event seconds, message hash) and the number of
 writes:
 
 * pageviews  key (url, hour_bucket, secs), value personid; a watermark on the
@@ -74,7 +74,7 @@ def keyed_rows(parsed: DataFrame) -> DataFrame:
     ok = parsed.where(F.col("reason").isNull())
     return ok.select(tbl.alias("tbl"), k1.alias("k1"), k2.alias("k2"),
                      n1.cast("bigint").alias("n1"), n2.cast("bigint").alias("n2"),
-                     v.alias("v"), F.col("secs"), F.col("raw").alias("ord_raw"))
+                     v.alias("v"), F.col("secs"), decode.order_key().alias("ord_key"))
 
 
 def speed_frame(lines: DataFrame, coordinate_cols: tuple[str, ...] = (),
@@ -91,7 +91,7 @@ def speed_frame(lines: DataFrame, coordinate_cols: tuple[str, ...] = (),
             "event_time", F.when(F.col("tbl") == "pageviews", F.timestamp_seconds("n2"))
         ).withWatermark("event_time", watermark)
         keys.append("event_time")
-    order = F.struct(F.col("secs"), F.col("ord_raw"))
+    order = F.struct(F.col("secs"), F.col("ord_key"))
     out = rows.groupBy(*keys).agg(F.max_by(F.col("v"), order).alias("v"),
                                   F.count(F.lit(1)).alias("events"))
     return out.select("tbl", "k1", "k2", "n1", "n2", "v", "events")
