@@ -45,7 +45,8 @@ def parse_messages(lines: DataFrame, value_col: str = "value",
     quarantines a page or pageview whose URL does not parse; the batch path
     keeps such URLs unchanged.
 
-    Columns: line_hash, pos, raw, reason, secs and every message field.
+    Columns: line_hash, pos, raw (text of a quarantined message, else NULL),
+    reason, secs and every message field.
     """
     v = F.col(value_col)
     cleaned = F.regexp_replace(v, TRAILING_COMMA, "]}")
@@ -115,12 +116,13 @@ def parse_messages(lines: DataFrame, value_col: str = "value",
             .when((t == "page") & ~is_valid_url(F.col("url")), "bad_url")
             .when((t == "pageview") & ~is_valid_url(F.col("pageid")), "bad_url")
         )
-    # The message's own JSON when it was parsed, else the whole line.
-    raw = F.coalesce(
+    # For a quarantined message: its own JSON when it was parsed, else the
+    # whole line. Valid messages carry no text (nothing downstream needs it).
+    raw = F.when(msg_reason.isNotNull(), F.coalesce(
         F.when(F.col("_line_reason").isNull(),
                F.to_json(F.struct(*[F.col(n) for n in S.MESSAGE_FIELDS]))),
         F.col("_line"),
-    )
+    ))
     return df.select(
         "line_hash", "pos",
         raw.alias("raw"),
