@@ -5,15 +5,20 @@
   snapshot), the sink's log makes the append exactly-once (bag semantics:
   duplicates are kept), and nothing has to be deleted from new data (R5):
   the next run resumes after the last committed file.
-* Every batch write goes to its own new path (a generation) with mode
-  ``overwrite``: a job retried after a lost driver rewrites its own
-  generation, and readers switch only to a completed one.
+* Batch writes go to their own path (a generation, or a staging folder) with
+  mode ``overwrite``: a job retried after a lost driver rewrites its own
+  output. The one in-place write, the view refresh, swaps whole partitions
+  from a completed staging copy.
 * Compaction (R3): rewrite a fact dataset into a new directory with
   ``REBALANCE(dataunit_id, value_id)``; AQE splits a hot kind over several
   tasks and packs small ones, so files come out near the advisory size.
-* Views (S17, R6, R7): written partitioned by granularity, range-partitioned
-  and sorted by URL so URL and bucket predicates prune row groups; or as a
-  bucketed table / key-value shards with all buckets of a URL together.
+* Views (S17, R6, R7): written partitioned by (granularity, period),
+  range-partitioned and sorted by URL inside, so granularity and time
+  predicates prune partitions and URL and bucket predicates prune row
+  groups; or as a bucketed table / key-value shards with all buckets of a
+  URL together.
+* Incremental refresh: in place (only the partitions new facts touch) or as
+  a new generation.
 """
 
 from __future__ import annotations

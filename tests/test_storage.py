@@ -140,3 +140,18 @@ def test_view_period_truncates_like_buckets(spark):
                                 ("w", 3), ("w", 4), ("m", 9)], "g string, b long")
     got = [r[0] for r in df.select(view_period("g", "b")).collect()]
     assert got == [0, 1, 0, 0, 1, 0, 1, 9]
+
+
+def test_bucketed_views_join_on_url_without_shuffle(spark, workdir):
+    from hourglass.plans import inspect
+    facts = decode.to_facts(decode.parse_messages(sample_lines(spark)))
+    v = views.batch_view(facts)
+    storage.write_view_sharded(v, "hg_join_a", f"{workdir}/a", shards=4)
+    storage.write_view_sharded(v.where("granularity = 'h'"), "hg_join_b", f"{workdir}/b", shards=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("hg_join_a").alias("a").join(spark.table("hg_join_b").alias("b"), "url")
+        assert inspect.count_nodes(j, "Exchange") == 0
+        assert j.count() > 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
