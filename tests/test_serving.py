@@ -163,3 +163,25 @@ def test_salted_shuffle_path_equals_broadcast_path(spark, tables, monkeypatch):
     assert sorted(serving.count_pageviews(v, rt, urls, 100, 105,
                                           mode="every_event").collect()) == want_ev
     assert sorted(serving.get_pageviews(v, rt, urls, 100, 105).collect()) == want_rows
+
+
+def test_hour_ranges_are_numeric_not_string_ordered(spark):
+    # as strings "h-9" > "h-10"; the range 9..10 must still include both hours
+    v = spark.createDataFrame([("http://a.org/", "h", 9, 1), ("http://a.org/", "h", 10, 2)],
+                              "url string, granularity string, bucket long, total_pageviews long")
+    rt = spark.createDataFrame([("http://a.org/", 11, 11 * 3600, "1", 1)],
+                               "url string, hour_bucket long, secs long, personid string, events long")
+    got = result(serving.count_pageviews(v, rt, ["http://a.org/"], 9, 11))["http://a.org/"]
+    assert (got["batch_pageviews"], got["hour_done"], got["realtime_pageviews"]) == (3, 10, 1)
+
+
+def test_counts_beyond_32_bits(spark):
+    from hourglass.operators import views
+    big = 5_000_000_000
+    v = spark.createDataFrame([("http://a.org/", "h", 9, big)],
+                              "url string, granularity string, bucket long, total_pageviews long")
+    rt = spark.createDataFrame([], "url string, hour_bucket long, secs long")
+    assert result(serving.count_pageviews(v, rt, ["http://a.org/"], 0, 20))[
+        "http://a.org/"]["pageviews"] == big
+    back = views.from_key_value(views.to_key_value(v)).first()
+    assert back.total_pageviews == big
