@@ -199,15 +199,19 @@ def refresh_view_in_place(spark: SparkSession, view_path: str, new_facts: DataFr
     """Incremental refresh rewriting only the (granularity, period) partitions
     the new facts touch; returns those partitions.
 
-    The delta view is aggregated first; its partition list (4 granularities
-    x the periods the new facts span: a handful of rows) is the only thing
-    collected. Old rows of just those partitions are read (partition
-    pruning), merged with the delta and staged under ``staging_path`` (a fresh
-    folder in the shared checkpoint area; the written copy also cuts the
-    lineage to the files about to be replaced), then swapped in with dynamic
-    partition overwrite. Untouched partitions are neither read nor written.
+    1. The delta view of the new facts is aggregated once and written to
+       ``<staging>/delta`` (the only pass over the new facts).
+    2. Its partition list (4 granularities x the periods the new facts span:
+       a handful of rows) is the only thing collected.
+    3. Old rows of just those partitions are read (partition pruning), merged
+       with the delta and written to ``<staging>/merged``; the written copy
+       also cuts the lineage to the files about to be replaced.
+    4. The merged partitions are swapped in with dynamic partition overwrite.
+    Untouched partitions are neither read nor written. ``staging_path`` is a
+    fresh folder in the shared checkpoint area.
     """
-    delta = with_period(views.batch_view(new_facts, with_last_hour=True))
+    write_view(views.batch_view(new_facts, with_last_hour=True), f"{staging_path}/delta")
+    delta = read_view(spark, f"{staging_path}/delta", keep_layout=True)
     touched = [(r.granularity, int(r.period))
                for r in delta.select(*VIEW_LAYOUT).distinct().collect()]
     if not touched:
@@ -217,7 +221,7 @@ def refresh_view_in_place(spark: SparkSession, view_path: str, new_facts: DataFr
         c = (F.col("granularity") == g) & (F.col("period") == p)
         cond = c if cond is None else (cond | c)
     old = read_view(spark, view_path, keep_layout=True).where(cond)
-    merged = views.merge_views(old, delta)
-    write_view(merged, staging_path)
-    write_view(read_view(spark, staging_path, keep_layout=True), view_path, dynamic=True)
+    write_view(views.merge_views(old, delta), f"{staging_path}/merged")
+    write_view(read_view(spark, f"{staging_path}/merged", keep_layout=True), view_path,
+               dynamic=True)
     return touched
