@@ -1,10 +1,13 @@
 """Serving: pageviews of URLs over an inclusive hour range, merging the
 batch view with the realtime view in one DataFrame plan.
 
-For each URL: the batch view's hour rows in [start, end] are summed and the
-last hour with batch data (``hour_done``) is kept; the realtime view then
-covers (hour_done, end] — or [start, end] when the batch view has nothing in
-range. Totals are ``batch + realtime``.
+For each URL the batch view's rows covering [start, end] are summed and the
+last hour with batch data (``hour_done``) is kept: hour rows for views
+computed on the fly, and whole months, weeks and days plus edge hours for a
+stored view read with its layout. The realtime view then covers
+(hour_done, end] — or [start, end] when the batch view has nothing in range.
+Totals are ``batch + realtime``. URL lists are broadcast when their size is
+proven small; otherwise joins shuffle, with hot URLs salted apart.
 """
 
 from __future__ import annotations
