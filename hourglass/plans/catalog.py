@@ -14,9 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass.functions import normalize_url
-from hourglass.operators import decode, views
+from hourglass.operators import decode, realtime, serving, storage, views
 from hourglass.plans import sqlgen as G
+from hourglass.session import work_dir
+from hourglass.sources import facts as FS
+from hourglass.sources import messages as M
 from hourglass.sources import testdata as td
+from hourglass.streaming import ingest, speed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -227,7 +231,6 @@ def q_decode_equiv_facts(spark, sf_dir):
     ) GROUP BY 1, 2
 """)
 def q_facts_by_partition(spark, sf_dir):
-    from hourglass.sources import facts as FS
     return FS.partition_counts(all_facts(spark, sf_dir))
 
 
@@ -298,7 +301,6 @@ def split_view(spark, sf_dir) -> DataFrame:
 
 @register("batch_range_count", _batch_side_sql(split=False))
 def q_batch_range_count(spark, sf_dir):
-    from hourglass.operators import serving
     v = views.batch_view(pageview_facts(spark, sf_dir))
     u = serving.url_list(page_urls(spark, sf_dir))
     return serving.batch_range(v, u, RANGE_START, RANGE_END)
@@ -309,7 +311,6 @@ def q_batch_range_count(spark, sf_dir):
     FROM ({NORM_RT}) GROUP BY 1, 2
 """)
 def q_realtime_distinct_seconds(spark, sf_dir):
-    from hourglass.operators import realtime
     rows = realtime_pageview_rows(spark, sf_dir)
     return realtime.distinct_second_counts(rows)
 
@@ -322,7 +323,6 @@ def q_rt_pageviews(spark, sf_dir):
     """The realtime pageview table (one row per url, hour, second; last write
     wins) with the number of writes each row absorbed. Which person a row
     keeps is compared between the streaming and batch forms in the tests."""
-    from hourglass.operators import realtime
     t = realtime.pageview_table(realtime_pageview_rows(spark, sf_dir))
     return t.select("url", "hour_bucket", "secs", F.col("events").alias("versions"))
 
@@ -345,7 +345,6 @@ COUNT_SQL = f"""
 
 @register("count_pageviews", COUNT_SQL)
 def q_count_pageviews(spark, sf_dir):
-    from hourglass.operators import serving
     rt = realtime_pageview_rows(spark, sf_dir)
     return serving.count_pageviews(split_view(spark, sf_dir), rt, page_urls(spark, sf_dir),
                                    RANGE_START, RANGE_END)
@@ -364,7 +363,6 @@ def q_count_pageviews(spark, sf_dir):
     FROM bounds JOIN ({NORM_RT}) rt ON rt.url = bounds.url AND rt.h BETWEEN bounds.lo AND {RANGE_END}
 """)
 def q_get_pageviews(spark, sf_dir):
-    from hourglass.operators import serving
     rt = realtime_pageview_rows(spark, sf_dir)
     return serving.get_pageviews(split_view(spark, sf_dir), rt, page_urls(spark, sf_dir),
                                  RANGE_START, RANGE_END)
@@ -379,7 +377,6 @@ def q_get_pageviews(spark, sf_dir):
     GROUP BY url
 """)
 def q_rt_pages(spark, sf_dir):
-    from hourglass.operators import realtime
     return realtime.latest_per_key(realtime_rows(spark, sf_dir, kinds=("page", "broken"))["pages"], "pages")
 
 
@@ -391,7 +388,6 @@ def q_rt_pages(spark, sf_dir):
     FROM ({G.person_rows_sql()}) GROUP BY personid
 """)
 def q_rt_persons(spark, sf_dir):
-    from hourglass.operators import realtime
     return realtime.latest_per_key(realtime_rows(spark, sf_dir, kinds=("person", "broken"))["persons"], "persons")
 
 
@@ -400,7 +396,6 @@ def q_rt_persons(spark, sf_dir):
     FROM ({G.equiv_rows_sql()}) GROUP BY 1, 2
 """)
 def q_rt_equivs(spark, sf_dir):
-    from hourglass.operators import realtime
     return realtime.latest_per_key(realtime_rows(spark, sf_dir, kinds=("equiv", "broken"))["equivs"], "equivs")
 
 
@@ -425,10 +420,6 @@ def _write_input(spark, sf_dir, root, kinds, files=4, coarse=False, mode="overwr
 def q_stream_ingest(spark, sf_dir):
     """Queue lines in 4 files -> ingest stream (1 file per micro-batch) ->
     new-data sink; rows written per partition and quarantine reason."""
-    from hourglass.operators import storage
-    from hourglass.session import work_dir
-    from hourglass.sources import messages as M
-    from hourglass.streaming import ingest
     root = work_dir(spark, "stream_ingest")
     _write_input(spark, sf_dir, root, kinds=("pageview", "page", "person", "equiv", "broken"))
     q = ingest.start_ingest(M.text_source(spark, f"{root}/in", max_files_per_trigger=1),
@@ -443,10 +434,6 @@ def q_stream_ingest(spark, sf_dir):
 def q_master_after_batch(spark, sf_dir):
     """Two ingest + absorb rounds (pageviews/pages, then persons/equivs/broken
     lines) -> master dataset; facts per partition = sum of both inputs."""
-    from hourglass.operators import storage
-    from hourglass.session import work_dir
-    from hourglass.sources import messages as M
-    from hourglass.streaming import ingest
     root = work_dir(spark, "master_after_batch")
     for i, kinds in enumerate([("pageview", "page"), ("person", "equiv", "broken")]):
         _write_input(spark, sf_dir, f"{root}/round{i}", kinds=kinds)
@@ -457,7 +444,6 @@ def q_master_after_batch(spark, sf_dir):
                                 trigger={"availableNow": True})
         q.awaitTermination()
         storage.absorb(spark, f"{root}/new", f"{root}/master", f"{root}/ck_absorb")
-    from hourglass.sources import facts as FS
     return FS.partition_counts(FS.read_facts(spark, f"{root}/master"))
 
 
@@ -466,10 +452,6 @@ def q_stream_pageviews(spark, sf_dir):
     """Coarse pageview lines delivered in event order, 2 files, then a restart
     from the checkpoint with 2 more files -> speed-layer pageview table ->
     distinct seconds per (url, hour)."""
-    from hourglass.operators import realtime
-    from hourglass.session import work_dir
-    from hourglass.sources import messages as M
-    from hourglass.streaming import speed
     root = work_dir(spark, "stream_pageviews")
     lines = td.message_lines(spark, sf_dir, kinds=("pageview",), coarse=True)
     # event ids increase with event time: files in id order arrive in time order
@@ -492,8 +474,6 @@ def q_stream_pageviews(spark, sf_dir):
 @register("view_stored", VIEW_SQL)
 def q_view_stored(spark, sf_dir):
     """Batch view written partitioned by granularity, URL-range files, read back."""
-    from hourglass.operators import storage
-    from hourglass.session import work_dir
     root = work_dir(spark, "view_stored")
     storage.write_view(views.batch_view(pageview_facts(spark, sf_dir), with_last_hour=True),
                        f"{root}/view")
@@ -503,8 +483,6 @@ def q_view_stored(spark, sf_dir):
 @register("view_sharded", VIEW_SQL)
 def q_view_sharded(spark, sf_dir):
     """Batch view as a 4-bucket table on url (S17), read back through the catalog."""
-    from hourglass.operators import storage
-    from hourglass.session import work_dir
     root = work_dir(spark, "view_sharded")
     name = "hg_view_" + root.rsplit("-", 1)[-1]
     storage.write_view_sharded(views.batch_view(pageview_facts(spark, sf_dir)), name,
@@ -515,8 +493,6 @@ def q_view_sharded(spark, sf_dir):
 @register("view_kv_sharded", VIEW_SQL)
 def q_view_kv_sharded(spark, sf_dir):
     """Key/value view in 4 url-sharded files, read back and decoded."""
-    from hourglass.operators import storage
-    from hourglass.session import work_dir
     root = work_dir(spark, "view_kv")
     storage.write_view_kv(views.batch_view(pageview_facts(spark, sf_dir)), f"{root}/kv")
     return views.from_key_value(storage.read_view_kv(spark, f"{root}/kv"))
@@ -526,8 +502,6 @@ def q_view_kv_sharded(spark, sf_dir):
 def q_incremental_view(spark, sf_dir):
     """View of the facts before the split hour, then refreshed additively with
     the view of the facts after it: equal to the full view."""
-    from hourglass.operators import storage
-    from hourglass.session import work_dir
     root = work_dir(spark, "incremental_view")
     f = pageview_facts(spark, sf_dir)
     cut = F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600
@@ -547,9 +521,6 @@ def q_incremental_view(spark, sf_dir):
 def q_normalized_urls(spark, sf_dir):
     """All facts -> partitioned master -> normalized copy (R8) -> facts per
     (kind, page URL) for the two kinds that carry a URL."""
-    from hourglass.operators import storage
-    from hourglass.session import work_dir
-    from hourglass.sources import facts as FS
     root = work_dir(spark, "normalized_urls")
     FS.write_facts(all_facts(spark, sf_dir), f"{root}/master")
     storage.normalize_master(spark, f"{root}/master", f"{root}/normalized")
@@ -562,9 +533,6 @@ def q_normalized_urls(spark, sf_dir):
 def q_compacted_master(spark, sf_dir):
     """Facts written in many small files, compacted with REBALANCE into a new
     generation; counts per partition are unchanged."""
-    from hourglass.operators import storage
-    from hourglass.session import work_dir
-    from hourglass.sources import facts as FS
     root = work_dir(spark, "compacted_master")
     FS.write_facts(all_facts(spark, sf_dir).repartition(16), f"{root}/master")
     storage.compact(spark, f"{root}/master", f"{root}/master-gen2")
@@ -579,7 +547,6 @@ def q_compacted_master(spark, sf_dir):
 def q_rt_equiv_adjacency(spark, sf_dir):
     """Realtime equivs (latest per pair) summarized per person: degree and
     the first/last equivalent id."""
-    from hourglass.operators import realtime
     rows = realtime_rows(spark, sf_dir, kinds=("equiv", "broken"))["equivs"]
     return realtime.equiv_adjacency(realtime.latest_per_key(rows, "equivs"))
 
@@ -590,7 +557,6 @@ def q_rt_equiv_adjacency(spark, sf_dir):
     "count(DISTINCT rt.secs) AS realtime_pageviews", "count(*) AS realtime_pageviews"))
 def q_count_pageviews_every_event(spark, sf_dir):
     """``count_pageviews`` counting every realtime write (batch-consistent mode)."""
-    from hourglass.operators import realtime, serving
     rows = realtime_pageview_rows(spark, sf_dir)
     table = realtime.pageview_table(rows)     # one row per second with its write count
     return serving.count_pageviews(split_view(spark, sf_dir), table, page_urls(spark, sf_dir),
@@ -603,7 +569,6 @@ def q_count_pageviews_every_event(spark, sf_dir):
 def q_count_pageviews_legacy_bound(spark, sf_dir):
     """``count_pageviews`` with the original lower bound: hour_done + 1, with
     hour_done = 0 when a URL has no batch data in range."""
-    from hourglass.operators import serving
     rt = realtime_pageview_rows(spark, sf_dir)
     return serving.count_pageviews(split_view(spark, sf_dir), rt, page_urls(spark, sf_dir),
                                    RANGE_START, RANGE_END, legacy_lower_bound=True)
@@ -634,7 +599,6 @@ def q_person_facts_last_property(spark, sf_dir):
 def q_fact_validation(spark, sf_dir):
     """Required-field (S16) and partition-target (S15) validation of every
     decoded fact, summarized per fact kind."""
-    from hourglass.sources import facts as FS
     f = all_facts(spark, sf_dir)
     bad = FS.invalid_facts(f).groupBy("dataunit_id").agg(F.count(F.lit(1)).alias("invalid"))
     badp = FS.invalid_partitions(f).groupBy("dataunit_id").agg(
@@ -655,10 +619,6 @@ def q_realtime_compacted(spark, sf_dir):
     """Speed layer over the coarse pageview stream, then the realtime table is
     folded into a snapshot expiring the hours the batch view covers (all hours
     before the split); distinct seconds per (url, hour) read through it."""
-    from hourglass.operators import realtime
-    from hourglass.session import work_dir
-    from hourglass.sources import messages as M
-    from hourglass.streaming import speed
     root = work_dir(spark, "realtime_compacted")
     lines = td.message_lines(spark, sf_dir, kinds=("pageview", "broken"), coarse=True)
     lines.repartitionByRange(4, "id").sortWithinPartitions("id").select("value") \
@@ -678,8 +638,6 @@ def q_incremental_view_in_place(spark, sf_dir):
     """View of the facts before the split hour, then refreshed in place with
     the facts after it: only the (granularity, period) partitions those
     facts touch are rewritten; the result equals the full view."""
-    from hourglass.operators import storage
-    from hourglass.session import work_dir
     root = work_dir(spark, "incremental_in_place")
     f = pageview_facts(spark, sf_dir)
     cut = F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600
@@ -700,7 +658,6 @@ def q_count_pageviews_one_url(spark, sf_dir):
     """countpageviews for one URL (G1), given as a literal the way a user
     asks: the most viewed page (a top-1 report computed by Spark). The lookup
     takes the literal path: ``url = ...`` reaches the scans of both views."""
-    from hourglass.operators import serving
     top = (views.pageview_fields(pageview_facts(spark, sf_dir)).groupBy("url")
            .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "url").limit(1)
            .first().url)
@@ -714,8 +671,6 @@ MONTH_START, MONTH_END = 473352, 474095
 
 
 def stored_view(spark, sf_dir, facts: DataFrame, name: str) -> DataFrame:
-    from hourglass.operators import storage
-    from hourglass.session import work_dir
     path = work_dir(spark, name) + "/view"
     storage.write_view(views.batch_view(facts, with_last_hour=True), path)
     return storage.read_view(spark, path, keep_layout=True)
@@ -725,7 +680,6 @@ def stored_view(spark, sf_dir, facts: DataFrame, name: str) -> DataFrame:
 def q_count_pageviews_stored(spark, sf_dir):
     """``count_pageviews`` over a stored view: the range is read through
     its coarse-bucket cover and period partitions, hour_done from last_hour."""
-    from hourglass.operators import serving
     f = pageview_facts(spark, sf_dir).where(F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600)
     v = stored_view(spark, sf_dir, f, "count_pageviews_stored")
     rt = realtime_pageview_rows(spark, sf_dir)
@@ -737,7 +691,6 @@ def q_batch_range_long(spark, sf_dir):
     """Batch-side range count over the whole month for every page URL, from
     a stored view: months, weeks and days cover the range, hours only at
     its edges."""
-    from hourglass.operators import serving
     v = stored_view(spark, sf_dir, pageview_facts(spark, sf_dir), "batch_range_long")
     u = serving.url_list(page_urls(spark, sf_dir))
     return serving.batch_range(v, u, MONTH_START, MONTH_END)
