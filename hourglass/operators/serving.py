@@ -223,11 +223,15 @@ def realtime_range(rt: DataFrame, bounds: DataFrame, mode: str = "distinct_secon
 def count_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
                     start: int | str, end: int | str, mode: str = "distinct_seconds",
                     normalize: bool = True, legacy_lower_bound: bool = False,
-                    legacy_12h: bool = False) -> DataFrame:
+                    legacy_12h: bool = False,
+                    broadcast_rows: int | None = None) -> DataFrame:
     """Pageviews per URL in [start, end] hours: batch + realtime.
 
     Returns (url, batch_pageviews, hour_done, realtime_pageviews, pageviews),
     one row per distinct queried URL. ``start > end`` gives zeros (F5).
+    URL lists are broadcast only when proven to have at most
+    ``broadcast_rows`` rows (default ``joins.DEFAULT_BROADCAST_ROWS``; 0 never
+    broadcasts a DataFrame list).
     """
     spark = view.sparkSession
     a, b = query_hour(start, legacy_12h), query_hour(end, legacy_12h)
@@ -235,7 +239,8 @@ def count_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
     u = _literal_frame(spark, lits) if lits is not None else url_list(urls, spark, normalize)
     # bounds and per-URL realtime counts have one row per queried URL: one
     # size check covers every join of the plan
-    small = lits is not None or bounded_rows(u, DEFAULT_BROADCAST_ROWS)
+    limit = DEFAULT_BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    small = lits is not None or (limit > 0 and bounded_rows(u, limit))
     batch = batch_range(view, u, a, b, small, lits)
     bounds = realtime_bounds(batch, a, b, legacy_lower_bound)
     if not legacy_lower_bound:   # lo >= start for every URL: prune statically too
@@ -253,7 +258,8 @@ def count_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
 def get_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
                   start: int | str, end: int | str, mode: str = "distinct_seconds",
                   normalize: bool = True, legacy_lower_bound: bool = False,
-                  legacy_12h: bool = False) -> DataFrame:
+                  legacy_12h: bool = False,
+                  broadcast_rows: int | None = None) -> DataFrame:
     """Detail rows behind ``count_pageviews`` (G2):
     (source, url, hour_bucket, secs, pageviews) — batch hour rows and
     realtime per-second rows (one per distinct second, or per second with its
@@ -262,7 +268,8 @@ def get_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
     a, b = query_hour(start, legacy_12h), query_hour(end, legacy_12h)
     lits = literal_urls(urls, spark, normalize)
     u = _literal_frame(spark, lits) if lits is not None else url_list(urls, spark, normalize)
-    small = lits is not None or bounded_rows(u, DEFAULT_BROADCAST_ROWS)
+    limit = DEFAULT_BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
+    small = lits is not None or (limit > 0 and bounded_rows(u, limit))
     batch = batch_range(view, u, a, b, small, lits)
     bounds = realtime_bounds(batch, a, b, legacy_lower_bound)
     bounds = F.broadcast(bounds) if small else bounds

@@ -149,20 +149,20 @@ def test_coarse_cover_equals_hour_sum_on_stored_view(spark, workdir):
     assert "granularity" in pushed and "period" in pushed
 
 
-def test_salted_shuffle_path_equals_broadcast_path(spark, tables, monkeypatch):
+def test_salted_shuffle_path_equals_broadcast_path(spark, tables):
     v, rt = tables
     urls = spark.createDataFrame([("http://a.org/x",), ("http://b.org/",), ("http://c.org/",)],
                                  "url string")
     want = sorted(serving.count_pageviews(v, rt, urls, 100, 105).collect())
     want_ev = sorted(serving.count_pageviews(v, rt, urls, 100, 105, mode="every_event").collect())
     want_rows = sorted(serving.get_pageviews(v, rt, urls, 100, 105).collect())
-    monkeypatch.setattr(serving, "DEFAULT_BROADCAST_ROWS", 1)   # force the shuffle path
-    q = serving.count_pageviews(v, rt, urls, 100, 105)
+    q = serving.count_pageviews(v, rt, urls, 100, 105, broadcast_rows=0)   # shuffle path
     assert "_salt" in inspect.plan_text(q, "extended")
     assert sorted(q.collect()) == want
-    assert sorted(serving.count_pageviews(v, rt, urls, 100, 105,
-                                          mode="every_event").collect()) == want_ev
-    assert sorted(serving.get_pageviews(v, rt, urls, 100, 105).collect()) == want_rows
+    assert sorted(serving.count_pageviews(v, rt, urls, 100, 105, mode="every_event",
+                                          broadcast_rows=0).collect()) == want_ev
+    assert sorted(serving.get_pageviews(v, rt, urls, 100, 105,
+                                        broadcast_rows=0).collect()) == want_rows
 
 
 def test_hour_ranges_are_numeric_not_string_ordered(spark):
