@@ -12,8 +12,9 @@ NORMALIZED_PROTOCOLS = ["http", "https", "ftp"]
 
 # protocol :// [userinfo@] host [:port] [path] [?query | #fragment]
 # group 1 = protocol, group 2 = host (bracketed IPv6 allowed), group 3 = path.
+# User info runs to the last "@" of the authority.
 URL_PATTERN = (
-    r"^((?i:" + "|".join(NORMALIZED_PROTOCOLS) + r"))://(?:[^/?#@]*@)?(\[[^\]]*\]|[^:/?#]*)"
+    r"^((?i:" + "|".join(NORMALIZED_PROTOCOLS) + r"))://(?:[^/?#]*@)?(\[[^\]]*\]|[^:/?#]*)"
     r"(?::[0-9]*)?((?:/[^?#]*)?)(?:[?#].*)?$"
 )
 

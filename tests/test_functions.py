@@ -17,6 +17,7 @@ URL_CASES = [
     ("HTTP://Example.COM/Path", "http://Example.COM/Path"),                 # protocol lowered, host kept
     ("http://example.com:8080/x?y=1#z", "http://example.com/x"),            # port, query, fragment
     ("https://user:pw@example.com/p", "https://example.com/p"),             # user info
+    ("http://a@b@example.com/p?x=@", "http://example.com/p"),               # last "@" ends it
     ("http://example.com/a b/c", "http://example.com/a b/c"),               # blank in path
     ("http://example.com#frag?x", "http://example.com"),
     ("http://example.com:/p", "http://example.com/p"),                      # empty port
