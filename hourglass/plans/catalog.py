@@ -617,8 +617,9 @@ def q_fact_validation(spark, sf_dir):
 """)
 def q_realtime_compacted(spark, sf_dir):
     """Speed layer over the coarse pageview stream, then the realtime table is
-    folded into a snapshot expiring the hours the batch view covers (all hours
-    before the split); distinct seconds per (url, hour) read through it."""
+    folded into a snapshot that expires every hour before the batch split hour
+    (the hours a batch run up to the split would have absorbed); distinct
+    seconds per (url, hour) read through the snapshot."""
     root = work_dir(spark, "realtime_compacted")
     lines = td.message_lines(spark, sf_dir, kinds=("pageview", "broken"), coarse=True)
     lines.repartitionByRange(4, "id").sortWithinPartitions("id").select("value") \
