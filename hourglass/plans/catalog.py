@@ -67,6 +67,7 @@ VIEW_SQL = G.granularity_rollup_sql(f"({HOURLY_SQL})")
     SELECT page_id, url || '?article=1', {G.normalize_url_sql("url || '?article=1'")} FROM pages
 """)
 def q_normalize_url(spark, sf_dir):
+    """Every page URL, raw and with a query string appended, normalized."""
     p = td.table(spark, sf_dir, "pages").select("page_id", "url")
     both = p.select("page_id", F.col("url").alias("raw_url")).unionByName(
         p.select("page_id", F.concat(F.col("url"), F.lit("?article=1")).alias("raw_url")))
@@ -80,11 +81,13 @@ def q_normalize_url(spark, sf_dir):
     FROM ({HOURLY_SQL})
 """)
 def q_pageviews_by_hour(spark, sf_dir):
+    """Pageview messages decoded to facts, URLs normalized, counted per (url, hour)."""
     return views.hourly_counts(pageview_facts(spark, sf_dir))
 
 
 @register("pageviews_by_granularity", VIEW_SQL)
 def q_pageviews_by_granularity(spark, sf_dir):
+    """The batch view: hourly counts rolled up to h/d/w/m buckets (P4, A2, G6); the flagship."""
     return views.batch_view(pageview_facts(spark, sf_dir))
 
 
@@ -96,12 +99,14 @@ def q_pageviews_by_granularity(spark, sf_dir):
     FROM ({VIEW_SQL})
 """)
 def q_batch_view_kv(spark, sf_dir):
+    """The batch view in key/value form: key text and the 8-byte value as hex."""
     kv = views.to_key_value(views.batch_view(pageview_facts(spark, sf_dir)))
     return kv.select(F.decode("key", "UTF-8").alias("key"), F.hex("value").alias("value_hex"))
 
 
 @register("batch_view_kv_decode", VIEW_SQL)
 def q_batch_view_kv_decode(spark, sf_dir):
+    """Key/value view decoded back to the typed view."""
     kv = views.to_key_value(views.batch_view(pageview_facts(spark, sf_dir)))
     return views.from_key_value(kv)
 
@@ -131,6 +136,8 @@ DECODED_SQL = f"""
 
 @register("decode_messages", DECODED_SQL)
 def q_decode_messages(spark, sf_dir):
+    """All valid messages of the mixed stream (envelopes with trailing commas
+    included), routed by type (S3, S4, F1, P8, P10)."""
     p = parsed_stream(spark, sf_dir).where(F.col("reason").isNull())
     return p.select(
         "messagetype", "secs", "personid", "personid1", "personid2",
@@ -152,6 +159,7 @@ def _pid_sql(expr: str, prefix: str) -> str:
     FROM (SELECT * FROM ({PV_SQL}) UNION ALL SELECT * FROM ({G.bad_url_rows_sql()}))
 """)
 def q_decode_pageview_facts(spark, sf_dir):
+    """Page-view facts of the mixed stream: timestamp, person id union and raw URL."""
     f = all_facts(spark, sf_dir).where(F.col("dataunit_id") == 4)
     return f.select(
         "true_as_of_secs",
@@ -166,6 +174,7 @@ def q_decode_pageview_facts(spark, sf_dir):
     FROM ({G.page_rows_sql()})
 """)
 def q_decode_page_facts(spark, sf_dir):
+    """Page-property facts of the mixed stream."""
     f = all_facts(spark, sf_dir).where(F.col("dataunit_id") == 2)
     return f.select(
         "true_as_of_secs",
@@ -188,6 +197,7 @@ def q_decode_page_facts(spark, sf_dir):
     FROM p
 """)
 def q_decode_person_facts(spark, sf_dir):
+    """Person-property facts: three per person message, one per value id."""
     f = all_facts(spark, sf_dir).where(F.col("dataunit_id") == 1)
     pp = "person_property"
     return f.select(
@@ -207,6 +217,7 @@ def q_decode_person_facts(spark, sf_dir):
     FROM ({G.equiv_rows_sql()})
 """)
 def q_decode_equiv_facts(spark, sf_dir):
+    """Equiv facts: both person id unions."""
     f = all_facts(spark, sf_dir).where(F.col("dataunit_id") == 3)
     return f.select(
         "true_as_of_secs",
@@ -231,6 +242,7 @@ def q_decode_equiv_facts(spark, sf_dir):
     ) GROUP BY 1, 2
 """)
 def q_facts_by_partition(spark, sf_dir):
+    """Decoded facts per (dataunit_id, value_id) partition."""
     return FS.partition_counts(all_facts(spark, sf_dir))
 
 
@@ -247,6 +259,7 @@ def _reason_case() -> str:
     FROM events WHERE event_type = 'error' AND event_id % 8 < 7 GROUP BY 1
 """)
 def q_quarantine_counts(spark, sf_dir):
+    """Broken messages of the mixed stream per quarantine reason."""
     p = parsed_stream(spark, sf_dir)
     return decode.to_quarantine(p).groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
 
@@ -301,6 +314,7 @@ def split_view(spark, sf_dir) -> DataFrame:
 
 @register("batch_range_count", _batch_side_sql(split=False))
 def q_batch_range_count(spark, sf_dir):
+    """Batch-side range count with hour_done for every page URL."""
     v = views.batch_view(pageview_facts(spark, sf_dir))
     u = serving.url_list(page_urls(spark, sf_dir))
     return serving.batch_range(v, u, RANGE_START, RANGE_END)
@@ -311,6 +325,7 @@ def q_batch_range_count(spark, sf_dir):
     FROM ({NORM_RT}) GROUP BY 1, 2
 """)
 def q_realtime_distinct_seconds(spark, sf_dir):
+    """Speed-path rows of the coarse pageview stream: distinct seconds per (url, hour)."""
     rows = realtime_pageview_rows(spark, sf_dir)
     return realtime.distinct_second_counts(rows)
 
@@ -345,6 +360,8 @@ COUNT_SQL = f"""
 
 @register("count_pageviews", COUNT_SQL)
 def q_count_pageviews(spark, sf_dir):
+    """countpageviews for every page URL: batch view of the facts before the
+    split hour plus the realtime rows after each URL's hour_done (G1/G5, A6)."""
     rt = realtime_pageview_rows(spark, sf_dir)
     return serving.count_pageviews(split_view(spark, sf_dir), rt, page_urls(spark, sf_dir),
                                    RANGE_START, RANGE_END)
@@ -363,6 +380,7 @@ def q_count_pageviews(spark, sf_dir):
     FROM bounds JOIN ({NORM_RT}) rt ON rt.url = bounds.url AND rt.h BETWEEN bounds.lo AND {RANGE_END}
 """)
 def q_get_pageviews(spark, sf_dir):
+    """getpageviews detail rows for every page URL: batch hour rows and realtime second rows."""
     rt = realtime_pageview_rows(spark, sf_dir)
     return serving.get_pageviews(split_view(spark, sf_dir), rt, page_urls(spark, sf_dir),
                                  RANGE_START, RANGE_END)
@@ -377,6 +395,7 @@ def q_get_pageviews(spark, sf_dir):
     GROUP BY url
 """)
 def q_rt_pages(spark, sf_dir):
+    """Realtime pages table: latest version per normalized URL."""
     return realtime.latest_per_key(realtime_rows(spark, sf_dir, kinds=("page", "broken"))["pages"], "pages")
 
 
@@ -388,6 +407,7 @@ def q_rt_pages(spark, sf_dir):
     FROM ({G.person_rows_sql()}) GROUP BY personid
 """)
 def q_rt_persons(spark, sf_dir):
+    """Realtime persons table: latest version per person id, raw gender kept."""
     return realtime.latest_per_key(realtime_rows(spark, sf_dir, kinds=("person", "broken"))["persons"], "persons")
 
 
@@ -396,6 +416,7 @@ def q_rt_persons(spark, sf_dir):
     FROM ({G.equiv_rows_sql()}) GROUP BY 1, 2
 """)
 def q_rt_equivs(spark, sf_dir):
+    """Realtime equivs table: latest pedigree per (personid1, personid2) (T4)."""
     return realtime.latest_per_key(realtime_rows(spark, sf_dir, kinds=("equiv", "broken"))["equivs"], "equivs")
 
 
@@ -473,7 +494,8 @@ def q_stream_pageviews(spark, sf_dir):
 
 @register("view_stored", VIEW_SQL)
 def q_view_stored(spark, sf_dir):
-    """Batch view written partitioned by granularity, URL-range files, read back."""
+    """Batch view (with last_hour) written partitioned by (granularity, period)
+    with URL-range files, read back."""
     root = work_dir(spark, "view_stored")
     storage.write_view(views.batch_view(pageview_facts(spark, sf_dir), with_last_hour=True),
                        f"{root}/view")
@@ -658,7 +680,8 @@ TOP_URL_SQL = f"""
 def q_count_pageviews_one_url(spark, sf_dir):
     """countpageviews for one URL (G1), given as a literal the way a user
     asks: the most viewed page (a top-1 report computed by Spark). The lookup
-    takes the literal path: ``url = ...`` reaches the scans of both views."""
+    takes the literal path: ``url = ...`` filters both views before any join
+    (on stored views it reaches the Parquet scans, see tests/test_serving.py)."""
     top = (views.pageview_fields(pageview_facts(spark, sf_dir)).groupBy("url")
            .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "url").limit(1)
            .first().url)
