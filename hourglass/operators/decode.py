@@ -250,7 +250,7 @@ def realtime_rows(parsed: DataFrame) -> dict[str, DataFrame]:
 
     URLs are normalized; ``ord_key`` (a 64-bit hash of the message fields)
     breaks ties between versions with the same timestamp, so "last write
-    wins" is deterministic while state keeps one bigint per key, not the
+    wins" is deterministic while stored rows keep one bigint per key, not the
     message text.
     """
     ok = parsed.where(F.col("reason").isNull())

@@ -485,8 +485,7 @@ def q_stream_pageviews(spark, sf_dir):
         for f in part:  # one write per file: modification times keep the order
             spark.read.text(f).write.mode("append").text(queue)
         qs = speed.start_speed(M.text_source(spark, queue, max_files_per_trigger=1),
-                               f"{root}/rt", f"{root}/ck", trigger={"availableNow": True},
-                               watermark="1 day", tables=("pageviews",))
+                               f"{root}/rt", f"{root}/ck", trigger={"availableNow": True}, tables=("pageviews",))
         speed.await_all(qs)
     pv = speed.read_realtime(spark, f"{root}/rt", "pageviews")
     return realtime.distinct_second_counts(pv)
@@ -647,8 +646,7 @@ def q_realtime_compacted(spark, sf_dir):
     lines.repartitionByRange(4, "id").sortWithinPartitions("id").select("value") \
         .write.mode("overwrite").text(f"{root}/queue")
     qs = speed.start_speed(M.text_source(spark, f"{root}/queue", max_files_per_trigger=1),
-                           f"{root}/rt", f"{root}/ck", trigger={"availableNow": True},
-                           watermark=None, tables=("pageviews",))
+                           f"{root}/rt", f"{root}/ck", trigger={"availableNow": True}, tables=("pageviews",))
     speed.await_all(qs)
     speed.compact_realtime(spark, f"{root}/rt", "pageviews", f"{root}/snap",
                            expire_before_hour=BATCH_SPLIT_HOUR)

@@ -1,27 +1,26 @@
 """Speed layer (T1-T4, S19, J2): queue lines -> four realtime tables in ONE
-streaming query.
+streaming query, with no streaming state.
 
 Every decoded message becomes one keyed row (no union, no per-table re-scan
 of the source): ``tbl`` names its table, ``k1, k2, n1, n2`` hold the table's
-key and ``v`` its values. One stateful aggregation keeps, per key, the
-version with the greatest (event seconds, message hash) and the number of
-writes:
+key and ``v`` its values:
 
-* pageviews  key (url, hour_bucket, secs), value personid; a watermark on the
-  event time bounds this state (old hours belong to the batch layer);
+* pageviews  key (url, hour_bucket, secs), value personid;
 * pages      key (url), values pedigree, pageview;
 * persons    key (personid), values pedigree, gendertype, fullname, city,
              state, country;
 * equivs     key (personid1, personid2), value pedigree.
 
-Entity tables have no event time in their key (NULL), so the watermark never
-evicts them: their state is one entry per entity (RocksDB state store).
-
-The update-mode output of micro-batch ``n`` is written by ``foreachBatch`` to
-``<root>/batch_id=<n>/tbl=<table>`` with overwrite, so a retried batch
-replaces its own output (idempotent). ``read_realtime`` returns one table,
-typed, newest version per key; ``compact_realtime`` folds batches into a
-snapshot and expires pageview hours the batch layer has absorbed.
+Each micro-batch is aggregated on its own in ``foreachBatch`` — per key the
+version with the greatest ``(event seconds, message hash)`` and the number of
+writes — and written to ``<root>/batch_id=<n>/tbl=<table>`` with overwrite,
+so a retried batch replaces its own output (idempotent). Both merges are
+associative (last write wins by an order key; counts add up), so merging the
+batch outputs when reading (``read_realtime``) or compacting
+(``compact_realtime``) gives exactly what a stateful aggregation would,
+without a state store that grows with keys x seconds, and late messages are
+merged, never dropped. Compaction folds batches into a snapshot and expires
+pageview hours the batch layer has absorbed.
 """
 
 from __future__ import annotations
@@ -78,38 +77,40 @@ def keyed_rows(parsed: DataFrame) -> DataFrame:
 
 
 def speed_frame(lines: DataFrame, coordinate_cols: tuple[str, ...] = (),
-                watermark: str | None = "2 hours",
                 tables: tuple[str, ...] = TABLES) -> DataFrame:
-    """The streaming aggregate behind all four tables (not started)."""
+    """The keyed rows the speed query hands to each micro-batch (not started)."""
     parsed = decode.parse_messages(lines, coordinate_cols=coordinate_cols, strict_urls=True)
     rows = keyed_rows(parsed)
     if tuple(tables) != TABLES:
         rows = rows.where(F.col("tbl").isin(*tables))
-    keys = ["tbl", "k1", "k2", "n1", "n2"]
-    if watermark:
-        rows = rows.withColumn(
-            "event_time", F.when(F.col("tbl") == "pageviews", F.timestamp_seconds("n2"))
-        ).withWatermark("event_time", watermark)
-        keys.append("event_time")
-    order = F.struct(F.col("secs"), F.col("ord_key"))
-    out = rows.groupBy(*keys).agg(F.max_by(F.col("v"), order).alias("v"),
-                                  F.count(F.lit(1)).alias("events"))
-    return out.select("tbl", "k1", "k2", "n1", "n2", "v", "events")
+    return rows
+
+
+def micro_batch_aggregate(rows: DataFrame) -> DataFrame:
+    """Per key of one micro-batch: the latest version (by secs, then message
+    hash), its order key and the number of writes. Partial per task, then one
+    shuffle on the key, like any ``groupBy``."""
+    order = F.struct(F.col("secs").alias("secs"), F.col("ord_key").alias("ord_key"))
+    out = rows.groupBy("tbl", "k1", "k2", "n1", "n2").agg(
+        F.max_by(F.col("v"), order).alias("v"),
+        F.max(order).alias("ord"),
+        F.count(F.lit(1)).alias("events"))
+    return out.select("tbl", "k1", "k2", "n1", "n2", "v", "ord", "events")
 
 
 def _batch_writer(root: str):
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").partitionBy("tbl").parquet(f"{root}/batch_id={batch_id}")
+        (micro_batch_aggregate(df).write.mode("overwrite").partitionBy("tbl")
+         .parquet(f"{root}/batch_id={batch_id}"))
     return write
 
 
 def start_speed(lines: DataFrame, out_root: str, checkpoint_root: str,
-                coordinate_cols: tuple[str, ...] = (), watermark: str | None = "2 hours",
-                trigger: dict | None = None,
+                coordinate_cols: tuple[str, ...] = (), trigger: dict | None = None,
                 tables: tuple[str, ...] = TABLES) -> dict[str, StreamingQuery]:
     """Start the speed-layer query; returns it as ``{"speed": query}``."""
-    w = (speed_frame(lines, coordinate_cols, watermark, tables).writeStream
-         .outputMode("update")
+    w = (speed_frame(lines, coordinate_cols, tables).writeStream
+         .outputMode("append")
          .option("checkpointLocation", f"{checkpoint_root}/speed")
          .foreachBatch(_batch_writer(out_root)))
     if trigger:
@@ -119,13 +120,24 @@ def start_speed(lines: DataFrame, out_root: str, checkpoint_root: str,
 
 def _typed(generic: DataFrame, table: str) -> DataFrame:
     cols = [F.col(src).alias(dst) for dst, src in TYPED[table].items()]
-    return generic.select(*cols, F.col("batch_id").cast("int").alias("batch_id"))
+    return generic.select(*cols, "ord", F.col("batch_id").cast("int").alias("batch_id"))
+
+
+def _merge(df: DataFrame, table: str) -> DataFrame:
+    """Merge typed versions of keys: latest values by order key; for
+    pageviews the write counts add up. Keeps ``ord`` for later merges."""
+    keys, vals = RT_KEYS[table], RT_VALUES[table]
+    aggs = [F.max_by(F.struct(*[F.col(v) for v in vals]), F.col("ord")).alias("_v"),
+            F.max("ord").alias("ord")]
+    if table == "pageviews":
+        aggs.append(F.sum("events").cast("bigint").alias("events"))
+    out = df.groupBy(*keys).agg(*aggs)
+    extra = [F.col(c) for c in EXTRA_VALUES.get(table, [])]
+    return out.select(*keys, *[F.col("_v")[v].alias(v) for v in vals], *extra, "ord")
 
 
 def _latest(df: DataFrame, table: str) -> DataFrame:
-    keys, vals = RT_KEYS[table], RT_VALUES[table] + EXTRA_VALUES.get(table, [])
-    latest = F.max_by(F.struct(*[F.col(v) for v in vals]), F.col("batch_id")).alias("_v")
-    return df.groupBy(*keys).agg(latest).select(*keys, *[F.col("_v")[v].alias(v) for v in vals])
+    return _merge(df, table).drop("ord")
 
 
 def _batches(spark: SparkSession, out_root: str, table: str) -> DataFrame | None:
@@ -147,7 +159,7 @@ def read_realtime(spark: SparkSession, out_root: str, table: str,
     """
     parts = []
     upto = None
-    if snapshot_path and path_exists(spark, snapshot_path):
+    if snapshot_path and path_exists(spark, snapshot_path):  # merged, with "ord"
         base = spark.read.parquet(snapshot_path)
         upto = base.agg(F.max("batch_id")).first()[0]
         parts.append(base)
@@ -166,8 +178,7 @@ def compact_realtime(spark: SparkSession, out_root: str, table: str, snapshot_pa
                      previous_snapshot: str | None = None,
                      expire_before_hour: int | None = None) -> int:
     """Fold a realtime table (previous snapshot + batch folders) into one
-    latest-per-key snapshot at ``snapshot_path``; returns the last batch id
-    folded in.
+    merged snapshot at ``snapshot_path``; returns the last batch id folded in.
 
     ``expire_before_hour`` drops pageview entries of hours the batch view has
     absorbed (serving reads realtime rows only after the last batch hour), so
@@ -178,13 +189,12 @@ def compact_realtime(spark: SparkSession, out_root: str, table: str, snapshot_pa
     if b is None:
         return -1
     upto = spark.read.parquet(out_root).agg(F.max("batch_id")).first()[0]
-    parts = [b.where(F.col("batch_id") <= F.lit(upto))]
+    df = b.where(F.col("batch_id") <= F.lit(upto))
     if previous_snapshot is not None:
         base = spark.read.parquet(previous_snapshot)
         done = base.agg(F.max("batch_id")).first()[0]
-        parts = [base, parts[0].where(F.col("batch_id") > F.lit(done))]
-    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    cur = _latest(df, table)
+        df = base.unionByName(df.where(F.col("batch_id") > F.lit(done)))
+    cur = _merge(df, table)
     if table == "pageviews" and expire_before_hour is not None:
         cur = cur.where(F.col("hour_bucket") >= F.lit(expire_before_hour))
     cur.withColumn("batch_id", F.lit(upto).cast("int")).write.mode("overwrite").parquet(snapshot_path)

@@ -38,8 +38,7 @@ def test_lambda_pipeline(spark, workdir):
                                 trigger={"availableNow": True})
         q.awaitTermination()
         speed.await_all(speed.start_speed(M.text_source(spark, queue), f"{workdir}/rt",
-                                          f"{workdir}/ck_s", trigger={"availableNow": True},
-                                          watermark=None))
+                                          f"{workdir}/ck_s", trigger={"availableNow": True}))
 
     run_streams()
     jobs.run_batch(spark, f"{workdir}/new", f"{workdir}/master", f"{workdir}/view",
