@@ -30,6 +30,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from hourglass import schemas as S
 from hourglass.functions import bucketed_key, serialize_long, view_period
 from hourglass.operators import views
+from hourglass.session import path_exists
 from hourglass.sources import facts as FS
 
 NEW_DATA_READ = S.NEW_DATA  # partition columns are part of the declared schema
@@ -207,21 +208,29 @@ def refresh_view_in_place(spark: SparkSession, view_path: str, new_facts: DataFr
        with the delta and written to ``<staging>/merged``; the written copy
        also cuts the lineage to the files about to be replaced.
     4. The merged partitions are swapped in with dynamic partition overwrite.
+
     Untouched partitions are neither read nor written. ``staging_path`` is a
-    fresh folder in the shared checkpoint area.
+    folder in the shared checkpoint area, fixed per refresh: if the job dies
+    during the swap, running it again with the same staging path finds the
+    completed merge and only repeats the swap, so no partition is counted
+    twice.
     """
-    write_view(views.batch_view(new_facts, with_last_hour=True), f"{staging_path}/delta")
-    delta = read_view(spark, f"{staging_path}/delta", keep_layout=True)
+    merged_path = f"{staging_path}/merged"
+    if not path_exists(spark, f"{merged_path}/_SUCCESS"):
+        write_view(views.batch_view(new_facts, with_last_hour=True), f"{staging_path}/delta")
+        delta = read_view(spark, f"{staging_path}/delta", keep_layout=True)
+        touched = [(r.granularity, int(r.period))
+                   for r in delta.select(*VIEW_LAYOUT).distinct().collect()]
+        if not touched:
+            return []
+        cond = None
+        for g, p in touched:
+            c = (F.col("granularity") == g) & (F.col("period") == p)
+            cond = c if cond is None else (cond | c)
+        old = read_view(spark, view_path, keep_layout=True).where(cond)
+        write_view(views.merge_views(old, delta), merged_path)
+    merged = read_view(spark, merged_path, keep_layout=True)
     touched = [(r.granularity, int(r.period))
-               for r in delta.select(*VIEW_LAYOUT).distinct().collect()]
-    if not touched:
-        return []
-    cond = None
-    for g, p in touched:
-        c = (F.col("granularity") == g) & (F.col("period") == p)
-        cond = c if cond is None else (cond | c)
-    old = read_view(spark, view_path, keep_layout=True).where(cond)
-    write_view(views.merge_views(old, delta), f"{staging_path}/merged")
-    write_view(read_view(spark, f"{staging_path}/merged", keep_layout=True), view_path,
-               dynamic=True)
+               for r in merged.select(*VIEW_LAYOUT).distinct().collect()]
+    write_view(merged, view_path, dynamic=True)
     return touched

@@ -155,3 +155,15 @@ def test_bucketed_views_join_on_url_without_shuffle(spark, workdir):
         assert j.count() > 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_in_place_refresh_retry_does_not_double_count(spark, workdir):
+    facts = decode.to_facts(decode.parse_messages(sample_lines(spark, n=60)))
+    cut = 1704067200 + 40 * 600
+    old, new = facts.where(F.col("true_as_of_secs") < cut), facts.where(F.col("true_as_of_secs") >= cut)
+    storage.write_view(views.batch_view(old, with_last_hour=True), f"{workdir}/view")
+    storage.refresh_view_in_place(spark, f"{workdir}/view", new, f"{workdir}/stage")
+    # the same refresh run again (e.g. after a driver loss during the swap)
+    storage.refresh_view_in_place(spark, f"{workdir}/view", new, f"{workdir}/stage")
+    got = storage.read_view(spark, f"{workdir}/view")
+    assert sorted(got.collect()) == sorted(views.batch_view(facts).collect())
