@@ -44,7 +44,9 @@ def run_incremental(spark: SparkSession, new_data_path: str, master_path: str,
     ``<checkpoint>/delta``, tagged with ``run_id`` as a partition. Re-running
     a killed refresh with the same ``run_id`` resumes both streams and
     completes the same delta; the merge is staged under
-    ``<checkpoint>/stage/<run_id>`` before the partition swap.
+    ``<checkpoint>/stage/<run_id>`` before the partition swap, and a retry
+    after a completed merge only repeats the swap. ``run_id`` names one
+    refresh: use a new one for each refresh, the same one for its retries.
     """
     storage.absorb(spark, new_data_path, master_path, f"{checkpoint}/absorb")
     storage.absorb(spark, new_data_path, f"{checkpoint}/delta", f"{checkpoint}/delta-ck",
