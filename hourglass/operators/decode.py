@@ -77,14 +77,17 @@ def parse_messages(lines: DataFrame, value_col: str = "value",
         .when(is_env, pc["messages"])
         .otherwise(F.array(single))
     )
-    # Only a line that failed as a whole keeps its text (as its single
-    # quarantine row); a good envelope's text is not copied into each of its
-    # messages, which would make decoding quadratic in envelope size.
+    # Line-level columns are computed before the generator, so posexplode
+    # copies only small values into each message row: a good envelope's text
+    # and parsed struct are not repeated per message (which would make
+    # decoding quadratic in envelope size). Only a line that failed as a whole
+    # keeps its text, for its single quarantine row.
     df = df.select(
         F.when(line_reason.isNotNull(), F.col("_line")).alias("_line"),
-        "line_hash", line_reason.alias("_line_reason"),
-        F.posexplode(items).alias("pos", "_m"),
+        "line_hash", line_reason.alias("_line_reason"), items.alias("_items"),
     )
+    df = df.select("_line", "line_hash", "_line_reason",
+                   F.posexplode("_items").alias("pos", "_m"))
     m = F.col("_m")
     fields = [m[n].alias(n) for n in S.MESSAGE_FIELDS]
     df = df.select("_line", "line_hash", "_line_reason", "pos", *fields)

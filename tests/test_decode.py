@@ -126,3 +126,14 @@ def test_large_envelope_decodes_every_message(spark):
     facts = decode.to_facts(p)
     assert facts.count() == 20000
     assert facts.select("page_view.nonce").distinct().count() == 20000
+
+
+def test_posexplode_carries_no_envelope_copies(spark):
+    from hourglass.plans import inspect
+    plan = inspect.plan_text(decode.to_new_data(decode.parse_messages(
+        lines(spark, envelope(PV, PAGE)))), "formatted")
+    args = [l for l in plan.splitlines() if l.startswith("Arguments: posexplode(")]
+    assert args, plan
+    carried = args[0].split("), [", 1)[1]
+    # only small per-line values ride along with each message
+    assert "_p#" not in carried and "_items#" not in carried, carried
