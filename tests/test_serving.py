@@ -185,3 +185,25 @@ def test_counts_beyond_32_bits(spark):
         "http://a.org/"]["pageviews"] == big
     back = views.from_key_value(views.to_key_value(v)).first()
     assert back.total_pageviews == big
+
+
+def test_salting_spreads_a_hot_url_over_tasks(spark):
+    from hourglass.operators.joins import salted_range_join
+    hot = [("http://hot.org/", 100, 100 * 3600 + i) for i in range(900)]
+    cold = [(f"http://c{i}.org/", 100, 100 * 3600 + i) for i in range(100)]
+    rt = spark.createDataFrame(hot + cold, "url string, hour_bucket long, secs long")
+    bounds = spark.createDataFrame([(u, 99, 101) for u in ["http://hot.org/"] +
+                                    [f"http://c{i}.org/" for i in range(100)]],
+                                   "url string, lo long, hi long")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = salted_range_join(rt, bounds, "url", "hour_bucket", "lo", "hi", salt_of="secs",
+                              salts=16)
+        parts = (j.where(F.col("url") == "http://hot.org/")
+                 .select(F.spark_partition_id().alias("p")).distinct().count())
+        assert parts > 1                      # the hot URL is split over several tasks
+        assert j.count() == 1000              # and nothing is lost or duplicated
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
