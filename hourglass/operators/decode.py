@@ -72,25 +72,29 @@ def parse_messages(lines: DataFrame, value_col: str = "value",
         .when(top_type.isNull(), "missing_messagetype")
         .when(is_env & pc["messages"].isNull(), "bad_envelope")
     )
+    # Each exploded element carries its message plus, for a line that failed
+    # as a whole, the reason and the line text (its single quarantine row).
+    # Everything is computed inside the generator's input from the one parsed
+    # struct, so the line is parsed once and posexplode copies only
+    # ``line_hash`` into each message row: a good envelope's text and parsed
+    # struct are never repeated per message (decoding stays linear in
+    # envelope size).
+    def item(msg, reason, text):
+        return F.struct(msg.alias("m"), reason.alias("r"), text.alias("l"))
+
+    none = F.lit(None).cast("string")
     items = (
-        F.when(line_reason.isNotNull(), F.array(_null_message()))
-        .when(is_env, pc["messages"])
-        .otherwise(F.array(single))
+        F.when(line_reason.isNotNull(),
+               F.array(item(_null_message(), line_reason, F.col("_line"))))
+        .when(is_env, F.transform(pc["messages"], lambda x: item(x, none, none)))
+        .otherwise(F.array(item(single, none, none)))
     )
-    # Line-level columns are computed before the generator, so posexplode
-    # copies only small values into each message row: a good envelope's text
-    # and parsed struct are not repeated per message (which would make
-    # decoding quadratic in envelope size). Only a line that failed as a whole
-    # keeps its text, for its single quarantine row.
-    df = df.select(
-        F.when(line_reason.isNotNull(), F.col("_line")).alias("_line"),
-        "line_hash", line_reason.alias("_line_reason"), items.alias("_items"),
-    )
-    df = df.select("_line", "line_hash", "_line_reason",
-                   F.posexplode("_items").alias("pos", "_m"))
-    m = F.col("_m")
+    df = df.select("line_hash", F.posexplode(items).alias("pos", "_it"))
+    it = F.col("_it")
+    m = it["m"]
     fields = [m[n].alias(n) for n in S.MESSAGE_FIELDS]
-    df = df.select("_line", "line_hash", "_line_reason", "pos", *fields)
+    df = df.select(it["l"].alias("_line"), "line_hash", it["r"].alias("_line_reason"),
+                   "pos", *fields)
 
     t = F.col("messagetype")
     secs = parse_long(F.col("pedigree"))

@@ -137,3 +137,5 @@ def test_posexplode_carries_no_envelope_copies(spark):
     carried = args[0].split("), [", 1)[1]
     # only small per-line values ride along with each message
     assert "_p#" not in carried and "_items#" not in carried, carried
+    # and every line is parsed exactly once
+    assert plan.split("\n\n\n", 1)[1].count("from_json(") == 1
