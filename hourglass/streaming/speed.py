@@ -56,8 +56,9 @@ def keyed_rows(parsed: DataFrame) -> DataFrame:
     """One generic keyed row per valid message (a single projection)."""
     t = F.col("messagetype")
     s = lambda c: F.col(c).cast("string")
-    tbl = (F.when(t == "pageview", "pageviews").when(t == "page", "pages")
-           .when(t == "person", "persons").when(t == "equiv", "equivs"))
+    tbl = None
+    for mtype, table in TABLE_OF_TYPE.items():
+        tbl = F.when(t == mtype, table) if tbl is None else tbl.when(t == mtype, table)
     k1 = (F.when(t == "pageview", normalize_url(F.col("pageid")))
           .when(t == "page", normalize_url(F.col("url")))
           .when(t == "person", s("personid"))
