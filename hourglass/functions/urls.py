@@ -25,18 +25,20 @@ def _col(c: Column | str) -> Column:
 
 def normalize_url(url: Column | str) -> Column:
     """protocol://host/path of ``url``; port, user info, query and fragment are
-    dropped, the protocol is lower-cased and the host keeps its case.
+    dropped, the protocol is lower-cased and the host keeps its case;
+    surrounding blanks are ignored.
 
     A URL that does not parse (unknown protocol, non-numeric port, no ``://``)
     is returned unchanged; NULL stays NULL. Two codegen'd regex evaluations,
     never per-row Python.
     """
     u = _col(url)
-    proto = F.regexp_extract(u, URL_PATTERN, 1)       # '' when the URL does not match
-    rest = F.regexp_replace(u, URL_PATTERN, "://$2$3")
+    t = F.trim(u)                                     # surrounding blanks are ignored
+    proto = F.regexp_extract(t, URL_PATTERN, 1)       # '' when the URL does not match
+    rest = F.regexp_replace(t, URL_PATTERN, "://$2$3")
     return F.when(proto != "", F.concat(F.lower(proto), rest)).otherwise(u)
 
 
 def is_valid_url(url: Column | str) -> Column:
     """True when ``normalize_url`` would rewrite the URL (it parses)."""
-    return F.coalesce(_col(url).rlike(URL_PATTERN), F.lit(False))
+    return F.coalesce(F.trim(_col(url)).rlike(URL_PATTERN), F.lit(False))

@@ -14,10 +14,11 @@ def q(s: str) -> str:
 
 def normalize_url_sql(expr: str) -> str:
     rx = q(URL_PATTERN)
-    proto = f"lower(regexp_extract({expr}, {rx}, 1))"
-    return (f"(CASE WHEN regexp_matches({expr}, {rx}) "
-            f"THEN {proto} || '://' || regexp_extract({expr}, {rx}, 2) || "
-            f"regexp_extract({expr}, {rx}, 3) ELSE {expr} END)")
+    t = f"trim({expr})"
+    proto = f"lower(regexp_extract({t}, {rx}, 1))"
+    return (f"(CASE WHEN regexp_matches({t}, {rx}) "
+            f"THEN {proto} || '://' || regexp_extract({t}, {rx}, 2) || "
+            f"regexp_extract({t}, {rx}, 3) ELSE {expr} END)")
 
 
 def pageview_rows_sql(coarse: bool = False) -> str:

@@ -26,6 +26,7 @@ URL_CASES = [
     ("gopher://example.com/p", "gopher://example.com/p"),                   # unknown scheme: unchanged
     ("example.com/p", "example.com/p"),                                     # no scheme: unchanged
     ("bad url 17", "bad url 17"),
+    ("  http://example.com/a?b  ", "http://example.com/a"),                 # surrounding blanks
 ]
 
 
