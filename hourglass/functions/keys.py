@@ -7,8 +7,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: the key layout "<url>/<granularity>-<bucket>" as a pattern
-# (the url is everything before the last "/<g>-<n>").
-KEY_PATTERN = r"^(.*)/([hdwm])-(-?[0-9]+)$"
+# (the url is everything before the last "/<g>-<n>", line breaks included).
+KEY_PATTERN = r"(?s)^(.*)/([hdwm])-(-?[0-9]+)$"
 
 
 def _col(c: Column | str) -> Column:

@@ -14,7 +14,7 @@ NORMALIZED_PROTOCOLS = ["http", "https", "ftp"]
 # group 1 = protocol, group 2 = host (bracketed IPv6 allowed), group 3 = path.
 # User info runs to the last "@" of the authority.
 URL_PATTERN = (
-    r"^((?i:" + "|".join(NORMALIZED_PROTOCOLS) + r"))://(?:[^/?#]*@)?(\[[^\]]*\]|[^:/?#]*)"
+    r"(?s)^((?i:" + "|".join(NORMALIZED_PROTOCOLS) + r"))://(?:[^/?#]*@)?(\[[^\]]*\]|[^:/?#]*)"
     r"(?::[0-9]*)?((?:/[^?#]*)?)(?:[?#].*)?$"
 )
 

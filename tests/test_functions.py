@@ -27,6 +27,7 @@ URL_CASES = [
     ("example.com/p", "example.com/p"),                                     # no scheme: unchanged
     ("bad url 17", "bad url 17"),
     ("  http://example.com/a?b  ", "http://example.com/a"),                 # surrounding blanks
+    ("http://example.com/a?b\nc", "http://example.com/a"),                  # line break in query
 ]
 
 
