@@ -45,3 +45,69 @@ def test_key_value_round_trip(spark, rows):
                        deserialize_long("value").alias("n2"), "value").collect():
         assert (r.u2, r.g2, r.b2, r.n2) == (r.url, r.g, r.b, r.n)
         assert bytes(r.value) == r.n.to_bytes(8, "big", signed=True)
+
+
+text = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), min_size=1, max_size=20)
+person_ids = st.one_of(text.map(lambda t: "cookie" + t),
+                       st.integers(min_value=-(2 ** 62), max_value=2 ** 62).map(str))
+messages = st.one_of(
+    st.tuples(st.just("pageview"), st.integers(0, 2 ** 40), person_ids, text),
+    st.tuples(st.just("page"), st.integers(0, 2 ** 40), text, st.integers(0, 2 ** 31 - 1)),
+    st.tuples(st.just("equiv"), st.integers(0, 2 ** 40), person_ids, person_ids),
+)
+
+
+def as_json(m):
+    kind, secs, a, b = m
+    base = {"messagetype": kind, "pedigree": str(secs)}
+    if kind == "pageview":
+        base.update(personid=a, pageid=b)
+    elif kind == "page":
+        base.update(url=a, pageview=str(b))
+    else:
+        base.update(personid1=a, personid2=b)
+    return base
+
+
+def pid(s):
+    return (s, None) if s.startswith("cookie") else (None, int(s))
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(messages, min_size=1, max_size=60), st.integers(1, 5))
+def test_decode_round_trip(spark, msgs, per_envelope):
+    import json
+    from hourglass.operators import decode
+    docs, i = [], 0
+    while i < len(msgs):   # alternate single lines and trailing-comma envelopes
+        chunk = msgs[i:i + per_envelope]
+        if (i // per_envelope) % 2:
+            docs.append('{"messagetype":"messages","messages":['
+                        + ",".join(json.dumps(as_json(m)) for m in chunk) + ",]}")
+        else:
+            docs.extend(json.dumps(as_json(m)) for m in chunk)
+        i += per_envelope
+    facts, bad = decode.decode_facts(spark.createDataFrame([(d,) for d in docs], "value string"))
+    assert bad.count() == 0
+    got = []
+    for r in facts.collect():
+        if r.dataunit_id == 4:
+            p = r.page_view
+            got.append(("pageview", r.true_as_of_secs, (p.person.cookie, p.person.user_id),
+                        p.page.url))
+        elif r.dataunit_id == 2:
+            got.append(("page", r.true_as_of_secs, r.page_property.id.url,
+                        r.page_property.property.page_views))
+        else:
+            e = r.equiv
+            got.append(("equiv", r.true_as_of_secs, (e.id1.cookie, e.id1.user_id),
+                        (e.id2.cookie, e.id2.user_id)))
+    want = []
+    for kind, secs, a, b in msgs:
+        if kind == "pageview":
+            want.append((kind, secs, pid(a), b))
+        elif kind == "page":
+            want.append((kind, secs, a, b))
+        else:
+            want.append((kind, secs, pid(a), pid(b)))
+    assert sorted(got, key=repr) == sorted(want, key=repr)
