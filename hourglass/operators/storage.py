@@ -170,15 +170,22 @@ def write_view_sharded(view: DataFrame, table: str, path: str, shards: int = 4)
      .saveAsTable(table))
 
 
-def write_view_kv(view: DataFrame, path: str, shards: int = 4) -> None:
-    """Key/value form in ``shards`` files; all keys of one URL share a shard
-    (url-only sharding, R6/R7), keys sorted inside each shard."""
+def write_view_kv(view: DataFrame, path: str, shards: int = 4, by: str = "url") -> None:
+    """Key/value form in ``shards`` files, keys sorted inside each shard.
+
+    ``by="url"`` puts all keys of one URL in the same shard (url-only
+    sharding, R7: a URL's buckets are read from one file); ``by="key"``
+    hashes the full key (R6), spreading one URL's buckets over shards.
+    """
+    if by not in ("url", "key"):
+        raise ValueError("by must be 'url' or 'key'")
     kv = view.select(
         F.col("url").alias("_url"),
         bucketed_key("url", "granularity", "bucket").alias("key"),
         serialize_long("total_pageviews").alias("value"),
     )
-    (kv.repartition(shards, "_url").sortWithinPartitions("key").drop("_url")
+    (kv.repartition(shards, "_url" if by == "url" else "key")
+     .sortWithinPartitions("key").drop("_url")
      .write.mode("overwrite").parquet(path))
 
 

@@ -75,6 +75,11 @@ def test_view_sinks_round_trip(spark, workdir):
     kv = storage.read_view_kv(spark, f"{workdir}/kv").select(
         views.key_url("key").alias("u"), F.input_file_name().alias("f"))
     assert kv.groupBy("u").agg(F.count_distinct("f").alias("n")).where("n > 1").count() == 0
+    # full-key sharding keeps every row, in at most 4 files
+    storage.write_view_kv(v, f"{workdir}/kv_key", shards=4, by="key")
+    kk = storage.read_view_kv(spark, f"{workdir}/kv_key")
+    assert sorted(views.from_key_value(kk).collect()) == want
+    assert len(kk.inputFiles()) <= 4
 
 
 def test_incremental_job_equals_full_rebuild(spark, workdir):
