@@ -716,3 +716,13 @@ def q_batch_range_long(spark, sf_dir):
     v = stored_view(spark, sf_dir, pageview_facts(spark, sf_dir), "batch_range_long")
     u = serving.url_list(page_urls(spark, sf_dir))
     return serving.batch_range(v, u, MONTH_START, MONTH_END)
+
+
+@register("get_pageviews_stored", ORACLES["get_pageviews"])
+def q_get_pageviews_stored(spark, sf_dir):
+    """getpageviews over a stored view read with its layout: hour rows pruned
+    to the periods of the range, hour_done from last_hour (G2)."""
+    f = pageview_facts(spark, sf_dir).where(F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600)
+    v = stored_view(spark, sf_dir, f, "get_pageviews_stored")
+    rt = realtime_pageview_rows(spark, sf_dir)
+    return serving.get_pageviews(v, rt, page_urls(spark, sf_dir), RANGE_START, RANGE_END)
