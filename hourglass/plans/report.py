@@ -38,6 +38,8 @@ def main(sf_dir: str, out: str) -> None:
         ("Decode: queue lines -> facts + quarantine (one pass)", decode.to_new_data(parsed)),
         ("Batch view from the stored master", views.batch_view(master_pv)),
         ("Serving, one URL (literal list)", serving.count_pageviews(view, rt, one, 473600, 473760)),
+        ("Serving, one URL over the whole month (month/week/day cover of the range)",
+         serving.count_pageviews(view, rt, one, 473352, 474095)),
         ("Serving, many URLs (DataFrame list, size-checked broadcast)",
          serving.count_pageviews(view, rt, many, 473600, 473760)),
         ("Serving, many URLs beyond the broadcast bound (shuffle, salted hot URLs; "
