@@ -28,6 +28,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import (
+    IntegerType, LongType, StringType, StructField, StructType,
+)
 
 from hourglass.functions import hour_bucket, normalize_url
 from hourglass.operators import decode
@@ -40,6 +43,17 @@ TABLE_OF_TYPE = {"pageview": "pageviews", "page": "pages", "person": "persons",
 EXTRA_VALUES = {"pageviews": ["events"]}
 VALUE_FIELDS = ["personid", "pedigree", "pageview", "gendertype", "fullname", "city",
                 "state", "country"]
+# Stored generic rows (partition columns batch_id and tbl included): read
+# with this schema, never inferred.
+GENERIC = StructType([
+    StructField("k1", StringType()), StructField("k2", StringType()),
+    StructField("n1", LongType()), StructField("n2", LongType()),
+    StructField("v", StructType([StructField(c, StringType()) for c in VALUE_FIELDS])),
+    StructField("ord", StructType([StructField("secs", LongType()),
+                                   StructField("ord_key", LongType())])),
+    StructField("events", LongType()),
+    StructField("batch_id", IntegerType()), StructField("tbl", StringType()),
+])
 # typed column -> generic column, per table
 TYPED = {
     "pageviews": {"url": "k1", "hour_bucket": "n1", "secs": "n2", "personid": "v.personid",
@@ -144,9 +158,7 @@ def _latest(df: DataFrame, table: str) -> DataFrame:
 def _batches(spark: SparkSession, out_root: str, table: str) -> DataFrame | None:
     if not path_exists(spark, out_root):
         return None
-    g = spark.read.parquet(out_root)
-    if "tbl" not in g.columns:      # only empty micro-batches so far
-        return None
+    g = spark.read.schema(GENERIC).parquet(out_root)
     return _typed(g.where(F.col("tbl") == table), table)
 
 
@@ -189,7 +201,9 @@ def compact_realtime(spark: SparkSession, out_root: str, table: str, snapshot_pa
     b = _batches(spark, out_root, table)
     if b is None:
         return -1
-    upto = spark.read.parquet(out_root).agg(F.max("batch_id")).first()[0]
+    upto = spark.read.schema(GENERIC).parquet(out_root).agg(F.max("batch_id")).first()[0]
+    if upto is None:
+        return -1
     df = b.where(F.col("batch_id") <= F.lit(upto))
     if previous_snapshot is not None:
         base = spark.read.parquet(previous_snapshot)
