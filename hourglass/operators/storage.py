@@ -64,6 +64,8 @@ def absorb(spark: SparkSession, new_data_path: str, master_path: str,
     column, so the facts one run added can be read back by partition (the
     delta stream of incremental refreshes).
     """
+    if not path_exists(spark, new_data_path):   # nothing ingested yet
+        return 0
     src = spark.readStream.schema(NEW_DATA_READ)
     if max_files_per_trigger:
         src = src.option("maxFilesPerTrigger", str(max_files_per_trigger))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hourglass import schemas as S
 from hourglass.operators import serving, storage, views
+from hourglass.session import path_exists
 from hourglass.sources import facts as FS
 from hourglass.streaming.ingest import start_ingest  # noqa: F401  (J3)
 from hourglass.streaming.speed import (  # noqa: F401  (J2)
@@ -18,7 +19,8 @@ def run_batch(spark: SparkSession, new_data_path: str, master_path: str, view_pa
               checkpoint: str, files_per_granularity: int | None = None,
               run_id: str = "full") -> DataFrame:
     """Absorb new data into the master dataset, then rebuild the batch
-    view from the master's page-view partition. Returns the written view.
+    view from the master's page-view partition. Returns the written view
+    (None while nothing has been ingested).
 
     ``checkpoint`` is the job's checkpoint root, shared with
     ``run_incremental``: the delta stream is advanced here too, so a later
@@ -27,6 +29,8 @@ def run_batch(spark: SparkSession, new_data_path: str, master_path: str, view_pa
     storage.absorb(spark, new_data_path, master_path, f"{checkpoint}/absorb")
     storage.absorb(spark, new_data_path, f"{checkpoint}/delta", f"{checkpoint}/delta-ck",
                    run_id=run_id)
+    if not path_exists(spark, master_path):     # no facts yet: nothing to build
+        return None
     facts = FS.read_kinds(spark, master_path, S.PAGE_VIEW)
     storage.write_view(views.batch_view(facts, with_last_hour=True), view_path,
                        files_per_granularity)
@@ -51,6 +55,8 @@ def run_incremental(spark: SparkSession, new_data_path: str, master_path: str,
     storage.absorb(spark, new_data_path, master_path, f"{checkpoint}/absorb")
     storage.absorb(spark, new_data_path, f"{checkpoint}/delta", f"{checkpoint}/delta-ck",
                    run_id=run_id)
+    if not path_exists(spark, f"{checkpoint}/delta"):   # nothing absorbed yet
+        return []
     delta = storage.read_run(spark, f"{checkpoint}/delta", run_id, S.PAGE_VIEW)
     return storage.refresh_view_in_place(spark, view_path, delta,
                                          f"{checkpoint}/stage/{run_id}")

@@ -172,3 +172,12 @@ def test_in_place_refresh_retry_does_not_double_count(spark, workdir):
     storage.refresh_view_in_place(spark, f"{workdir}/view", new, f"{workdir}/stage")
     got = storage.read_view(spark, f"{workdir}/view")
     assert sorted(got.collect()) == sorted(views.batch_view(facts).collect())
+
+
+def test_jobs_before_any_data_are_no_ops(spark, workdir):
+    from hourglass.plans import jobs
+    assert storage.absorb(spark, f"{workdir}/none", f"{workdir}/master", f"{workdir}/ck") == 0
+    assert jobs.run_batch(spark, f"{workdir}/none", f"{workdir}/master", f"{workdir}/view",
+                          f"{workdir}/ckb") is None
+    assert jobs.run_incremental(spark, f"{workdir}/none", f"{workdir}/master", f"{workdir}/view",
+                                f"{workdir}/ckb", run_id="r1") == []
