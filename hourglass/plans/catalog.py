@@ -726,3 +726,24 @@ def q_get_pageviews_stored(spark, sf_dir):
     v = stored_view(spark, sf_dir, f, "get_pageviews_stored")
     rt = realtime_pageview_rows(spark, sf_dir)
     return serving.get_pageviews(v, rt, page_urls(spark, sf_dir), RANGE_START, RANGE_END)
+
+
+@register("get_pageviews_every_event", f"""
+    WITH b AS ({_batch_side_sql(split=True)}),
+    bounds AS (
+      SELECT url, greatest({RANGE_START}, coalesce(hour_done + 1, {RANGE_START})) AS lo FROM b)
+    SELECT 'batch' AS source, v.url, CAST(v.h AS BIGINT) AS hour_bucket,
+           CAST(NULL AS BIGINT) AS secs, CAST(v.n AS BIGINT) AS pageviews
+    FROM ({HOURLY_SQL}) v JOIN ({URLS_SQL}) u ON u.url = v.url
+    WHERE v.h < {BATCH_SPLIT_HOUR} AND v.h BETWEEN {RANGE_START} AND {RANGE_END}
+    UNION ALL
+    SELECT 'realtime', rt.url, CAST(rt.h AS BIGINT), rt.secs, count(*)
+    FROM bounds JOIN ({NORM_RT}) rt ON rt.url = bounds.url AND rt.h BETWEEN bounds.lo AND {RANGE_END}
+    GROUP BY 1, 2, 3, 4
+""")
+def q_get_pageviews_every_event(spark, sf_dir):
+    """getpageviews counting every realtime write: each realtime second row
+    carries its number of writes (batch-consistent mode, G2)."""
+    rt = realtime.pageview_table(realtime_pageview_rows(spark, sf_dir))
+    return serving.get_pageviews(split_view(spark, sf_dir), rt, page_urls(spark, sf_dir),
+                                 RANGE_START, RANGE_END, mode="every_event")
