@@ -43,3 +43,16 @@ def op1_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_ids(spark, out).select(
         "doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.crc32("ids").alias("ids_crc32"))
+
+
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts encoded with begin and end ids, with source offsets, and decoded."""
+    from hourglass.llm.sentencepiece_codec import encode_decode
+
+    found = encode_decode(table(spark, sf_dir, "documents"),
+                          tokenizer_file("piece_bpe_32k.model"))
+    return found.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+                        F.sha2("starts", 256).alias("starts_sha256"))
