@@ -56,3 +56,20 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
                         F.sha2("starts", 256).alias("starts_sha256"))
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern spans and random strings of whole texts."""
+    from hourglass.llm import secret_scan as S
+
+    docs = table(spark, sf_dir, "documents")
+    found = S.find_secrets(docs, S.train_on(docs))
+    base = F.filter("spans", lambda x: x["kind"].isin(*S.BASE_KINDS))
+    joined = lambda spans: F.array_join(F.transform(
+        spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in S.BASE_KINDS),
+                        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"),
+                        count("random").alias("n_random"))
