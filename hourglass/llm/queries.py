@@ -73,3 +73,44 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"),
                         count("random").alias("n_random"))
+
+
+@query
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by base rules and, where none fits, by pattern rules."""
+    from hourglass.llm import url_filter as U
+
+    found = U.judge_urls(table(spark, sf_dir, "pages"), U.BASE_RULES,
+                         U.rules_frame(spark, U.PATTERN_RULES))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+# Written against the contract and the pattern list, without the operator's index.
+ORACLES["op9_url_filter"] = r"""
+WITH split AS (
+  SELECT page_id, translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS u,
+         translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path
+  FROM pages),
+ruled AS (
+  SELECT *, CASE
+    WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN (host = 'example.com' OR host LIKE '%.example.com') AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN (host = 'net' OR host LIKE '%.net') AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/%' THEN 'com/' END AS rule
+  FROM split)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN u IS NULL THEN 'allow'
+            WHEN regexp_matches(u, '(^|[^a-z0-9])adult[^a-z0-9]education([^a-z0-9]|$)')
+              OR regexp_matches(u, '^[^:/?#]*://([^/?#]*\.)?spam[^a-z0-9]filter\.') THEN 'allow'
+            WHEN regexp_matches(u, '(^|[^a-z0-9])(adult|casino|gambling|malware|phishing|pills|poker|spam|torrent|viagra|warez|xxx)([^a-z0-9]|$)')
+              OR regexp_matches(u, '(^|[^a-z0-9])(porn|sessionid=)')
+              OR regexp_matches(u, '^[^:/?#]*://([^/?#]*\.)?(ads|doubleclick)\.')
+              OR suffix(u, '/wp-login.php') OR suffix(u, '.exe')
+              OR regexp_matches(u, '/calendar/.*/day/', 's') THEN 'block'
+            ELSE 'allow' END AS verdict
+FROM ruled
+"""
