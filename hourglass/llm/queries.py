@@ -114,3 +114,26 @@ SELECT page_id, host, path, rule,
             ELSE 'allow' END AS verdict
 FROM ruled
 """
+
+
+@query
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page to WARC archives and back; rows are read from the archives."""
+    from hourglass.llm.warc import read_warc, write_warc
+
+    out = work_dir(spark, "op10-warc")
+    write_warc(table(spark, sf_dir, "pages"), out)
+    return read_warc(spark, out, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url")
+
+
+ORACLES["op10_warc"] = """
+WITH p AS (
+  SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+g AS (SELECT payload_digest, min(page_id) AS first_id FROM p WHERE payload_bytes >= 100 GROUP BY 1 HAVING count(*) > 1)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+       CASE WHEN first_id IS NOT NULL AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first_id <> page_id THEN first_id END AS refers_to, url
+FROM p LEFT JOIN g USING (payload_digest)
+"""

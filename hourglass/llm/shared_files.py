@@ -37,7 +37,7 @@ def committed_output(path: str, attempt: str):
     system.create_dir(posixpath.dirname(final), recursive=True)
     temporary = f"{posixpath.dirname(final)}/_temporary-{attempt}-{posixpath.basename(final)}"
     try:
-        with system.open_output_stream(temporary) as out:
+        with system.open_output_stream(temporary, compression=None) as out:
             yield out
     except BaseException:
         if system.get_file_info(temporary).type != fs.FileType.NotFound:
