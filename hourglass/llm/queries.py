@@ -137,3 +137,14 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
        CASE WHEN first_id <> page_id THEN first_id END AS refers_to, url
 FROM p LEFT JOIN g USING (payload_digest)
 """
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every whole text, by base rules and a learned list."""
+    from hourglass.llm import quality_rules as Q
+
+    docs = table(spark, sf_dir, "documents")
+    rules = Q.learn_from(docs, table(spark, sf_dir, "labels"))
+    return Q.judge(docs, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                       "n_repeat_words", "base_failed", "kept", "rule")
