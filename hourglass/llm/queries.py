@@ -148,3 +148,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = Q.learn_from(docs, table(spark, sf_dir, "labels"))
     return Q.judge(docs, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                                        "n_repeat_words", "base_failed", "kept", "rule")
+
+
+@query
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of whole texts, linked at 4 bits or fewer, and their components."""
+    from hourglass.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), work_dir(spark, "op5-simhash"),
+                           shingle=4, radius=4)
