@@ -157,3 +157,14 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return near_duplicates(table(spark, sf_dir, "documents"), work_dir(spark, "op5-simhash"),
                            shingle=4, radius=4)
+
+
+@query
+def op6_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scored by a byte network fit to labelled rows that are not held out."""
+    from hourglass.llm import quality_cnn as C
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = C.score(docs, C.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select("doc_id", C.held_out(F.col("doc_id")).alias("held_out"), "score",
+                        (F.col("score") >= C.THRESHOLD).cast("int").alias("predicted"))
