@@ -168,3 +168,11 @@ def op6_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = C.score(docs, C.fit(docs, table(spark, sf_dir, "labels")))
     return found.select("doc_id", C.held_out(F.col("doc_id")).alias("held_out"), "score",
                         (F.col("score") >= C.THRESHOLD).cast("int").alias("predicted"))
+
+
+@query
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every whole page."""
+    from hourglass.llm.html_text import extract_text
+
+    return extract_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))

@@ -1,0 +1,61 @@
+"""Main text: the test pages against their article element, hand-made pages, edge cases."""
+
+import html
+import re
+
+from hourglass.llm import html_text as H, queries
+
+PROSE = "The house on the hill was old and it had been there for years, so people in the town did not look at it any more."
+
+
+def article_of(page):
+    """The blocks of the article element, cut at its paragraph and heading tags."""
+    inner = re.search(r"<article>(.*?)</article>", page, re.S)[1]
+    parts = [re.sub(r"<[^>]*>", " ", x) for x in re.split(r"</?(?:p|h1)>", inner)]
+    return "\n\n".join(t for t in (" ".join(html.unescape(x).split()) for x in parts) if t)
+
+
+def test_query_on_test_pages(spark):
+    sf = "/root/testdata/sf0.01"
+    pages = {r.page_id: r for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = queries.QUERIES["op4_main_text"](spark, sf).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        assert r.text == article_of(pages[r.page_id].html) and r.n_chars == len(r.text) and r.url == pages[r.page_id].url
+
+
+def test_boilerplate_goes():
+    page = f"""<html><head><title>T</title><style>p{{}}</style></head><body class="page nav-open"><header><h1>Site</h1></header>
+    <div id="cookie-notice"><p>{PROSE}</p></div><aside><p>{PROSE}</p></aside>
+    <main><article class="post"><header><h1>Title &amp; more</h1></header><p>{PROSE}<p>Short one.<br>Same block.</p>
+    <div class="advert"><p>{PROSE}</p></div><form><label>{PROSE}</label></form><p class="share">Share this {PROSE}</p>
+    <script>var a = "<p>{PROSE}</p>";</script><ul><li><a href=x>One link</a></li><li><a>Other</a></li></ul>
+    <p>Last&nbsp;&eacute; <b>bold</b> <a href="y">link</a> in a line of {PROSE}</p>
+    <section id="comments"><p>{PROSE} {PROSE}</p></section></article></main><footer>{PROSE}</footer></body></html>"""
+    assert H.main_text(page).split("\n\n") == [
+        "Title & more", PROSE, "Short one. Same block.", f"Last é bold link in a line of {PROSE}"]
+
+
+def test_without_an_article():
+    page = f"""<div>Menu</div><div><a href=1>{PROSE}</a></div><div><h2>Head</h2><p>{PROSE} {PROSE}</p><p>Then.</p><p>{PROSE} {PROSE}</p></div>
+    <div>{"xq zw " * 40}</div><div>Imprint</div>"""
+    assert H.main_text(page).split("\n\n") == ["Head", f"{PROSE} {PROSE}", "Then.", f"{PROSE} {PROSE}"]
+
+
+def test_malformed_pages():
+    for page in (None, "", "<", "<p", "<p>a", "</p></div>", "<!-- x", "<script>a", "<a href='>x", "<div class=\"" + "x" * 100000,
+                 "<" * 20000, "<p>" * 20000, "<div>" * 5000 + "x", "&#xFFFFFFFF;&amp;&bogus;"):
+        assert isinstance(H.main_text(page), str)
+    assert H.main_text("<article><p>One<p>Two</article>") == "One\n\nTwo"
+    assert H.main_text("<article>&lt;b&gt; &#233;&amp;amp;</article>") == "<b> é&amp;"
+    assert H.main_text(f"<article><p>{PROSE}</p><script>if (a</b) '</p>'</SCRIPT >tail of it</article>") == f"{PROSE}\n\ntail of it"
+
+
+def test_tables(spark):
+    rows = [(1, None, None, "t", 1), (None, "u", f"<article>{PROSE * 3000}</article>", "t", 2), (2, "v", "", None, 3), (2, "v", "", None, 3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    got = H.extract_text(pages)
+    assert got.columns == ["page_id", "url", "text"]
+    assert sorted(((r.page_id, r.url, len(r.text)) for r in got.collect()), key=str) == sorted(
+        [(1, None, 0), (None, "u", len(PROSE) * 3000), (2, "v", 0), (2, "v", 0)], key=str)
+    assert H.extract_text(pages.limit(0)).count() == 0
