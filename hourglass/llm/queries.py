@@ -176,3 +176,11 @@ def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hourglass.llm.html_text import extract_text
 
     return extract_text(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark items: every pair with its most similar window."""
+    from hourglass.llm.decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
