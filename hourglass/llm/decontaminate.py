@@ -110,7 +110,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, si
     items = items_of(benchmark, shingle)
     sizes = items.groupBy("k").agg(F.sum(F.size("item").cast("long") * (F.size("item") + 6) * 8).alias("n")).collect()
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = spark.createDataFrame([], SCHEMA)
+    found = spark.range(0).select(*(F.lit(None).cast(kind).alias(name) for name, kind in map(str.split, SCHEMA.split(", "))))
     for row in sorted(sizes, key=lambda r: r.k):      # as many rows as shingle lengths
         slices = -(-row.n // slice_bytes)
         for s in range(slices):
@@ -142,6 +142,6 @@ def _leaks(cut: DataFrame, items: DataFrame, similarity: float, radius: int) ->
 
 
 def without_leaks(docs: DataFrame, leaks: DataFrame) -> DataFrame:
-    """``docs`` without the documents named in ``leaks``; null ids stay."""
+    """``docs`` without the documents named in ``leaks`` (best a stored table); null ids stay."""
     named = leaks.where("doc_id is not null").select("doc_id").distinct()
     return join_measured(docs, named, ["doc_id"], "left_anti", F.xxhash64("text"))

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from hourglass.llm.components import components
 from hourglass.llm.joins import join_measured
@@ -238,21 +239,61 @@ def links(classes: DataFrame, radius: int, folder: str, tile: int = TILE) -> Dat
     return placed.repartition(n, *order).sortWithinPartitions(*order).mapInArrow(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, folder: str, shingle: int = 4, radius: int = 4, tile: int = TILE) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of ``docs`` (doc_id, text); ``folder``: shared scratch."""
-    spark = docs.sparkSession
-    fingerprints(docs, shingle).write.mode("overwrite").parquet(f"{folder}/fingerprints")
-    prints = spark.read.schema("doc_id long, fingerprint long").parquet(f"{folder}/fingerprints")
+def groups(prints: DataFrame, folder: str, radius: int, tile: int = TILE) -> DataFrame:
+    """(fingerprint, component, component_id) of the classes with several rows or a link.
+
+    ``prints``: doc_id, fingerprint, a stored table; ``folder``: shared scratch.
+    """
+    spark = prints.sparkSession
     prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")) \
         .write.mode("overwrite").parquet(f"{folder}/classes")
     classes = spark.read.schema("fingerprint long, least long, n long").parquet(f"{folder}/classes")
     found = components(links(classes, radius, folder, tile), f"{folder}/components")
-    # Only classes with several rows or a link need a name other than the row's own id.
-    named = join_measured(classes, found.withColumnRenamed("node", "fingerprint"), ["fingerprint"], "left", F.col("least")) \
+    named = join_measured(classes, found.withColumnRenamed("node", "fingerprint"), ["fingerprint"], "left", F.col("fingerprint")) \
         .where("n > 1 or component is not null").withColumn("component", F.coalesce("component", "fingerprint"))
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    members = join_measured(named.select("fingerprint", "component"), least, ["component"], "inner", F.col("fingerprint")) \
-        .select("fingerprint", "component_id", F.lit(True).alias("grouped"))
+    return join_measured(named.select("fingerprint", "component"), least, ["component"], "inner", F.col("fingerprint")) \
+        .select("fingerprint", "component", "component_id")
+
+
+def near_duplicates(docs: DataFrame, folder: str, shingle: int = 4, radius: int = 4, tile: int = TILE) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of ``docs`` (doc_id, text); ``folder``: shared scratch."""
+    spark = docs.sparkSession
+    fingerprints(docs, shingle).write.mode("overwrite").parquet(f"{folder}/fingerprints")
+    prints = spark.read.schema("doc_id long, fingerprint long").parquet(f"{folder}/fingerprints")
+    # A row outside all groups is named by its own id.
+    members = groups(prints, folder, radius, tile).select("fingerprint", "component_id", F.lit(True).alias("grouped"))
     return join_measured(prints, members, ["fingerprint"], "left", F.coalesce("doc_id", F.lit(0))).select(
         "doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         F.when(F.col("grouped"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_one_each(docs: DataFrame, folder: str, shingle: int = 4, radius: int = 4, tile: int = TILE) -> DataFrame:
+    """``docs`` with one row of each group, all columns as they are.
+
+    The row with the group's smallest id stays; of several with that id (or of a group
+    without ids) the least row by its columns in order. Other columns may have any name.
+    """
+    spark = docs.sparkSession
+    ship_package(spark)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    place = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("row").field(place).to_pylist()
+            prints = np.array([fingerprint(t, shingle) for t in texts], "<u8")
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(prints.view("<i8"))], ["row", "fingerprint"])
+
+    schema = StructType([*rows.schema.fields, StructField("fingerprint", LongType())])
+    rows.mapInArrow(run, schema).write.mode("overwrite").parquet(f"{folder}/rows")
+    stored = spark.read.schema(schema).parquet(f"{folder}/rows")
+    id_of = F.col("row.doc_id").cast("long")
+    found = groups(stored.select(id_of.alias("doc_id"), "fingerprint"), folder, radius, tile)
+    found.write.mode("overwrite").parquet(f"{folder}/groups")
+    members = spark.read.schema("fingerprint long, component long, component_id long").parquet(f"{folder}/groups")
+    known = join_measured(stored, members, ["fingerprint"], "left", F.xxhash64("row"))
+    alone = known.where("component is null").select("row")
+    one = known.where(F.col("component").isNotNull() & id_of.eqNullSafe(F.col("component_id"))) \
+        .groupBy("component").agg(F.min("row").alias("row")).select("row")
+    return alone.unionAll(one).select("row.*")
