@@ -75,19 +75,3 @@ def view_period(gran: Column | str, bucket: Column | str) -> Column:
 def epoch_secs(ts: Column | str) -> Column:
     """Whole epoch seconds of a timestamp (floor)."""
     return F.unix_timestamp(_col(ts))
-
-
-# Fixed value: the query date format "day.month.year|hour".
-QUERY_HOUR_FORMAT = "dd.MM.yyyy|HH"
-
-
-def parse_query_hour(s: Column | str, legacy_12h: bool = False) -> Column:
-    """Hour bucket of a ``dd.MM.yyyy|HH`` string (session time zone, use UTC).
-
-    ``legacy_12h=True`` reads hour 12 as 0, as a 12-hour clock field does;
-    hours 13-23 read as themselves either way.
-    """
-    c = _col(s)
-    if legacy_12h:
-        c = F.regexp_replace(c, r"\|12$", "|00")
-    return idiv(F.unix_timestamp(c, QUERY_HOUR_FORMAT), HOUR_SECS)

@@ -35,12 +35,6 @@ def is_person_id(s: Column | str) -> Column:
     return F.coalesce(c.startswith(COOKIE_PREFIX) | parse_long(c).isNotNull(), F.lit(False))
 
 
-def person_id_string(pid: Column | str) -> Column:
-    """The message form of a person id struct: the cookie, else the user id."""
-    p = _col(pid)
-    return F.coalesce(p["cookie"], p["user_id"].cast("string"))
-
-
 def gender(s: Column | str) -> Column:
     """'MALE' stays MALE, any other non-NULL value is FEMALE."""
     c = _col(s)

@@ -21,8 +21,8 @@ from hourglass.functions import (
     is_person_id,
     is_valid_url,
     normalize_url,
+    opaque,
     parse_int,
-    parse_long,
     person_id,
 )
 
@@ -34,14 +34,14 @@ def _null_message() -> Column:
 
 
 def parse_messages(lines: DataFrame, value_col: str = "value",
-                   coordinate_cols: tuple[str, ...] = (),
+                   coordinate_cols: tuple[str, ...] | None = None,
                    strict_urls: bool = False) -> DataFrame:
     """One row per message with its string fields, ``secs`` and ``reason``.
 
     ``lines`` holds one JSON document per row in ``value_col`` (a single
-    message or a ``messages`` envelope). ``coordinate_cols`` (e.g. topic,
-    partition, offset of a queue source) make ``line_hash`` — and so the
-    pageview nonce — unique per delivery. ``strict_urls=True`` (speed layer)
+    message or a ``messages`` envelope). ``coordinate_cols`` make ``line_hash``,
+    and so the pageview nonce, unique per delivery; by default topic, partition
+    and offset if the source has them. ``strict_urls=True`` (speed layer)
     quarantines a page or pageview whose URL does not parse; the batch path
     keeps such URLs unchanged.
 
@@ -52,6 +52,8 @@ def parse_messages(lines: DataFrame, value_col: str = "value",
     cleaned = F.regexp_replace(v, TRAILING_COMMA, "]}")
     p = F.from_json(cleaned, S.ENVELOPE,
                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.CORRUPT_COLUMN})
+    if coordinate_cols is None:
+        coordinate_cols = tuple(c for c in S.QUEUE_COORDINATES if c in lines.columns)
     hash_inputs = [v] + [F.col(c) for c in coordinate_cols]
     df = lines.select(
         v.alias("_line"),
@@ -97,7 +99,9 @@ def parse_messages(lines: DataFrame, value_col: str = "value",
                    "pos", *fields)
 
     t = F.col("messagetype")
-    secs = parse_long(F.col("pedigree"))
+    # A timestamp is a 32-bit number of seconds; milliseconds and other numbers beyond
+    # it are rejected like text.
+    secs = parse_int(F.col("pedigree")).cast("bigint")
     pid_bad = lambda c: ~is_person_id(F.col(c))
     msg_reason = (
         F.when(F.col("_line_reason").isNotNull(), F.col("_line_reason"))
@@ -130,12 +134,14 @@ def parse_messages(lines: DataFrame, value_col: str = "value",
                F.to_json(F.struct(*[F.col(n) for n in S.MESSAGE_FIELDS]))),
         F.col("_line"),
     ))
+    # The plain fields stand before what is computed from all of them: the optimizer
+    # restates the equations it has so far for every further column, so a large
+    # expression in front would be restated once for each field after it.
     return df.select(
-        "line_hash", "pos",
+        "line_hash", "pos", *S.MESSAGE_FIELDS,
+        secs.alias("secs"),
         raw.alias("raw"),
         msg_reason.alias("reason"),
-        secs.alias("secs"),
-        *S.MESSAGE_FIELDS,
     )
 
 
@@ -238,7 +244,7 @@ def to_new_data(parsed: DataFrame, last_property_only: bool = False) -> DataFram
 
 
 def decode_facts(lines: DataFrame, value_col: str = "value",
-                 coordinate_cols: tuple[str, ...] = (),
+                 coordinate_cols: tuple[str, ...] | None = None,
                  last_property_only: bool = False) -> tuple[DataFrame, DataFrame]:
     """(facts, quarantine) of a DataFrame of JSON lines (batch or streaming)."""
     parsed = parse_messages(lines, value_col, coordinate_cols)
@@ -247,37 +253,29 @@ def decode_facts(lines: DataFrame, value_col: str = "value",
 
 # --- realtime rows (speed layer) --------------------------------------------------------
 
-def order_key() -> Column:
-    """Tie-break among versions of one key with the same event second."""
-    return F.xxhash64(*[F.col(n) for n in S.MESSAGE_FIELDS])
-
-
 def realtime_rows(parsed: DataFrame) -> dict[str, DataFrame]:
     """Keyed rows for the four realtime tables from valid parsed messages.
 
-    URLs are normalized; ``ord_key`` (a 64-bit hash of the message fields)
-    breaks ties between versions with the same timestamp, so "last write
-    wins" is deterministic while stored rows keep one bigint per key, not the
-    message text.
+    URLs are normalized. Versions of a key are ordered by
+    ``realtime.version_order``.
     """
     ok = parsed.where(F.col("reason").isNull())
     t = F.col("messagetype")
     pageviews = ok.where(t == "pageview").select(
-        normalize_url(F.col("pageid")).alias("url"),
+        opaque(normalize_url(F.col("pageid"))).alias("url"),
         hour_bucket(F.col("secs")).alias("hour_bucket"),
         F.col("secs"),
         F.col("personid"),
-        order_key().alias("ord_key"),
     )
     pages = ok.where(t == "page").select(
-        normalize_url(F.col("url")).alias("url"),
-        F.col("pedigree"), F.col("pageview"), F.col("secs"), order_key().alias("ord_key"),
+        opaque(normalize_url(F.col("url"))).alias("url"),
+        F.col("pedigree"), F.col("pageview"), F.col("secs"),
     )
     persons = ok.where(t == "person").select(
         "personid", "pedigree", "gendertype", "fullname", "city", "state", "country",
-        F.col("secs"), order_key().alias("ord_key"),
+        F.col("secs"),
     )
     equivs = ok.where(t == "equiv").select(
-        "personid1", "personid2", "pedigree", F.col("secs"), order_key().alias("ord_key"),
+        "personid1", "personid2", "pedigree", F.col("secs"),
     )
     return {"pageviews": pageviews, "pages": pages, "persons": persons, "equivs": equivs}

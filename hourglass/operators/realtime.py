@@ -7,13 +7,14 @@
 * equivs: per (personid1, personid2) the latest pedigree; the adjacency of a
   person is the set of its rows (summarized by ``equiv_adjacency``).
 
-"Latest" is ordered by (event seconds, hash of the message) so that results
-do not depend on arrival order or wall clocks.
+"Latest" is ordered by (event seconds, arrival, values): of versions with the same
+second the one that arrived in the later micro-batch wins (one batch has one
+arrival), and of those the greatest values, so a replay gives the same rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 RT_KEYS = {
@@ -30,15 +31,21 @@ RT_VALUES = {
 }
 
 
+def version_order(rows: DataFrame, table: str) -> Column:
+    """What versions of a key are ordered by; ``arrival`` counts if rows have it."""
+    arrival = [F.col("arrival")] if "arrival" in rows.columns else []
+    return F.struct(F.col("secs"), *arrival, *[F.col(v) for v in RT_VALUES[table]])
+
+
 def latest_per_key(rows: DataFrame, table: str) -> DataFrame:
     """Last-write-wins upsert of keyed rows: one row per key, values of the
-    version with the greatest (secs, ord_key).
+    version with the greatest order.
 
     ``max_by`` is an ordinary aggregate: partial per task, then merged after
     the shuffle, so a hot key is reduced map-side and never gathered.
     """
     keys, vals = RT_KEYS[table], RT_VALUES[table]
-    order = F.struct(F.col("secs"), F.col("ord_key"))
+    order = version_order(rows, table)
     latest = F.max_by(F.struct(*[F.col(v) for v in vals]), order).alias("_v")
     out = rows.groupBy(*keys).agg(latest)
     return out.select(*keys, *[F.col("_v")[v].alias(v) for v in vals])
@@ -48,7 +55,7 @@ def pageview_table(rows: DataFrame) -> DataFrame:
     """(url, hour_bucket, secs, personid, events): the realtime pageview
     table; ``events`` counts the writes each entry absorbed."""
     keys = RT_KEYS["pageviews"]
-    order = F.struct(F.col("secs"), F.col("ord_key"))
+    order = version_order(rows, "pageviews")
     out = rows.groupBy(*keys).agg(F.max_by(F.col("personid"), order).alias("personid"),
                                   F.count(F.lit(1)).alias("events"))
     return out

@@ -17,10 +17,10 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.functions import normalize_url
+from hourglass.functions import normalize_url, opaque
 from hourglass.functions.buckets import DAYS_PER_MONTH, HOUR_SECS, HOURS_PER_DAY
 from hourglass.operators.joins import (
-    DEFAULT_BROADCAST_ROWS, bounded_rows, salted_range_join,
+    DEFAULT_BROADCAST_ROWS, bounded_list, salted_range_join,
 )
 
 MODES = ("distinct_seconds", "every_event")
@@ -56,14 +56,15 @@ def _literal_frame(spark, values: list[str]) -> DataFrame:
 
 
 def url_list(urls: DataFrame | list[str], spark=None, normalize: bool = True) -> DataFrame:
-    """Distinct (url) query list; normalized like the views unless told not to."""
+    """Distinct (url) query list without NULLs; normalized like the views unless told not to."""
     if isinstance(urls, list):
         lits = literal_urls(urls, spark, normalize)
         if lits is not None:
             return _literal_frame(spark, lits)
         urls = spark.createDataFrame([(u,) for u in urls], "url string")
     u = F.col("url")
-    return urls.select((normalize_url(u) if normalize else u).alias("url")).distinct()
+    return (urls.where(u.isNotNull())
+            .select((opaque(normalize_url(u)) if normalize else u).alias("url")).distinct())
 
 
 def literal_urls(urls: DataFrame | list[str], spark=None,
@@ -84,7 +85,7 @@ def _restrict(df: DataFrame, lits: list[str] | None) -> DataFrame:
     return df if lits is None else df.where(F.col("url").isin(lits))
 
 
-def _hour_rows(view: DataFrame, start_hour: int, end_hour: int) -> DataFrame:
+def hour_rows(view: DataFrame, start_hour: int, end_hour: int) -> DataFrame:
     """Hour rows of the view in [start, end]; a stored view's ``period``
     partition column (when read with it) prunes to the periods spanned."""
     h = view.where((F.col("granularity") == "h")
@@ -156,12 +157,12 @@ def batch_range(view: DataFrame, urls: DataFrame, start_hour: int, end_hour: int
     shuffle join — and summed per URL; URLs without batch data get 0 and NULL.
     """
     if small is None:
-        small = bounded_rows(urls, DEFAULT_BROADCAST_ROWS)
+        small = bounded_list(urls, DEFAULT_BROADCAST_ROWS)
     v = _restrict(view, literals)
     if {"last_hour", "period"} <= set(view.columns) and start_hour >= 0:
         rows, last = _covered_rows(v, start_hour, end_hour), F.col("last_hour")
     else:
-        rows, last = _hour_rows(v, start_hour, end_hour), F.col("bucket")
+        rows, last = hour_rows(v, start_hour, end_hour), F.col("bucket")
     side = F.broadcast(urls) if small else urls
     agg = (rows.join(side, "url", "left_semi")
            .groupBy("url")
@@ -176,7 +177,7 @@ def batch_range(view: DataFrame, urls: DataFrame, start_hour: int, end_hour: int
 
 def realtime_bounds(batch: DataFrame, start_hour: int, end_hour: int,
                     legacy_lower_bound: bool = False) -> DataFrame:
-    """(url, lo, hi) realtime hour range per URL (Q8/Q9).
+    """``batch`` (url, hour_done, ...) with the realtime hour range lo, hi per URL (Q8/Q9).
 
     ``legacy_lower_bound=True`` starts at ``hour_done + 1`` with ``hour_done``
     0 when there is no batch data (i.e. at hour 1, before the requested
@@ -187,37 +188,51 @@ def realtime_bounds(batch: DataFrame, start_hour: int, end_hour: int,
         lo = F.coalesce(hd, F.lit(0)) + 1
     else:
         lo = F.greatest(F.lit(start_hour), F.coalesce(hd + 1, F.lit(start_hour)))
-    return batch.select("url", lo.cast("bigint").alias("lo"),
+    return batch.select("*", lo.cast("bigint").alias("lo"),
                         F.lit(end_hour).cast("bigint").alias("hi"))
 
 
-def realtime_range(rt: DataFrame, bounds: DataFrame, mode: str = "distinct_seconds",
-                   small: bool | None = None, literals: list[str] | None = None) -> DataFrame:
-    """(url, realtime_pageviews) of realtime rows inside each URL's bounds.
+def _in_bounds(rt: DataFrame, bounds: DataFrame, small: bool) -> DataFrame:
+    """Realtime rows (url, hour_bucket, secs, events) inside their URL's bounds, with the
+    bounds' columns; rows without an hour pass for their URL.
+
+    An equi-join on url plus a range condition; the bounds (one row per queried
+    URL) are broadcast when their size is proven small, otherwise the join
+    shuffles with hot URLs salted over several tasks (``joins.salted_range_join``).
+    """
+    if not small:
+        return salted_range_join(rt, bounds, "url", "hour_bucket", "lo", "hi", salt_of="secs")
+    b = F.broadcast(bounds.withColumnRenamed("url", "_bkey"))
+    return rt.join(b, (F.col("url") == F.col("_bkey"))
+                   & (F.col("hour_bucket").isNull()
+                      | F.col("hour_bucket").between(F.col("lo"), F.col("hi")))).drop("_bkey")
+
+
+def _realtime_columns(rt: DataFrame, literals: list[str] | None) -> DataFrame:
+    ev = F.col("events") if "events" in rt.columns else F.lit(1).cast("bigint")
+    return _restrict(rt, literals).select("url", "hour_bucket", "secs", ev.alias("events"))
+
+
+def merged_counts(rt: DataFrame, urls: DataFrame, bounds: DataFrame, mode: str, small: bool,
+                  literals: list[str] | None) -> DataFrame:
+    """(url, batch_pageviews, hour_done, realtime_pageviews) per URL of ``bounds``.
 
     ``distinct_seconds`` counts distinct seconds (the realtime table keeps one
     entry per URL, hour and second); ``every_event`` counts every write, which
-    agrees with the batch layer. The range join is an equi-join on url plus a
-    range condition; the bounds side (one row per queried URL) is broadcast
-    when its size is proven small, otherwise the join shuffles with hot URLs
-    salted over several tasks (``joins.salted_range_join``).
+    agrees with the batch layer. The batch side travels in ``bounds`` through
+    the one join with the realtime rows, so it is evaluated once; an empty row
+    per URL of the list keeps URLs without realtime rows.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    if small is None:
-        small = bounded_rows(bounds, DEFAULT_BROADCAST_ROWS)
-    b = F.broadcast(bounds) if small else bounds
-    ev = F.col("events") if "events" in rt.columns else F.lit(1).cast("bigint")
-    r = _restrict(rt, literals).select("url", "hour_bucket", "secs", ev.alias("events"))
-    if small:
-        j = r.join(b.withColumnRenamed("url", "_bkey"),
-                   (F.col("url") == F.col("_bkey"))
-                   & F.col("hour_bucket").between(F.col("lo"), F.col("hi")))
-    else:   # too many URLs to broadcast: shuffle join, hot URLs salted apart
-        j = salted_range_join(r, bounds, "url", "hour_bucket", "lo", "hi", salt_of="secs")
+    n = F.lit(None).cast("bigint")
+    rows = _realtime_columns(rt, literals).unionByName(urls.select(
+        "url", n.alias("hour_bucket"), n.alias("secs"), F.lit(0).cast("bigint").alias("events")))
     agg = (F.count_distinct(F.col("secs")) if mode == "distinct_seconds"
            else F.sum(F.col("events")))
-    return j.groupBy("url").agg(agg.cast("bigint").alias("realtime_pageviews"))
+    return _in_bounds(rows, bounds, small).groupBy("url").agg(
+        F.max("batch_pageviews").alias("batch_pageviews"), F.max("hour_done").alias("hour_done"),
+        agg.cast("bigint").alias("realtime_pageviews"))
 
 
 def count_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
@@ -240,18 +255,14 @@ def count_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
     # bounds and per-URL realtime counts have one row per queried URL: one
     # size check covers every join of the plan
     limit = DEFAULT_BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    small = lits is not None or (limit > 0 and bounded_rows(u, limit))
+    small = lits is not None or (limit > 0 and bounded_list(u, limit))
     batch = batch_range(view, u, a, b, small, lits)
     bounds = realtime_bounds(batch, a, b, legacy_lower_bound)
     if not legacy_lower_bound:   # lo >= start for every URL: prune statically too
         rt = rt.where(F.col("hour_bucket") >= F.lit(a))
-    rtc = realtime_range(rt, bounds, mode, small, lits)
-    z = F.lit(0).cast("bigint")
-    return batch.join(F.broadcast(rtc) if small else rtc, "url", "left").select(
-        "url", "batch_pageviews", "hour_done",
-        F.coalesce("realtime_pageviews", z).alias("realtime_pageviews"),
-        (F.col("batch_pageviews") + F.coalesce("realtime_pageviews", z))
-        .cast("bigint").alias("pageviews"),
+    return merged_counts(rt, u, bounds, mode, small, lits).select(
+        "url", "batch_pageviews", "hour_done", "realtime_pageviews",
+        (F.col("batch_pageviews") + F.col("realtime_pageviews")).cast("bigint").alias("pageviews"),
     )
 
 
@@ -269,30 +280,23 @@ def get_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
     lits = literal_urls(urls, spark, normalize)
     u = _literal_frame(spark, lits) if lits is not None else url_list(urls, spark, normalize)
     limit = DEFAULT_BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
-    small = lits is not None or (limit > 0 and bounded_rows(u, limit))
-    batch = batch_range(view, u, a, b, small, lits)
-    bounds = realtime_bounds(batch, a, b, legacy_lower_bound)
-    bounds = F.broadcast(bounds) if small else bounds
+    small = lits is not None or (limit > 0 and bounded_list(u, limit))
     ub = F.broadcast(u) if small else u
-    view = _restrict(view, lits)
-    rt = _restrict(rt, lits)
     if not legacy_lower_bound:
         rt = rt.where(F.col("hour_bucket") >= F.lit(a))
-    brows = (_hour_rows(view, a, b)
-             .join(ub, "url", "left_semi")
-             .select(F.lit("batch").alias("source"), "url",
-                     F.col("bucket").alias("hour_bucket"),
-                     F.lit(None).cast("bigint").alias("secs"),
-                     F.col("total_pageviews").alias("pageviews")))
-    ev = F.col("events") if "events" in rt.columns else F.lit(1).cast("bigint")
-    r = rt.select("url", "hour_bucket", "secs", ev.alias("events"))
-    if small:
-        j = r.join(bounds.withColumnRenamed("url", "_bkey"),
-                   (F.col("url") == F.col("_bkey"))
-                   & F.col("hour_bucket").between(F.col("lo"), F.col("hi")))
-    else:
-        j = salted_range_join(r, bounds, "url", "hour_bucket", "lo", "hi", salt_of="secs")
-    rrows = (j.groupBy("url", "hour_bucket", "secs")
+    # The hour rows serve twice, as result rows and for each URL's last hour. Both uses
+    # read the same shuffled columns (no row has zero views), so the exchange is reused
+    # and the view is scanned once.
+    hours = (hour_rows(_restrict(view, lits), a, b).join(ub, "url", "left_semi")
+             .select("url", "bucket", "total_pageviews").repartition("url"))
+    last = hours.groupBy("url").agg(
+        F.max(F.when(F.col("total_pageviews") > 0, F.col("bucket"))).cast("bigint").alias("hour_done"))
+    bounds = realtime_bounds(u.join(last, "url", "left"), a, b, legacy_lower_bound).drop("hour_done")
+    brows = hours.select(F.lit("batch").alias("source"), "url",
+                         F.col("bucket").alias("hour_bucket"),
+                         F.lit(None).cast("bigint").alias("secs"),
+                         F.col("total_pageviews").alias("pageviews"))
+    rrows = (_in_bounds(_realtime_columns(rt, lits), bounds, small).groupBy("url", "hour_bucket", "secs")
              .agg(F.sum(F.col("events")).alias("_n"))
              .select(F.lit("realtime").alias("source"), "url", "hour_bucket", "secs",
                      (F.lit(1) if mode == "distinct_seconds" else F.col("_n"))

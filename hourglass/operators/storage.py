@@ -1,28 +1,31 @@
 """Batch storage: new data -> master dataset, compaction, view sinks.
 
-* Absorb (R1-R4): an ``availableNow`` stream from the new-data sink into the
-  partitioned master sink. Its checkpoint fixes the consumed file set (the
+* Absorb (R1-R4): one ``availableNow`` stream from the new-data sink into the
+  master's ``live`` sink. Its checkpoint fixes the consumed file set (the
   snapshot), the sink's log makes the append exactly-once (bag semantics:
   duplicates are kept), and nothing has to be deleted from new data (R5):
-  the next run resumes after the last committed file.
-* Batch writes go to their own path (a generation, or a staging folder) with
-  mode ``overwrite``: a job retried after a lost driver rewrites its own
-  output. The one in-place write, the view refresh, swaps whole partitions
-  from a completed staging copy.
-* Compaction (R3): rewrite a fact dataset into a new directory with
-  ``REBALANCE(dataunit_id, value_id)``; AQE splits a hot kind over several
-  tasks and packs small ones, so files come out near the advisory size.
+  the next run resumes after the last committed file. Rows carry the id of the
+  run that absorbed them, so a run's delta is read from the master itself, and
+  are dealt evenly over a few writers per fact kind (R2).
+* Compaction (R3) rewrites the facts of finished runs into a generation of few,
+  large files beside the live sink, and a mark names the runs it holds. Readers
+  take those runs from the generation and later ones from the sink, which
+  absorb goes on appending to.
 * Views (S17, R6, R7): written partitioned by (granularity, period),
   range-partitioned and sorted by URL inside, so granularity and time
   predicates prune partitions and URL and bucket predicates prune row
   groups; or as a bucketed table / key-value shards with all buckets of a
   URL together.
-* Incremental refresh: in place (only the partitions new facts touch) or as
-  a new generation.
+* View store: partitions live in numbered generations; a small versioned file
+  says which generation holds each partition and which runs are counted. A
+  rebuild or refresh writes only new folders and then the next version, so
+  readers always have a whole view and a repeated run changes nothing.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -30,9 +33,10 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from hourglass import schemas as S
 from hourglass.functions import bucketed_key, serialize_long, view_period
 from hourglass.operators import views
-from hourglass.session import path_exists
+from hourglass.session import delete_folder, list_names, path_exists, read_json, write_json
 from hourglass.sources import facts as FS
 
+RUN_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 NEW_DATA_READ = S.NEW_DATA  # partition columns are part of the declared schema
 
 
@@ -54,15 +58,15 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
 
 def absorb(spark: SparkSession, new_data_path: str, master_path: str,
            checkpoint: str, max_files_per_trigger: int | None = None,
-           run_id: str | None = None) -> int:
+           run_id: str | None = None, files_per_kind: int = 4) -> int:
     """Append every not-yet-absorbed fact of ``new_data_path`` to the master
     dataset (R1-R4); returns the number of micro-batches run.
 
     Safe to re-run and to kill at any point: a restart resumes from the
-    checkpoint and the file sink never commits a batch twice. With
-    ``run_id`` the rows also carry that id as the outermost partition
-    column, so the facts one run added can be read back by partition (the
-    delta stream of incremental refreshes).
+    checkpoint and the file sink never commits a batch twice. Each micro-batch
+    is dealt evenly: ``files_per_kind`` writers for each fact kind, whatever
+    splits arrive. With ``run_id`` the rows also carry that id as the
+    outermost partition column.
     """
     if not path_exists(spark, new_data_path):   # nothing ingested yet
         return 0
@@ -74,8 +78,12 @@ def absorb(spark: SparkSession, new_data_path: str, master_path: str,
              .select(*S.FACT_COLUMNS))
     parts = list(S.PARTITION_COLUMNS)
     if run_id is not None:
+        if not RUN_ID.fullmatch(run_id):
+            raise ValueError(f"run id {run_id!r}: letters, digits, '.', '_' and '-' only")
         facts = facts.withColumn("run_id", F.lit(run_id))
         parts = ["run_id"] + parts
+    part = F.pmod(F.xxhash64(*[F.col(c) for c in S.FACT_COLUMNS]), F.lit(files_per_kind))
+    facts = facts.withColumn("_part", part).repartition(*S.PARTITION_COLUMNS, "_part").drop("_part")
     q = (facts.writeStream.format("parquet")
          .option("path", master_path)
          .option("checkpointLocation", checkpoint)
@@ -89,15 +97,70 @@ def absorb(spark: SparkSession, new_data_path: str, master_path: str,
     return len(q.recentProgress)
 
 
-def read_run(spark: SparkSession, path: str, run_id: str, *dataunit_ids: int) -> DataFrame:
-    """Facts one tagged ``absorb`` run wrote (partition-pruned to the run)."""
-    schema = StructType([StructField("run_id", StringType())] + S.FACTS.fields)
-    df = spark.read.schema(schema).parquet(path).where(F.col("run_id") == run_id)
+# --- the master dataset of the batch job -----------------------------------------------
+
+RUN_FACTS = StructType([StructField("run_id", StringType())] + S.FACTS.fields)
+
+
+def absorb_run(spark: SparkSession, new_data_path: str, master: str, checkpoint: str,
+               run_id: str) -> int:
+    """Absorb new data into ``master`` under a run's id."""
+    return absorb(spark, new_data_path, f"{master}/live", checkpoint, run_id=run_id)
+
+
+def master_runs(spark: SparkSession, master: str) -> list[str]:
+    """Ids of the runs that have absorbed facts."""
+    return [n.split("=", 1)[1] for n in list_names(spark, f"{master}/live") if n.startswith("run_id=")]
+
+
+def packed_runs(spark: SparkSession, master: str) -> dict[int, list[str]]:
+    """The runs each finished compaction holds, by generation."""
+    marks = [n for n in list_names(spark, master) if n.startswith("_packed-")]
+    found = [read_json(spark, f"{master}/{n}") for n in marks]
+    return {m["generation"]: m["runs"] for m in found}
+
+
+def _kinds(df: DataFrame, dataunit_ids: tuple[int, ...]) -> DataFrame:
     if dataunit_ids:
         df = df.where(F.col("dataunit_id").isin(*dataunit_ids))
     return df.select(*S.FACT_COLUMNS)
 
 
+def read_runs(spark: SparkSession, master: str, runs: list[str], *dataunit_ids: int) -> DataFrame:
+    """Facts that the named runs absorbed and no compaction holds (pruned to the runs)."""
+    live = spark.read.schema(RUN_FACTS).parquet(f"{master}/live")
+    return _kinds(live.where(F.col("run_id").isin(runs)), dataunit_ids)
+
+
+def read_master(spark: SparkSession, master: str, *dataunit_ids: int) -> DataFrame:
+    """All facts of ``master`` (of some kinds): compacted generations and later runs."""
+    packed = packed_runs(spark, master)
+    held = {r for runs in packed.values() for r in runs}
+    df = read_runs(spark, master, [r for r in master_runs(spark, master) if r not in held], *dataunit_ids)
+    if packed:
+        old = spark.read.schema(S.FACTS).option("basePath", f"{master}/packed") \
+            .parquet(*[f"{master}/packed/generation={g}" for g in sorted(packed)])
+        df = df.unionByName(_kinds(old, dataunit_ids))
+    return df
+
+
+def compact_master(spark: SparkSession, master: str) -> list[str]:
+    """Rewrite the facts of all runs not yet compacted into one generation.
+
+    The cost follows those runs, not the master. Call it between runs of the
+    batch job; absorb goes on with its own checkpoint and sink.
+    """
+    packed = packed_runs(spark, master)
+    held = {r for runs in packed.values() for r in runs}
+    runs = [r for r in master_runs(spark, master) if r not in held]
+    if runs:
+        g = max(packed, default=0) + 1
+        read_runs(spark, master, runs).hint("rebalance", *S.PARTITION_COLUMNS) \
+            .write.mode("overwrite").partitionBy(*S.PARTITION_COLUMNS).parquet(f"{master}/packed/generation={g}")
+        write_json(spark, f"{master}/_packed-{g:06d}.json", {"generation": g, "runs": runs})
+    return runs
+
+
 def compact(spark: SparkSession, src_path: str, dst_path: str) -> None:
     """Rewrite a fact dataset into ``dst_path`` with few, large files.
 
@@ -164,16 +227,17 @@ def read_view(spark: SparkSession, path: str, keep_layout: bool = False) -> Data
 
 
 def write_view_sharded(view: DataFrame, table: str, path: str, shards: int = 4) -> None:
-    """Batch view as a bucketed table: ``shards`` hash buckets on url (R7),
-    sorted by (url, granularity, bucket). Joins on url against another table
-    bucketed the same way need no shuffle."""
-    (view.write.mode("overwrite").option("path", path)
+    """Batch view as a bucketed table: ``shards`` hash buckets on url (R7), one
+    file each, sorted by (url, granularity, bucket). Joins on url against another
+    table bucketed the same way need no shuffle."""
+    (view.repartition(shards, "url").write.mode("overwrite").option("path", path)
      .bucketBy(shards, "url").sortBy("url", "granularity", "bucket")
      .saveAsTable(table))
 
 
-def write_view_kv(view: DataFrame, path: str, shards: int = 4, by: str = "url") -> None:
-    """Key/value form in ``shards`` files, keys sorted inside each shard.
+def write_view_kv(view: DataFrame, path: str, shards: int, by: str = "url") -> None:
+    """Key/value form in ``shards`` files, keys sorted inside each shard. Choose
+    ``shards`` by the view's size: each is written by one task.
 
     ``by="url"`` puts all keys of one URL in the same shard (url-only
     sharding, R7: a URL's buckets are read from one file); ``by="key"``
@@ -204,42 +268,97 @@ def refresh_view(spark: SparkSession, view_path: str, new_facts: DataFrame,
     write_view(merged, out_path)
 
 
-def refresh_view_in_place(spark: SparkSession, view_path: str, new_facts: DataFrame,
-                          staging_path: str) -> list[tuple[str, int]]:
-    """Incremental refresh rewriting only the (granularity, period) partitions
-    the new facts touch; returns those partitions.
-
-    1. The delta view of the new facts is aggregated once and written to
-       ``<staging>/delta`` (the only pass over the new facts).
-    2. Its partition list (4 granularities x the periods the new facts span:
-       a handful of rows) is the only thing collected.
-    3. Old rows of just those partitions are read (partition pruning), merged
-       with the delta and written to ``<staging>/merged``; the written copy
-       also cuts the lineage to the files about to be replaced.
-    4. The merged partitions are swapped in with dynamic partition overwrite.
-
-    Untouched partitions are neither read nor written. ``staging_path`` is a
-    folder in the shared checkpoint area, fixed per refresh: if the job dies
-    during the swap, running it again with the same staging path finds the
-    completed merge and only repeats the swap, so no partition is counted
-    twice.
+# --- the view store -----------------------------------------------------------------------
+
+def current_view(spark: SparkSession, root: str) -> dict | None:
+    """The newest version of a view store: ``partitions`` (folder -> generation),
+    ``runs`` counted, ``version``; None if there is none."""
+    names = [n for n in list_names(spark, root) if n.startswith("_view-")]
+    return read_json(spark, f"{root}/{names[-1]}") if names else None
+
+
+def _read_partitions(spark: SparkSession, root: str, partitions: dict[str, int]) -> DataFrame:
+    paths = [f"{root}/generation={g}/{part}" for part, g in sorted(partitions.items())]
+    if not paths:
+        return spark.createDataFrame([], STORED_VIEW)
+    return spark.read.schema(STORED_VIEW).option("basePath", root).parquet(*paths) \
+        .select(*STORED_VIEW.fieldNames())
+
+
+def read_current_view(spark: SparkSession, root: str, keep_layout: bool = False) -> DataFrame:
+    """The view a store holds now; a plain view folder is read as it is."""
+    now = current_view(spark, root)
+    if now is None:
+        return read_view(spark, root, keep_layout)
+    cols = S.BATCH_VIEW.fieldNames() + (["last_hour", "period"] if keep_layout else [])
+    return _read_partitions(spark, root, now["partitions"]).select(*cols)
+
+
+def _written_partitions(spark: SparkSession, path: str) -> list[str]:
+    """(granularity, period) folders of a written view, by listing."""
+    return [f"{g}/{p}" for g in list_names(spark, path) if g.startswith("granularity=")
+            for p in list_names(spark, f"{path}/{g}") if p.startswith("period=")]
+
+
+def _publish(spark: SparkSession, root: str, version: int, partitions: dict[str, int],
+             runs: list[str]) -> None:
+    write_json(spark, f"{root}/_view-{version:08d}.json",
+               {"version": version, "partitions": partitions, "runs": sorted(set(runs))})
+    drop_unreferenced(spark, root)
+
+
+def rebuild_view(spark: SparkSession, root: str, facts: DataFrame, runs: list[str],
+                 files_per_granularity: int | None = None) -> None:
+    """Build the view of ``facts`` as a new generation, then switch to it."""
+    now = current_view(spark, root)
+    version = 1 if now is None else now["version"] + 1
+    path = f"{root}/generation={version}"
+    write_view(views.batch_view(facts, with_last_hour=True), path, files_per_granularity)
+    _publish(spark, root, version, dict.fromkeys(_written_partitions(spark, path), version), runs)
+
+
+def refresh_current_view(spark: SparkSession, root: str, new_facts: DataFrame,
+                         runs: list[str]) -> list[tuple[str, int]]:
+    """Add the view of ``new_facts`` (absorbed by ``runs``) to a store's view;
+    returns the (granularity, period) partitions rewritten.
+
+    The delta view is aggregated and written once; its folders say which
+    partitions it touches. Old rows of just those are read, merged with it and
+    written once, into a new generation; the other partitions stay where they
+    are. The switch is one small file: a run killed before it is repeated from
+    the start, one killed after it is finished.
     """
-    merged_path = f"{staging_path}/merged"
-    if not path_exists(spark, f"{merged_path}/_SUCCESS"):
-        write_view(views.batch_view(new_facts, with_last_hour=True), f"{staging_path}/delta")
-        delta = read_view(spark, f"{staging_path}/delta", keep_layout=True)
-        touched = [(r.granularity, int(r.period))
-                   for r in delta.select(*VIEW_LAYOUT).distinct().collect()]
-        if not touched:
-            return []
-        cond = None
-        for g, p in touched:
-            c = (F.col("granularity") == g) & (F.col("period") == p)
-            cond = c if cond is None else (cond | c)
-        old = read_view(spark, view_path, keep_layout=True).where(cond)
-        write_view(views.merge_views(old, delta), merged_path)
-    merged = read_view(spark, merged_path, keep_layout=True)
-    touched = [(r.granularity, int(r.period))
-               for r in merged.select(*VIEW_LAYOUT).distinct().collect()]
-    write_view(merged, view_path, dynamic=True)
-    return touched
+    now = current_view(spark, root)
+    version = now["version"] + 1
+    staged = f"{root}/_delta-{version}"
+    write_view(views.batch_view(new_facts, with_last_hour=True), staged)
+    touched = _written_partitions(spark, staged)
+    if touched:
+        delta = read_view(spark, staged, keep_layout=True)
+        old = _read_partitions(spark, root, {p: now["partitions"][p] for p in touched if p in now["partitions"]})
+        write_view(views.merge_views(old, delta), f"{root}/generation={version}")
+    _publish(spark, root, version, now["partitions"] | dict.fromkeys(touched, version),
+             now["runs"] + runs)
+    delete_folder(spark, staged)
+    parts = [re.fullmatch("granularity=(.*)/period=(.*)", p) for p in touched]
+    return [(m[1], int(m[2])) for m in parts]
+
+
+def drop_unreferenced(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Remove partitions that none of the last ``keep`` versions refers to, so a
+    reader that began under the version before still finds its files."""
+    names = [n for n in list_names(spark, root) if n.startswith("_view-")]
+    kept = [read_json(spark, f"{root}/{n}") for n in names[-keep:]]
+    used = {f"generation={g}/{p}" for v in kept for p, g in v["partitions"].items()}
+    newest = kept[-1]["version"]
+    for g in list_names(spark, root):
+        if g.startswith("generation=") and int(g.split("=")[1]) <= newest:
+            parts = [f"{g}/{p}" for p in _written_partitions(spark, f"{root}/{g}")]
+            gone = [p for p in parts if p not in used]
+            if len(gone) == len(parts):
+                delete_folder(spark, f"{root}/{g}")
+            else:
+                for p in gone:
+                    delete_folder(spark, f"{root}/{p}")
+    for n in names[:-keep]:
+        delete_folder(spark, f"{root}/{n}")

@@ -22,7 +22,7 @@ from hourglass.functions import (
     key_bucket,
     key_granularity,
     key_url,
-    normalize_url,
+    normalize_url, opaque,
     serialize_long,
 )
 
@@ -55,7 +55,7 @@ def pageview_fields(facts: DataFrame, normalize: bool = True) -> DataFrame:
     url = F.col("page_view.page.url")
     pv = facts.where((F.col("dataunit_id") == S.PAGE_VIEW) & url.isNotNull())
     return pv.select(
-        (normalize_url(url) if normalize else url).alias("url"),
+        (opaque(normalize_url(url)) if normalize else url).alias("url"),
         F.col("page_view.person").alias("person"),
         F.col("true_as_of_secs").alias("secs"),
     )

@@ -13,8 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.functions import normalize_url
+from hourglass import schemas as S
+from hourglass.functions import deserialize_long, key_bucket, key_granularity, key_url, normalize_url
 from hourglass.operators import decode, realtime, serving, storage, views
+from hourglass.plans import jobs
 from hourglass.plans import sqlgen as G
 from hourglass.session import work_dir
 from hourglass.sources import facts as FS
@@ -515,7 +517,7 @@ def q_view_sharded(spark, sf_dir):
 def q_view_kv_sharded(spark, sf_dir):
     """Key/value view in 4 url-sharded files, read back and decoded."""
     root = work_dir(spark, "view_kv")
-    storage.write_view_kv(views.batch_view(pageview_facts(spark, sf_dir)), f"{root}/kv")
+    storage.write_view_kv(views.batch_view(pageview_facts(spark, sf_dir)), f"{root}/kv", shards=4)
     return views.from_key_value(storage.read_view_kv(spark, f"{root}/kv"))
 
 
@@ -613,14 +615,41 @@ def q_person_facts_last_property(spark, sf_dir):
 
 
 @register("fact_validation", f"""
-    SELECT dataunit_id, CAST(sum(facts) AS BIGINT) AS facts, CAST(0 AS BIGINT) AS invalid,
-           CAST(0 AS BIGINT) AS bad_partitions
-    FROM ({FACTS_PARTITION_SQL}) GROUP BY 1
+    WITH planted AS (
+      SELECT 2 AS dataunit_id, count(*) AS facts, count(*) FILTER (WHERE page_id % 2 = 1) AS invalid FROM pages
+      UNION ALL
+      SELECT 4, count(*), count(*) FILTER (WHERE secs % 3 = 0)
+      FROM (SELECT secs FROM ({PV_SQL}) UNION ALL SELECT secs FROM ({G.bad_url_rows_sql()}))
+      UNION ALL
+      SELECT CASE WHEN secs % 5 = 0 THEN 1 ELSE 3 END, count(*), count(*) FILTER (WHERE secs % 5 = 0)
+      FROM ({G.equiv_rows_sql()}) GROUP BY 1
+      UNION ALL
+      SELECT 1, 3 * count(*), count(*) FROM ({G.person_rows_sql()}))
+    SELECT dataunit_id, CAST(sum(facts) AS BIGINT) AS facts, CAST(sum(invalid) AS BIGINT) AS invalid,
+           CAST(CASE WHEN dataunit_id = 1 AND bool_or(dataunit_id = 1 AND moved > 0) THEN 2
+                     WHEN dataunit_id = 1 THEN 1 ELSE 0 END AS BIGINT) AS bad_partitions
+    FROM planted, (SELECT count(*) AS moved FROM ({G.equiv_rows_sql()}) WHERE secs % 5 = 0) GROUP BY 1
 """)
 def q_fact_validation(spark, sf_dir):
-    """Required-field (S16) and partition-target (S15) validation of every
-    decoded fact, summarized per fact kind."""
+    """Required-field (S16) and partition-target (S15) validation of every decoded
+    fact, some of them spoiled first: page facts of odd views lose their
+    number, page views at seconds divisible by 3 their nonce, equivs at
+    seconds divisible by 5 move to kind 1, and full-name facts lose their
+    timestamp and get a value id that does not exist."""
     f = all_facts(spark, sf_dir)
+    d, secs = F.col("dataunit_id"), F.col("true_as_of_secs")
+    odd = (d == 2) & (F.col("page_property.property.page_views") == 2)
+    name = (d == 1) & (F.col("value_id") == 1)
+    f = f.select(
+        F.when(~name, secs).alias("true_as_of_secs"),
+        F.when((d == 3) & (secs % 5 == 0), 1).otherwise(d).alias("dataunit_id"),
+        F.when(name, 9).otherwise(F.col("value_id")).alias("value_id"),
+        "person_property",
+        F.when(odd, F.col("page_property").withField("property.page_views", F.lit(None).cast("int")))
+        .otherwise(F.col("page_property")).alias("page_property"),
+        "equiv",
+        F.when((d == 4) & (secs % 3 == 0), F.col("page_view").withField("nonce", F.lit(None).cast("bigint")))
+        .otherwise(F.col("page_view")).alias("page_view"))
     bad = FS.invalid_facts(f).groupBy("dataunit_id").agg(F.count(F.lit(1)).alias("invalid"))
     badp = FS.invalid_partitions(f).groupBy("dataunit_id").agg(
         F.count(F.lit(1)).alias("bad_partitions"))
@@ -638,8 +667,8 @@ def q_fact_validation(spark, sf_dir):
 """)
 def q_realtime_compacted(spark, sf_dir):
     """Speed layer over the coarse pageview stream, then the realtime table is
-    folded into a snapshot that expires every hour before the batch split hour
-    (the hours a batch run up to the split would have absorbed); distinct
+    folded into a snapshot that expires the URL hours a batch view of the
+    facts before the split hour counts; distinct
     seconds per (url, hour) read through the snapshot."""
     root = work_dir(spark, "realtime_compacted")
     lines = td.message_lines(spark, sf_dir, kinds=("pageview", "broken"), coarse=True)
@@ -648,23 +677,24 @@ def q_realtime_compacted(spark, sf_dir):
     qs = speed.start_speed(M.text_source(spark, f"{root}/queue", max_files_per_trigger=1),
                            f"{root}/rt", f"{root}/ck", trigger={"availableNow": True}, tables=("pageviews",))
     speed.await_all(qs)
-    speed.compact_realtime(spark, f"{root}/rt", "pageviews", f"{root}/snap",
-                           expire_before_hour=BATCH_SPLIT_HOUR)
+    absorbed = split_view(spark, sf_dir).where("granularity = 'h'").select(
+        "url", F.col("bucket").alias("hour_bucket"))
+    speed.compact_realtime(spark, f"{root}/rt", "pageviews", f"{root}/snap", absorbed=absorbed)
     pv = speed.read_realtime(spark, f"{root}/rt", "pageviews", snapshot_path=f"{root}/snap")
     return realtime.distinct_second_counts(pv)
 
 
 @register("incremental_view_in_place", VIEW_SQL)
 def q_incremental_view_in_place(spark, sf_dir):
-    """View of the facts before the split hour, then refreshed in place with
-    the facts after it: only the (granularity, period) partitions those
-    facts touch are rewritten; the result equals the full view."""
+    """View store of the facts before the split hour, then refreshed with the
+    facts after it: only the (granularity, period) partitions those facts
+    touch are rewritten; the result equals the full view."""
     root = work_dir(spark, "incremental_in_place")
     f = pageview_facts(spark, sf_dir)
     cut = F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600
-    storage.write_view(views.batch_view(f.where(cut), with_last_hour=True), f"{root}/view")
-    storage.refresh_view_in_place(spark, f"{root}/view", f.where(~cut), f"{root}/stage")
-    return storage.read_view(spark, f"{root}/view")
+    storage.rebuild_view(spark, f"{root}/view", f.where(cut), ["a"])
+    storage.refresh_current_view(spark, f"{root}/view", f.where(~cut), ["b"])
+    return storage.read_current_view(spark, f"{root}/view")
 
 
 TOP_URL_SQL = f"""
@@ -747,3 +777,296 @@ def q_get_pageviews_every_event(spark, sf_dir):
     rt = realtime.pageview_table(realtime_pageview_rows(spark, sf_dir))
     return serving.get_pageviews(split_view(spark, sf_dir), rt, page_urls(spark, sf_dir),
                                  RANGE_START, RANGE_END, mode="every_event")
+
+
+# --- the jobs, run as jobs -----------------------------------------------------------------
+
+#: Deliveries of the queries that run streams: lines go to the queue in four parts by
+#: blocks of ten ids, so later parts hold earlier events.
+PARTS = 4
+PART_SQL = f"(event_id // {td.ENVELOPE_BLOCK}) % {PARTS}"
+
+
+def part_of(lines: DataFrame, k: int) -> DataFrame:
+    return lines.where(F.pmod(F.floor(F.col("id") / td.ENVELOPE_BLOCK), F.lit(PARTS)) == k).select("value")
+
+
+def ingest_part(spark, root: str, lines: DataFrame) -> None:
+    """Append lines to the queue and ingest everything that is there."""
+    lines.write.mode("append").text(f"{root}/queue")
+    ingest.start_ingest(M.text_source(spark, f"{root}/queue"), f"{root}/new", f"{root}/ck_ingest",
+                        trigger={"availableNow": True}).awaitTermination()
+
+
+def speed_parts(spark, root: str, lines: DataFrame, parts, tables=speed.TABLES) -> None:
+    """Deliver parts of the lines one after another: one micro-batch each."""
+    for k in parts:
+        part_of(lines, k).coalesce(1).write.mode("append").text(f"{root}/queue")
+        speed.await_all(speed.start_speed(
+            M.text_source(spark, f"{root}/queue"), f"{root}/rt", f"{root}/ck", tables=tables,
+            trigger={"availableNow": True}))
+
+
+@register("batch_job_view", VIEW_SQL)
+def q_batch_job_view(spark, sf_dir):
+    """J1 through the job: half the lines are ingested, a batch run builds the
+    view, the rest arrives, and a second full run replaces the view."""
+    root = work_dir(spark, "batch_job_view")
+    lines = td.message_lines(spark, sf_dir, kinds=("pageview",))
+    for half in ((0, 1), (2, 3)):
+        for k in half:
+            ingest_part(spark, root, part_of(lines, k))
+        jobs.run_batch(spark, f"{root}/new", f"{root}/master", f"{root}/view", f"{root}/ck")
+    return jobs.inspect_view(spark, f"{root}/view")
+
+
+@register("incremental_job_view", VIEW_SQL)
+def q_incremental_job_view(spark, sf_dir):
+    """J1 in increments: a batch run, a run given up after absorbing, two more
+    increments with a compaction between, and finished run ids asked for
+    again, which must change nothing; read through the inspection job (J5)."""
+    root = work_dir(spark, "incremental_job_view")
+    lines = td.message_lines(spark, sf_dir, kinds=("pageview",))
+    at = (f"{root}/new", f"{root}/master", f"{root}/view", f"{root}/ck")
+    ingest_part(spark, root, part_of(lines, 0))
+    jobs.run_batch(spark, *at, run_id="r0")
+    ingest_part(spark, root, part_of(lines, 1))
+    storage.absorb_run(spark, f"{root}/new", f"{root}/master", f"{root}/ck/absorb", "given-up")
+    ingest_part(spark, root, part_of(lines, 2))
+    jobs.run_incremental(spark, *at, run_id="r1")
+    ingest_part(spark, root, part_of(lines, 3))
+    jobs.run_incremental(spark, *at, run_id="r2", compact_every=1)
+    for old in ("r1", "given-up", "r2"):
+        jobs.run_incremental(spark, *at, run_id=old)
+    jobs.run_batch(spark, *at, run_id="r0")
+    return jobs.inspect_view(spark, f"{root}/view", key_value=True).select(
+        *[c.alias(n) for n, c in zip(S.BATCH_VIEW.fieldNames(), (
+            key_url("key"), key_granularity("key"), key_bucket("key"), deserialize_long("value")), strict=True)])
+
+
+@register("compact_then_absorb", FACTS_PARTITION_SQL)
+def q_compact_then_absorb(spark, sf_dir):
+    """Four rounds of ingest and absorb with a compaction after the first and
+    the third; facts per partition of the master are the sum of all."""
+    root = work_dir(spark, "compact_then_absorb")
+    lines = td.message_lines(spark, sf_dir)
+    for k in range(PARTS):
+        ingest_part(spark, root, part_of(lines, k))
+        storage.absorb_run(spark, f"{root}/new", f"{root}/master", f"{root}/ck", f"r{k}")
+        if k in (0, 2):
+            storage.compact_master(spark, f"{root}/master")
+    return FS.partition_counts(storage.read_master(spark, f"{root}/master"))
+
+
+NORM_RT_ID = (f"SELECT event_id, {G.normalize_url_sql('raw_url')} AS url, secs, secs // 3600 AS h, personid "
+              f"FROM ({PV_COARSE_SQL})")
+
+
+@register("realtime_expired_safe", f"""
+    SELECT url, CAST(h AS BIGINT) AS hour_bucket, count(DISTINCT secs) AS pageviews
+    FROM ({NORM_RT_ID}) rt
+    WHERE {PART_SQL} > 0 AND NOT (h < {BATCH_SPLIT_HOUR} AND (url, h) IN (
+      SELECT url, h FROM ({NORM_RT_ID}) WHERE starts_with(personid, 'cookie')))
+    GROUP BY 1, 2
+""")
+def q_realtime_expired_safe(spark, sf_dir):
+    """Realtime expiry. The first part of the pageviews is absorbed whole, so
+    the first snapshot is empty; the rest arrives, and the second compaction
+    drops the URL hours that a batch view of cookie visits before the split
+    hour counts. Hours and URLs that the batch view lacks stay."""
+    root = work_dir(spark, "realtime_expired_safe")
+    lines = td.message_lines(spark, sf_dir, kinds=("pageview",), coarse=True)
+    facts = pageview_facts(spark, sf_dir)
+    hours = lambda f: views.batch_view(f).where("granularity = 'h'").select(
+        "url", F.col("bucket").alias("hour_bucket"))
+    speed_parts(spark, root, lines, [0])
+    speed.compact_realtime(spark, f"{root}/rt", "pageviews", f"{root}/snap0", absorbed=hours(facts))
+    speed_parts(spark, root, lines, [1, 2, 3])
+    part = facts.where(F.col("page_view.person.cookie").isNotNull()
+                       & (F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600))
+    speed.compact_realtime(spark, f"{root}/rt", "pageviews", f"{root}/snap1", f"{root}/snap0", hours(part))
+    pv = speed.read_realtime(spark, f"{root}/rt", "pageviews", snapshot_path=f"{root}/snap1")
+    return realtime.distinct_second_counts(pv)
+
+
+@register("expire_job_counts", COUNT_SQL.replace(NORM_RT, NORM_RT_ID))
+def q_expire_job_counts(spark, sf_dir):
+    """J4 over stored views after the expiry job ran twice (the second run
+    removes folded batches): expiry changes no count."""
+    root = work_dir(spark, "expire_job_counts")
+    f = pageview_facts(spark, sf_dir).where(F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600)
+    storage.rebuild_view(spark, f"{root}/view", f, ["a"])
+    lines = td.message_lines(spark, sf_dir, kinds=("pageview", "broken"), coarse=True)
+    speed_parts(spark, root, lines, [0, 1])
+    jobs.expire_realtime(spark, f"{root}/view", f"{root}/rt", f"{root}/snap0")
+    speed_parts(spark, root, lines, [2])
+    jobs.expire_realtime(spark, f"{root}/view", f"{root}/rt", f"{root}/snap1", f"{root}/snap0")
+    speed_parts(spark, root, lines, [3])
+    return jobs.count_pageviews(spark, f"{root}/view", f"{root}/rt", page_urls(spark, sf_dir),
+                                RANGE_START, RANGE_END, snapshot_path=f"{root}/snap1")
+
+
+# --- streaming T1..T4 ----------------------------------------------------------------------
+
+@register("speed_pageviews", f"""
+    SELECT url, CAST(h AS BIGINT) AS hour_bucket, secs,
+           arg_max(personid, ({PART_SQL}, personid)) AS personid, count(*) AS events
+    FROM ({NORM_RT_ID}) GROUP BY 1, 2, 3
+""")
+def q_speed_pageviews(spark, sf_dir):
+    """The speed layer's pageview table over four micro-batches, with many
+    views in one second: the person of the last micro-batch stays (T1)."""
+    root = work_dir(spark, "speed_pageviews")
+    speed_parts(spark, root, td.message_lines(spark, sf_dir, kinds=("pageview", "broken"), coarse=True), range(PARTS))
+    return speed.read_realtime(spark, f"{root}/rt", "pageviews")
+
+
+@register("speed_pages", ORACLES["rt_pages"])
+def q_speed_pages(spark, sf_dir):
+    """The speed layer's page table over four micro-batches."""
+    root = work_dir(spark, "speed_pages")
+    speed_parts(spark, root, td.message_lines(spark, sf_dir, kinds=("page", "broken")), range(PARTS))
+    return speed.read_realtime(spark, f"{root}/rt", "pages")
+
+
+@register("speed_persons", ORACLES["rt_persons"])
+def q_speed_persons(spark, sf_dir):
+    """The speed layer's person table over four micro-batches."""
+    root = work_dir(spark, "speed_persons")
+    speed_parts(spark, root, td.message_lines(spark, sf_dir, kinds=("person", "broken")), range(PARTS))
+    return speed.read_realtime(spark, f"{root}/rt", "persons")
+
+
+EQUIV_PAIRS_SQL = """
+    SELECT event_id, CAST(user_id AS VARCHAR) AS personid1, 'cookie_' || CAST(event_id % 7 AS VARCHAR) AS personid2,
+           CAST(epoch_us(ts) // 1000000 AS BIGINT) AS secs
+    FROM events WHERE event_type IN ('signup', 'purchase')"""
+
+
+@register("speed_equivs", f"""
+    SELECT personid1, personid2, CAST(max(secs) AS VARCHAR) AS pedigree FROM ({EQUIV_PAIRS_SQL}) GROUP BY 1, 2
+""")
+def q_speed_equivs(spark, sf_dir):
+    """The speed layer's equiv table over four micro-batches, persons with
+    several equivs (T4)."""
+    root = work_dir(spark, "speed_equivs")
+    speed_parts(spark, root, td.message_lines(spark, sf_dir, kinds=("equiv_pair",)), range(PARTS))
+    return speed.read_realtime(spark, f"{root}/rt", "equivs")
+
+
+@register("speed_equiv_adjacency", f"""
+    SELECT personid1, count(DISTINCT personid2) AS equivs, min(personid2) AS first_personid2,
+           max(personid2) AS last_personid2
+    FROM ({EQUIV_PAIRS_SQL}) GROUP BY 1
+""")
+def q_speed_equiv_adjacency(spark, sf_dir):
+    """Adjacency of persons with several equivs (T4)."""
+    rows = realtime_rows(spark, sf_dir, kinds=("equiv_pair",))["equivs"]
+    return realtime.equiv_adjacency(realtime.latest_per_key(rows, "equivs"))
+
+
+@register("speed_quarantine", f"""
+    SELECT coalesce({_reason_case()}, 'bad_url') AS reason, count(*) AS messages
+    FROM events WHERE event_type = 'error' GROUP BY 1
+""")
+def q_speed_quarantine(spark, sf_dir):
+    """What the speed layer could not use, bad URLs included, over four micro-batches."""
+    root = work_dir(spark, "speed_quarantine")
+    speed_parts(spark, root, td.message_lines(spark, sf_dir, kinds=("page", "broken")), range(PARTS))
+    return speed.read_quarantine(spark, f"{root}/rt").groupBy("reason").agg(
+        F.sum("messages").cast("bigint").alias("messages"))
+
+
+# --- serving: long lists, dates, empty ranges ---------------------------------------------
+
+@register("count_pageviews_long_list", COUNT_SQL)
+def q_count_pageviews_long_list(spark, sf_dir):
+    """countpageviews of a list beyond the broadcast bound, with each URL in
+    several forms, duplicates and NULLs: one row per distinct URL (W7)."""
+    u = page_urls(spark, sf_dir)
+    forms = u.unionAll(u.select(F.concat("url", F.lit("?again=1")).alias("url"))).unionAll(u).unionAll(
+        u.select(F.lit(None).cast("string").alias("url")))
+    return serving.count_pageviews(split_view(spark, sf_dir), realtime_pageview_rows(spark, sf_dir), forms,
+                                   RANGE_START, RANGE_END, broadcast_rows=10)
+
+
+@register("count_pageviews_dates", COUNT_SQL.replace(str(RANGE_START), "473592").replace(str(RANGE_END), "473688"))
+def q_count_pageviews_dates(spark, sf_dir):
+    """countpageviews with ``dd.MM.yyyy|HH`` dates on a 12-hour clock, where
+    hour 12 reads as 0 (P11)."""
+    return serving.count_pageviews(split_view(spark, sf_dir), realtime_pageview_rows(spark, sf_dir),
+                                   page_urls(spark, sf_dir), "11.01.2024|12", "15.01.2024|12", legacy_12h=True)
+
+
+@register("count_pageviews_empty_range", f"""
+    SELECT url, CAST(0 AS BIGINT) AS batch_pageviews, CAST(NULL AS BIGINT) AS hour_done,
+           CAST(0 AS BIGINT) AS realtime_pageviews, CAST(0 AS BIGINT) AS pageviews FROM ({URLS_SQL})
+""")
+def q_count_pageviews_empty_range(spark, sf_dir):
+    """A range that ends before it starts counts nothing."""
+    return serving.count_pageviews(split_view(spark, sf_dir), realtime_pageview_rows(spark, sf_dir),
+                                   page_urls(spark, sf_dir), RANGE_END, RANGE_START)
+
+
+@register("nonce_per_delivery", f"""
+    SELECT CAST(2 * count(*) AS BIGINT) AS facts, CAST(2 * count(*) AS BIGINT) AS nonces FROM ({PV_SQL})
+""")
+def q_nonce_per_delivery(spark, sf_dir):
+    """Every line delivered twice at different queue offsets: as many nonces
+    as page-view facts (P12)."""
+    lines = td.message_lines(spark, sf_dir, kinds=("pageview",))
+    twice = lines.select("value", F.lit("t").alias("topic"), F.lit(0).alias("partition"),
+                         F.explode(F.array(2 * F.col("id"), 2 * F.col("id") + 1)).alias("offset"))
+    facts = decode.to_facts(decode.parse_messages(twice))
+    return facts.agg(F.count(F.lit(1)).alias("facts"), F.count_distinct("page_view.nonce").alias("nonces"))
+
+
+@register("view_kv_full_key", VIEW_SQL)
+def q_view_kv_full_key(spark, sf_dir):
+    """Key/value view in shards by the whole key, read back and decoded."""
+    root = work_dir(spark, "view_kv_full_key")
+    storage.write_view_kv(views.batch_view(pageview_facts(spark, sf_dir)), f"{root}/kv", shards=4, by="key")
+    return views.from_key_value(storage.read_view_kv(spark, f"{root}/kv"))
+
+
+@register("url_edge_cases", r"""
+    WITH p AS (SELECT page_id, url, split_part(split_part(split_part(url, '#', 1), '?', 1), '://', 1) AS proto,
+                      split_part(split_part(split_part(url, '#', 1), '?', 1), '://', 2) AS rest FROM pages),
+    q AS (SELECT *, split_part(rest, '/', 1) AS host, substr(rest, length(split_part(rest, '/', 1)) + 1) AS path FROM p)
+    SELECT page_id, 'tab' AS form, proto || '://' || rest AS url FROM q
+    UNION ALL SELECT page_id, 'prefix', proto || '://' || rest FROM q
+    UNION ALL SELECT page_id, 'upper', proto || '://' || rest FROM q
+    UNION ALL SELECT page_id, 'port', proto || '://' || rest FROM q
+    UNION ALL SELECT page_id, 'big port', proto || '://' || host || ':2147483648' || path FROM q
+    UNION ALL SELECT page_id, 'user', proto || '://' || rest FROM q
+    UNION ALL SELECT page_id, 'two users', proto || '://' || path FROM q
+    UNION ALL SELECT page_id, 'scheme', 'gopher://' || rest FROM q
+""")
+def q_url_edge_cases(spark, sf_dir):
+    """Page URLs with white space, a ``url:`` prefix, an upper-case protocol,
+    ports, user info and an unknown protocol, normalized (P1)."""
+    p = td.table(spark, sf_dir, "pages")
+    clean = F.regexp_extract("url", "^([^?#]*)", 1)
+    proto, rest = F.regexp_extract(clean, "^([^:]*)", 1), F.regexp_replace(clean, "^[^:]*://", "")
+    host, path = F.regexp_extract(rest, "^([^/]*)", 1), F.regexp_replace(rest, "^[^/]*", "")
+    at = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+    forms = {"tab": at("\t ", F.col("url"), " \r\n"), "prefix": at(" URL:", F.col("url")),
+             "upper": at(F.upper(proto), "://", rest), "port": at(proto, "://", host, ":2147483647", path),
+             "big port": at(proto, "://", host, ":2147483648", path), "user": at(proto, "://u:p@", rest, "?a#b"),
+             "two users": at(proto, "://u@v@", rest), "scheme": at("gopher://", rest)}
+    rows = p.select("page_id", F.inline(F.array(*[F.struct(F.lit(k).alias("form"), c.alias("raw")) for k, c in forms.items()])))
+    return rows.select("page_id", "form", normalize_url("raw").alias("url"))
+
+
+@register("pedigree_range", f"""
+    SELECT 'bad_pedigree' AS reason, 2 * count(*) AS messages FROM ({G.page_rows_sql()})
+""")
+def q_pedigree_range(spark, sf_dir):
+    """Page messages with a timestamp in milliseconds, or beyond any clock, are
+    quarantined; their twins at the ends of the 32-bit range are facts (P10)."""
+    p = td.table(spark, sf_dir, "pages")
+    stamps = F.array(F.concat(F.lit(str(td.BASE_SECS)), F.lpad((F.col("page_id") % 1000).cast("string"), 3, "0")),
+                     F.lit("9223372036854775807"), F.lit("2147483647"), F.lit("-2147483648"))
+    lines = p.select("url", F.explode(stamps).alias("pedigree")).select(F.to_json(F.struct(
+        F.lit("page").alias("messagetype"), "pedigree", "url", F.lit("1").alias("pageview"))).alias("value"))
+    return decode.to_quarantine(decode.parse_messages(lines)).groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))

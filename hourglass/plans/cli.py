@@ -2,8 +2,10 @@
 
   batch        --new N --master M --view V --checkpoint C [--run-id R]
   incremental  --new N --master M --view V --checkpoint C --run-id R
-  ingest       --source DIR --new N --checkpoint C [--once]
-  speed        --source DIR --realtime RT --checkpoint C [--once]
+  ingest       SOURCE --new N --checkpoint C [--once]
+  speed        SOURCE --realtime RT --checkpoint C [--once]
+               SOURCE: --source DIR, or --kafka SERVERS --topic T
+               [--starting-offsets earliest] [--kafka-option K=V ...]
   expire       --view V --realtime RT --snapshot S [--previous P]
   countpageviews / getpageviews
                --view V --realtime RT --pageid U [--pageid U2 ...]
@@ -31,10 +33,15 @@ def parser() -> argparse.ArgumentParser:
         s = sub.add_parser(name)
         for a in ("--new", "--master", "--view", "--checkpoint"):
             s.add_argument(a, required=True)
-        s.add_argument("--run-id", required=(name == "incremental"), default="full")
+        s.add_argument("--run-id", required=(name == "incremental"))
     for name, out in (("ingest", "--new"), ("speed", "--realtime")):
         s = sub.add_parser(name)
-        s.add_argument("--source", required=True)
+        place = s.add_mutually_exclusive_group(required=True)
+        place.add_argument("--source", help="folder of text files, one message a line")
+        place.add_argument("--kafka", help="bootstrap servers")
+        s.add_argument("--topic")
+        s.add_argument("--starting-offsets", default="earliest")
+        s.add_argument("--kafka-option", action="append", default=[], metavar="K=V")
         s.add_argument(out, required=True)
         s.add_argument("--checkpoint", required=True)
         s.add_argument("--once", action="store_true", help="process what is there, then stop")
@@ -56,6 +63,20 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def kafka_arguments(a: argparse.Namespace) -> tuple[tuple[str, str, str], dict[str, str]]:
+    """Arguments of ``messages.kafka_source`` from the command line."""
+    if not a.topic:
+        raise SystemExit("--kafka needs --topic")
+    return (a.kafka, a.topic, a.starting_offsets), dict(o.split("=", 1) for o in a.kafka_option)
+
+
+def source(spark: SparkSession, a: argparse.Namespace):
+    if a.source:
+        return M.text_source(spark, a.source)
+    place, options = kafka_arguments(a)
+    return M.kafka_source(spark, *place, **options)
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None):
     """Run one command; returns the result DataFrame for serving/inspection."""
     a = parser().parse_args(argv)
@@ -67,7 +88,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None):
         jobs.run_incremental(spark, a.new, a.master, a.view, a.checkpoint, a.run_id)
     elif a.cmd in ("ingest", "speed"):
         trigger = {"availableNow": True} if a.once else None
-        src = M.text_source(spark, a.source)
+        src = source(spark, a)
         if a.cmd == "ingest":
             qs = {"ingest": jobs.start_ingest(src, a.new, a.checkpoint, trigger=trigger)}
         else:

@@ -4,93 +4,134 @@ under the cluster's shared checkpoint folder."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hourglass import schemas as S
 from hourglass.operators import serving, storage, views
-from hourglass.session import path_exists
-from hourglass.sources import facts as FS
 from hourglass.streaming.ingest import start_ingest  # noqa: F401  (J3)
 from hourglass.streaming.speed import (  # noqa: F401  (J2)
-    compact_realtime, read_realtime, start_speed,
+    TABLES, compact_realtime, read_realtime, remove_folded, start_speed,
 )
 
+#: Runs absorbed before their files are consolidated.
+COMPACT_EVERY = 8
+
+
+def _next_run(spark: SparkSession, master: str) -> str:
+    own = [r for r in storage.master_runs(spark, master) if r.startswith("run-")]
+    return f"run-{max((int(r[4:]) for r in own if r[4:].isdigit()), default=0) + 1:08d}"
+
+
+def _absorb(spark: SparkSession, new_data_path: str, master: str, checkpoint: str, run_id: str,
+            compact_every: int) -> None:
+    # Runs of the past are consolidated before this one begins to write.
+    held = {r for runs in storage.packed_runs(spark, master).values() for r in runs}
+    if len([r for r in storage.master_runs(spark, master) if r not in held and r != run_id]) >= compact_every \
+            and run_id not in storage.master_runs(spark, master):
+        storage.compact_master(spark, master)
+    storage.absorb_run(spark, new_data_path, master, f"{checkpoint}/absorb", run_id)
+
 
 def run_batch(spark: SparkSession, new_data_path: str, master_path: str, view_path: str,
               checkpoint: str, files_per_granularity: int | None = None,
-              run_id: str = "full") -> DataFrame:
+              run_id: str | None = None, compact_every: int = COMPACT_EVERY) -> DataFrame | None:
     """Absorb new data into the master dataset, then rebuild the batch
-    view from the master's page-view partition. Returns the written view
-    (None while nothing has been ingested).
+    view from the master's page-view facts. Returns the view (None while
+    nothing has been ingested).
 
-    ``checkpoint`` is the job's checkpoint root, shared with
-    ``run_incremental``: the delta stream is advanced here too, so a later
-    incremental run sees only files absorbed after this rebuild.
+    One stream consumes new data, so what arrives meanwhile is left whole to
+    the next run. Readers keep the view they have until the new one is whole.
+    A ``run_id`` that is finished already does nothing.
     """
-    storage.absorb(spark, new_data_path, master_path, f"{checkpoint}/absorb")
-    storage.absorb(spark, new_data_path, f"{checkpoint}/delta", f"{checkpoint}/delta-ck",
-                   run_id=run_id)
-    if not path_exists(spark, master_path):     # no facts yet: nothing to build
-        return None
-    facts = FS.read_kinds(spark, master_path, S.PAGE_VIEW)
-    storage.write_view(views.batch_view(facts, with_last_hour=True), view_path,
-                       files_per_granularity)
-    return storage.read_view(spark, view_path)
+    now = storage.current_view(spark, view_path)
+    if now is None or run_id is None or run_id not in now["runs"]:
+        _absorb(spark, new_data_path, master_path, checkpoint,
+                run_id or _next_run(spark, master_path), compact_every)
+        runs = storage.master_runs(spark, master_path)
+        if not runs:                        # no facts yet: nothing to build
+            return None
+        facts = storage.read_master(spark, master_path, S.PAGE_VIEW)
+        storage.rebuild_view(spark, view_path, facts, runs, files_per_granularity)
+    return storage.read_current_view(spark, view_path)
 
 
 def run_incremental(spark: SparkSession, new_data_path: str, master_path: str,
-                    view_path: str, checkpoint: str, run_id: str) -> list[tuple[str, int]]:
-    """J1, incremental: absorb, then add the view of only the newly absorbed
-    facts to the stored view, rewriting just the (granularity, period)
-    partitions they touch. Returns the rewritten partitions.
-
-    The new facts are copied by a second ``availableNow`` stream (its own
-    checkpoint, so each new-data file enters exactly one delta) into
-    ``<checkpoint>/delta``, tagged with ``run_id`` as a partition. Re-running
-    a killed refresh with the same ``run_id`` resumes both streams and
-    completes the same delta; the merge is staged under
-    ``<checkpoint>/stage/<run_id>`` before the partition swap, and a retry
-    after a completed merge only repeats the swap. ``run_id`` names one
-    refresh: use a new one for each refresh, the same one for its retries.
+                    view_path: str, checkpoint: str, run_id: str,
+                    compact_every: int = COMPACT_EVERY) -> list[tuple[str, int]]:
+    """J1, incremental: absorb, then add the view of the facts that no run has
+    counted yet, rewriting just the (granularity, period) partitions they
+    touch. Returns the rewritten partitions.
+
+    The view store knows which runs it counts. A killed run is repeated with
+    the same ``run_id`` (what it absorbed is still uncounted); facts of a run
+    that was given up are counted by the next; a ``run_id`` that is counted
+    already does nothing.
     """
-    storage.absorb(spark, new_data_path, master_path, f"{checkpoint}/absorb")
-    storage.absorb(spark, new_data_path, f"{checkpoint}/delta", f"{checkpoint}/delta-ck",
-                   run_id=run_id)
-    if not path_exists(spark, f"{checkpoint}/delta"):   # nothing absorbed yet
+    now = storage.current_view(spark, view_path)
+    if now is not None and run_id in now["runs"]:
         return []
-    delta = storage.read_run(spark, f"{checkpoint}/delta", run_id, S.PAGE_VIEW)
-    return storage.refresh_view_in_place(spark, view_path, delta,
-                                         f"{checkpoint}/stage/{run_id}")
+    if now is not None:    # consolidate only what is counted: deltas are read from the live sink
+        counted = set(now["runs"])
+        if not set(storage.master_runs(spark, master_path)) <= counted:
+            compact_every = 1 << 30
+    _absorb(spark, new_data_path, master_path, checkpoint, run_id, compact_every)
+    runs = storage.master_runs(spark, master_path)
+    if not runs:                            # nothing absorbed yet
+        return []
+    if now is None:
+        storage.rebuild_view(spark, view_path, storage.read_master(spark, master_path, S.PAGE_VIEW), runs)
+        return []
+    new = [r for r in runs if r not in now["runs"]]
+    if not new:
+        return []
+    return storage.refresh_current_view(
+        spark, view_path, storage.read_runs(spark, master_path, new, S.PAGE_VIEW), new)
+
+
+def _served(spark: SparkSession, view_path: str, realtime_root: str,
+            snapshot_path: str | None) -> tuple[DataFrame, DataFrame]:
+    return (storage.read_current_view(spark, view_path, keep_layout=True),
+            read_realtime(spark, realtime_root, "pageviews",
+                          f"{snapshot_path}/pageviews" if snapshot_path else None))
 
 
 def count_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
                     urls, start, end, snapshot_path: str | None = None, **kw) -> DataFrame:
     """J4 countpageviews over stored views."""
-    view = storage.read_view(spark, view_path, keep_layout=True)
-    rt = read_realtime(spark, realtime_root, "pageviews", snapshot_path)
+    view, rt = _served(spark, view_path, realtime_root, snapshot_path)
     return serving.count_pageviews(view, rt, urls, start, end, **kw)
 
 
 def get_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
                   urls, start, end, snapshot_path: str | None = None, **kw) -> DataFrame:
     """J4 getpageviews over stored views."""
-    view = storage.read_view(spark, view_path, keep_layout=True)
-    rt = read_realtime(spark, realtime_root, "pageviews", snapshot_path)
+    view, rt = _served(spark, view_path, realtime_root, snapshot_path)
     return serving.get_pageviews(view, rt, urls, start, end, **kw)
 
 
 def expire_realtime(spark: SparkSession, view_path: str, realtime_root: str,
                     snapshot_path: str, previous_snapshot: str | None = None) -> int:
-    """After a batch run: fold the realtime pageview table into a snapshot and
-    drop the hours the stored view now covers (its last hour bucket + 1)."""
-    from pyspark.sql import functions as F
-    last = (storage.read_view(spark, view_path).where(F.col("granularity") == "h")
-            .agg(F.max("bucket")).first()[0])
-    expire = None if last is None else int(last) + 1
-    return compact_realtime(spark, realtime_root, "pageviews", snapshot_path,
-                            previous_snapshot, expire)
+    """After a batch run: fold all realtime tables into ``<snapshot>/<table>``
+    and drop the pageview entries of URL hours the stored view counts. Batch
+    folders that the previous snapshot holds are removed (readers of that
+    snapshot do not need them). Returns the last batch folded, -1 if none."""
+    before = {t: f"{previous_snapshot}/{t}" if previous_snapshot else None for t in TABLES}
+    rt = read_realtime(spark, realtime_root, "pageviews", before["pageviews"])
+    lo, hi = rt.agg(F.min("hour_bucket"), F.max("hour_bucket")).first()
+    absorbed = None
+    if lo is not None and (storage.current_view(spark, view_path) or storage.path_exists(spark, view_path)):
+        view = storage.read_current_view(spark, view_path, keep_layout=True)
+        absorbed = serving.hour_rows(view, lo, hi).select("url", F.col("bucket").alias("hour_bucket"))
+    upto = -1
+    for t in TABLES:
+        upto = compact_realtime(spark, realtime_root, t, f"{snapshot_path}/{t}", before[t],
+                                absorbed if t == "pageviews" else None)
+    if previous_snapshot:
+        remove_folded(spark, realtime_root, before)
+    return upto
 
 
 def inspect_view(spark: SparkSession, view_path: str, key_value: bool = False) -> DataFrame:
     """The stored batch view, typed or in key/value form."""
-    v = storage.read_view(spark, view_path)
+    v = storage.read_current_view(spark, view_path)
     return views.to_key_value(v) if key_value else v

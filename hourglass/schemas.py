@@ -28,26 +28,12 @@ PAGE_VIEWS = 1
 EDGE_VALUE_ID = 0
 # Legal (dataunit_id, value_id) partitions of the master dataset.
 LEGAL_PARTITIONS = [(1, 1), (1, 2), (1, 3), (2, 1), (3, 0), (4, 0)]
-# Gender enum.
-GENDER_CODES = {"MALE": 1, "FEMALE": 2}
+
 # Message types on the queue; "messages" is the envelope type.
 MESSAGE_TYPES = ["page", "person", "equiv", "pageview"]
 ENVELOPE_TYPE = "messages"
 # Granularities of the batch view, finest first.
 GRANULARITIES = ["h", "d", "w", "m"]
-# Quarantine reasons, in the order they are checked.
-REASONS = [
-    "not_json",
-    "missing_messagetype",
-    "unknown_messagetype",
-    "bad_envelope",
-    "bad_pedigree",
-    "bad_personid",
-    "bad_pageview",
-    "missing_gendertype",
-    "missing_field",
-    "bad_url",
-]
 # -------------------------------------------------------------------------------------
 
 PERSON_ID = StructType([
@@ -129,8 +115,5 @@ ENVELOPE = StructType(
        StructField(CORRUPT_COLUMN, StringType())]
 )
 
-RT_PAGEVIEWS = "url string, hour_bucket bigint, secs bigint, personid string"
-RT_PAGES = "url string, pedigree string, pageview string"
-RT_PERSONS = ("personid string, pedigree string, gendertype string, fullname string, "
-              "city string, state string, country string")
-RT_EQUIVS = "personid1 string, personid2 string, pedigree string"
+# Columns of a queue source that tell deliveries of one line apart.
+QUEUE_COORDINATES = ("topic", "partition", "offset")

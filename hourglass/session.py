@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import json
 import tempfile
 import uuid
 
@@ -10,17 +10,7 @@ from pyspark.sql import SparkSession
 
 # Settings every job relies on: UTC for the date parsing of serving queries,
 # AQE for runtime coalescing and skew splitting.
-#
-# Constraint propagation is off: joins keyed on the normalized-URL expression
-# (views computed inline from messages) make the optimizer's constraint
-# inference grow combinatorially (6 s of planning for a 0.2 s query at sf0.01,
-# and driver OOM on larger plans). Predicates are pushed down explicitly
-# where they matter, so nothing is lost.
-PLANNING_CONF = {
-    "spark.sql.constraintPropagation.enabled": "false",
-}
 DEFAULT_CONF = {
-    **PLANNING_CONF,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -59,22 +49,21 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return spark
 
 
-def apply_planning_conf(spark: SparkSession) -> None:
-    """Apply ``PLANNING_CONF`` to a session someone else built."""
-    for k, v in PLANNING_CONF.items():
-        spark.conf.set(k, v)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the operator (a DFS path). Only when it is
-    unset (local runs, tests) a fresh local folder is created and set.
+    On a cluster this is set by the operator (a DFS path). Only a ``local``
+    master without it (local runs, tests) gets a fresh local folder; any other
+    raises, as its executors would each write to a disk of their own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir is not set: with master {master} it must "
+                               "name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="hourglass-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -88,19 +77,54 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
+# --- small files and folder lists, through Hadoop's FileSystem ---------------------------
+# A path without a scheme means the default filesystem, as it does for Spark's readers.
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's FileSystem, so DFS paths work too."""
-    if is_local_path(path):
-        return os.path.exists(local_path(path))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, p = _fs(spark, path)
     return fs.exists(p)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders directly in ``path``; none if it is missing."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def read_json(spark: SparkSession, path: str) -> dict | None:
+    """A small JSON file, None if it is missing."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return json.loads(text)
+
+
+def write_json(spark: SparkSession, path: str, value: dict) -> None:
+    """Write a small JSON file that is not there yet: under a temporary name, then
+    renamed, so it is there whole or not at all."""
+    jvm = spark.sparkContext._jvm
+    fs, p = _fs(spark, path)
+    temporary = jvm.org.apache.hadoop.fs.Path(f"{p.getParent().toString()}/_tmp-{uuid.uuid4().hex}")
+    stream = fs.create(temporary, True)
+    try:
+        stream.write(bytearray(json.dumps(value, sort_keys=True).encode()))
+    finally:
+        stream.close()
+    if not fs.rename(temporary, p):
+        fs.delete(temporary, False)
+        raise RuntimeError(f"{path} exists already")

@@ -11,8 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KAFKA_COORDINATES = ("topic", "partition", "offset")
-
+from hourglass.schemas import QUEUE_COORDINATES
 
 def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                 streaming: bool = True) -> DataFrame:
@@ -25,6 +24,13 @@ def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return r.load(path)
 
 
+def kafka_options(bootstrap_servers: str, topic: str, starting_offsets: str = "earliest",
+                  **options) -> dict[str, str]:
+    """The reader options of a Kafka topic; ``options`` are added or replace them."""
+    return {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic,
+            "startingOffsets": starting_offsets} | {k: str(v) for k, v in options.items()}
+
+
 def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str,
                  starting_offsets: str = "earliest", **options) -> DataFrame:
     """``value`` plus topic/partition/offset from a Kafka topic.
@@ -32,19 +38,15 @@ def kafka_source(spark: SparkSession, bootstrap_servers: str, topic: str,
     Raises a clear error when the Kafka connector is not available; pass a
     text source (or any streaming DataFrame with ``value``) instead.
     """
-    r = (spark.readStream.format("kafka")
-         .option("kafka.bootstrap.servers", bootstrap_servers)
-         .option("subscribe", topic)
-         .option("startingOffsets", starting_offsets))
-    for k, v in options.items():
-        r = r.option(k, v)
+    r = spark.readStream.format("kafka").options(
+        **kafka_options(bootstrap_servers, topic, starting_offsets, **options))
     try:
         df = r.load()
     except Exception as e:  # connector not on the classpath
         raise RuntimeError("Kafka source unavailable; use text_source or pass a "
                            "streaming DataFrame with a 'value' column") from e
     return df.select(F.col("value").cast("string").alias("value"),
-                     *[F.col(c) for c in KAFKA_COORDINATES])
+                     *[F.col(c) for c in QUEUE_COORDINATES])
 
 
 def write_lines(lines: DataFrame, path: str, files: int, order_col: str | None = None) -> None:

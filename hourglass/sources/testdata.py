@@ -20,6 +20,7 @@ same rules in SQL):
             segment, state = nation, country = region; keys divisible by 5 get
             a second, later version (name || '-v2').
   equiv     per event user: user id ~ ``cookie_<user>``, earliest second.
+  equiv_pair  per signup and purchase event: user id ~ ``cookie_<event_id mod 7>``.
   broken    error events, kind by ``event_id mod 8`` (see ``BROKEN_KINDS``).
 Valid lines are wrapped in ``messages`` envelopes with a trailing comma for
 every other block of ten ids, like the producer that motivated the clean-up;
@@ -157,6 +158,21 @@ def equiv_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def equiv_pair_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per signup or purchase event: user id ~ ``cookie_<event_id mod 7>`` at the event's
+    second, so a person has several equivs and a pair several versions."""
+    e = table(spark, sf_dir, "events").where(F.col("event_type").isin("signup", "purchase"))
+    return e.select(
+        F.col("event_id").alias("id"),
+        F.to_json(F.struct(
+            F.lit("equiv").alias("messagetype"),
+            _s(epoch_secs(F.col("ts"))).alias("pedigree"),
+            _s(F.col("user_id")).alias("personid1"),
+            F.concat(F.lit("cookie_"), _s(F.col("event_id") % 7)).alias("personid2"),
+        )).alias("msg"),
+    )
+
+
 def broken_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One deliberately broken message per error event (kind = event_id mod 8)."""
     e = table(spark, sf_dir, "events").where(F.col("event_type") == "error")
@@ -222,6 +238,7 @@ def message_lines(spark: SparkSession, sf_dir: str, kinds=("pageview", "page", "
         "page": lambda: page_messages(spark, sf_dir),
         "person": lambda: person_messages(spark, sf_dir),
         "equiv": lambda: equiv_messages(spark, sf_dir),
+        "equiv_pair": lambda: equiv_pair_messages(spark, sf_dir),
         "broken": lambda: broken_messages(spark, sf_dir),
     }
     out = None

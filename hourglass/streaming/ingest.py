@@ -16,7 +16,7 @@ from hourglass import schemas as S
 from hourglass.operators import decode
 
 
-def ingest_frame(lines: DataFrame, coordinate_cols: tuple[str, ...] = (),
+def ingest_frame(lines: DataFrame, coordinate_cols: tuple[str, ...] | None = None,
                  last_property_only: bool = False) -> DataFrame:
     """The decoded rows the ingest sink writes (schema ``NEW_DATA``)."""
     parsed = decode.parse_messages(lines, coordinate_cols=coordinate_cols)
@@ -24,7 +24,7 @@ def ingest_frame(lines: DataFrame, coordinate_cols: tuple[str, ...] = (),
 
 
 def start_ingest(lines: DataFrame, new_data_path: str, checkpoint: str,
-                 coordinate_cols: tuple[str, ...] = (), trigger: dict | None = None,
+                 coordinate_cols: tuple[str, ...] | None = None, trigger: dict | None = None,
                  last_property_only: bool = False,
                  query_name: str | None = None) -> StreamingQuery:
     """Start the ingest query; ``trigger`` e.g. ``{"availableNow": True}`` or

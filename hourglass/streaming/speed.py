@@ -11,16 +11,21 @@ key and ``v`` its values:
              state, country;
 * equivs     key (personid1, personid2), value pedigree.
 
-Each micro-batch is aggregated on its own in ``foreachBatch`` — per key the
-version with the greatest ``(event seconds, message hash)`` and the number of
-writes — and written to ``<root>/batch_id=<n>/tbl=<table>`` with overwrite,
-so a retried batch replaces its own output (idempotent). Both merges are
-associative (last write wins by an order key; counts add up), so merging the
-batch outputs when reading (``read_realtime``) or compacting
+Each micro-batch is aggregated on its own in ``foreachBatch`` (per key the
+version with the greatest ``(event seconds, values)`` and the number of
+writes) and written to ``<root>/batch_id=<n>/tbl=<table>`` with overwrite,
+so a retried batch replaces its own output (idempotent). Messages that cannot
+be used become rows of the table ``quarantine`` in the same write, keyed by
+(reason, text) with their number. Versions of several batches are ordered by
+``(event seconds, batch, values)``. Both merges are associative, so merging
+the batch outputs when reading (``read_realtime``) or compacting
 (``compact_realtime``) gives exactly what a stateful aggregation would,
 without a state store that grows with keys x seconds, and late messages are
-merged, never dropped. Compaction folds batches into a snapshot and expires
-pageview hours the batch layer has absorbed.
+merged, never dropped.
+
+Only batch folders with a ``_SUCCESS`` file count. A snapshot folds batches up
+to an id kept beside its rows (``_folded.json``); readers list the folders and
+open only later ones. Folded folders may be removed (``remove_folded``).
 """
 
 from __future__ import annotations
@@ -35,11 +40,12 @@ from pyspark.sql.types import (
 from hourglass.functions import hour_bucket, normalize_url
 from hourglass.operators import decode
 from hourglass.operators.realtime import RT_KEYS, RT_VALUES
-from hourglass.session import path_exists
+from hourglass.session import delete_folder, list_names, path_exists, read_json, write_json
 
 TABLES = ("pageviews", "pages", "persons", "equivs")
 TABLE_OF_TYPE = {"pageview": "pageviews", "page": "pages", "person": "persons",
                  "equiv": "equivs"}
+QUARANTINE = "quarantine"
 EXTRA_VALUES = {"pageviews": ["events"]}
 VALUE_FIELDS = ["personid", "pedigree", "pageview", "gendertype", "fullname", "city",
                 "state", "country"]
@@ -49,8 +55,7 @@ GENERIC = StructType([
     StructField("k1", StringType()), StructField("k2", StringType()),
     StructField("n1", LongType()), StructField("n2", LongType()),
     StructField("v", StructType([StructField(c, StringType()) for c in VALUE_FIELDS])),
-    StructField("ord", StructType([StructField("secs", LongType()),
-                                   StructField("ord_key", LongType())])),
+    StructField("secs", LongType()),
     StructField("events", LongType()),
     StructField("batch_id", IntegerType()), StructField("tbl", StringType()),
 ])
@@ -67,50 +72,50 @@ TYPED = {
 
 
 def keyed_rows(parsed: DataFrame) -> DataFrame:
-    """One generic keyed row per valid message (a single projection)."""
+    """One generic keyed row per message (a single projection)."""
     t = F.col("messagetype")
+    bad = F.col("reason").isNotNull()
     s = lambda c: F.col(c).cast("string")
-    tbl = None
+    of = lambda mtype: ~bad & (t == mtype)
+    tbl = F.when(bad, QUARANTINE)
     for mtype, table in TABLE_OF_TYPE.items():
-        tbl = F.when(t == mtype, table) if tbl is None else tbl.when(t == mtype, table)
-    k1 = (F.when(t == "pageview", normalize_url(F.col("pageid")))
+        tbl = tbl.when(t == mtype, table)
+    k1 = (F.when(bad, F.col("reason"))
+          .when(t == "pageview", normalize_url(F.col("pageid")))
           .when(t == "page", normalize_url(F.col("url")))
           .when(t == "person", s("personid"))
           .when(t == "equiv", s("personid1")))
-    k2 = F.when(t == "equiv", s("personid2"))
-    n1 = F.when(t == "pageview", hour_bucket(F.col("secs")))
-    n2 = F.when(t == "pageview", F.col("secs"))
+    k2 = F.when(bad, F.col("raw")).when(t == "equiv", s("personid2"))
+    n1 = F.when(of("pageview"), hour_bucket(F.col("secs")))
+    n2 = F.when(of("pageview"), F.col("secs"))
     v = F.struct(
-        F.when(t == "pageview", s("personid")).alias("personid"),
-        F.when(t != "pageview", s("pedigree")).alias("pedigree"),
-        *[F.col(c).alias(c) for c in VALUE_FIELDS[2:]],
+        F.when(of("pageview"), s("personid")).alias("personid"),
+        F.when(~bad & (t != "pageview"), s("pedigree")).alias("pedigree"),
+        *[F.when(~bad, F.col(c)).alias(c) for c in VALUE_FIELDS[2:]],
     )
-    ok = parsed.where(F.col("reason").isNull())
-    return ok.select(tbl.alias("tbl"), k1.alias("k1"), k2.alias("k2"),
-                     n1.cast("bigint").alias("n1"), n2.cast("bigint").alias("n2"),
-                     v.alias("v"), F.col("secs"), decode.order_key().alias("ord_key"))
+    return parsed.select(tbl.alias("tbl"), k1.alias("k1"), k2.alias("k2"),
+                         n1.cast("bigint").alias("n1"), n2.cast("bigint").alias("n2"),
+                         v.alias("v"), F.col("secs"))
 
 
-def speed_frame(lines: DataFrame, coordinate_cols: tuple[str, ...] = (),
+def speed_frame(lines: DataFrame, coordinate_cols: tuple[str, ...] | None = None,
                 tables: tuple[str, ...] = TABLES) -> DataFrame:
     """The keyed rows the speed query hands to each micro-batch (not started)."""
     parsed = decode.parse_messages(lines, coordinate_cols=coordinate_cols, strict_urls=True)
     rows = keyed_rows(parsed)
     if tuple(tables) != TABLES:
-        rows = rows.where(F.col("tbl").isin(*tables))
+        rows = rows.where(F.col("tbl").isin(*tables, QUARANTINE))
     return rows
 
 
 def micro_batch_aggregate(rows: DataFrame) -> DataFrame:
-    """Per key of one micro-batch: the latest version (by secs, then message
-    hash), its order key and the number of writes. Partial per task, then one
-    shuffle on the key, like any ``groupBy``."""
-    order = F.struct(F.col("secs").alias("secs"), F.col("ord_key").alias("ord_key"))
+    """Per key of one micro-batch: the latest version, its second and the number
+    of writes. Partial per task, then one shuffle on the key, like any ``groupBy``."""
+    order = F.struct(F.col("secs"), F.col("v"))
     out = rows.groupBy("tbl", "k1", "k2", "n1", "n2").agg(
-        F.max_by(F.col("v"), order).alias("v"),
-        F.max(order).alias("ord"),
-        F.count(F.lit(1)).alias("events"))
-    return out.select("tbl", "k1", "k2", "n1", "n2", "v", "ord", "events")
+        F.max(order).alias("_last"), F.count(F.lit(1)).alias("events"))
+    return out.select("tbl", "k1", "k2", "n1", "n2", F.col("_last.v").alias("v"),
+                      F.col("_last.secs").alias("secs"), "events")
 
 
 def _batch_writer(root: str):
@@ -121,7 +126,7 @@ def _batch_writer(root: str):
 
 
 def start_speed(lines: DataFrame, out_root: str, checkpoint_root: str,
-                coordinate_cols: tuple[str, ...] = (), trigger: dict | None = None,
+                coordinate_cols: tuple[str, ...] | None = None, trigger: dict | None = None,
                 tables: tuple[str, ...] = TABLES) -> dict[str, StreamingQuery]:
     """Start the speed-layer query; returns it as ``{"speed": query}``."""
     w = (speed_frame(lines, coordinate_cols, tables).writeStream
@@ -134,32 +139,70 @@ def start_speed(lines: DataFrame, out_root: str, checkpoint_root: str,
 
 
 def _typed(generic: DataFrame, table: str) -> DataFrame:
+    """Typed columns of a table, and ``ord``, by which its versions are ordered."""
     cols = [F.col(src).alias(dst) for dst, src in TYPED[table].items()]
-    return generic.select(*cols, "ord", F.col("batch_id").cast("int").alias("batch_id"))
+    values = F.struct(*[F.col(TYPED[table][c]).alias(c) for c in RT_VALUES[table]])
+    order = F.struct(F.col("secs").alias("secs"), F.col("batch_id").alias("batch_id"),
+                     values.alias("values"))
+    return generic.select(*cols, order.alias("ord"))
 
 
 def _merge(df: DataFrame, table: str) -> DataFrame:
-    """Merge typed versions of keys: latest values by order key; for
-    pageviews the write counts add up. Keeps ``ord`` for later merges."""
+    """Merge typed versions of keys: latest values by order; for pageviews the
+    write counts add up. Keeps ``ord`` for later merges."""
     keys, vals = RT_KEYS[table], RT_VALUES[table]
-    aggs = [F.max_by(F.struct(*[F.col(v) for v in vals]), F.col("ord")).alias("_v"),
-            F.max("ord").alias("ord")]
+    aggs = [F.max("ord").alias("ord")]
     if table == "pageviews":
         aggs.append(F.sum("events").cast("bigint").alias("events"))
     out = df.groupBy(*keys).agg(*aggs)
     extra = [F.col(c) for c in EXTRA_VALUES.get(table, [])]
-    return out.select(*keys, *[F.col("_v")[v].alias(v) for v in vals], *extra, "ord")
+    return out.select(*keys, *[F.col("ord.values")[v].alias(v) for v in vals], *extra, "ord")
+
+
+def committed_batches(spark: SparkSession, out_root: str, after: int = -1) -> list[int]:
+    """Ids of the batch folders beyond ``after`` whose write has finished."""
+    ids = sorted(int(n.split("=")[1]) for n in list_names(spark, out_root)
+                 if n.startswith("batch_id="))
+    return [i for i in ids if i > after and path_exists(spark, f"{out_root}/batch_id={i}/_SUCCESS")]
+
+
+def _read_batches(spark: SparkSession, out_root: str, ids: list[int]) -> DataFrame:
+    return (spark.read.schema(GENERIC).option("basePath", out_root)
+            .parquet(*[f"{out_root}/batch_id={i}" for i in ids]))
+
+
+def removed_upto(spark: SparkSession, out_root: str) -> int:
+    """The last batch whose folder was removed after folding, -1 if none."""
+    marks = [int(n.split("-")[1].split(".")[0]) for n in list_names(spark, out_root)
+             if n.startswith("_removed-")]
+    return max(marks, default=-1)
 
 
-def _latest(df: DataFrame, table: str) -> DataFrame:
-    return _merge(df, table).drop("ord")
+def _snapshot(spark: SparkSession, snapshot_path: str, table: str) -> tuple[DataFrame, int]:
+    """Rows of a finished snapshot and the last batch folded into it."""
+    mark = read_json(spark, f"{snapshot_path}/_folded.json")
+    if mark is None:
+        raise ValueError(f"no finished snapshot at {snapshot_path}")
+    schema = _merge(_typed(spark.range(0).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in GENERIC.fields]), table), table).schema
+    return spark.read.schema(schema).parquet(snapshot_path), mark["batch_id"]
 
 
-def _batches(spark: SparkSession, out_root: str, table: str) -> DataFrame | None:
-    if not path_exists(spark, out_root):
-        return None
-    g = spark.read.schema(GENERIC).parquet(out_root)
-    return _typed(g.where(F.col("tbl") == table), table)
+def _sources(spark: SparkSession, out_root: str, table: str,
+             snapshot_path: str | None) -> tuple[DataFrame | None, int]:
+    """Versions of a table's keys, and the last batch among them."""
+    base, upto = None, -1
+    if snapshot_path and path_exists(spark, snapshot_path):
+        base, upto = _snapshot(spark, snapshot_path, table)
+    if removed_upto(spark, out_root) > upto:
+        raise ValueError(f"batches up to {removed_upto(spark, out_root)} were folded and removed: "
+                         "read with the snapshot that holds them")
+    ids = committed_batches(spark, out_root, upto)
+    if ids:
+        new = _typed(_read_batches(spark, out_root, ids).where(F.col("tbl") == table), table)
+        base = new if base is None else base.unionByName(new)
+        upto = ids[-1]
+    return base, upto
 
 
 def read_realtime(spark: SparkSession, out_root: str, table: str,
@@ -167,53 +210,64 @@ def read_realtime(spark: SparkSession, out_root: str, table: str,
     """Current content of a realtime table: newest version per key.
 
     With ``snapshot_path`` (written by ``compact_realtime``) only the batch
-    folders newer than the snapshot are read next to it (partition pruning on
-    ``batch_id``), so reads stay proportional to the recent stream.
+    folders newer than the snapshot are read next to it, so reads stay
+    proportional to the recent stream.
     """
-    parts = []
-    upto = None
-    if snapshot_path and path_exists(spark, snapshot_path):  # merged, with "ord"
-        base = spark.read.parquet(snapshot_path)
-        upto = base.agg(F.max("batch_id")).first()[0]
-        parts.append(base)
-    b = _batches(spark, out_root, table)
-    if b is not None:
-        parts.append(b if upto is None else b.where(F.col("batch_id") > F.lit(upto)))
-    if not parts:
-        return _empty(spark, table)
-    df = parts[0]
-    for p in parts[1:]:
-        df = df.unionByName(p)
-    return _latest(df, table)
+    df, _ = _sources(spark, out_root, table, snapshot_path)
+    return _empty(spark, table) if df is None else _merge(df, table).drop("ord")
+
+
+def read_quarantine(spark: SparkSession, out_root: str) -> DataFrame:
+    """(reason, raw, messages): what the speed layer could not use, of the batches kept."""
+    ids = committed_batches(spark, out_root)
+    if not ids:
+        return spark.createDataFrame([], "reason string, raw string, messages bigint")
+    g = _read_batches(spark, out_root, ids).where(F.col("tbl") == QUARANTINE)
+    return g.groupBy(F.col("k1").alias("reason"), F.col("k2").alias("raw")).agg(
+        F.sum("events").cast("bigint").alias("messages"))
 
 
 def compact_realtime(spark: SparkSession, out_root: str, table: str, snapshot_path: str,
                      previous_snapshot: str | None = None,
-                     expire_before_hour: int | None = None) -> int:
-    """Fold a realtime table (previous snapshot + batch folders) into one
-    merged snapshot at ``snapshot_path``; returns the last batch id folded in.
-
-    ``expire_before_hour`` drops pageview entries of hours the batch view has
-    absorbed (serving reads realtime rows only after the last batch hour), so
-    realtime data does not grow without bound. The streaming query keeps
-    running; batches committed later are read on top of the snapshot.
+                     absorbed: DataFrame | None = None) -> int:
+    """Fold a realtime table (previous snapshot + finished batches) into one
+    merged snapshot at ``snapshot_path``; returns the last batch id folded in
+    (-1 and no snapshot while there is nothing).
+
+    ``absorbed`` (url, hour_bucket) names the URL hours the batch view counts:
+    their pageview entries are dropped. Serving reads realtime rows of a URL
+    only after its last hour in the batch view, so no result changes, and
+    entries of URLs or hours the batch has never counted stay. The streaming
+    query keeps running; batches finished later are read on top.
     """
-    b = _batches(spark, out_root, table)
-    if b is None:
+    df, upto = _sources(spark, out_root, table, previous_snapshot)
+    if df is None:
         return -1
-    upto = spark.read.schema(GENERIC).parquet(out_root).agg(F.max("batch_id")).first()[0]
-    if upto is None:
-        return -1
-    df = b.where(F.col("batch_id") <= F.lit(upto))
-    if previous_snapshot is not None:
-        base = spark.read.parquet(previous_snapshot)
-        done = base.agg(F.max("batch_id")).first()[0]
-        df = base.unionByName(df.where(F.col("batch_id") > F.lit(done)))
     cur = _merge(df, table)
-    if table == "pageviews" and expire_before_hour is not None:
-        cur = cur.where(F.col("hour_bucket") >= F.lit(expire_before_hour))
-    cur.withColumn("batch_id", F.lit(upto).cast("int")).write.mode("overwrite").parquet(snapshot_path)
-    return int(upto)
+    if table == "pageviews" and absorbed is not None:
+        cur = cur.join(absorbed.select("url", "hour_bucket"), ["url", "hour_bucket"], "left_anti")
+    cur.write.mode("overwrite").parquet(snapshot_path)
+    write_json(spark, f"{snapshot_path}/_folded.json", {"batch_id": upto, "table": table})
+    return upto
+
+
+def remove_folded(spark: SparkSession, out_root: str, snapshots: dict[str, str]) -> int:
+    """Remove the batch folders that the snapshots of all tables hold; returns how many.
+
+    The mark written first makes a later read without a snapshot an error, not
+    a result with missing rows. Quarantine rows of those batches go with them:
+    read them before.
+    """
+    if set(snapshots) != set(TABLES):
+        raise ValueError("a snapshot of every table is needed")
+    upto = min(_snapshot(spark, path, t)[1] for t, path in snapshots.items())
+    ids = [i for i in committed_batches(spark, out_root) if i <= upto]
+    if ids:
+        if removed_upto(spark, out_root) < upto:
+            write_json(spark, f"{out_root}/_removed-{upto}.json", {"batch_id": upto})
+        for i in ids:
+            delete_folder(spark, f"{out_root}/batch_id={i}")
+    return len(ids)
 
 
 def _empty(spark: SparkSession, table: str) -> DataFrame:

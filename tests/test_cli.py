@@ -1,11 +1,27 @@
 """The command line drives the same jobs: ingest + speed over a queue folder,
 a batch run, then countpageviews with the original date format."""
 
+import pytest
+
 from hourglass.plans import cli
+from hourglass.sources import messages
 from hourglass.sources import testdata as td
 from tests.conftest import SF_SMALL
 
 
+def test_kafka_arguments():
+    a = cli.parser().parse_args(["ingest", "--kafka", "h:9092,i:9092", "--topic", "t", "--new", "n", "--checkpoint", "c",
+                                 "--starting-offsets", "latest", "--kafka-option", "maxOffsetsPerTrigger=500"])
+    place, options = cli.kafka_arguments(a)
+    assert messages.kafka_options(*place, **options) == {
+        "kafka.bootstrap.servers": "h:9092,i:9092", "subscribe": "t", "startingOffsets": "latest",
+        "maxOffsetsPerTrigger": "500"}
+    with pytest.raises(SystemExit):     # a queue is a folder or a topic, not both
+        cli.parser().parse_args(["ingest", "--kafka", "h", "--source", "d", "--new", "n", "--checkpoint", "c"])
+    with pytest.raises(SystemExit, match="--topic"):
+        cli.kafka_arguments(cli.parser().parse_args(["speed", "--kafka", "h", "--realtime", "r", "--checkpoint", "c"]))
+
+
 def test_cli_round_trip(spark, workdir, capsys):
     lines = td.message_lines(spark, SF_SMALL, kinds=("pageview",))
     lines.select("value").coalesce(2).write.text(f"{workdir}/queue")

@@ -2,8 +2,8 @@ from pyspark.sql import functions as F
 
 from hourglass.functions import (
     bucketed_key_string, deserialize_long, gender, granularity_buckets, hour_bucket,
-    key_bucket, key_granularity, key_url, normalize_url, parse_query_hour, person_id,
-    person_id_string, serialize_long,
+    key_bucket, key_granularity, key_url, normalize_url, person_id,
+    serialize_long,
 )
 
 
@@ -17,7 +17,14 @@ URL_CASES = [
     ("HTTP://Example.COM/Path", "http://Example.COM/Path"),                 # protocol lowered, host kept
     ("http://example.com:8080/x?y=1#z", "http://example.com/x"),            # port, query, fragment
     ("https://user:pw@example.com/p", "https://example.com/p"),             # user info
-    ("http://a@b@example.com/p?x=@", "http://example.com/p"),               # last "@" ends it
+    ("http://a@b@example.com/p?x=@", "http:///p"),                          # two "@": no host
+    ("http://a@example.com/p@q?x=@", "http://example.com/p@q"),
+    ("\t http://example.com/a\r\n", "http://example.com/a"),                # control characters around it
+    ("URL:http://example.com/a", "http://example.com/a"),                   # "url:" in front
+    ("http://example.com:2147483647/p", "http://example.com/p"),
+    ("http://example.com:0002147483647/p", "http://example.com/p"),
+    ("http://example.com:2147483648/p", "http://example.com:2147483648/p"),  # port beyond 32 bits: unchanged
+    ("http://example.com:99999999999/p", "http://example.com:99999999999/p"),
     ("http://example.com/a b/c", "http://example.com/a b/c"),               # blank in path
     ("http://example.com#frag?x", "http://example.com"),
     ("http://example.com:/p", "http://example.com/p"),                      # empty port
@@ -85,11 +92,3 @@ def test_query_hour(spark):
     assert query_hour("15.01.2024|13") == 473701
     assert query_hour("15.01.2024|12") == 473700
     assert query_hour("15.01.2024|12", legacy_12h=True) == 473688
-    assert one(spark, parse_query_hour(F.col("v")), "15.01.2024|13") == 473701
-    assert one(spark, parse_query_hour(F.col("v"), legacy_12h=True), "15.01.2024|12") == 473688
-
-
-def test_person_id_round_trip(spark):
-    df = spark.createDataFrame([("cookie_3",), ("17",), ("x",)], "v string")
-    got = [r[0] for r in df.select(person_id_string(person_id("v"))).collect()]
-    assert got == ["cookie_3", "17", None]

@@ -1,4 +1,9 @@
-from hourglass.session import PLANNING_CONF, apply_planning_conf, ensure_checkpoint_dir, work_dir
+import pytest
+
+from hourglass import session
+from hourglass.session import (
+    delete_folder, ensure_checkpoint_dir, list_names, path_exists, read_json, work_dir, write_json,
+)
 
 
 def test_checkpoint_dir_is_read_from_the_session(spark):
@@ -10,7 +15,45 @@ def test_checkpoint_dir_is_read_from_the_session(spark):
     assert a != b and a.startswith(d.rstrip("/") + "/x-")
 
 
-def test_planning_conf_applies_to_foreign_sessions(spark):
-    apply_planning_conf(spark)
-    for k, v in PLANNING_CONF.items():
-        assert spark.conf.get(k) == v
+@pytest.mark.parametrize("master", ["yarn", "spark://h:7077", "local-cluster[2,1,1024]", "k8s://x"])
+def test_no_local_scratch_on_a_cluster(master):
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Cluster:
+        sparkContext = Context()
+        conf = {}
+
+    Cluster.sparkContext.master = master
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Cluster())
+    assert not hasattr(session, "apply_planning_conf")
+
+
+def test_small_files(spark, workdir):
+    path = f"{workdir}/a/_v-1.json"
+    assert read_json(spark, path) is None and list_names(spark, f"{workdir}/a") == []
+    write_json(spark, path, {"k": [1, "é"]})
+    assert read_json(spark, path) == {"k": [1, "é"]} and path_exists(spark, path)
+    with pytest.raises(RuntimeError, match="exists already"):
+        write_json(spark, path, {})
+    assert [n for n in list_names(spark, f"{workdir}/a") if not n.endswith(".crc")] == ["_v-1.json"]
+    delete_folder(spark, f"{workdir}/a")
+    assert not path_exists(spark, f"{workdir}/a")
+
+
+def test_paths_without_scheme_mean_the_default_filesystem(spark, workdir):
+    """A scheme-less path is looked up where Spark's readers look, not on the local disk."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    old = conf.get("fs.defaultFS")
+    spark.range(3).write.parquet(f"{workdir}/data/x")
+    local = workdir.removeprefix("file:")
+    conf.set("fs.viewfs.mounttable.hg.link./data", f"file://{local}/data")
+    conf.set("fs.defaultFS", "viewfs://hg/")
+    try:
+        assert path_exists(spark, "/data/x") and path_exists(spark, "/data/x/_SUCCESS")
+        assert not path_exists(spark, "/data/y")
+        assert path_exists(spark, f"file://{local}/data/x")
+    finally:
+        conf.set("fs.defaultFS", old or "file:///")

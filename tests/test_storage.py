@@ -101,25 +101,94 @@ def test_incremental_job_equals_full_rebuild(spark, workdir):
     touched = jobs.run_incremental(spark, f"{workdir}/new", f"{workdir}/master",
                                    f"{workdir}/view", f"{workdir}/ck", run_id="r2")
     assert touched
-    full = views.batch_view(FS.read_kinds(spark, f"{workdir}/master", 4))
-    got = storage.read_view(spark, f"{workdir}/view")
-    assert FS.read_facts(spark, f"{workdir}/master").count() == 64
-    # run_batch advanced the delta stream: the refresh added only the second
-    # delivery, so the refreshed view equals a rebuild from the whole master
+    full = views.batch_view(storage.read_master(spark, f"{workdir}/master", 4))
+    got = storage.read_current_view(spark, f"{workdir}/view")
+    assert storage.read_master(spark, f"{workdir}/master").count() == 64
+    # the refresh added only the second delivery, so the refreshed view equals a
+    # rebuild from the whole master
     assert sorted(got.collect()) == sorted(full.collect())
 
 
-def test_in_place_refresh_touches_only_new_periods(spark, workdir):
+def month_total(spark, view):
+    return storage.read_current_view(spark, view).where("granularity = 'm'") \
+        .agg(F.sum("total_pageviews")).first()[0]
+
+
+def deliver(spark, workdir, n, name):
+    """Ingest n page views of one more delivery."""
+    docs = [json.dumps({"messagetype": "pageview", "pedigree": str(1704067200 + i), "personid": "1",
+                        "pageid": f"http://{name}.org/"}) for i in range(n)]
+    spark.createDataFrame([(d,) for d in docs], "value string").coalesce(1).write.mode("append").text(f"{workdir}/in")
+    ingest.start_ingest(M.text_source(spark, f"{workdir}/in"), f"{workdir}/new", f"{workdir}/ck_i",
+                        trigger={"availableNow": True}).awaitTermination()
+
+
+def test_batch_runs_count_every_delivery_once(spark, workdir):
+    """Data that arrives during a run is left to the next; finished run ids change
+    nothing; a given-up run's facts are counted by the next run."""
+    from hourglass.plans import jobs
+    at = (f"{workdir}/new", f"{workdir}/master", f"{workdir}/view", f"{workdir}/ck")
+    deliver(spark, workdir, 1, "a")
+    jobs.run_batch(spark, *at)
+    deliver(spark, workdir, 1, "b")      # arrives after the only absorb of that run
+    jobs.run_incremental(spark, *at, run_id="r1")
+    assert month_total(spark, at[2]) == 2 == storage.read_master(spark, at[1]).count()
+    deliver(spark, workdir, 1, "c")
+    jobs.run_incremental(spark, *at, run_id="r2")
+    assert jobs.run_incremental(spark, *at, run_id="r1") == [] and month_total(spark, at[2]) == 3
+    deliver(spark, workdir, 2, "d")
+    storage.absorb_run(spark, at[0], at[1], f"{workdir}/ck/absorb", "lost")   # then its driver dies
+    assert month_total(spark, at[2]) == 3
+    assert jobs.run_incremental(spark, *at, run_id="r3") and month_total(spark, at[2]) == 5
+
+
+def test_compaction_composes_with_absorb(spark, workdir):
+    from hourglass.plans import jobs
+    at = (f"{workdir}/new", f"{workdir}/master", f"{workdir}/view", f"{workdir}/ck")
+    for k in range(4):
+        deliver(spark, workdir, 3, f"h{k}")
+        jobs.run_incremental(spark, *at, run_id=f"r{k}", compact_every=2)
+    assert storage.packed_runs(spark, at[1]) == {1: ["r0", "r1"]}
+    assert storage.read_master(spark, at[1]).count() == 12 and month_total(spark, at[2]) == 12
+    assert storage.compact_master(spark, at[1]) == ["r2", "r3"] and storage.compact_master(spark, at[1]) == []
+    assert storage.read_master(spark, at[1], S.PAGE_VIEW).count() == 12
+    # few files: one per kind and generation here, and evenly dealt ones in the live sink
+    packed = spark.read.schema(S.FACTS).parquet(f"{at[1]}/packed/generation=2").inputFiles()
+    assert len(packed) == 1
+    live = [n for n in storage.list_names(spark, f"{at[1]}/live/run_id=r0/dataunit_id=4/value_id=0") if n.endswith(".parquet")]
+    assert 1 <= len(live) <= 4
+    jobs.run_batch(spark, *at, run_id="full")
+    assert month_total(spark, at[2]) == 12
+
+
+def test_readers_keep_a_whole_view_during_a_rebuild(spark, workdir):
+    facts = decode.to_facts(decode.parse_messages(sample_lines(spark)))
+    root = f"{workdir}/view"
+    storage.rebuild_view(spark, root, facts, ["a"])
+    before = storage.read_current_view(spark, root)
+    # a rebuild that dies after writing leaves no trace for readers
+    storage.write_view(views.batch_view(facts.limit(3), with_last_hour=True), f"{root}/generation=2")
+    assert sorted(storage.read_current_view(spark, root).collect()) == sorted(views.batch_view(facts).collect())
+    storage.rebuild_view(spark, root, facts.unionAll(facts), ["a", "b"])
+    n = views.batch_view(facts).agg(F.sum("total_pageviews")).first()[0]
+    assert before.agg(F.sum("total_pageviews")).first()[0] == n      # its files are still there
+    assert storage.read_current_view(spark, root).agg(F.sum("total_pageviews")).first()[0] == 2 * n
+    storage.rebuild_view(spark, root, facts, ["a", "b", "c"])
+    assert not storage.path_exists(spark, f"{root}/generation=1")
+
+
+def test_refresh_touches_only_new_periods(spark, workdir):
     facts = decode.to_facts(decode.parse_messages(sample_lines(spark, n=60)))
-    cut = 1704067200 + 40 * 600
-    old, new = facts.where(F.col("true_as_of_secs") < cut), facts.where(F.col("true_as_of_secs") >= cut)
-    storage.write_view(views.batch_view(old, with_last_hour=True), f"{workdir}/view")
-    before = {f for f in spark.read.parquet(f"{workdir}/view").inputFiles()}
-    touched = storage.refresh_view_in_place(spark, f"{workdir}/view", new, f"{workdir}/stage")
-    assert set(g for g, _ in touched) == {"h", "d", "w", "m"}
-    got = storage.read_view(spark, f"{workdir}/view")
-    assert sorted(got.collect()) == sorted(views.batch_view(facts).collect())
-    assert len(spark.read.parquet(f"{workdir}/view").inputFiles()) > 0 and before
+    late = facts.withColumn("true_as_of_secs", F.col("true_as_of_secs") + 40 * 86400)
+    root = f"{workdir}/view"
+    storage.rebuild_view(spark, root, facts, ["a"])
+    touched = storage.refresh_current_view(spark, root, late, ["b"])
+    assert {g for g, _ in touched} == {"h", "d", "w", "m"}
+    now = storage.current_view(spark, root)
+    assert sorted(now["runs"]) == ["a", "b"] and set(now["partitions"].values()) == {1, 2}
+    assert {p for p, g in now["partitions"].items() if g == 2} == {f"granularity={g}/period={p}" for g, p in touched}
+    got = storage.read_current_view(spark, root)
+    assert sorted(got.collect()) == sorted(views.batch_view(facts.unionAll(late)).collect())
 
 
 def test_period_pruning_in_serving(spark, workdir):
@@ -162,18 +231,6 @@ def test_bucketed_views_join_on_url_without_shuffle(spark, workdir):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_in_place_refresh_retry_does_not_double_count(spark, workdir):
-    facts = decode.to_facts(decode.parse_messages(sample_lines(spark, n=60)))
-    cut = 1704067200 + 40 * 600
-    old, new = facts.where(F.col("true_as_of_secs") < cut), facts.where(F.col("true_as_of_secs") >= cut)
-    storage.write_view(views.batch_view(old, with_last_hour=True), f"{workdir}/view")
-    storage.refresh_view_in_place(spark, f"{workdir}/view", new, f"{workdir}/stage")
-    # the same refresh run again (e.g. after a driver loss during the swap)
-    storage.refresh_view_in_place(spark, f"{workdir}/view", new, f"{workdir}/stage")
-    got = storage.read_view(spark, f"{workdir}/view")
-    assert sorted(got.collect()) == sorted(views.batch_view(facts).collect())
-
-
 def test_jobs_before_any_data_are_no_ops(spark, workdir):
     from hourglass.plans import jobs
     assert storage.absorb(spark, f"{workdir}/none", f"{workdir}/master", f"{workdir}/ck") == 0
