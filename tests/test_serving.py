@@ -207,3 +207,26 @@ def test_salting_spreads_a_hot_url_over_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("listed", [True, False])
+def test_each_view_is_read_once(spark, workdir, listed):
+    """Executed plans of both queries: one scan of the stored view, one of the realtime table."""
+    from hourglass.operators import storage
+    rows = [(f"http://p{i % 3}.org/a", 473352 + i) for i in range(60)]
+    view = spark.createDataFrame([(u, "h", h, 2, h) for u, h in rows],
+                                 "url string, granularity string, bucket long, total_pageviews long, last_hour long")
+    storage.write_view(view, f"{workdir}/view")
+    spark.createDataFrame([(u, h + 30, (h + 30) * 3600) for u, h in rows], "url string, hour_bucket long, secs long") \
+        .write.parquet(f"{workdir}/realtime")
+    v = storage.read_view(spark, f"{workdir}/view", keep_layout=True)
+    rt = spark.read.parquet(f"{workdir}/realtime")
+    urls = [u for u, _ in rows[:3]]
+    asked = urls if listed else spark.createDataFrame([(u,) for u in urls], "url string")
+    for fn in (serving.count_pageviews, serving.get_pageviews):
+        df = fn(v, rt, asked, 473360, 473450)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+        assert sum("/view]" in s for s in scans) == 1, plan
+        assert sum("/realtime]" in s for s in scans) == 1, plan
