@@ -51,9 +51,9 @@ text = st.text(alphabet=st.characters(blacklist_categories=("Cs",)), min_size=1,
 person_ids = st.one_of(text.map(lambda t: "cookie" + t),
                        st.integers(min_value=-(2 ** 62), max_value=2 ** 62).map(str))
 messages = st.one_of(
-    st.tuples(st.just("pageview"), st.integers(0, 2 ** 40), person_ids, text),
-    st.tuples(st.just("page"), st.integers(0, 2 ** 40), text, st.integers(0, 2 ** 31 - 1)),
-    st.tuples(st.just("equiv"), st.integers(0, 2 ** 40), person_ids, person_ids),
+    st.tuples(st.just("pageview"), st.integers(-(2 ** 31), 2 ** 31 - 1), person_ids, text),
+    st.tuples(st.just("page"), st.integers(-(2 ** 31), 2 ** 31 - 1), text, st.integers(0, 2 ** 31 - 1)),
+    st.tuples(st.just("equiv"), st.integers(-(2 ** 31), 2 ** 31 - 1), person_ids, person_ids),
 )
 
 
