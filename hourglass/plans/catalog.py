@@ -510,7 +510,9 @@ def q_view_sharded(spark, sf_dir):
     name = "hg_view_" + root.rsplit("-", 1)[-1]
     storage.write_view_sharded(views.batch_view(pageview_facts(spark, sf_dir)), name,
                                f"{root}/table", shards=4)
-    return spark.table(name).select("url", "granularity", "bucket", "total_pageviews")
+    found = spark.table(name).select("url", "granularity", "bucket", "total_pageviews")
+    spark.sql(f"DROP TABLE {name}")     # an external table: its files stay and are read
+    return found
 
 
 @register("view_kv_sharded", VIEW_SQL)
