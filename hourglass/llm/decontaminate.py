@@ -2,9 +2,10 @@
 
 Words are runs of letters and digits in lower case; a text is the sequence of its 5-word
 shingles (an item of fewer words is one shingle). For each benchmark item, windows with as
-many shingles as the item are cut from the documents, where a window can be like the item at
-all: a window without a common shingle has similarity 0, and the most similar window starts
-where a run of common shingles starts or ends where one ends. Each window gets a 64-bit
+many shingles as the item are cut from the documents at every common shingle: one starts
+there, and one ends there. Any other window is no more like the item than one of them, as it
+moves to the next common shingle without losing one. A window whose common shingles, counted
+from above, cannot reach the least similarity is dropped. Each other window gets a 64-bit
 SimHash. Two fingerprints within ``radius`` bits agree on one of radius + 1 blocks, so
 equal (size, block, value) finds every item within the radius; the exact weighted similarity of
 the shingles (sum of least over sum of greatest counts) decides.
@@ -45,8 +46,10 @@ def shingles_of(words: Column, k: int) -> Column:
 
 def simhash(shingles: Column) -> Column:
     """The bitwise majority of a column of shingle hashes."""
-    bits = [F.when(2 * F.size(F.filter(shingles, lambda h, b=b: F.getbit(h, F.lit(b)) == 1)) > F.size(shingles),
-                   F.lit((1 << b) - ((1 << 64) if b == 63 else 0))).otherwise(F.lit(0)).cast("long") for b in range(64)]
+    # A second parameter of the inner lambda, even one with a default, would be the element's place.
+    ones = lambda b: F.size(F.filter(shingles, lambda h: F.getbit(h, F.lit(b)) == 1))
+    bits = [F.when(2 * ones(b) > F.size(shingles), F.lit((1 << b) - ((1 << 64) if b == 63 else 0)))
+            .otherwise(F.lit(0)).cast("long") for b in range(64)]
     return reduce(lambda a, b: a.bitwiseOR(b), bits)
 
 
@@ -81,22 +84,34 @@ def items_of(benchmark: DataFrame, shingle: int) -> DataFrame:
     return shingled.withColumn("print", simhash(F.col("item")))
 
 
-def windows(docs: DataFrame, items: DataFrame, k: int) -> DataFrame:
-    """(doc_id, size, start, window): item-sized windows at the ends of runs of common shingles."""
-    index = items.select("item_id", F.explode(F.array_distinct("item")).alias("h"), "item")
+def windows(docs: DataFrame, items: DataFrame, k: int, similarity: float) -> DataFrame:
+    """(doc_id, size, start, window): item-sized windows at common shingles that can reach the similarity."""
+    distinct = items.withColumn("own", F.array_distinct("item"))
+    index = distinct.select("item_id", F.explode("own").alias("h"), "item", F.size("own").alias("n_own"))
     found = docs.select("doc_id", words_of(F.col("text")).alias("words"))
     hashed = found.select("doc_id", shingles_of(F.col("words"), k).alias("all"))
     # The outer form keeps the optimizer from computing the shingles once more to drop empty ones.
     places = hashed.select("doc_id", "all", F.posexplode_outer("all").alias("at", "h"))
     hits = places.join(F.broadcast(index), "h")     # a slice of measured size
-    size, last = F.size("item"), F.size("all")
-    begins = ~F.coalesce(F.array_contains("item", F.get("all", F.col("at") - 1)), F.lit(False))
-    ends = ~F.coalesce(F.array_contains("item", F.get("all", F.col("at") + 1)), F.lit(False))
-    start = F.greatest(F.least(F.when(F.col("side") == 0, F.col("at")).otherwise(F.col("at") - size + 1), last - size),
-                       F.lit(0))
-    sides = F.array(F.struct(F.lit(0).alias("side"), begins.alias("edge")), F.struct(F.lit(1).alias("side"), ends.alias("edge")))
-    return hits.select("doc_id", "all", "at", "item", F.inline(sides)).where("edge").select(
-        "doc_id", size.alias("size"), start.alias("start"), F.slice("all", start + 1, size).alias("window"))
+    size, last, at = F.size("item"), F.size("all"), F.col("at")
+    place = lambda i: F.get("all", i)
+    common = lambda i: F.coalesce(F.array_contains("item", place(i)), F.lit(False))
+    between = lambda a, b: F.arrays_overlap(F.slice("all", a + 1, F.greatest(b - a, F.lit(0))), F.col("item"))
+    final = F.greatest(last - size, F.lit(0))
+    # The final window counts at its first common shingle. A window that gains the common shingle it loses is the one before.
+    same = common(at - 1) & F.coalesce(place(at - 1) == place(at + size - 1), F.lit(False))
+    starts = F.when(at > final, ~between(final, at)).otherwise(~same)
+    # The window that ends here, if none starts at the same place; the first one counts at its last common shingle.
+    first = F.greatest(at - size + 1, F.lit(0))
+    ends = (last > size) & ~common(first) & ((at >= size - 1) | ~between(at + 1, size))
+    sides = F.array(F.struct(F.least(at, final).alias("start"), starts.alias("cut")),
+                    F.struct(first.alias("start"), ends.alias("cut")))
+    cut = hits.select("doc_id", "all", "item", "n_own", F.inline(sides)).where("cut").select(
+        "doc_id", "item", "n_own", size.alias("size"), "start", F.slice("all", F.col("start") + 1, size).alias("window"))
+    # Common shingles, repeated ones of the item as if all were in the window.
+    most = F.size(F.array_intersect("window", "item")) + F.col("size") - F.col("n_own")
+    least = similarity / (1 + similarity) * (F.col("size") + F.size("window"))
+    return cut.where(most >= least - 1e-6).select("doc_id", "size", "start", "window")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY,
@@ -115,7 +130,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, si
         slices = -(-row.n // slice_bytes)
         for s in range(slices):
             own = items.where((F.col("k") == row.k) & (F.pmod(F.xxhash64("item_id"), F.lit(slices)) == s))
-            found = found.unionByName(_leaks(windows(docs, own, row.k), own, similarity, radius))
+            found = found.unionByName(_leaks(windows(docs, own, row.k, similarity), own, similarity, radius))
     return found.groupBy("doc_id", "item_id").agg(
         F.max_by(F.struct("similarity", "distance", "start_word"),
                  F.struct("similarity", -F.col("distance"), -F.col("start_word"))).alias("best")).select("doc_id", "item_id", "best.*")

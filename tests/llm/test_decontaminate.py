@@ -92,6 +92,37 @@ def test_edges(spark):
     assert sorted(str(r.doc_id) for r in left.collect()) == ["1", "2", "3", "7", "None", "None"]
 
 
+def test_best_window_inside_a_run(spark):
+    y = " ".join(f"y{i}" for i in range(10))
+    many = lambda w, n: " ".join([w] * n)
+    docs = [(1, f"{many('a', 40)} {y} {many('a', 40)}"), (2, f"{many('a', 40)} {y} {many('b', 40)}"), (3, many("a", 500)),
+            (4, f"{many('a', 7)} {y} {many('a', 40)}"), (5, f"{many('a', 40)} {y}"), (6, f"x {many('a', 5)} {y} {many('b', 5)}")]
+    # The shingles of the second item are distinct, its words are not.
+    items = [(1, f"{many('a', 10)} {y} {many('a', 10)}"), (2, f"{many('a', 5)} {y} {many('b', 5)}"), (3, many("a", 20))]
+    got = {(r.doc_id, r.item_id): r for r in D.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                                                          spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == brute(docs, items)
+    assert (got[1, 1].similarity, got[1, 1].start_word) == (1.0, 24) and (got[2, 2].similarity, got[2, 2].start_word) == (1.0, 35)
+    assert (got[3, 3].similarity, got[3, 3].start_word) == (1.0, 0) and (got[6, 2].similarity, got[6, 2].start_word) == (1.0, 1)
+
+
+def test_repeated_words(spark):
+    own = random.Random(7)
+    docs = [(d, " ".join(own.choices("ab", weights=(5, 1), k=own.randint(1, 120)))) for d in range(80)]
+    items = [(i, " ".join(own.choices("ab", weights=(5, 1), k=own.randint(5, 25)))) for i in range(25)]
+    got = D.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), radius=63)
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == brute(docs, items)
+
+
+def test_simhash_is_the_bitwise_majority(spark):
+    own = random.Random(2)
+    rows = [[own.getrandbits(64) - (1 << 63) for _ in range(n)] for n in (1, 2, 7, 40, 90)] + [[7, 7, 7, 7, 1, 1, 1], []]
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(r,) for r in rows], "a array<bigint>")
+    want = [sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in r) > len(r)) for r in rows]
+    assert [r.s % (1 << 64) for r in df.select(D.simhash(F.col("a")).alias("s")).collect()] == want
+
+
 def test_agreeing_block(spark):
     own = random.Random(1)
     rows = []
