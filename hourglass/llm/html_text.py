@@ -10,7 +10,7 @@ article), and without any the region decides.
 
 Defined results: a null page is an empty one; a page without main text gives an empty
 text; an unclosed tag ends with its container, an unclosed comment, script or style at the
-end of the page; null ids, repeated rows and empty tables are kept as they are; other
+end of the page; a tag with an unclosed quote is text; null ids, repeated rows and empty tables are kept as they are; other
 columns are not read; pages of any length are read whole.
 """
 
@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import html as references
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -55,7 +55,9 @@ SHORT, LONG = 70, 200
 LOW_STOPS, HIGH_STOPS = 0.15, 0.3
 MOST_LINKS = 0.5
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]{0,65536}"|'[^']{0,65536}')*+)>""", re.S)
+START = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)(?=[a-zA-Z])", re.S)
+NAME_END = re.compile(r"[\s/>]|\Z")
+MARK = re.compile(r"""[>"']|\Z""")
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.I)
 WORD = re.compile(r"[^\W\d_]+")
@@ -85,6 +87,48 @@ def is_boiler(name: str, attributes: str) -> bool:
     return False
 
 
+def token_reader(page: str) -> Callable[[int], tuple[int, int, str | None, bool, str] | None]:
+    """Reads the next comment or tag: start, end, name (None for a comment), whether it closes, attributes.
+
+    A tag whose end is not found, as a quote stays open, is text. Places that lead there are
+    remembered, so the time is linear in the page.
+    """
+    last = len(page)
+    unclosed: set[int] = set()
+    ahead = {NAME_END: (0, -1), MARK: (0, -1)}
+
+    def next_of(pattern: re.Pattern, at: int) -> int:
+        since, found = ahead[pattern]
+        if not since <= at <= found:
+            found = pattern.search(page, at).start()
+            ahead[pattern] = at, found
+        return found
+
+    def tag_end(at: int) -> int:
+        passed, k = [], next_of(MARK, at)
+        while k < last and k not in unclosed:
+            if page[k] == ">":
+                return k
+            passed.append(k)
+            close = page.find(page[k], k + 1)
+            k = next_of(MARK, close + 1) if close >= 0 else last
+        unclosed.update(passed)
+        return -1
+
+    def read(at: int) -> tuple[int, int, str | None, bool, str] | None:
+        while m := START.search(page, at):
+            if m[1] is None:
+                return m.start(), m.end(), None, False, ""
+            named = next_of(NAME_END, m.end())
+            end = tag_end(named)
+            if end >= 0:
+                return m.start(), end + 1, page[m.end():named].lower(), bool(m[1]), page[named:end]
+            at = m.end()
+        return None
+
+    return read
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's text blocks in order."""
     found: list[Block] = []
@@ -105,20 +149,19 @@ def blocks_of(page: str) -> list[Block]:
         parts.clear()
         linked.clear()
 
-    at, end = 0, len(page)
+    at, end, read = 0, len(page), token_reader(page)
     while at < end:
-        m = TOKEN.search(page, at)
-        piece = page[at:m.start() if m else end]
+        token = read(at)
+        piece = page[at:token[0] if token else end]
         if piece:
             parts.append(piece)
             if in_link:
                 linked.append(piece)
-        if m is None:
+        if token is None:
             break
-        at = m.end()
-        if m[2] is None:
+        _, at, name, closing, attributes = token
+        if name is None:
             continue
-        name, closing, attributes = m[2].lower(), bool(m[1]), m[3]
         if name in RAW_TAGS:
             if not closing and not attributes.endswith("/"):
                 stop = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(page, at)

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 from hourglass.llm import html_text as H, queries
 
@@ -51,6 +52,16 @@ def test_malformed_pages():
     assert H.main_text(f"<article><p>{PROSE}</p><script>if (a</b) '</p>'</SCRIPT >tail of it</article>") == f"{PROSE}\n\ntail of it"
 
 
+def test_long_attributes():
+    long = "A/b+" * 25000
+    assert H.main_text(f"<article><p>One <img src=\"data:image/png;base64,{long}\"> two.<p>{PROSE}</article>") == f"One two.\n\n{PROSE}"
+    assert H.main_text(f"<nav data-menu='{long}>'><p>{PROSE} {PROSE}</p></nav><article data-x=\"{long}\"><p>{PROSE}</p></article>") == PROSE
+    start = time.monotonic()
+    for odd in ("<a href=\"x' ", "<p", "<p ", "<a \"'\" ", "<a '\" b='"):
+        assert isinstance(H.main_text(odd * 100000), str) and isinstance(H.main_text(odd * 100000 + "'"), str)
+    assert time.monotonic() - start < 60
+
+
 def test_tables(spark):
     rows = [(1, None, None, "t", 1), (None, "u", f"<article>{PROSE * 3000}</article>", "t", 2), (2, "v", "", None, 3), (2, "v", "", None, 3)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
