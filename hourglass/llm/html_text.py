@@ -8,6 +8,13 @@ takes the label of its nearest decided neighbours: of both if they agree, else o
 nearer one. Neighbours are looked for in the block's own region (inside or outside the
 article), and without any the region decides.
 
+A class or id that says nothing but boilerplate ("comments", "cookie-notice", "post-comments")
+marks its element; one that has such a word among others ("content has-sidebar", "social-impact")
+is a hint: the element's blocks are decided by length, density and links among themselves, and
+without a good one they go. An article or main below either opens its region, unless its own
+class or id has such a word; below a marked element its blocks stay under the hint. At headings
+such words count only before boilerplate.
+
 Defined results: a null page is an empty one; a page without main text gives an empty
 text; an unclosed tag ends with its container, an unclosed comment, script or style at the
 end of the page; a tag with an unclosed quote is text; null ids, repeated rows and empty tables are kept as they are; other
@@ -49,6 +56,8 @@ LIGHT_TAGS = frozenset("p li dt dd td th tr option".split())
 BOILER_WORDS = frozenset("""ad ads adv advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright
 disqus footer menu masthead modal nav navbar navigation newsletter notice notices pagination popup promo promoted promotion related reply replies
 respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget""".split())
+#: Words that say nothing beside one of BOILER_WORDS.
+FRAME_WORDS = frozenset("site post posts list item items box block slot unit area entry reader user form button buttons links".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 
 SHORT, LONG = 70, 200
@@ -70,21 +79,50 @@ class Block:
     boiler: bool       # stands in a container that is never main text
     region: int        # the article it stands in, 0 outside
     heading: bool
+    hint: int          # the innermost container with a hint it stands in, 0 outside
+    named: bool        # a heading whose class or id has a word of boilerplate
     label: str = "open"
 
 
 def is_boiler(name: str, attributes: str) -> bool:
+    """By its kind, its role or as it is hidden."""
     if name in BOILER_TAGS:
         return True
     if not attributes:
         return False
-    if HIDDEN.search(attributes):
-        return True
-    for m in NAMES.finditer(attributes):
-        words = re.split(r"[^a-z0-9]+", (m[2] or m[3] or m[4] or "").lower())
-        if any(w in (BOILER_ROLES if m[1].lower() == "role" else BOILER_WORDS) for w in words):
-            return True
-    return False
+    return bool(HIDDEN.search(attributes)) or any(
+        w in BOILER_ROLES for m in NAMES.finditer(attributes) if m[1].lower() == "role" for w in words_in(m))
+
+
+def words_in(m: re.Match) -> list[str]:
+    return re.split(r"[^a-z0-9]+", (m[2] or m[3] or m[4] or "").lower())
+
+
+def boiler_name(attributes: str) -> str:
+    """What class and id say: boilerplate ("marked"), something with a word of it ("hint"), or nothing ("")."""
+    found = ""
+    for m in NAMES.finditer(attributes) if attributes else ():
+        if m[1].lower() != "role" and not BOILER_WORDS.isdisjoint(words_in(m)):
+            for name in (m[2] or m[3] or m[4] or "").lower().split():
+                words = [w for w in re.split(r"[^a-z0-9]+", name) if w and not w.isdigit()]
+                if not BOILER_WORDS.isdisjoint(words):
+                    if all(w in BOILER_WORDS or w in FRAME_WORDS for w in words):
+                        return "marked"
+                    found = "hint"
+    return found
+
+
+@dataclass(frozen=True)
+class Place:
+    """An open container."""
+    name: str
+    boiler: bool = False
+    region: int = 0
+    hint: int = 0
+    fixed: bool = False     # boilerplate not only by a class or id
+
+
+OUTSIDE = Place("")
 
 
 def token_reader(page: str) -> Callable[[int], tuple[int, int, str | None, bool, str] | None]:
@@ -134,8 +172,8 @@ def blocks_of(page: str) -> list[Block]:
     found: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    stack: list[tuple[str, bool, int]] = []     # open containers: name, boilerplate, region
-    regions, in_link, heading = 0, False, False
+    stack: list[Place] = []
+    regions, hints, in_link, heading, named = 0, 0, False, False, False
 
     def close_block() -> None:
         nonlocal in_link
@@ -144,8 +182,8 @@ def blocks_of(page: str) -> list[Block]:
             text = " ".join(references.unescape("".join(parts)).split())
             if text:
                 links = " ".join(references.unescape("".join(linked)).split()) if linked else ""
-                boiler, region = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-                found.append(Block(text, len(links), boiler, region, heading))
+                p = stack[-1] if stack else OUTSIDE
+                found.append(Block(text, len(links), p.boiler, p.region, heading, p.hint, named))
         parts.clear()
         linked.clear()
 
@@ -169,36 +207,47 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name == "a":
             in_link = not closing
-            if closing or not is_boiler(name, attributes):
-                continue
         if name == "br":
             parts.append(" ")
             continue
         block = name in BLOCK_TAGS
+        fixed, word = (is_boiler(name, attributes), boiler_name(attributes)) if not closing else (False, "")
         if block:
             close_block()
             heading = name in HEADINGS and not closing
-        if name in VOID_TAGS or (not block and not closing and not is_boiler(name, attributes)):
+            named = heading and bool(word)
+        if name in VOID_TAGS or (not block and not closing and not fixed and word != "marked"):
             continue
         if closing:
             for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
+                if stack[k].name == name:
                     if not block:
                         close_block()
                     del stack[k:]
                     break
             continue
-        while block and stack and stack[-1][0] in LIGHT_TAGS and (stack[-1][0] == "p" or name in LIGHT_TAGS):
+        while block and stack and stack[-1].name in LIGHT_TAGS and (stack[-1].name == "p" or name in LIGHT_TAGS):
             stack.pop()
-        boiler, region = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
-        if name in ARTICLE_TAGS and not boiler and not region:
-            regions += 1
-            region = regions
+        p = stack[-1] if stack else OUTSIDE
+        boiler, region, hint, firm = p.boiler, p.region, p.hint, p.fixed
+        if name in ARTICLE_TAGS:
+            if (boiler or hint or not region) and not firm and not ((boiler or hint) and word):
+                regions += 1
+                region = regions
+                # Below a marked element the article has to hold main text of its own; a hint it overrules.
+                hints += boiler
+                boiler, hint = False, hints if boiler else 0
+        elif name not in ("body", "html"):
+            firm = firm or fixed or (name == "header" and not region)
+            if name not in HEADINGS:
+                boiler = boiler or word == "marked"
+                if word == "hint":
+                    hints += 1
+                    hint = hints
         if not block:
             close_block()
-        own = is_boiler(name, attributes) and name not in ARTICLE_TAGS and name not in ("body", "html")
         # A header holds the page's title bar; inside an article it holds the article's title.
-        stack.append((name, boiler or own or (name == "header" and not region), region))
+        stack.append(Place(name, boiler or firm, region, hint, firm))
     close_block()
     return found
 
@@ -224,9 +273,16 @@ def first_pass(b: Block) -> str:
 
 
 def second_pass(found: list[Block]) -> None:
-    """Open blocks take the label of their region's nearest decided neighbours."""
-    for region in {b.region for b in found}:
-        own = [b for b in found if b.region == region and not b.boiler]
+    """Open blocks take the label of the nearest decided neighbours of their region and hint."""
+    for b, after in zip(found, found[1:], strict=False):
+        if b.named and after.boiler:
+            b.label = "bad"
+    groups: dict[tuple[int, int], list[Block]] = {}
+    for b in found:
+        if not b.boiler:
+            groups.setdefault((b.region, b.hint), []).append(b)
+    for (region, hint), own in groups.items():
+        rest = "good" if region and not hint else "bad"
         near: list[list[tuple[int, str] | None]] = []
         for order in (range(len(own)), range(len(own) - 1, -1, -1)):
             last, side = None, [None] * len(own)
@@ -239,10 +295,10 @@ def second_pass(found: list[Block]) -> None:
             if b.label == "open":
                 sides = [s for s in (near[0][k], near[1][k]) if s]
                 if not sides:
-                    b.label = "good" if region else "bad"
+                    b.label = rest
                 else:   # of two as near, a heading goes with what follows, others as the region does
                     b.label = min(sides, key=lambda s: (abs(s[0] - k), b.heading and s[0] < k,
-                                                        s[1] != ("good" if region else "bad")))[1]
+                                                        s[1] != rest))[1]
 
 
 def main_text(page: str | None) -> str:

@@ -62,6 +62,22 @@ def test_long_attributes():
     assert time.monotonic() - start < 60
 
 
+def test_words_of_boilerplate_are_evidence():
+    two = f"{PROSE} {PROSE}"
+    for name in ("content has-sidebar", "sidebar", "nav-open page", "widget"):
+        assert H.main_text(f'<div class="{name}"><article><h1>T</h1><p>{two}</p></article><aside>{two}</aside></div>') == f"T\n\n{two}"
+        assert H.main_text(f'<main><div class="{name}"><article><h1>T</h1><p>{two}</p></article></div></main>') == f"T\n\n{two}"
+        assert H.main_text(f'<div id="x" class="{name}"><div><main><p>{two}</p></main></div></div>') == two
+    assert H.main_text(f'<div class="content has-sidebar"><article><p>{PROSE}</p></article></div>') == PROSE
+    assert H.main_text(f'<div class="has-sidebar"><h1>T</h1><p>{two}</p><p>Short.</p><div class="sidebar">{two}</div></div>') == f"T\n\n{two}\n\nShort."
+    page = f"""<article><p>{two}</p><h2 id="related-work">Related work</h2><p>{two}</p><section id="social-impact"><h3>Impact</h3><p>{two}</p></section>
+    <p><a id="comments"></a>{PROSE}</p><div class="ad-free menu-of-day"><a href=x>One</a> <a href=y>Two</a></div><p id="share-price">{two}</p>
+    <h2 class="comments">Comments</h2><div class="post-comments"><article class="comment">{two}</article></div></article>
+    <div class="related-posts"><article><h3>Teaser</h3></article></div><div class="comments"><article class="comment">{two}</article></div>"""
+    assert H.main_text(page).split("\n\n") == [two, "Related work", two, "Impact", two, PROSE, two]
+    assert H.main_text(f'<nav><article><p>{two}</p></article></nav><div hidden class="sidebar"><main>{two}</main></div>') == ""
+
+
 def test_tables(spark):
     rows = [(1, None, None, "t", 1), (None, "u", f"<article>{PROSE * 3000}</article>", "t", 2), (2, "v", "", None, 3), (2, "v", "", None, 3)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
