@@ -6,7 +6,8 @@ are boilerplate), by its link density, and by its length and the density of stop
 Short blocks and blocks without enough evidence stay open. In the second pass an open block
 takes the label of its nearest decided neighbours: of both if they agree, else of the
 nearer one. Neighbours are looked for in the block's own region (inside or outside the
-article), and without any the region decides.
+article), and without any the region decides. In an article, long blocks without links are
+main text whatever their density.
 
 A class or id that says nothing but boilerplate ("comments", "cookie-notice", "post-comments")
 marks its element; one that has such a word among others ("content has-sidebar", "social-impact")
