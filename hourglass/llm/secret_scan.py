@@ -1,10 +1,12 @@
 """Secret scans: fixed patterns, and Markov models of random strings.
 
 The patterns find assignments, access keys and long hexadecimal runs. Besides them, each
-run of 16 or more key characters with both a letter and a digit is scored by the
-log-likelihood ratio, per character, of two character Markov models: one of random
-strings, one of ordinary identifiers. Runs above the threshold that touch no pattern's
-span become spans of kind ``random``.
+run of 16 or more key characters, or what patterns' spans leave of it (8 or more), is scored
+by the log-likelihood ratio, per character, of two character Markov models: one of random
+strings, one of ordinary identifiers. Parts with a letter above the threshold become spans of
+kind ``random``; in others, so do the best-scoring stretches of 16 or more characters (8 or
+more beside a pattern's span), widened to the next ``/``, ``_``, ``-`` or ``+``, if they are
+above it by more than the choice among the part's stretches explains.
 
 The models are trained from labelled samples: runs of key characters of a bounded sample
 of documents, labelled as secret where a pattern matches and as ordinary elsewhere
@@ -18,6 +20,7 @@ the models rest on the generated strings and smoothing alone.
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections.abc import Iterator
@@ -46,8 +49,9 @@ KINDS = (*BASE_KINDS, "random")
 KEY_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 KEY_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
 WORD_RUN = re.compile(r"[A-Za-z0-9+/_-]{3,}")
-LETTER, DIGIT = re.compile(r"[A-Za-z]"), re.compile(r"[0-9]")
-RUN_LEAST = 16
+LETTER = re.compile(r"[A-Za-z]")
+RUN_LEAST, PART_LEAST = 16, 8
+SEPARATORS = "/_-+"
 #: Least log-likelihood ratio, in nats a character.
 THRESHOLD = 0.5
 #: About how many documents the ordinary model is trained on.
@@ -143,15 +147,60 @@ def train_on(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> list[
     return train(secret=gathered[True], ordinary=gathered[False])
 
 
+def _left(spans: list[tuple[int, int, str]], start: int, end: int) -> Iterator[tuple[int, int]]:
+    """What the spans leave of start to end."""
+    for s, e, _ in sorted(spans):
+        if e > start and s < end:
+            if s > start:
+                yield start, s
+            start = max(start, e)
+    if start < end:
+        yield start, end
+
+
+def random_parts(run: str, ratio: list[float], threshold: float, least: int) -> Iterator[tuple[int, int, float]]:
+    """(start, end, score) of the run, if its score is above the threshold, or of its best stretches."""
+    if len(run) < least:
+        return
+    each = [ratio[k] for k in pairs(run)]
+    score = sum(each) / len(run)
+    if score >= threshold:
+        yield 0, len(run), score
+        return
+    sums = [0.0]                     # of what exceeds the threshold
+    for x in each:
+        sums.append(sums[-1] + x - threshold)
+    # A stretch ends where the sum has fallen from its peak by more than chance explains.
+    chance, start, end = 2 * math.log(len(run)), 0, len(run)
+    low, gain, a, b, j = 0, chance, 0, 0, least
+    while j <= end:
+        if sums[j - least] < sums[low]:
+            low = j - least
+        if sums[j] - sums[low] > gain:
+            gain, a, b = sums[j] - sums[low], low, j
+        j += 1
+        if b and (j > end or sums[b] - sums[j] > chance):
+            a, b = a + (run[a] == "/"), b - (run[b - 1] == "/")
+            while a > start and run[a - 1] not in SEPARATORS:
+                a -= 1
+            while b < end and run[b] not in SEPARATORS:
+                b += 1
+            if LETTER.search(run, a, b):
+                yield a, b, sum(each[a:b]) / (b - a)
+            start = low = b
+            gain, b, j = chance, 0, b + least
+
+
 def all_spans(text: str, ratio: list[float], threshold: float = THRESHOLD) -> list[tuple[int, int, str, float | None]]:
     """Base spans and random runs, by start and then by kind."""
     base = base_spans(text)
     found = [(s, e, kind, None) for s, e, kind in base]
     for run in KEY_RUN.finditer(text):
-        if LETTER.search(run[0]) and DIGIT.search(run[0]) and _outside(base, *run.span()):
-            score = sum(ratio[k] for k in pairs(run[0])) / len(run[0])
-            if score >= threshold:
-                found.append((*run.span(), "random", score))
+        whole = not base or _outside(base, *run.span())
+        for start, end in [run.span()] if whole else _left(base, *run.span()):
+            if LETTER.search(text, start, end):
+                found += [(start + a, start + b, "random", score) for a, b, score in
+                          random_parts(text[start:end], ratio, threshold, RUN_LEAST if whole else PART_LEAST)]
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
 
