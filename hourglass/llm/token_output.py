@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -55,7 +56,8 @@ class ByteBpe:
     The pre-tokenizer never joins a character that is not white space with white
     space after it, so a text may be cut there. Texts where every white-space
     character stands alone between two others are cut at spaces and line ends by
-    Arrow; the rest go to the library whole.
+    Arrow; the rest go to the library whole. So do all texts if the file is not of the
+    plain byte-level form, as it may then join characters across white space.
     """
 
     IRREGULAR = f"[{WHITE_SPACE}][{WHITE_SPACE}]|^[{WHITE_SPACE}]|[{WHITE_SPACE}]$"
@@ -65,9 +67,19 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
+        self._plain = self._is_plain(json.loads(self._library.to_str()))
         self._newline = self._ids(["\n"])[0]
         self._words = WordCodes(self._encode_words, 1)
 
+    @staticmethod
+    def _is_plain(spec: dict) -> bool:
+        """No normalizer, the byte-level pre-tokenizer alone, no added token that reaches white space."""
+        cut = spec.get("pre_tokenizer") or {}
+        return (not spec.get("normalizer") and not spec.get("truncation") and not spec.get("padding")
+                and cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+                and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"])
+                            for t in spec.get("added_tokens") or ()))
+
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
@@ -81,6 +93,10 @@ class ByteBpe:
         texts = pc.fill_null(texts, "")
         for a, b in rounds(texts):
             part = texts.slice(a, b - a)
+            if not self._plain:
+                for text in part:
+                    yield self._ids([text.as_py()])[0]
+                continue
             odd = pc.match_substring_regex(part, self.IRREGULAR).to_numpy(zero_copy_only=False)
             # A line end leads its word: the first word gets one too, whose id goes again.
             plain = pc.binary_join_element_wise(pa.scalar("\n"), part, "")
