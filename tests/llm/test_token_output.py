@@ -82,29 +82,3 @@ def test_damage_is_found(spark, tmp_path):
     path.write_bytes(bytes(raw))
     with pytest.raises(ValueError, match="not a whole"):
         list(T.read_file(str(path)))
-
-
-def test_other_tokenizer_files_encode_whole_texts(tmp_path):
-    import json
-
-    import pyarrow as pa
-    from tokenizers import Tokenizer
-
-    from hourglass.llm.queries import tokenizer_file
-    from hourglass.llm.token_output import ByteBpe
-
-    given = tokenizer_file("byte_bpe_50k.json")
-    assert ByteBpe(given)._plain
-    texts = ["the end of\nit a b c", "One two, three"]
-    token = {"id": 0, "special": False, "single_word": False, "lstrip": False, "rstrip": False, "normalized": False}
-    for k, change in enumerate([
-            lambda d: d.update(normalizer={"type": "Replace", "pattern": {"String": "e e"}, "content": "x"}),
-            lambda d: d["pre_tokenizer"].update(add_prefix_space=True), lambda d: d["pre_tokenizer"].update(use_regex=False),
-            lambda d: d["added_tokens"].append(token | {"id": max(d["model"]["vocab"].values()) + 100, "content": "a b"})]):
-        spec = json.loads(open(given).read())
-        change(spec)
-        path = tmp_path / f"{k}.json"
-        path.write_text(json.dumps(spec))
-        library = Tokenizer.from_file(str(path))
-        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
-        assert [list(ids) for ids in ByteBpe(str(path)).encode(pa.array(texts))] == want
