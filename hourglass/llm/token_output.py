@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourglass.llm.shared_files import committed_output, open_input, ship_package
-from hourglass.llm.word_codes import WHITE_SPACE, WordCodes, rounds, split_words
+from hourglass.llm.word_codes import REMEMBERED_WORDS, WHITE_SPACE, rounds, split_words
 
 MAGIC = b"HGTP1\n"
 BLOCK_IDS = 1 << 18
@@ -55,39 +55,84 @@ class ByteBpe:
     The pre-tokenizer never joins a character that is not white space with white
     space after it, so a text may be cut there. Texts where every white-space
     character stands alone between two others are cut at spaces and line ends by
-    Arrow; the rest go to the library whole.
+    Arrow; the rest go to the library whole, as do all texts of a tokenizer of
+    another form. Distinct words are encoded many to a string: each begins with
+    its space or line end, and no other token of a word does, so the ids that
+    begin with one say where words begin.
     """
 
     IRREGULAR = f"[{WHITE_SPACE}][{WHITE_SPACE}]|^[{WHITE_SPACE}]|[{WHITE_SPACE}]$"
+    WORDS_A_STRING = 100
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark's tasks are the parallelism
         from tokenizers import Tokenizer
 
         self._library = Tokenizer.from_file(path)
+        cut = json.loads(self._library.pre_tokenizer.__getstate__()) if self._library.pre_tokenizer else {}
+        added = self._library.get_added_tokens_decoder().values()
+        self.by_words = (self._library.normalizer is None and cut.get("type") == "ByteLevel"
+                         and not cut.get("add_prefix_space") and cut.get("use_regex", True)
+                         and not any(t.lstrip or t.rstrip or t.single_word or t.content.split() != [t.content]
+                                     for t in added))
+        vocabulary = self._library.get_vocab(with_added_tokens=False)
+        self._leads = np.zeros(max(vocabulary.values()) + 1 + 1000, bool)
+        self._leads[[i for t, i in vocabulary.items() if t[0] in "\u0120\u010a"]] = True
         self._newline = self._ids(["\n"])[0]
-        self._words = WordCodes(self._encode_words, 1)
+        self._words = pa.array([], pa.string())           # known words, their ids, where each word's begin
+        self._codes, self._at = np.empty(0, "<u4"), np.zeros(1, np.int64)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4") for e in found]
 
-    def _encode_words(self, words: list[str]) -> list[tuple[bytes]]:
-        return [(ids.tobytes(),) for ids in
-                self._ids([w if w[:1] == "\n" else " " + w for w in words])]
+    def _encode_words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words in a row, and the number of each word's."""
+        cuts = np.append(np.arange(0, len(words), self.WORDS_A_STRING), len(words)).astype(np.int32)
+        joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(cuts), words), " ")
+        joined = pc.replace_substring(pc.binary_join_element_wise(pa.scalar(""), joined, " "), " \n", "\n")
+        ids = self._ids(joined.to_pylist())
+        flat = np.concatenate(ids) if ids else np.empty(0, "<u4")
+        begins = np.flatnonzero(self._leads[np.minimum(flat, len(self._leads) - 1)])
+        if len(begins) == len(words):
+            return flat, np.diff(begins, append=len(flat))
+        ids = self._ids([w if w[:1] == "\n" else " " + w for w in words.to_pylist()])
+        return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
+
+    def _flat(self, words: pa.Array, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``words`` in a row, and the texts' id offsets."""
+        coded = words.dictionary_encode()
+        distinct, index = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+        place = pc.fill_null(pc.index_in(distinct, self._words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = np.flatnonzero(place < 0)
+        codes, at = self._codes, self._at
+        if len(new):
+            fresh = distinct.take(pa.array(new))
+            flat, lengths = self._encode_words(fresh)
+            place[new] = len(self._words) + np.arange(len(new))
+            codes = np.concatenate((codes, flat))
+            at = np.concatenate((at, at[-1] + np.cumsum(lengths)))
+            if len(self._words) + len(new) <= REMEMBERED_WORDS:
+                self._words = pa.concat_arrays([self._words, fresh])
+                self._codes, self._at = codes, at
+        index = place[index]
+        per_word = (at[1:] - at[:-1])[index]
+        ends = np.concatenate(([0], np.cumsum(per_word)))
+        return codes[np.repeat(at[:-1][index] - ends[:-1], per_word) + np.arange(ends[-1])], ends[offsets]
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text, as the library's ``encode`` gives them."""
         texts = pc.fill_null(texts, "")
         for a, b in rounds(texts):
             part = texts.slice(a, b - a)
-            odd = pc.match_substring_regex(part, self.IRREGULAR).to_numpy(zero_copy_only=False)
+            odd = (pc.match_substring_regex(part, self.IRREGULAR).to_numpy(zero_copy_only=False)
+                   if self.by_words else np.ones(len(part), bool))
             # A line end leads its word: the first word gets one too, whose id goes again.
             plain = pc.binary_join_element_wise(pa.scalar("\n"), part, "")
             plain = pc.replace_substring(plain, "\n", " \n")
             plain = pc.utf8_slice_codeunits(plain, 1)
             plain = pc.if_else(pa.array(odd), "\n", plain)
-            (flat,), at = self._words(*split_words(plain))
+            flat, at = self._flat(*split_words(plain))
             for i in range(b - a):
                 if odd[i]:
                     yield self._ids([part[i].as_py()])[0]

@@ -37,6 +37,21 @@ def test_same_ids_on_any_text(texts):
     assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_other_tokenizers_get_whole_texts():
+    other = public_tokenizers.path("word_bpe_49k.json")
+    library, encoder = Tokenizer.from_file(other), T.ByteBpe(other)
+    assert not encoder.by_words and T.byte_bpe(PATH).by_words
+    got = [x.tolist() for x in encoder.encode(pa.array(ODD, pa.string()))]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in ODD]
+
+
+def test_words_beyond_the_memory(library, monkeypatch):
+    monkeypatch.setattr(T, "REMEMBERED_WORDS", 5)
+    texts = [f"w{i} a,b{i % 7}\nx{i}" for i in range(300)] * 2
+    got = [x.tolist() for x in T.ByteBpe(PATH).encode(pa.array(texts, pa.string()))]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 @given(st.lists(st.integers(0, 2**32 - 1), max_size=100), st.sampled_from(["bit", "byte"]))
 def test_planes_round_trip(ids, planes):
     ids = np.array(ids, "<u4")
