@@ -1,16 +1,5 @@
-"""Batch storage: new data -> master dataset, compaction, view sinks.
-
-* Absorb (R1-R4): one ``availableNow`` stream from the new-data sink into the
-  master's ``live`` sink. Its checkpoint fixes the consumed file set (the
-  snapshot), the sink's log makes the append exactly-once (bag semantics:
-  duplicates are kept), and nothing has to be deleted from new data (R5):
-  the next run resumes after the last committed file. Rows carry the id of the
-  run that absorbed them, so a run's delta is read from the master itself, and
-  are dealt evenly over a few writers per fact kind (R2).
-* Compaction (R3) rewrites the facts of finished runs into a generation of few,
-  large files beside the live sink, and a mark names the runs it holds. Readers
-  take those runs from the generation and later ones from the sink, which
-  absorb goes on appending to.
+"""Batch storage: new data, plain fact datasets, view sinks. The master dataset is in ``master``.
+
 * Views (S17, R6, R7): written partitioned by (granularity, period),
   range-partitioned and sorted by URL inside, so granularity and time
   predicates prune partitions and URL and bucket predicates prune row
@@ -36,13 +25,16 @@ from hourglass.operators import views
 from hourglass.session import delete_folder, list_names, path_exists, read_json, write_json
 from hourglass.sources import facts as FS
 
-RUN_ID = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 NEW_DATA_READ = S.NEW_DATA  # partition columns are part of the declared schema
 
 
 def read_new_data(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of a new-data sink (facts and quarantine)."""
-    return spark.read.schema(NEW_DATA_READ).parquet(path)
+    """All rows of a new-data sink (facts and quarantine) that no finished run has consumed
+    and ``master.drop_consumed`` removed."""
+    r = spark.read.schema(NEW_DATA_READ)
+    if path_exists(spark, f"{path}/_consumed.json"):
+        r = r.option("ignoreMissingFiles", "true")
+    return r.parquet(path)
 
 
 def read_new_facts(spark: SparkSession, path: str) -> DataFrame:
@@ -56,111 +48,6 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
         F.col("dataunit_id") == S.QUARANTINE_DATAUNIT_ID).select("raw", "reason")
 
 
-def absorb(spark: SparkSession, new_data_path: str, master_path: str,
-           checkpoint: str, max_files_per_trigger: int | None = None,
-           run_id: str | None = None, files_per_kind: int = 4) -> int:
-    """Append every not-yet-absorbed fact of ``new_data_path`` to the master
-    dataset (R1-R4); returns the number of micro-batches run.
-
-    Safe to re-run and to kill at any point: a restart resumes from the
-    checkpoint and the file sink never commits a batch twice. Each micro-batch
-    is dealt evenly: ``files_per_kind`` writers for each fact kind, whatever
-    splits arrive. With ``run_id`` the rows also carry that id as the
-    outermost partition column.
-    """
-    if not path_exists(spark, new_data_path):   # nothing ingested yet
-        return 0
-    src = spark.readStream.schema(NEW_DATA_READ)
-    if max_files_per_trigger:
-        src = src.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    facts = (src.parquet(new_data_path)
-             .where(F.col("dataunit_id") != S.QUARANTINE_DATAUNIT_ID)
-             .select(*S.FACT_COLUMNS))
-    parts = list(S.PARTITION_COLUMNS)
-    if run_id is not None:
-        if not RUN_ID.fullmatch(run_id):
-            raise ValueError(f"run id {run_id!r}: letters, digits, '.', '_' and '-' only")
-        facts = facts.withColumn("run_id", F.lit(run_id))
-        parts = ["run_id"] + parts
-    part = F.pmod(F.xxhash64(*[F.col(c) for c in S.FACT_COLUMNS]), F.lit(files_per_kind))
-    facts = facts.withColumn("_part", part).repartition(*S.PARTITION_COLUMNS, "_part").drop("_part")
-    q = (facts.writeStream.format("parquet")
-         .option("path", master_path)
-         .option("checkpointLocation", checkpoint)
-         .partitionBy(*parts)
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    return len(q.recentProgress)
-
-
-# --- the master dataset of the batch job -----------------------------------------------
-
-RUN_FACTS = StructType([StructField("run_id", StringType())] + S.FACTS.fields)
-
-
-def absorb_run(spark: SparkSession, new_data_path: str, master: str, checkpoint: str,
-               run_id: str) -> int:
-    """Absorb new data into ``master`` under a run's id."""
-    return absorb(spark, new_data_path, f"{master}/live", checkpoint, run_id=run_id)
-
-
-def master_runs(spark: SparkSession, master: str) -> list[str]:
-    """Ids of the runs that have absorbed facts."""
-    return [n.split("=", 1)[1] for n in list_names(spark, f"{master}/live") if n.startswith("run_id=")]
-
-
-def packed_runs(spark: SparkSession, master: str) -> dict[int, list[str]]:
-    """The runs each finished compaction holds, by generation."""
-    marks = [n for n in list_names(spark, master) if n.startswith("_packed-")]
-    found = [read_json(spark, f"{master}/{n}") for n in marks]
-    return {m["generation"]: m["runs"] for m in found}
-
-
-def _kinds(df: DataFrame, dataunit_ids: tuple[int, ...]) -> DataFrame:
-    if dataunit_ids:
-        df = df.where(F.col("dataunit_id").isin(*dataunit_ids))
-    return df.select(*S.FACT_COLUMNS)
-
-
-def read_runs(spark: SparkSession, master: str, runs: list[str], *dataunit_ids: int) -> DataFrame:
-    """Facts that the named runs absorbed and no compaction holds (pruned to the runs)."""
-    live = spark.read.schema(RUN_FACTS).parquet(f"{master}/live")
-    return _kinds(live.where(F.col("run_id").isin(runs)), dataunit_ids)
-
-
-def read_master(spark: SparkSession, master: str, *dataunit_ids: int) -> DataFrame:
-    """All facts of ``master`` (of some kinds): compacted generations and later runs."""
-    packed = packed_runs(spark, master)
-    held = {r for runs in packed.values() for r in runs}
-    df = read_runs(spark, master, [r for r in master_runs(spark, master) if r not in held], *dataunit_ids)
-    if packed:
-        old = spark.read.schema(S.FACTS).option("basePath", f"{master}/packed") \
-            .parquet(*[f"{master}/packed/generation={g}" for g in sorted(packed)])
-        df = df.unionByName(_kinds(old, dataunit_ids))
-    return df
-
-
-def compact_master(spark: SparkSession, master: str) -> list[str]:
-    """Rewrite the facts of all runs not yet compacted into one generation.
-
-    The cost follows those runs, not the master. Call it between runs of the
-    batch job; absorb goes on with its own checkpoint and sink.
-    """
-    packed = packed_runs(spark, master)
-    held = {r for runs in packed.values() for r in runs}
-    runs = [r for r in master_runs(spark, master) if r not in held]
-    if runs:
-        g = max(packed, default=0) + 1
-        read_runs(spark, master, runs).hint("rebalance", *S.PARTITION_COLUMNS) \
-            .write.mode("overwrite").partitionBy(*S.PARTITION_COLUMNS).parquet(f"{master}/packed/generation={g}")
-        write_json(spark, f"{master}/_packed-{g:06d}.json", {"generation": g, "runs": runs})
-    return runs
-
-
 def compact(spark: SparkSession, src_path: str, dst_path: str) -> None:
     """Rewrite a fact dataset into ``dst_path`` with few, large files.
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hourglass import schemas as S
 from hourglass.functions import deserialize_long, key_bucket, key_granularity, key_url, normalize_url
-from hourglass.operators import decode, realtime, serving, storage, views
+from hourglass.operators import decode, master, realtime, serving, storage, views
 from hourglass.plans import jobs
 from hourglass.plans import sqlgen as G
 from hourglass.session import work_dir
@@ -466,8 +466,8 @@ def q_master_after_batch(spark, sf_dir):
         q = ingest.start_ingest(M.text_source(spark, src_dir), f"{root}/new", f"{root}/ck_ingest",
                                 trigger={"availableNow": True})
         q.awaitTermination()
-        storage.absorb(spark, f"{root}/new", f"{root}/master", f"{root}/ck_absorb")
-    return FS.partition_counts(FS.read_facts(spark, f"{root}/master"))
+        master.absorb(spark, f"{root}/new", f"{root}/master", f"{root}/ck_absorb", f"round{i}")
+    return FS.partition_counts(master.read_master(spark, f"{root}/master"))
 
 
 @register("stream_pageviews", ORACLES["realtime_distinct_seconds"])
@@ -616,6 +616,27 @@ def q_person_facts_last_property(spark, sf_dir):
     )
 
 
+def spoiled_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every decoded fact; page facts of odd views lose their number, page views at
+    seconds divisible by 3 their nonce, equivs at seconds divisible by 5 move to
+    kind 1, and full-name facts lose their timestamp and get a value id that does
+    not exist."""
+    f = all_facts(spark, sf_dir)
+    d, secs = F.col("dataunit_id"), F.col("true_as_of_secs")
+    odd = (d == 2) & (F.col("page_property.property.page_views") == 2)
+    name = (d == 1) & (F.col("value_id") == 1)
+    return f.select(
+        F.when(~name, secs).alias("true_as_of_secs"),
+        F.when((d == 3) & (secs % 5 == 0), 1).otherwise(d).alias("dataunit_id"),
+        F.when(name, 9).otherwise(F.col("value_id")).alias("value_id"),
+        "person_property",
+        F.when(odd, F.col("page_property").withField("property.page_views", F.lit(None).cast("int")))
+        .otherwise(F.col("page_property")).alias("page_property"),
+        "equiv",
+        F.when((d == 4) & (secs % 3 == 0), F.col("page_view").withField("nonce", F.lit(None).cast("bigint")))
+        .otherwise(F.col("page_view")).alias("page_view"))
+
+
 @register("fact_validation", f"""
     WITH planted AS (
       SELECT 2 AS dataunit_id, count(*) AS facts, count(*) FILTER (WHERE page_id % 2 = 1) AS invalid FROM pages
@@ -634,24 +655,8 @@ def q_person_facts_last_property(spark, sf_dir):
 """)
 def q_fact_validation(spark, sf_dir):
     """Required-field (S16) and partition-target (S15) validation of every decoded
-    fact, some of them spoiled first: page facts of odd views lose their
-    number, page views at seconds divisible by 3 their nonce, equivs at
-    seconds divisible by 5 move to kind 1, and full-name facts lose their
-    timestamp and get a value id that does not exist."""
-    f = all_facts(spark, sf_dir)
-    d, secs = F.col("dataunit_id"), F.col("true_as_of_secs")
-    odd = (d == 2) & (F.col("page_property.property.page_views") == 2)
-    name = (d == 1) & (F.col("value_id") == 1)
-    f = f.select(
-        F.when(~name, secs).alias("true_as_of_secs"),
-        F.when((d == 3) & (secs % 5 == 0), 1).otherwise(d).alias("dataunit_id"),
-        F.when(name, 9).otherwise(F.col("value_id")).alias("value_id"),
-        "person_property",
-        F.when(odd, F.col("page_property").withField("property.page_views", F.lit(None).cast("int")))
-        .otherwise(F.col("page_property")).alias("page_property"),
-        "equiv",
-        F.when((d == 4) & (secs % 3 == 0), F.col("page_view").withField("nonce", F.lit(None).cast("bigint")))
-        .otherwise(F.col("page_view")).alias("page_view"))
+    fact, some of them spoiled first (``spoiled_facts``)."""
+    f = spoiled_facts(spark, sf_dir)
     bad = FS.invalid_facts(f).groupBy("dataunit_id").agg(F.count(F.lit(1)).alias("invalid"))
     badp = FS.invalid_partitions(f).groupBy("dataunit_id").agg(
         F.count(F.lit(1)).alias("bad_partitions"))
@@ -803,7 +808,7 @@ def ingest_part(spark, root: str, lines: DataFrame) -> None:
 def speed_parts(spark, root: str, lines: DataFrame, parts, tables=speed.TABLES) -> None:
     """Deliver parts of the lines one after another: one micro-batch each."""
     for k in parts:
-        part_of(lines, k).coalesce(1).write.mode("append").text(f"{root}/queue")
+        part_of(lines, k).write.mode("append").text(f"{root}/queue")
         speed.await_all(speed.start_speed(
             M.text_source(spark, f"{root}/queue"), f"{root}/rt", f"{root}/ck", tables=tables,
             trigger={"availableNow": True}))
@@ -833,7 +838,7 @@ def q_incremental_job_view(spark, sf_dir):
     ingest_part(spark, root, part_of(lines, 0))
     jobs.run_batch(spark, *at, run_id="r0")
     ingest_part(spark, root, part_of(lines, 1))
-    storage.absorb_run(spark, f"{root}/new", f"{root}/master", f"{root}/ck/absorb", "given-up")
+    master.absorb(spark, f"{root}/new", f"{root}/master", f"{root}/ck/absorb", "given-up")
     ingest_part(spark, root, part_of(lines, 2))
     jobs.run_incremental(spark, *at, run_id="r1")
     ingest_part(spark, root, part_of(lines, 3))
@@ -854,10 +859,57 @@ def q_compact_then_absorb(spark, sf_dir):
     lines = td.message_lines(spark, sf_dir)
     for k in range(PARTS):
         ingest_part(spark, root, part_of(lines, k))
-        storage.absorb_run(spark, f"{root}/new", f"{root}/master", f"{root}/ck", f"r{k}")
+        master.absorb(spark, f"{root}/new", f"{root}/master", f"{root}/ck", f"r{k}")
         if k in (0, 2):
-            storage.compact_master(spark, f"{root}/master")
-    return FS.partition_counts(storage.read_master(spark, f"{root}/master"))
+            master.compact_master(spark, f"{root}/master")
+    return FS.partition_counts(master.read_master(spark, f"{root}/master"))
+
+
+@register("master_after_retention", FACTS_PARTITION_SQL)
+def q_master_after_retention(spark, sf_dir):
+    """Four batch runs, each compacting the one before and dropping the new data
+    it consumed (R3, R5); run ids come from the marks. Facts per partition of the
+    master are the sum of all deliveries, though neither their new-data files nor
+    the compacted live folders are there any more."""
+    root = work_dir(spark, "master_after_retention")
+    lines = td.message_lines(spark, sf_dir)
+    for k in range(PARTS):
+        ingest_part(spark, root, part_of(lines, k))
+        jobs.run_batch(spark, f"{root}/new", f"{root}/master", f"{root}/view", f"{root}/ck",
+                       compact_every=1, drop_consumed=True)
+    master.compact_master(spark, f"{root}/master")
+    master.drop_compacted(spark, f"{root}/master")
+    return FS.partition_counts(master.read_master(spark, f"{root}/master"))
+
+
+@register("master_rejects", f"""
+    WITH planted AS (
+      SELECT 2 AS dataunit_id, 1 AS value_id, CASE WHEN page_id % 2 = 1 THEN 'bad_page_property' END AS problem FROM pages
+      UNION ALL
+      SELECT 4, 0, CASE WHEN secs % 3 = 0 THEN 'bad_page_view' END
+      FROM (SELECT secs FROM ({PV_SQL}) UNION ALL SELECT secs FROM ({G.bad_url_rows_sql()}))
+      UNION ALL
+      SELECT CASE WHEN secs % 5 = 0 THEN 1 ELSE 3 END, 0, CASE WHEN secs % 5 = 0 THEN 'branch_mismatch' END
+      FROM ({G.equiv_rows_sql()})
+      UNION ALL
+      SELECT 1, v, CASE WHEN v = 9 THEN 'missing_pedigree' END FROM ({G.person_rows_sql()}), (VALUES (9), (2), (3)) t(v))
+    SELECT dataunit_id, value_id, problem, count(*) AS facts FROM planted GROUP BY 1, 2, 3
+""")
+def q_master_rejects(spark, sf_dir):
+    """Spoiled facts are absorbed, compacted and read back: sound ones are in the
+    master under their kind, the others apart with their problem and the partition
+    they claimed (S15, S16)."""
+    root = work_dir(spark, "master_rejects")
+    none = F.lit(None).cast("string")
+    spoiled_facts(spark, sf_dir).withColumns({"raw": none, "reason": none}) \
+        .write.partitionBy(*S.PARTITION_COLUMNS).parquet(f"{root}/new")
+    master.absorb(spark, f"{root}/new", f"{root}/master", f"{root}/ck", "r1")
+    master.compact_master(spark, f"{root}/master")
+    kept = master.read_master(spark, f"{root}/master").withColumn("problem", none)
+    rejected = master.read_rejected(spark, f"{root}/master")
+    cols = [*S.PARTITION_COLUMNS, "problem"]
+    return kept.select(*cols).unionByName(rejected.select(*cols)).groupBy(*cols).agg(
+        F.count(F.lit(1)).alias("facts"))
 
 
 NORM_RT_ID = (f"SELECT event_id, {G.normalize_url_sql('raw_url')} AS url, secs, secs // 3600 AS h, personid "

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass import schemas as S
-from hourglass.operators import serving, storage, views
+from hourglass.operators import master, serving, storage, views
 from hourglass.streaming.ingest import start_ingest  # noqa: F401  (J3)
 from hourglass.streaming.speed import (  # noqa: F401  (J2)
     TABLES, compact_realtime, read_realtime, remove_folded, start_speed,
@@ -17,75 +17,81 @@ from hourglass.streaming.speed import (  # noqa: F401  (J2)
 COMPACT_EVERY = 8
 
 
-def _next_run(spark: SparkSession, master: str) -> str:
-    own = [r for r in storage.master_runs(spark, master) if r.startswith("run-")]
-    return f"run-{max((int(r[4:]) for r in own if r[4:].isdigit()), default=0) + 1:08d}"
-
-
-def _absorb(spark: SparkSession, new_data_path: str, master: str, checkpoint: str, run_id: str,
-            compact_every: int) -> None:
-    # Runs of the past are consolidated before this one begins to write.
-    held = {r for runs in storage.packed_runs(spark, master).values() for r in runs}
-    if len([r for r in storage.master_runs(spark, master) if r not in held and r != run_id]) >= compact_every \
-            and run_id not in storage.master_runs(spark, master):
-        storage.compact_master(spark, master)
-    storage.absorb_run(spark, new_data_path, master, f"{checkpoint}/absorb", run_id)
+def _next_run(spark: SparkSession, master_path: str, view_path: str) -> str:
+    """A run id never issued before: beyond all that marks and the view know."""
+    now = storage.current_view(spark, view_path)
+    known = master.runs(spark, master_path) + (now["runs"] if now else [])
+    numbers = [int(r[4:]) for r in known if r.startswith("run-") and r[4:].isdigit()]
+    return f"run-{max(numbers, default=0) + 1:08d}"
+
+
+def _absorb(spark: SparkSession, new_data_path: str, master_path: str, checkpoint: str, run_id: str,
+            compact_every: int, drop_consumed: bool) -> None:
+    # What earlier runs compacted has no reader left; runs of the past are
+    # consolidated before this one begins to write.
+    master.drop_compacted(spark, master_path)
+    live = master.live_runs(spark, master_path)
+    if len([r for r in live if r != run_id]) >= compact_every and run_id not in live:
+        master.compact_master(spark, master_path)
+    if run_id in master.held_runs(spark, master_path):
+        return                              # absorbed whole before; newer data is the next run's
+    files = master.fact_files(spark, new_data_path) if drop_consumed else []
+    master.absorb(spark, new_data_path, master_path, f"{checkpoint}/absorb", run_id)
+    master.drop_consumed(spark, new_data_path, files)
 
 
 def run_batch(spark: SparkSession, new_data_path: str, master_path: str, view_path: str,
               checkpoint: str, files_per_granularity: int | None = None,
-              run_id: str | None = None, compact_every: int = COMPACT_EVERY) -> DataFrame | None:
+              run_id: str | None = None, compact_every: int = COMPACT_EVERY,
+              drop_consumed: bool = False) -> DataFrame | None:
     """Absorb new data into the master dataset, then rebuild the batch
     view from the master's page-view facts. Returns the view (None while
     nothing has been ingested).
 
     One stream consumes new data, so what arrives meanwhile is left whole to
     the next run. Readers keep the view they have until the new one is whole.
-    A ``run_id`` that is finished already does nothing.
+    A ``run_id`` that is finished already does nothing. ``drop_consumed``
+    removes the new-data files that the run has absorbed (R5).
     """
     now = storage.current_view(spark, view_path)
     if now is None or run_id is None or run_id not in now["runs"]:
         _absorb(spark, new_data_path, master_path, checkpoint,
-                run_id or _next_run(spark, master_path), compact_every)
-        runs = storage.master_runs(spark, master_path)
+                run_id or _next_run(spark, master_path, view_path), compact_every, drop_consumed)
+        runs = master.runs(spark, master_path)
         if not runs:                        # no facts yet: nothing to build
             return None
-        facts = storage.read_master(spark, master_path, S.PAGE_VIEW)
+        facts = master.read_master(spark, master_path, S.PAGE_VIEW)
         storage.rebuild_view(spark, view_path, facts, runs, files_per_granularity)
     return storage.read_current_view(spark, view_path)
 
 
 def run_incremental(spark: SparkSession, new_data_path: str, master_path: str,
                     view_path: str, checkpoint: str, run_id: str,
-                    compact_every: int = COMPACT_EVERY) -> list[tuple[str, int]]:
+                    compact_every: int = COMPACT_EVERY, drop_consumed: bool = False) -> list[tuple[str, int]]:
     """J1, incremental: absorb, then add the view of the facts that no run has
     counted yet, rewriting just the (granularity, period) partitions they
     touch. Returns the rewritten partitions.
 
     The view store knows which runs it counts. A killed run is repeated with
     the same ``run_id`` (what it absorbed is still uncounted); facts of a run
-    that was given up are counted by the next; a ``run_id`` that is counted
-    already does nothing.
+    that was given up are counted by the next, compacted or not; a ``run_id``
+    that is counted already does nothing.
     """
     now = storage.current_view(spark, view_path)
     if now is not None and run_id in now["runs"]:
         return []
-    if now is not None:    # consolidate only what is counted: deltas are read from the live sink
-        counted = set(now["runs"])
-        if not set(storage.master_runs(spark, master_path)) <= counted:
-            compact_every = 1 << 30
-    _absorb(spark, new_data_path, master_path, checkpoint, run_id, compact_every)
-    runs = storage.master_runs(spark, master_path)
+    _absorb(spark, new_data_path, master_path, checkpoint, run_id, compact_every, drop_consumed)
+    runs = master.runs(spark, master_path)
     if not runs:                            # nothing absorbed yet
         return []
     if now is None:
-        storage.rebuild_view(spark, view_path, storage.read_master(spark, master_path, S.PAGE_VIEW), runs)
+        storage.rebuild_view(spark, view_path, master.read_master(spark, master_path, S.PAGE_VIEW), runs)
         return []
     new = [r for r in runs if r not in now["runs"]]
     if not new:
         return []
     return storage.refresh_current_view(
-        spark, view_path, storage.read_runs(spark, master_path, new, S.PAGE_VIEW), new)
+        spark, view_path, master.read_runs(spark, master_path, new, S.PAGE_VIEW), new)
 
 
 def _served(spark: SparkSession, view_path: str, realtime_root: str,

@@ -7,7 +7,7 @@ never opens the other kinds' files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass import schemas as S
@@ -62,11 +62,12 @@ def invalid_partitions(facts: DataFrame) -> DataFrame:
                       "left_anti")
 
 
-def invalid_facts(facts: DataFrame) -> DataFrame:
-    """Facts violating the required-field rules (S16), with a ``problem``.
+def fact_problem() -> Column:
+    """What is wrong with a fact, null if it is sound.
 
     Exactly one union branch must be set and match ``dataunit_id``; the
-    timestamp and every required field of the branch must be present.
+    timestamp and every required field of the branch must be present; the
+    partition must be a legal one.
     """
     pv, eq = F.col("page_view"), F.col("equiv")
     pp, pr = F.col("page_property"), F.col("person_property")
@@ -78,19 +79,29 @@ def invalid_facts(facts: DataFrame) -> DataFrame:
                      + prop["gender"].isNotNull().cast("int")
                      + prop["location"].isNotNull().cast("int"))
     branch = dataunit_id(pr, pp, eq, pv)
-    problem = (
+    kind = F.col("dataunit_id")
+    # A condition on a missing field is null, not false: only true ones pass.
+    fails = lambda ok: ~F.coalesce(ok, F.lit(False))
+    legal = F.array(*[F.lit(f"{d},{v}") for d, v in S.LEGAL_PARTITIONS])
+    return (
         F.when(F.col("true_as_of_secs").isNull(), "missing_pedigree")
         .when(set_branches != 1, "union_not_exactly_one")
-        .when(branch != F.col("dataunit_id"), "branch_mismatch")
-        .when((F.col("dataunit_id") == S.PAGE_VIEW)
-              & ~(pv.isNotNull() & pid_ok(pv["person"]) & pv["page"]["url"].isNotNull()
-                  & pv["nonce"].isNotNull()), "bad_page_view")
-        .when((F.col("dataunit_id") == S.EQUIV)
-              & ~(eq.isNotNull() & pid_ok(eq["id1"]) & pid_ok(eq["id2"])), "bad_equiv")
-        .when((F.col("dataunit_id") == S.PAGE_PROPERTY)
-              & ~(pp.isNotNull() & pp["id"]["url"].isNotNull()
-                  & pp["property"]["page_views"].isNotNull()), "bad_page_property")
-        .when((F.col("dataunit_id") == S.PERSON_PROPERTY)
-              & ~(pr.isNotNull() & pid_ok(pr["id"]) & (n_person_vals == 1)), "bad_person_property")
+        .when(~branch.eqNullSafe(kind), "branch_mismatch")
+        .when((kind == S.PAGE_VIEW)
+              & fails(pid_ok(pv["person"]) & pv["page"]["url"].isNotNull() & pv["nonce"].isNotNull()),
+              "bad_page_view")
+        .when((kind == S.EQUIV) & fails(pid_ok(eq["id1"]) & pid_ok(eq["id2"])), "bad_equiv")
+        .when((kind == S.PAGE_PROPERTY)
+              & fails(pp["id"]["url"].isNotNull() & pp["property"]["page_views"].isNotNull()),
+              "bad_page_property")
+        .when((kind == S.PERSON_PROPERTY) & fails(pid_ok(pr["id"]) & (n_person_vals == 1)),
+              "bad_person_property")
+        .when(fails(F.array_contains(legal, F.concat_ws(",", kind, "value_id"))), "illegal_partition")
     )
-    return facts.select("*", problem.alias("problem")).where(F.col("problem").isNotNull())
+
+
+def invalid_facts(facts: DataFrame) -> DataFrame:
+    """Facts violating the required-field rules (S16), with a ``problem``; partitions
+    that are not legal targets are told by ``invalid_partitions``."""
+    out = facts.select("*", fact_problem().alias("problem"))
+    return out.where(F.col("problem") != "illegal_partition")

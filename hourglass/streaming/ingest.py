@@ -26,15 +26,21 @@ def ingest_frame(lines: DataFrame, coordinate_cols: tuple[str, ...] | None = Non
 def start_ingest(lines: DataFrame, new_data_path: str, checkpoint: str,
                  coordinate_cols: tuple[str, ...] | None = None, trigger: dict | None = None,
                  last_property_only: bool = False,
-                 query_name: str | None = None) -> StreamingQuery:
+                 query_name: str | None = None, retention: str | None = None) -> StreamingQuery:
     """Start the ingest query; ``trigger`` e.g. ``{"availableNow": True}`` or
-    ``{"processingTime": "30 seconds"}``."""
+    ``{"processingTime": "30 seconds"}``.
+
+    ``retention`` (e.g. ``"30 days"``) lets the sink's log forget files committed longer
+    ago: set it well above the time between batch runs, which drop the files they consume.
+    """
     w = (ingest_frame(lines, coordinate_cols, last_property_only).writeStream
          .format("parquet")
          .option("path", new_data_path)
          .option("checkpointLocation", checkpoint)
          .partitionBy(*S.PARTITION_COLUMNS)
          .outputMode("append"))
+    if retention:
+        w = w.option("retention", retention)
     if trigger:
         w = w.trigger(**trigger)
     if query_name:

@@ -1,9 +1,10 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from hourglass import schemas as S
-from hourglass.operators import decode, storage, views
+from hourglass.operators import decode, master, storage, views
 from hourglass.sources import facts as FS
 from hourglass.sources import messages as M
 from hourglass.streaming import ingest
@@ -42,23 +43,24 @@ def test_ingest_absorb_exactly_once_and_compaction(spark, workdir):
     q = ingest.start_ingest(src, f"{workdir}/new", f"{workdir}/ck_i", trigger={"availableNow": True})
     q.awaitTermination()
     assert storage.read_quarantine(spark, f"{workdir}/new").count() == 1
-    storage.absorb(spark, f"{workdir}/new", f"{workdir}/master", f"{workdir}/ck_a")
+    master.absorb(spark, f"{workdir}/new", f"{workdir}/master", f"{workdir}/ck_a", "r1")
     # a second run with nothing new appends nothing
-    storage.absorb(spark, f"{workdir}/new", f"{workdir}/master", f"{workdir}/ck_a")
-    master = FS.read_facts(spark, f"{workdir}/master")
-    assert master.count() == 32
+    master.absorb(spark, f"{workdir}/new", f"{workdir}/master", f"{workdir}/ck_a", "r2")
+    found = master.read_master(spark, f"{workdir}/master")
+    assert found.count() == 32
     # more input arrives: only it is absorbed (bag semantics: duplicates kept)
     M.write_lines(lines.limit(5), f"{workdir}/in2", 1)
     spark.read.text(f"{workdir}/in2").write.mode("append").text(f"{workdir}/in")
     q = ingest.start_ingest(M.text_source(spark, f"{workdir}/in"), f"{workdir}/new",
                             f"{workdir}/ck_i", trigger={"availableNow": True})
     q.awaitTermination()
-    storage.absorb(spark, f"{workdir}/new", f"{workdir}/master", f"{workdir}/ck_a")
-    master = FS.read_facts(spark, f"{workdir}/master")
-    assert master.count() == 37
-    storage.compact(spark, f"{workdir}/master", f"{workdir}/master2")
-    m2 = FS.read_facts(spark, f"{workdir}/master2")
-    assert sorted(FS.partition_counts(m2).collect()) == sorted(FS.partition_counts(master).collect())
+    master.absorb(spark, f"{workdir}/new", f"{workdir}/master", f"{workdir}/ck_a", "r3")
+    found = master.read_master(spark, f"{workdir}/master")
+    assert found.count() == 37
+    FS.write_facts(found, f"{workdir}/plain")
+    storage.compact(spark, f"{workdir}/plain", f"{workdir}/plain2")
+    m2 = FS.read_facts(spark, f"{workdir}/plain2")
+    assert sorted(FS.partition_counts(m2).collect()) == sorted(FS.partition_counts(found).collect())
 
 
 def test_view_sinks_round_trip(spark, workdir):
@@ -101,9 +103,9 @@ def test_incremental_job_equals_full_rebuild(spark, workdir):
     touched = jobs.run_incremental(spark, f"{workdir}/new", f"{workdir}/master",
                                    f"{workdir}/view", f"{workdir}/ck", run_id="r2")
     assert touched
-    full = views.batch_view(storage.read_master(spark, f"{workdir}/master", 4))
+    full = views.batch_view(master.read_master(spark, f"{workdir}/master", 4))
     got = storage.read_current_view(spark, f"{workdir}/view")
-    assert storage.read_master(spark, f"{workdir}/master").count() == 64
+    assert master.read_master(spark, f"{workdir}/master").count() == 64
     # the refresh added only the second delivery, so the refreshed view equals a
     # rebuild from the whole master
     assert sorted(got.collect()) == sorted(full.collect())
@@ -132,12 +134,12 @@ def test_batch_runs_count_every_delivery_once(spark, workdir):
     jobs.run_batch(spark, *at)
     deliver(spark, workdir, 1, "b")      # arrives after the only absorb of that run
     jobs.run_incremental(spark, *at, run_id="r1")
-    assert month_total(spark, at[2]) == 2 == storage.read_master(spark, at[1]).count()
+    assert month_total(spark, at[2]) == 2 == master.read_master(spark, at[1]).count()
     deliver(spark, workdir, 1, "c")
     jobs.run_incremental(spark, *at, run_id="r2")
     assert jobs.run_incremental(spark, *at, run_id="r1") == [] and month_total(spark, at[2]) == 3
     deliver(spark, workdir, 2, "d")
-    storage.absorb_run(spark, at[0], at[1], f"{workdir}/ck/absorb", "lost")   # then its driver dies
+    master.absorb(spark, at[0], at[1], f"{workdir}/ck/absorb", "lost")   # then its driver dies
     assert month_total(spark, at[2]) == 3
     assert jobs.run_incremental(spark, *at, run_id="r3") and month_total(spark, at[2]) == 5
 
@@ -148,15 +150,12 @@ def test_compaction_composes_with_absorb(spark, workdir):
     for k in range(4):
         deliver(spark, workdir, 3, f"h{k}")
         jobs.run_incremental(spark, *at, run_id=f"r{k}", compact_every=2)
-    assert storage.packed_runs(spark, at[1]) == {1: ["r0", "r1"]}
-    assert storage.read_master(spark, at[1]).count() == 12 and month_total(spark, at[2]) == 12
-    assert storage.compact_master(spark, at[1]) == ["r2", "r3"] and storage.compact_master(spark, at[1]) == []
-    assert storage.read_master(spark, at[1], S.PAGE_VIEW).count() == 12
-    # few files: one per kind and generation here, and evenly dealt ones in the live sink
+    assert master.packed_runs(spark, at[1]) == {1: ["r0", "r1"]}
+    assert master.read_master(spark, at[1]).count() == 12 and month_total(spark, at[2]) == 12
+    assert master.compact_master(spark, at[1]) == ["r2", "r3"] and master.compact_master(spark, at[1]) == []
+    assert master.read_master(spark, at[1], S.PAGE_VIEW).count() == 12
     packed = spark.read.schema(S.FACTS).parquet(f"{at[1]}/packed/generation=2").inputFiles()
     assert len(packed) == 1
-    live = [n for n in storage.list_names(spark, f"{at[1]}/live/run_id=r0/dataunit_id=4/value_id=0") if n.endswith(".parquet")]
-    assert 1 <= len(live) <= 4
     jobs.run_batch(spark, *at, run_id="full")
     assert month_total(spark, at[2]) == 12
 
@@ -233,8 +232,115 @@ def test_bucketed_views_join_on_url_without_shuffle(spark, workdir):
 
 def test_jobs_before_any_data_are_no_ops(spark, workdir):
     from hourglass.plans import jobs
-    assert storage.absorb(spark, f"{workdir}/none", f"{workdir}/master", f"{workdir}/ck") == 0
+    assert master.absorb(spark, f"{workdir}/none", f"{workdir}/master", f"{workdir}/ck", "r") == 0
     assert jobs.run_batch(spark, f"{workdir}/none", f"{workdir}/master", f"{workdir}/view",
                           f"{workdir}/ckb") is None
     assert jobs.run_incremental(spark, f"{workdir}/none", f"{workdir}/master", f"{workdir}/view",
                                 f"{workdir}/ckb", run_id="r1") == []
+
+
+def test_run_ids_are_never_issued_twice(spark, workdir):
+    """All live folders are compacted and dropped; the next run gets a new id and its facts count."""
+    from hourglass.plans import jobs
+    at = (f"{workdir}/new", f"{workdir}/master", f"{workdir}/view", f"{workdir}/ck")
+    deliver(spark, workdir, 5, "a")
+    jobs.run_batch(spark, *at)
+    master.compact_master(spark, at[1])
+    assert master.drop_compacted(spark, at[1]) == 1 and storage.list_names(spark, f"{at[1]}/live") == []
+    deliver(spark, workdir, 3, "b")
+    jobs.run_batch(spark, *at)
+    assert month_total(spark, at[2]) == 8 and master.runs(spark, at[1]) == ["run-00000001", "run-00000002"]
+    with pytest.raises(ValueError, match="compacted"):
+        master.absorb(spark, at[0], at[1], f"{workdir}/ck/absorb", "run-00000001")
+
+
+def test_a_repeated_micro_batch_is_not_absorbed_twice(spark, workdir):
+    """The driver dies after a batch's mark and before the checkpoint's commit; another
+    run, even after a compaction, repeats the batch."""
+    from hourglass.session import delete_folder
+    at = (f"{workdir}/new", f"{workdir}/master", f"{workdir}/ck")
+    deliver(spark, workdir, 4, "a")
+    master.absorb(spark, *at, "r0")
+    master.compact_master(spark, at[1])
+    master.drop_compacted(spark, at[1])
+    for name in ("0", ".0.crc"):
+        delete_folder(spark, f"{workdir}/ck/commits/{name}")
+    assert master.absorb(spark, *at, "r1") == 1
+    assert master.read_master(spark, at[1]).count() == 4
+    # dying before the mark instead: the batch is written anew
+    deliver(spark, workdir, 2, "b")
+    master.absorb(spark, *at, "r2")
+    mark = [n for n in storage.list_names(spark, f"{at[1]}/_absorbed") if n.endswith("@r2.json")]
+    delete_folder(spark, f"{at[1]}/_absorbed/{mark[0]}")
+    for name in ("1", ".1.crc"):
+        delete_folder(spark, f"{workdir}/ck/commits/{name}")
+    master.absorb(spark, *at, "r3")
+    assert master.read_master(spark, at[1]).count() == 6
+    assert master.absorbed_counts(spark, at[1]) == {"r3": {"facts": 2, "rejected": 0}}
+
+
+def test_uncounted_runs_are_counted_after_their_compaction(spark, workdir):
+    from hourglass.plans import jobs
+    at = (f"{workdir}/new", f"{workdir}/master", f"{workdir}/view", f"{workdir}/ck")
+    deliver(spark, workdir, 1, "a")
+    jobs.run_incremental(spark, *at, run_id="r0")
+    deliver(spark, workdir, 2, "b")
+    master.absorb(spark, at[0], at[1], f"{workdir}/ck/absorb", "r1")      # killed here
+    master.compact_master(spark, at[1])
+    deliver(spark, workdir, 4, "c")
+    jobs.run_incremental(spark, *at, run_id="r1")          # counts what r1 absorbed; newer data waits
+    assert month_total(spark, at[2]) == 3
+    jobs.run_incremental(spark, *at, run_id="r2")
+    assert month_total(spark, at[2]) == 7
+
+
+def test_consumed_new_data_is_dropped(spark, workdir):
+    from hourglass.plans import jobs
+    at = (f"{workdir}/new", f"{workdir}/master", f"{workdir}/view", f"{workdir}/ck")
+    M.write_lines(sample_lines(spark), f"{workdir}/in", 2)
+    deliver(spark, workdir, 3, "a")
+    jobs.run_incremental(spark, *at, run_id="r0", drop_consumed=True)
+    assert storage.read_new_facts(spark, at[0]).count() == 0
+    assert storage.read_quarantine(spark, at[0]).count() == 1       # kept for its readers
+    deliver(spark, workdir, 2, "b")
+    assert storage.read_new_facts(spark, at[0]).count() == 2
+    jobs.run_incremental(spark, *at, run_id="r1", drop_consumed=True)
+    assert master.read_master(spark, at[1]).count() == 37 and month_total(spark, at[2]) == 35
+
+
+def test_writers_follow_the_bytes_of_a_micro_batch(spark, workdir):
+    """Ten times the input is about ten times the files, of one kind as well."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        files = []
+        for n in (2_000, 20_000):
+            root = f"{workdir}/{n}"
+            one = decode.to_facts(decode.parse_messages(sample_lines(spark, n=1))).where("dataunit_id = 4")
+            none = F.lit(None).cast("string")
+            views_ = spark.range(n, numPartitions=8).join(F.broadcast(one)).withColumn(
+                "page_view", F.col("page_view").withField("nonce", F.xxhash64("id"))).drop("id")
+            views_.withColumns({"raw": none, "reason": none}).select(*S.NEW_DATA.fieldNames()).write.partitionBy(*S.PARTITION_COLUMNS).parquet(f"{root}/new")
+            master.absorb(spark, f"{root}/new", f"{root}/m", f"{root}/ck", "r")
+            files.append(len(master.read_master(spark, f"{root}/m").inputFiles()))
+        assert files[1] >= 5 * files[0], files
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_bad_facts_never_reach_the_master(spark, workdir):
+    facts = decode.to_facts(decode.parse_messages(sample_lines(spark)))
+    none = F.lit(None).cast("string")
+    odd = F.col("true_as_of_secs") % 1200 == 0
+    f = facts.withColumns({"raw": none, "reason": none,
+                           "value_id": F.when((F.col("dataunit_id") == 4) & odd, 5).otherwise(F.col("value_id"))})
+    f = f.unionAll(f.where("dataunit_id = 3").withColumn("dataunit_id", F.lit(None).cast("int")))
+    f.write.partitionBy(*S.PARTITION_COLUMNS).parquet(f"{workdir}/new")
+    master.absorb(spark, f"{workdir}/new", f"{workdir}/m", f"{workdir}/ck", "r")
+    assert master.absorbed_counts(spark, f"{workdir}/m") == {"r": {"facts": 33, "rejected": 16}}
+    for _ in range(2):      # live, then compacted
+        assert master.read_master(spark, f"{workdir}/m").count() == 17
+        assert FS.invalid_partitions(master.read_master(spark, f"{workdir}/m")).count() == 0
+        bad = {(r.dataunit_id, r.value_id, r.problem): r.n for r in master.read_rejected(
+            spark, f"{workdir}/m").groupBy("dataunit_id", "value_id", "problem").agg(F.count("*").alias("n")).collect()}
+        assert bad == {(4, 5, "illegal_partition"): 15, (None, 0, "branch_mismatch"): 1}
+        master.compact_master(spark, f"{workdir}/m")
