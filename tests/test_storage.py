@@ -310,21 +310,27 @@ def test_consumed_new_data_is_dropped(spark, workdir):
 
 def test_writers_follow_the_bytes_of_a_micro_batch(spark, workdir):
     """Ten times the input is about ten times the files, of one kind as well."""
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.files.maxPartitionBytes": "32k",
+             "spark.sql.files.openCostInBytes": "1k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    for k, v in small.items():
+        spark.conf.set(k, v)
     try:
         files = []
         for n in (2_000, 20_000):
             root = f"{workdir}/{n}"
             one = decode.to_facts(decode.parse_messages(sample_lines(spark, n=1))).where("dataunit_id = 4")
             none = F.lit(None).cast("string")
-            views_ = spark.range(n, numPartitions=8).join(F.broadcast(one)).withColumn(
+            views_ = spark.range(n, numPartitions=n // 500).join(F.broadcast(one)).withColumn(
                 "page_view", F.col("page_view").withField("nonce", F.xxhash64("id"))).drop("id")
             views_.withColumns({"raw": none, "reason": none}).select(*S.NEW_DATA.fieldNames()).write.partitionBy(*S.PARTITION_COLUMNS).parquet(f"{root}/new")
             master.absorb(spark, f"{root}/new", f"{root}/m", f"{root}/ck", "r")
-            files.append(len(master.read_master(spark, f"{root}/m").inputFiles()))
+            stored = master.read_master(spark, f"{root}/m")
+            assert stored.count() == n
+            files.append(len(stored.inputFiles()))
         assert files[1] >= 5 * files[0], files
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        for k in small:
+            spark.conf.unset(k)
 
 
 def test_bad_facts_never_reach_the_master(spark, workdir):
