@@ -5,7 +5,8 @@
   distinct seconds.
 * pages / persons: the latest version per key.
 * equivs: per (personid1, personid2) the latest pedigree; the adjacency of a
-  person is the set of its rows (summarized by ``equiv_adjacency``).
+  person is the set of its rows, summarized by ``equiv_adjacency`` or held
+  whole in bounded rows by ``adjacency_segments``.
 
 "Latest" is ordered by (event seconds, arrival, values): of versions with the same
 second the one that arrived in the later micro-batch wins (one batch has one
@@ -17,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hourglass.operators.joins import DEFAULT_BROADCAST_ROWS, DEFAULT_SALTS, bounded_list
+
 RT_KEYS = {
     "pageviews": ["url", "hour_bucket", "secs"],
     "pages": ["url"],
@@ -75,6 +78,43 @@ def equiv_adjacency(equivs: DataFrame) -> DataFrame:
         F.max("personid2").alias("last_personid2"))
 
 
+#: Equivalents of one person in a row of the adjacency, on average at most.
+SEGMENT = 1024
+
+
+def adjacency_segments(equivs: DataFrame, size: int = SEGMENT,
+                       broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """The adjacency whole: (personid1, segment, segments, neighbours), where
+    ``neighbours`` are (personid2, pedigree) sorted by id.
+
+    A person with more than ``size`` equivalents gets ceil(n / size) segments, and
+    the hash of an equivalent's id says which one it is in, so a row has about
+    ``size`` of them however many the person has, and all segments of a hot
+    person are built apart. Degrees of persons above ``size`` (at most rows / size
+    of them) are broadcast when measured to be few, else joined by salts.
+    """
+    many = equivs.groupBy("personid1").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > size) \
+        .select(F.col("personid1").alias("_person"), F.ceil(F.col("n") / size).cast("int").alias("segments"))
+    if broadcast_rows and bounded_list(many.select(F.col("_person").alias("url")), broadcast_rows):
+        told = equivs.join(F.broadcast(many), F.col("personid1") == F.col("_person"), "left")
+    else:
+        salt = F.pmod(F.xxhash64("personid2"), F.lit(DEFAULT_SALTS)).cast("int")
+        salted = many.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(DEFAULT_SALTS - 1))))
+        told = equivs.withColumn("_salt", salt).join(
+            salted, (F.col("personid1") == F.col("_person")) & (F.col("_salt") == F.col("_s")), "left")
+    parts = F.coalesce("segments", F.lit(1))
+    told = told.select("personid1", "personid2", "pedigree", parts.alias("segments"),
+                       F.pmod(F.xxhash64("personid2", F.lit(1)), parts).cast("int").alias("segment"))
+    return told.groupBy("personid1", "segment", "segments").agg(
+        F.sort_array(F.collect_list(F.struct("personid2", "pedigree"))).alias("neighbours")) \
+        .select("personid1", "segment", "segments", "neighbours")
+
+
+def explode_segments(segments: DataFrame) -> DataFrame:
+    """The rows (personid1, personid2, pedigree) of an adjacency."""
+    return segments.select("personid1", F.inline("neighbours"))
+
+
 def distinct_second_counts(rows: DataFrame) -> DataFrame:
     """(url, hour_bucket, pageviews) counting distinct seconds per hour."""
     return rows.groupBy("url", "hour_bucket").agg(

@@ -201,7 +201,8 @@ def _in_bounds(rt: DataFrame, bounds: DataFrame, small: bool) -> DataFrame:
     shuffles with hot URLs salted over several tasks (``joins.salted_range_join``).
     """
     if not small:
-        return salted_range_join(rt, bounds, "url", "hour_bucket", "lo", "hi", salt_of="secs")
+        salt = "secs" if "secs" in rt.columns else "hour_bucket"
+        return salted_range_join(rt, bounds, "url", "hour_bucket", "lo", "hi", salt_of=salt)
     b = F.broadcast(bounds.withColumnRenamed("url", "_bkey"))
     return rt.join(b, (F.col("url") == F.col("_bkey"))
                    & (F.col("hour_bucket").isNull()
@@ -209,8 +210,10 @@ def _in_bounds(rt: DataFrame, bounds: DataFrame, small: bool) -> DataFrame:
 
 
 def _realtime_columns(rt: DataFrame, literals: list[str] | None) -> DataFrame:
+    """Rows per second (``secs``), or per hour already counted (``distinct_seconds``)."""
     ev = F.col("events") if "events" in rt.columns else F.lit(1).cast("bigint")
-    return _restrict(rt, literals).select("url", "hour_bucket", "secs", ev.alias("events"))
+    seconds = "distinct_seconds" if "distinct_seconds" in rt.columns else "secs"
+    return _restrict(rt, literals).select("url", "hour_bucket", seconds, ev.alias("events"))
 
 
 def merged_counts(rt: DataFrame, urls: DataFrame, bounds: DataFrame, mode: str, small: bool,
@@ -218,7 +221,7 @@ def merged_counts(rt: DataFrame, urls: DataFrame, bounds: DataFrame, mode: str,
     """(url, batch_pageviews, hour_done, realtime_pageviews) per URL of ``bounds``.
 
     ``distinct_seconds`` counts distinct seconds (the realtime table keeps one
-    entry per URL, hour and second); ``every_event`` counts every write, which
+    entry per URL, hour and second, or per URL and hour the number of them); ``every_event`` counts every write, which
     agrees with the batch layer. The batch side travels in ``bounds`` through
     the one join with the realtime rows, so it is evaluated once; an empty row
     per URL of the list keeps URLs without realtime rows.
@@ -226,10 +229,12 @@ def merged_counts(rt: DataFrame, urls: DataFrame, bounds: DataFrame, mode: str,
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     n = F.lit(None).cast("bigint")
-    rows = _realtime_columns(rt, literals).unionByName(urls.select(
-        "url", n.alias("hour_bucket"), n.alias("secs"), F.lit(0).cast("bigint").alias("events")))
-    agg = (F.count_distinct(F.col("secs")) if mode == "distinct_seconds"
-           else F.sum(F.col("events")))
+    seen = _realtime_columns(rt, literals)
+    seconds = seen.columns[2]
+    rows = seen.unionByName(urls.select(
+        "url", n.alias("hour_bucket"), n.alias(seconds), F.lit(0).cast("bigint").alias("events")))
+    distinct = F.count_distinct(seconds) if seconds == "secs" else F.coalesce(F.sum(seconds), F.lit(0))
+    agg = distinct if mode == "distinct_seconds" else F.sum(F.col("events"))
     return _in_bounds(rows, bounds, small).groupBy("url").agg(
         F.max("batch_pageviews").alias("batch_pageviews"), F.max("hour_done").alias("hour_done"),
         agg.cast("bigint").alias("realtime_pageviews"))

@@ -943,10 +943,43 @@ def q_realtime_expired_safe(spark, sf_dir):
     return realtime.distinct_second_counts(pv)
 
 
+@register("realtime_bitmap_counts", ORACLES["realtime_distinct_seconds"])
+def q_realtime_bitmap_counts(spark, sf_dir):
+    """Distinct seconds per (url, hour) from the speed layer's hour bitmaps (A5): two
+    micro-batches folded into a snapshot, two more merged with it by OR."""
+    root = work_dir(spark, "realtime_bitmap_counts")
+    lines = td.message_lines(spark, sf_dir, kinds=("pageview", "broken"), coarse=True)
+    speed_parts(spark, root, lines, [0, 1])
+    speed.compact_realtime(spark, f"{root}/rt", speed.HOURS, f"{root}/snap")
+    speed_parts(spark, root, lines, [2, 3])
+    return speed.read_hours(spark, f"{root}/rt", f"{root}/snap").select(
+        "url", "hour_bucket", F.col("distinct_seconds").alias("pageviews"))
+
+
+@register("quarantine_after_expiry", f"""
+    SELECT coalesce({_reason_case()}, 'bad_url') AS reason, count(*) AS messages
+    FROM events WHERE event_type = 'error' GROUP BY 1
+""")
+def q_quarantine_after_expiry(spark, sf_dir):
+    """What the speed layer could not use, after the expiry job ran twice and removed
+    the first batches: the quarantine is folded like the other tables."""
+    root = work_dir(spark, "quarantine_after_expiry")
+    lines = td.message_lines(spark, sf_dir, kinds=("page", "broken"))
+    storage.rebuild_view(spark, f"{root}/view", pageview_facts(spark, sf_dir), ["a"])
+    speed_parts(spark, root, lines, [0, 1])
+    jobs.expire_realtime(spark, f"{root}/view", f"{root}/rt", f"{root}/snap0")
+    speed_parts(spark, root, lines, [2])
+    jobs.expire_realtime(spark, f"{root}/view", f"{root}/rt", f"{root}/snap1", f"{root}/snap0")
+    speed_parts(spark, root, lines, [3])
+    return speed.read_quarantine(spark, f"{root}/rt", f"{root}/snap1/{speed.QUARANTINE}").groupBy("reason").agg(
+        F.sum("messages").cast("bigint").alias("messages"))
+
+
 @register("expire_job_counts", COUNT_SQL.replace(NORM_RT, NORM_RT_ID))
 def q_expire_job_counts(spark, sf_dir):
     """J4 over stored views after the expiry job ran twice (the second run
-    removes folded batches): expiry changes no count."""
+    removes folded batches): expiry changes no count. The realtime side is counted
+    by hour bitmaps."""
     root = work_dir(spark, "expire_job_counts")
     f = pageview_facts(spark, sf_dir).where(F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600)
     storage.rebuild_view(spark, f"{root}/view", f, ["a"])
@@ -1019,6 +1052,21 @@ def q_speed_equiv_adjacency(spark, sf_dir):
     return realtime.equiv_adjacency(realtime.latest_per_key(rows, "equivs"))
 
 
+@register("speed_adjacency_segments", f"""
+    WITH pairs AS (SELECT DISTINCT personid1, personid2 FROM ({EQUIV_PAIRS_SQL}))
+    SELECT personid1, count(*) AS equivs, string_agg(personid2, ',' ORDER BY personid2) AS neighbours
+    FROM pairs GROUP BY 1
+""")
+def q_speed_adjacency_segments(spark, sf_dir):
+    """Every equivalent of every person from segments of two, through the speed layer (T4)."""
+    root = work_dir(spark, "speed_adjacency_segments")
+    speed_parts(spark, root, td.message_lines(spark, sf_dir, kinds=("equiv_pair",)), range(PARTS))
+    segments = realtime.adjacency_segments(speed.read_realtime(spark, f"{root}/rt", "equivs"), size=2)
+    return segments.groupBy("personid1").agg(
+        F.sum(F.size("neighbours")).cast("bigint").alias("equivs"),
+        F.array_join(F.sort_array(F.flatten(F.collect_list("neighbours.personid2"))), ",").alias("neighbours"))
+
+
 @register("speed_quarantine", f"""
     SELECT coalesce({_reason_case()}, 'bad_url') AS reason, count(*) AS messages
     FROM events WHERE event_type = 'error' GROUP BY 1

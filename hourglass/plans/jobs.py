@@ -10,7 +10,7 @@ from hourglass import schemas as S
 from hourglass.operators import master, serving, storage, views
 from hourglass.streaming.ingest import start_ingest  # noqa: F401  (J3)
 from hourglass.streaming.speed import (  # noqa: F401  (J2)
-    TABLES, compact_realtime, read_realtime, remove_folded, start_speed,
+    FOLDED, HOURS, compact_realtime, read_hours, read_realtime, remove_folded, start_speed,
 )
 
 #: Runs absorbed before their files are consolidated.
@@ -94,44 +94,42 @@ def run_incremental(spark: SparkSession, new_data_path: str, master_path: str,
         spark, view_path, master.read_runs(spark, master_path, new, S.PAGE_VIEW), new)
 
 
-def _served(spark: SparkSession, view_path: str, realtime_root: str,
-            snapshot_path: str | None) -> tuple[DataFrame, DataFrame]:
-    return (storage.read_current_view(spark, view_path, keep_layout=True),
-            read_realtime(spark, realtime_root, "pageviews",
-                          f"{snapshot_path}/pageviews" if snapshot_path else None))
-
-
 def count_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
                     urls, start, end, snapshot_path: str | None = None, **kw) -> DataFrame:
-    """J4 countpageviews over stored views."""
-    view, rt = _served(spark, view_path, realtime_root, snapshot_path)
+    """J4 countpageviews over stored views: the realtime side is read from the hour
+    bitmaps, of literal URLs only from their buckets."""
+    keys = serving.literal_urls(urls, spark, kw.get("normalize", True))
+    rt = read_hours(spark, realtime_root, f"{snapshot_path}/{HOURS}" if snapshot_path else None, keys)
+    view = storage.read_current_view(spark, view_path, keep_layout=True)
     return serving.count_pageviews(view, rt, urls, start, end, **kw)
 
 
 def get_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
                   urls, start, end, snapshot_path: str | None = None, **kw) -> DataFrame:
     """J4 getpageviews over stored views."""
-    view, rt = _served(spark, view_path, realtime_root, snapshot_path)
+    keys = serving.literal_urls(urls, spark, kw.get("normalize", True))
+    rt = read_realtime(spark, realtime_root, "pageviews",
+                       f"{snapshot_path}/pageviews" if snapshot_path else None, keys)
+    view = storage.read_current_view(spark, view_path, keep_layout=True)
     return serving.get_pageviews(view, rt, urls, start, end, **kw)
 
 
 def expire_realtime(spark: SparkSession, view_path: str, realtime_root: str,
                     snapshot_path: str, previous_snapshot: str | None = None) -> int:
-    """After a batch run: fold all realtime tables into ``<snapshot>/<table>``
-    and drop the pageview entries of URL hours the stored view counts. Batch
+    """After a batch run: fold all realtime tables and the quarantine into
+    ``<snapshot>/<table>`` and drop the pageview entries of URL hours the stored view counts. Batch
     folders that the previous snapshot holds are removed (readers of that
     snapshot do not need them). Returns the last batch folded, -1 if none."""
-    before = {t: f"{previous_snapshot}/{t}" if previous_snapshot else None for t in TABLES}
-    rt = read_realtime(spark, realtime_root, "pageviews", before["pageviews"])
+    before = {t: f"{previous_snapshot}/{t}" if previous_snapshot else None for t in FOLDED}
+    rt = read_hours(spark, realtime_root, before[HOURS])
     lo, hi = rt.agg(F.min("hour_bucket"), F.max("hour_bucket")).first()
     absorbed = None
     if lo is not None and (storage.current_view(spark, view_path) or storage.path_exists(spark, view_path)):
         view = storage.read_current_view(spark, view_path, keep_layout=True)
         absorbed = serving.hour_rows(view, lo, hi).select("url", F.col("bucket").alias("hour_bucket"))
     upto = -1
-    for t in TABLES:
-        upto = compact_realtime(spark, realtime_root, t, f"{snapshot_path}/{t}", before[t],
-                                absorbed if t == "pageviews" else None)
+    for t in FOLDED:
+        upto = compact_realtime(spark, realtime_root, t, f"{snapshot_path}/{t}", before[t], absorbed)
     if previous_snapshot:
         remove_folded(spark, realtime_root, before)
     return upto

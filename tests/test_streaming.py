@@ -3,6 +3,7 @@ micro-batches, with a restart from the checkpoint, give the batch answer."""
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from hourglass.operators import decode, realtime
@@ -229,3 +230,75 @@ def test_old_entity_messages_after_new_pageviews_are_kept(spark, workdir):
         got = speed.read_realtime(spark, f"{workdir}/rt", t)
         cols = sorted(want.columns)
         assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect()), t
+
+
+def test_the_quarantine_outlives_expiry(spark, workdir):
+    from hourglass.plans import jobs
+    at = (f"{workdir}/view", f"{workdir}/rt")
+    pageviews(spark, workdir, (3600, "http://a.org/"), (3600, "bad url"))
+    jobs.expire_realtime(spark, *at, f"{workdir}/s0")
+    jobs.expire_realtime(spark, *at, f"{workdir}/s1", f"{workdir}/s0")
+    assert speed.committed_batches(spark, at[1]) == []
+    with pytest.raises(ValueError, match="folded and removed"):
+        speed.read_quarantine(spark, at[1])
+    pageviews(spark, workdir, (3601, "bad url"))
+    got = [(r.reason, r.messages) for r in speed.read_quarantine(spark, at[1], f"{workdir}/s1/quarantine").groupBy(
+        "reason").agg(F.sum("messages").alias("messages")).collect()]
+    assert got == [("bad_url", 2)]
+
+
+def test_hour_bitmaps_count_distinct_seconds(spark):
+    """Any seconds, before and after the epoch, in parts merged by OR."""
+    secs = [0, 0, 1, -1, -3599, -3600, -3601, 3599, 3600, 7199, 7200, 7200, 2**31 - 1, -2**31]
+    rows = spark.createDataFrame([("u", s, i % 2) for i, s in enumerate(secs * 2)], "url string, secs long, part int") \
+        .selectExpr("url", "secs div 3600 AS hour_bucket", "secs", "part", "1L AS events")
+    parts = [speed.hour_rows(rows.where(F.col("part") == k)) for k in (0, 1)]
+    merged = speed._merge(parts[0].unionByName(parts[1]), speed.HOURS)
+    got = {(r.hour_bucket, r.n, r.events) for r in merged.select(
+        "hour_bucket", F.bitmap_count("seconds").alias("n"), "events").collect()}
+    want = {}
+    for x in secs * 2:
+        want.setdefault(int(x / 3600), []).append(x)
+    assert got == {(h, len(set(v)), len(v)) for h, v in want.items()}
+    assert merged.agg(F.max(F.octet_length("seconds"))).first()[0] <= 900
+
+
+def test_a_lookup_opens_one_bucket_of_each_batch(spark, workdir):
+    from hourglass.operators import storage
+    from hourglass.plans import inspect, jobs
+    urls = [f"http://h{i}.org/" for i in range(40)]
+    at = (f"{workdir}/view", f"{workdir}/rt")
+    storage.rebuild_view(spark, at[0], view_of(spark, (urls[0], 1)), ["r"])
+    pageviews(spark, workdir, *[(3600 + i, u) for i, u in enumerate(urls)])
+    pageviews(spark, workdir, *[(9000 + i, u) for i, u in enumerate(urls)])
+    batch = lambda keys: speed.read_realtime(spark, at[1], speed.HOURS, keys=keys)
+    filters = " ".join(inspect.partition_filters(batch([urls[3]])))
+    assert "bucket" in filters, filters
+    rows = speed._read_batches(spark, at[1], [0, 1]).where("tbl = 'hours'")
+    assert {r.n for r in rows.groupBy("batch_id").agg(F.count_distinct("bucket").alias("n")).collect()} == {speed.BUCKETS}
+    # the plan's scan opens one file of each batch
+    files = speed._with_keys(rows, "k1", [urls[3]])
+    assert files.select(F.input_file_name()).distinct().count() == 2
+    got = jobs.count_pageviews(spark, *at, [urls[3]], 0, 10).collect()
+    assert [(r.url, r.pageviews) for r in got] == [(urls[3], 2)]
+    assert "bucket" in " ".join(inspect.partition_filters(jobs.count_pageviews(spark, *at, [urls[3]], 0, 10)))
+    # long lists and DataFrames give the same counts
+    frame = spark.createDataFrame([(u,) for u in urls], "url string")
+    assert {(r.url, r.pageviews) for r in jobs.count_pageviews(spark, *at, frame, 0, 10, broadcast_rows=0).collect()} \
+        == {(r.url, r.pageviews) for r in jobs.count_pageviews(spark, *at, urls, 0, 10).collect()}
+    assert jobs.count_pageviews(spark, *at, urls, 0, 10, mode="every_event").count() == 40
+
+
+def test_adjacency_segments_stay_bounded(spark):
+    """One person with 5,000 equivalents, another with none too many: segments hold all, in bounded rows."""
+    hot = spark.range(5000).select(F.lit("p").alias("personid1"), F.col("id").cast("string").alias("personid2"),
+                                   F.lit("9").alias("pedigree"))
+    cold = spark.createDataFrame([("q", "b", "1"), ("q", "a", None), (None, "a", "3")],
+                                 "personid1 string, personid2 string, pedigree string")
+    rows = hot.unionByName(cold)
+    for most in (1 << 20, 0):        # the persons with many equivalents broadcast, or joined by salts
+        seg = realtime.adjacency_segments(rows, size=256, broadcast_rows=most)
+        got = seg.select("personid1", F.size("neighbours").alias("n"), "neighbours").collect()
+        assert max(r.n for r in got) <= 2 * 256 and sum(r.n for r in got) == 5003
+        assert all(r.neighbours == sorted(r.neighbours, key=lambda x: x.personid2) for r in got)
+        assert sorted(map(str, realtime.explode_segments(seg).collect())) == sorted(map(str, rows.collect()))
