@@ -184,3 +184,16 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hourglass.llm.decontaminate import find_leaks
 
     return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts encoded by a rank file and decoded to bytes."""
+    import public_tokenizers
+
+    from hourglass.llm.rank_bpe import decode, encode
+
+    at = (tokenizer_file("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    found = decode(encode(table(spark, sf_dir, "documents"), *at), *at)
+    return found.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
