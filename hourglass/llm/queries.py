@@ -197,3 +197,20 @@ def op11_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decode(encode(table(spark, sf_dir, "documents"), *at), *at)
     return found.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's Merkle proof; folded again from leaves some of which are tampered with."""
+    from hourglass.llm import merkle as K
+
+    c = F.col
+    tampered = F.crc32(c("doc_id").cast("string").cast("binary")) % 7 == 0
+    seen = F.when(tampered, c("n_chars") + 1).otherwise(c("n_chars"))
+    leaf = lambda n: K.leaf_digest(c("doc_id"), c("source"), c("lang"), n, c("text"))
+    proved = K.prove(table(spark, sf_dir, "documents"), c("doc_id"), c("lang"), leaf(c("n_chars")),
+                     carry=[leaf(seen).alias("seen_leaf")])
+    folded = K.fold(K.fold(c("seen_leaf"), c("siblings"), c("i")), c("top_siblings"), c("top_i"))
+    return proved.select(c("key").alias("doc_id"), "leaf", "subroot", "root",
+                         K.proof_digest(c("siblings"), c("top_siblings")).alias("proof_sha256"),
+                         folded.alias("folded_root")).withColumn("verified", c("folded_root") == c("root"))
