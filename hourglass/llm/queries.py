@@ -214,3 +214,26 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proved.select(c("key").alias("doc_id"), "leaf", "subroot", "root",
                          K.proof_digest(c("siblings"), c("top_siblings")).alias("proof_sha256"),
                          folded.alias("folded_root")).withColumn("verified", c("folded_root") == c("root"))
+
+
+def damaged_conversations(conversations: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text, there): rows damaged by a hash of their place."""
+    c = F.col
+    code = F.crc32(F.concat_ws(":", *[F.coalesce(c(x).cast("string"), F.lit(" ")) for x in ("conv_id", "turn")])
+                   .cast("binary")) % 20
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    rows = conversations.select(
+        "conv_id", "turn", F.when(code == 4, "user").otherwise(role).alias("role"),
+        F.when(code == 1, "").when(code == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (code != 0).alias("there"), F.when(code == 3, 2).otherwise(1).alias("copies"))
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copy", "copies")
+
+
+@query
+def op13_role_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of damaged conversations and their cheapest repair."""
+    from hourglass.llm.role_repair import repair
+
+    c = F.col
+    rows = damaged_conversations(table(spark, sf_dir, "conversations"))
+    return repair(rows, c("conv_id"), c("turn"), c("role"), c("text"), c("there")).summary.drop("g", "edits")
