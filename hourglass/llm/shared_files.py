@@ -19,8 +19,16 @@ from pyarrow import fs
 from pyspark.sql import SparkSession
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The address that Spark's own readers and writers take ``path`` for: one without a scheme
+    lies on the session's default filesystem, which tasks must be told."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 def resolve(path: str) -> tuple[fs.FileSystem, str]:
-    """The filesystem and path of an address."""
+    """The filesystem and path of an address; one without a scheme is local (see ``qualified``)."""
     if path.startswith("file:"):
         return fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
     if "://" not in path:

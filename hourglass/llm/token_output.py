@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hourglass.llm.shared_files import committed_output, open_input, ship_package
+from hourglass.llm.shared_files import committed_output, open_input, qualified, ship_package
 from hourglass.llm.word_codes import REMEMBERED_WORDS, WHITE_SPACE, rounds, split_words
 
 MAGIC = b"HGTP1\n"
@@ -271,6 +271,7 @@ def write_token_ids(docs: DataFrame, out_dir: str, tokenizer: str, end_id: int =
     which is also written there as Parquet."""
     spark = docs.sparkSession
     ship_package(spark)
+    out_dir = qualified(spark, out_dir)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -311,6 +312,7 @@ def read_token_ids(spark: SparkSession, out_dir: str) -> DataFrame:
     """(doc_id, start, ids) of the files under ``out_dir``: ids as little-endian
     unsigned 32-bit integers, start = ids of all documents before."""
     ship_package(spark)
+    out_dir = qualified(spark, out_dir)
     manifest = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{out_dir}/manifest.parquet")
     # One row a file, so the running total is small however many ids there are.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)

@@ -1,10 +1,11 @@
 """WARC archives: a deterministic sharded writer, and its reader.
 
-Records are range-sorted by page id. Each task writes its range into files rolled by
-compressed size, one gzip member a record, with headers and digests made anew from the
+Records are range-sorted by page id: cuts of like bytes are computed from all rows
+(``cuts``), not from a sample, and each task writes its range into files rolled by compressed size, one gzip member a record, with headers and digests made anew from the
 payload. A file is written under a temporary name and renamed when whole; the manifest,
 written last, names the files that count. Same rows and settings give the same bytes:
-record ids are derived from the page id and payload, the date is a parameter.
+shards follow from the rows alone, record ids from the page id and payload, the date
+is a parameter.
 
 Of records with equal payloads of at least ``least`` bytes, the one with the smallest
 page id is a ``response``; others are ``revisit`` records without a payload that refer
@@ -30,8 +31,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourglass.llm.cuts import LOWEST, range_cuts, shard_of, shards_for
 from hourglass.llm.joins import join_measured
-from hourglass.llm.shared_files import committed_output, open_input, ship_package
+from hourglass.llm.shared_files import committed_output, open_input, qualified, ship_package
+from hourglass.session import work_dir
 
 LEAST_DEDUP_BYTES = 100
 ROLL_BYTES = 64 << 20
@@ -137,14 +140,30 @@ def responses(pages: DataFrame, least: int) -> DataFrame:
 
 
 def write_warc(pages: DataFrame, out_dir: str, least: int = LEAST_DEDUP_BYTES, roll_bytes: int = ROLL_BYTES,
-               date: str = DATE, level: int = 6) -> DataFrame:
-    """Write ``pages`` (page_id, url, html) under ``out_dir``; returns the manifest."""
+               date: str = DATE, level: int = 6, shards: int | None = None) -> DataFrame:
+    """Write ``pages`` (page_id, url, html) under ``out_dir``; returns the manifest.
+
+    ``shards`` is their number about; without it, it follows from the payloads' bytes.
+    """
     spark = pages.sparkSession
     ship_package(spark)
+    out_dir = qualified(spark, out_dir)
     html = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", html.alias("payload")) \
         .withColumns({"digest": F.sha2("payload", 256), "n_bytes": F.length("payload")})
-    named = keyed.select("page_id", "digest", "n_bytes")
+    # Ids, digests and lengths, read once from the pages.
+    folder = work_dir(spark, "warc-digests")
+    keyed.select("page_id", "digest", "n_bytes").write.parquet(folder)
+    named = spark.read.schema("page_id long, digest string, n_bytes int").parquet(folder)
+    key = F.coalesce("page_id", F.lit(LOWEST).cast("long"))
+    sized = named.select(key.alias("key"), (F.col("n_bytes") + 500).cast("long").alias("n_bytes"))
+    ids = sized.where(F.col("key") != LOWEST)
+    total = sized.agg(F.sum("n_bytes")).first()[0] or 0
+    least_id = ids.agg(F.min("key")).first()[0]
+    if least_id is not None and least_id > LOWEST:      # nulls stand right before the least id
+        key = F.coalesce("page_id", F.lit(least_id - 1).cast("long"))
+        sized = sized.withColumn("key", F.greatest("key", F.lit(least_id - 1).cast("long")))
+    cuts = range_cuts(sized, shards or shards_for(total))
     repeats = join_measured(named, responses(named, least), ["digest"], "inner", F.col("page_id"))
     # What a record needs to know of its group travels as a row of its own that sorts right
     # before the record, so payloads are shuffled once, by range.
@@ -155,7 +174,7 @@ def write_warc(pages: DataFrame, out_dir: str, least: int = LEAST_DEDUP_BYTES, r
                            "url", "payload")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get()
+        task = TaskContext.get()      # its partition is the shard: rows are dealt by id
         files = RollingFiles(out_dir, task.partitionId(), str(task.taskAttemptId()), roll_bytes)
         note = written = None
         try:
@@ -183,9 +202,9 @@ def write_warc(pages: DataFrame, out_dir: str, least: int = LEAST_DEDUP_BYTES, r
             names = [f.split()[0] for f in MANIFEST_SCHEMA.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Rows of one page and payload stay together; a page id that many rows share is split by payload.
-    ordered = records.unionByName(notes).repartitionByRange(n, "page_id", "digest") \
+    every = records.unionByName(notes)
+    ordered = every.repartitionById(len(cuts) + 1, shard_of(key, F.col("digest"), cuts)) \
         .sortWithinPartitions("page_id", "digest", "kind", "url")
     ordered.mapInArrow(write, MANIFEST_SCHEMA).write.mode("overwrite").parquet(f"{out_dir}/manifest.parquet")
     return spark.read.schema(MANIFEST_SCHEMA).parquet(f"{out_dir}/manifest.parquet")
@@ -233,6 +252,7 @@ def parse_record(raw: bytes) -> tuple:
 def read_warc(spark: SparkSession, out_dir: str, payloads: bool = True) -> DataFrame:
     """The records of the files in the manifest; without payloads if not asked for."""
     ship_package(spark)
+    out_dir = qualified(spark, out_dir)
     files = spark.read.schema(MANIFEST_SCHEMA).parquet(f"{out_dir}/manifest.parquet").select("shard", "part", "file")
     schema = RECORD_SCHEMA if payloads else RECORD_SCHEMA.removesuffix(", payload binary")
     names = [f.split()[0] for f in schema.split(", ")]

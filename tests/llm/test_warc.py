@@ -52,6 +52,60 @@ def test_same_rows_give_the_same_bytes(spark, tmp_path):
     assert gzip.decompress(runs[0]).count(b"WARC-Record-ID") == len(ROWS)
 
 
+def test_same_bytes_beyond_any_sample(spark, tmp_path):
+    """More rows a partition than Spark samples for ranges, with null and hot ids; dealt anew each run."""
+    from pyspark.sql import functions as F
+    n = 60_000
+    pages = spark.range(n, numPartitions=4).select(
+        F.when(F.col("id") % 97 == 0, None).when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") * F.col("id")).alias("page_id"),
+        F.lit("u").alias("url"), F.repeat(F.sha2((F.col("id") % 50_000).cast("string"), 256), 3).alias("html"))
+    runs = []
+    for k, df in enumerate((pages, pages.repartition(9), pages)):
+        out = tmp_path / str(k)
+        manifest = W.write_warc(df, f"file:{out}").collect()
+        assert sum(m.n_records for m in manifest) == n and max(m.n_records for m in manifest) < n // 4
+        runs.append({p.name: p.read_bytes() for p in out.glob("*.warc.gz")})
+    assert runs[0] == runs[1] == runs[2] and len(runs[0]) > 5
+
+
+def test_cuts_hold_a_share_each(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from hourglass.llm import cuts as C
+    own = random.Random(3)
+    keys = [own.choice([5, -2**63, 2**63 - 1, own.randint(-2**62, 2**62), own.randint(0, 500)]) for _ in range(4000)]
+    rows = spark.createDataFrame([(k, own.randint(0, 90)) for k in keys], "key long, n_bytes long").repartition(3)
+    found = C.range_cuts(rows, 25)
+    assert found == sorted(found) and 20 <= len(found) <= 120
+    dealt = rows.withColumn("s", C.shard_of(F.col("key"), F.sha2(F.rand(1).cast("string"), 256), found))
+    sums = [r.n for r in dealt.groupBy("s").agg(F.sum("n_bytes").alias("n")).collect()]
+    total = sum(sums)
+    assert max(sums) <= 1.6 * total / 25
+    import bisect
+    pairs = [(k, 0) for k in keys[:300]]
+    got = [r.p for r in spark.createDataFrame(pairs, "key long, part long").select(
+        C.shard_of(F.col("key"), F.lit("00000000"), found).alias("p")).collect()]
+    assert got == [bisect.bisect_right(found, p) for p in pairs]
+    assert C.range_cuts(rows.limit(0), 5) == []
+
+
+def test_addresses_are_those_of_spark(spark, tmp_path):
+    """A path without a scheme lies on the default filesystem, for tasks too."""
+    from hourglass.llm.shared_files import qualified, resolve
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    assert qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    try:
+        conf.set("fs.defaultFS", "viewfs://store/")
+        conf.set("fs.viewfs.mounttable.store.link./in", f"file://{tmp_path}")
+        assert qualified(spark, "/in/a") == "viewfs://store/in/a"
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert resolve(qualified(spark, str(tmp_path)))[1] == str(tmp_path)
+
+
 def test_empty_and_damaged(spark, tmp_path):
     pages = spark.createDataFrame(ROWS, SCHEMA)
     out = work_dir(spark, "warc")
