@@ -55,10 +55,10 @@ def test_same_rows_give_the_same_bytes(spark, tmp_path):
 def test_same_bytes_beyond_any_sample(spark, tmp_path):
     """More rows a partition than Spark samples for ranges, with null and hot ids; dealt anew each run."""
     from pyspark.sql import functions as F
-    n = 60_000
+    n = 40_000
     pages = spark.range(n, numPartitions=4).select(
         F.when(F.col("id") % 97 == 0, None).when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") * F.col("id")).alias("page_id"),
-        F.lit("u").alias("url"), F.repeat(F.sha2((F.col("id") % 50_000).cast("string"), 256), 3).alias("html"))
+        F.lit("u").alias("url"), F.repeat(F.sha2((F.col("id") % 33_000).cast("string"), 256), 3).alias("html"))
     runs = []
     for k, df in enumerate((pages, pages.repartition(9), pages)):
         out = tmp_path / str(k)
@@ -76,10 +76,11 @@ def test_cuts_hold_a_share_each(spark):
     from hourglass.llm import cuts as C
     own = random.Random(3)
     keys = [own.choice([5, -2**63, 2**63 - 1, own.randint(-2**62, 2**62), own.randint(0, 500)]) for _ in range(4000)]
-    rows = spark.createDataFrame([(k, own.randint(0, 90)) for k in keys], "key long, n_bytes long").repartition(3)
+    rows = spark.createDataFrame([(k, own.randint(0, 90), i) for i, k in enumerate(keys)],
+                                 "key long, n_bytes long, i int").repartition(3)
     found = C.range_cuts(rows, 25)
     assert found == sorted(found) and 20 <= len(found) <= 120
-    dealt = rows.withColumn("s", C.shard_of(F.col("key"), F.sha2(F.rand(1).cast("string"), 256), found))
+    dealt = rows.withColumn("s", C.shard_of(F.col("key"), F.sha2(F.concat_ws(":", "key", "n_bytes", "i"), 256), found))
     sums = [r.n for r in dealt.groupBy("s").agg(F.sum("n_bytes").alias("n")).collect()]
     total = sum(sums)
     assert max(sums) <= 1.6 * total / 25
