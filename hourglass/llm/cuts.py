@@ -8,6 +8,7 @@ key; rows of a key that holds more than a share are split by their digest.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 #: Shards grow with the square root of the bytes: many small ones, or fewer of some GB.
 SHARD_UNIT, MOST_SHARDS = 1 << 16, 1 << 16
 #: Ranges of the first pass, and parts of a heavy one in each further pass.
-FIRST_RANGES, PARTS = 4096, 16
+FIRST_RANGES, PARTS = 1024, 16
 LOWEST = -(1 << 63)
 
 
@@ -24,16 +25,20 @@ def shards_for(n_bytes: int) -> int:
     return max(1, min(MOST_SHARDS, math.isqrt(max(n_bytes, 0) // SHARD_UNIT)))
 
 
-def place_of(value: Column, bounds: list, literal=F.lit) -> Column:
+def _array(values: list, kind: str = "bigint") -> Column:
+    """A list as one literal."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+
+
+def place_of(value: Column, bounds: list, kind: str = "bigint") -> Column:
     """How many of the sorted ``bounds`` are at most ``value``: two short searches."""
     if not bounds:
         return F.lit(0)
     step = math.isqrt(len(bounds)) + 1
-    firsts = F.array(*[literal(b) for b in bounds[::step]])
-    every = F.array(*[literal(b) for b in bounds])
-    block = F.size(F.filter(firsts, lambda b: b <= value))      # the bounds before it all are
-    inside = F.slice(every, F.greatest((block - 1) * step, F.lit(0)) + 1, F.lit(step))
-    return F.greatest((block - 1) * step, F.lit(0)) + F.size(F.filter(inside, lambda b: b <= value))
+    block = F.size(F.filter(_array(bounds[::step], kind), lambda b: b <= value))      # the bounds before it all are
+    before = F.greatest((block - 1) * step, F.lit(0))
+    inside = F.slice(_array(bounds, kind), before + 1, F.lit(step))
+    return before + F.size(F.filter(inside, lambda b: b <= value))
 
 
 def range_cuts(rows: DataFrame, shards: int) -> list[tuple[int, int]]:
@@ -51,8 +56,8 @@ def range_cuts(rows: DataFrame, shards: int) -> list[tuple[int, int]]:
     while todo:
         # Only rows of the ranges in ``todo`` are summed; their number is bounded by the shards'.
         at = F.col("key")
-        lasts = F.array(*[F.lit(ends[s] - 1).cast("long") for s in todo])
-        inside = rows.withColumn("p", place_of(at, todo, lambda b: F.lit(b).cast("long"))).where(at <= F.get(lasts, F.col("p") - 1))
+        lasts = _array([ends[s] - 1 for s in todo])
+        inside = rows.withColumn("p", place_of(at, todo)).where(at <= F.get(lasts, F.col("p") - 1))
         sums = {r.p: r.n for r in inside.groupBy("p").agg(F.sum("n_bytes").alias("n")).collect()}
         weights.update({s: sums.get(k + 1, 0) for k, s in enumerate(todo)})
         heavy = [s for s in todo if weights[s] > share and ends[s] - s > 1]
@@ -82,5 +87,5 @@ def range_cuts(rows: DataFrame, shards: int) -> list[tuple[int, int]]:
 def shard_of(key: Column, digest: Column, cuts: list[tuple[int, int]]) -> Column:
     """The piece a row falls in; ``digest`` is hexadecimal text."""
     part = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
-    pair = lambda c: F.struct(F.lit(c[0]).cast("long").alias("key"), F.lit(c[1]).cast("long").alias("part"))
-    return place_of(F.struct(key.alias("key"), part.alias("part")), cuts, pair).cast("int")
+    pairs = [{"key": k, "part": p} for k, p in cuts]
+    return place_of(F.struct(key.alias("key"), part.alias("part")), pairs, "struct<key:bigint,part:bigint>").cast("int")
