@@ -9,6 +9,11 @@ nearer one. Neighbours are looked for in the block's own region (inside or outsi
 article), and without any the region decides. In an article, long blocks without links are
 main text whatever their density.
 
+On a page without an article the rules decide alone. There a long block with few stop words
+is main text if it reads as prose in any language: mostly letters, and sentences that end.
+If no block has enough evidence, the longest kind of prose there is stands for the page,
+or else its blocks of some length.
+
 A class or id that says nothing but boilerplate ("comments", "cookie-notice", "post-comments")
 marks its element; one that has such a word among others ("content has-sidebar", "social-impact")
 is a hint: the element's blocks are decided by length, density and links among themselves, and
@@ -26,6 +31,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -64,6 +70,8 @@ BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dia
 SHORT, LONG = 70, 200
 LOW_STOPS, HIGH_STOPS = 0.15, 0.3
 MOST_LINKS = 0.5
+#: Least share of letters in prose that is told without a word list.
+LETTERS = 0.6
 
 START = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)(?=[a-zA-Z])", re.S)
 NAME_END = re.compile(r"[\s/>]|\Z")
@@ -71,6 +79,7 @@ MARK = re.compile(r"""[>"']|\Z""")
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.I)
 WORD = re.compile(r"[^\W\d_]+")
+SENTENCE_END = re.compile(r"[.!?…](?=\s|[\"'»”)]|\Z)|[。！？｡।؟۔]")
 
 
 @dataclass
@@ -174,6 +183,7 @@ def blocks_of(page: str) -> list[Block]:
     parts: list[str] = []
     linked: list[str] = []
     stack: list[Place] = []
+    opened: Counter[str] = Counter()      # names on the stack: an end tag of no open element looks for none
     regions, hints, in_link, heading, named = 0, 0, False, False, False
 
     def close_block() -> None:
@@ -220,15 +230,17 @@ def blocks_of(page: str) -> list[Block]:
         if name in VOID_TAGS or (not block and not closing and not fixed and word != "marked"):
             continue
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].name == name:
-                    if not block:
-                        close_block()
-                    del stack[k:]
-                    break
+            if opened[name]:
+                if not block:
+                    close_block()
+                while True:
+                    last = stack.pop().name
+                    opened[last] -= 1
+                    if last == name:
+                        break
             continue
         while block and stack and stack[-1].name in LIGHT_TAGS and (stack[-1].name == "p" or name in LIGHT_TAGS):
-            stack.pop()
+            opened[stack.pop().name] -= 1
         p = stack[-1] if stack else OUTSIDE
         boiler, region, hint, firm = p.boiler, p.region, p.hint, p.fixed
         if name in ARTICLE_TAGS:
@@ -249,12 +261,19 @@ def blocks_of(page: str) -> list[Block]:
             close_block()
         # A header holds the page's title bar; inside an article it holds the article's title.
         stack.append(Place(name, boiler or firm, region, hint, firm))
+        opened[name] += 1
     close_block()
     return found
 
 
-def first_pass(b: Block) -> str:
-    """good, bad or open."""
+def is_prose(text: str) -> bool:
+    """Evidence that needs no word list: mostly letters, and sentences that end."""
+    letters = sum(map(str.isalpha, text))
+    return letters >= LETTERS * len(text) and bool(SENTENCE_END.search(text))
+
+
+def first_pass(b: Block, bare: bool = False) -> str:
+    """good, bad or open; ``bare`` if no block of the page stands in an article."""
     if b.boiler:
         return "bad"
     size = len(b.text)
@@ -270,10 +289,30 @@ def first_pass(b: Block) -> str:
         return "good"
     if stops >= LOW_STOPS or b.region:
         return "open"
+    if bare and not b.hint:
+        # Few stop words: another language's text, or none.
+        if is_prose(b.text):
+            return "good" if size >= LONG else "open"
+        return "bad" if size >= LONG else "open"
     return "bad"
 
 
-def second_pass(found: list[Block]) -> None:
+def best_of(own: list[Block]) -> None:
+    """Where nothing has shown to be main text, the longest kind of prose there is does."""
+    if any(b.label == "good" for b in own):
+        return
+    for least in (SHORT, 0):
+        found = [b for b in own if b.label == "open" and not b.heading and len(b.text) >= least and is_prose(b.text)]
+        # Without any prose, long blocks that are not links.
+        found = found or [b for b in own if not least and len(b.text) >= SHORT and not b.heading
+                          and b.link_chars <= MOST_LINKS * len(b.text)]
+        for b in found:
+            b.label = "good"
+        if found:
+            return
+
+
+def second_pass(found: list[Block], bare: bool = False) -> None:
     """Open blocks take the label of the nearest decided neighbours of their region and hint."""
     for b, after in zip(found, found[1:], strict=False):
         if b.named and after.boiler:
@@ -283,6 +322,8 @@ def second_pass(found: list[Block]) -> None:
         if not b.boiler:
             groups.setdefault((b.region, b.hint), []).append(b)
     for (region, hint), own in groups.items():
+        if bare and not hint:
+            best_of(own)
         rest = "good" if region and not hint else "bad"
         near: list[list[tuple[int, str] | None]] = []
         for order in (range(len(own)), range(len(own) - 1, -1, -1)):
@@ -305,9 +346,10 @@ def second_pass(found: list[Block]) -> None:
 def main_text(page: str | None) -> str:
     """The main text: its blocks in page order, joined by an empty line."""
     found = blocks_of(page or "")
+    bare = not any(b.region for b in found)
     for b in found:
-        b.label = first_pass(b)
-    second_pass(found)
+        b.label = first_pass(b, bare)
+    second_pass(found, bare)
     return "\n\n".join(b.text for b in found if b.label == "good")
 
 
