@@ -79,6 +79,7 @@ MARK = re.compile(r"""[>"']|\Z""")
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none""", re.I)
 WORD = re.compile(r"[^\W\d_]+")
+FULL_STOP = re.compile(r"[.!?…。！？](?!\w)")
 SENTENCE_END = re.compile(r"[.!?…](?=\s|[\"'»”)]|\Z)|[。！？｡।؟۔]")
 
 
@@ -303,9 +304,9 @@ def best_of(own: list[Block]) -> None:
         return
     for least in (SHORT, 0):
         found = [b for b in own if b.label == "open" and not b.heading and len(b.text) >= least and is_prose(b.text)]
-        # Without any prose, long blocks that are not links.
-        found = found or [b for b in own if not least and len(b.text) >= SHORT and not b.heading
-                          and b.link_chars <= MOST_LINKS * len(b.text)]
+        # Without any prose, blocks of some length or with a full stop that are not links.
+        found = found or [b for b in own if not least and (len(b.text) >= SHORT or FULL_STOP.search(b.text))
+                          and not b.heading and b.link_chars <= MOST_LINKS * len(b.text)]
         for b in found:
             b.label = "good"
         if found:

@@ -137,7 +137,7 @@ def both_passes(found, bare):
                 up = [k for k in own if labels[k] == "open" and not found[k].heading and len(found[k].text) >= least
                       and sum(c.isalpha() for c in found[k].text) >= 0.6 * len(found[k].text) and H.SENTENCE_END.search(found[k].text)]
                 if not up and not least:
-                    up = [k for k in own if len(found[k].text) >= 70 and not found[k].heading
+                    up = [k for k in own if (len(found[k].text) >= 70 or H.FULL_STOP.search(found[k].text)) and not found[k].heading
                           and found[k].link_chars <= len(found[k].text) / 2]
                 for k in up:
                     labels[k] = out[k] = "good"
