@@ -5,13 +5,16 @@ run of 16 or more key characters, or what patterns' spans leave of it (8 or more
 by the log-likelihood ratio, per character, of two character Markov models: one of random
 strings, one of ordinary identifiers. Parts with a letter above the threshold become spans of
 kind ``random``; in others, so do the best-scoring stretches of 16 or more characters (8 or
-more beside a pattern's span), widened to the next ``/``, ``_``, ``-`` or ``+``, if they are
-above it by more than the choice among the part's stretches explains.
+more beside a pattern's span) that are above it by more than the choice among the part's
+stretches explains. A stretch is widened to the next ``/``, ``_``, ``-`` or ``+`` and scored
+again: the widened one counts if it is above the threshold still, else the stretch itself if
+it has a digit and is above ``STRICT``, else none.
 
-The models are trained from labelled samples: runs of key characters of a bounded sample
+The models are trained from labelled samples: identifiers and paths made of ordinary words of
+four languages, random strings from a seeded generator, and runs of key characters of a sample
 of documents, labelled as secret where a pattern matches and as ordinary elsewhere
-(counted in the tasks, only the counts of character pairs are gathered), and random
-strings from a seeded generator.
+(counted in the tasks, only the counts of character pairs are gathered). Made identifiers and
+the documents' runs weigh the same, so neither drowns the other.
 
 Defined results: a null text is an empty one (no spans); null ids, repeated rows and other
 columns are kept as they are; texts of any length are scanned whole; without documents
@@ -50,10 +53,13 @@ KEY_CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"
 KEY_RUN = re.compile(r"[A-Za-z0-9+/_-]{16,}")
 WORD_RUN = re.compile(r"[A-Za-z0-9+/_-]{3,}")
 LETTER = re.compile(r"[A-Za-z]")
+DIGIT = re.compile(r"[0-9]")
 RUN_LEAST, PART_LEAST = 16, 8
 SEPARATORS = "/_-+"
 #: Least log-likelihood ratio, in nats a character.
 THRESHOLD = 0.5
+#: The same for a stretch whose surroundings are ordinary.
+STRICT = 1.0
 #: About how many documents the ordinary model is trained on.
 SAMPLE_DOCUMENTS = 2000
 #: Generated random strings for each alphabet.
@@ -61,6 +67,26 @@ GENERATED = 2000
 ALPHABETS = ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
              KEY_CHARS[:62], KEY_CHARS[:64], KEY_CHARS[:62] + "-_")
 
+# Ordinary words that the labelled identifiers are made of.
+ORDINARY_WORDS = """
+access account action address agent amount application archive array article attribute author average backup balance
+batch block branch browser budget button cache calendar callback category channel character charge client cluster code column
+command company component config connection content context control counter country create current customer database date
+default delete delivery description device document download driver duplicate element employee encoding engine entry error
+event example export factory feature field filter folder format function gateway group handler header height history image
+import index information input instance interface internal invoice item kernel label language layer length library license
+list location logger manager memory message method model module monitor network node notification number object operation
+option order output package parameter parser password payment person platform position process product profile project
+property provider query queue random record reference region register release report request resource response result
+compte fichier utilisateur adresse nombre valeur recherche liste facture livraison
+benutzer gesellschaft verwaltung rechnung auftrag schluessel einstellung datei zeichen uebersicht
+usuario cliente archivo nombre direccion pedido factura busqueda cuenta servicio
+""".split()
+#: Made identifiers.
+IDENTIFIERS = 12_000
+#: Character pairs that each ordinary sample weighs.
+WEIGHT = 300_000
+
 _CODE = {c: i for i, c in enumerate(KEY_CHARS)}
 _START = len(KEY_CHARS)
 
@@ -104,27 +130,49 @@ def generated_counts(seed: int = 7) -> np.ndarray:
     return counts
 
 
+def identifiers(n: int = IDENTIFIERS, seed: int = 5, words: list[str] = ORDINARY_WORDS) -> list[str]:
+    """Ordinary identifiers: words joined by one sign, in camel case or as one, and paths of them."""
+    own = random.Random(seed)
+
+    def name() -> str:
+        parts, style = own.choices(words, k=own.randint(1, 4)), own.randrange(6)
+        if style == 0:
+            text = "".join(w.capitalize() for w in parts)
+        elif style == 1:
+            text = parts[0] + "".join(w.capitalize() for w in parts[1:])
+        elif style == 2:
+            text = "".join(parts)
+        elif style == 3:
+            text = "_".join(parts).upper()
+        else:
+            text = "_-"[style - 4].join(parts)
+        return text + (own.choice(["", "_", "-"]) + str(own.randint(0, 10 ** own.randint(1, 4))) if own.random() < 0.25 else "")
+
+    return ["/".join(name() for _ in range(own.choice((1, 1, 1, 2, 4)))) for _ in range(n)]
+
+
 def train(samples: list[tuple[str, bool]] | None = None, secret: np.ndarray | None = None,
           ordinary: np.ndarray | None = None) -> list[float]:
     """The log ratio of each transition, from labelled runs or their pair counts."""
     size = (_START + 1) * _START
-    tables = {True: generated_counts() + (0 if secret is None else secret),
-              False: np.zeros(size) if ordinary is None else ordinary.astype(float)}
+    made = np.zeros(size)
+    for run in identifiers():
+        np.add.at(made, pairs(run), 1)
+    seen = {True: np.zeros(size) if secret is None else secret.astype(float),
+            False: np.zeros(size) if ordinary is None else ordinary.astype(float)}
     for run, label in samples or ():
-        np.add.at(tables[label], pairs(run), 1)
+        np.add.at(seen[label], pairs(run), 1)
+    weighed = lambda t: t * (WEIGHT / max(t.sum(), WEIGHT))
+    tables = {True: generated_counts() + seen[True], False: weighed(made) + weighed(seen[False])}
     return (transition_logs(tables[True]) - transition_logs(tables[False])).ravel().tolist()
 
 
 def train_on(docs: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> list[float]:
-    """Train on about ``sample_documents`` documents, chosen by the hash of their id.
-
-    The rows are chosen evenly from all; at most twice that many are used, and every row
-    of a table that is no larger.
-    """
+    """Train on about ``sample_documents`` documents, chosen by the hash of their id, and every
+    row of a table that is no larger. Rows of one id are chosen together; tasks add up their own."""
     ship_package(docs.sparkSession)
     every = max(1, docs.count() // sample_documents)
-    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0) \
-        .limit(2 * sample_documents).select("text")
+    some = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).select("text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = {label: np.zeros((_START + 1) * _START, np.int64) for label in (True, False)}
@@ -181,12 +229,18 @@ def random_parts(run: str, ratio: list[float], threshold: float, least: int) ->
         j += 1
         if b and (j > end or sums[b] - sums[j] > chance):
             a, b = a + (run[a] == "/"), b - (run[b - 1] == "/")
-            while a > start and run[a - 1] not in SEPARATORS:
-                a -= 1
-            while b < end and run[b] not in SEPARATORS:
-                b += 1
+            wide_a, wide_b = a, b
+            while wide_a > start and run[wide_a - 1] not in SEPARATORS:
+                wide_a -= 1
+            while wide_b < end and run[wide_b] not in SEPARATORS:
+                wide_b += 1
+            mean = lambda x, y: sum(each[x:y]) / max(y - x, 1)
+            if mean(wide_a, wide_b) >= threshold:
+                a, b = wide_a, wide_b
+            elif mean(a, b) < max(STRICT, threshold) or not DIGIT.search(run, a, b):
+                a = b
             if LETTER.search(run, a, b):
-                yield a, b, sum(each[a:b]) / (b - a)
+                yield a, b, mean(a, b)
             start = low = b
             gain, b, j = chance, 0, b + least
 

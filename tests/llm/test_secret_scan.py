@@ -76,3 +76,62 @@ def test_documents(spark, ratio):
     assert texts == sorted(["None", "", 'é [secret]" z', "[secret]", "x " * 50000 + "[secret]"])
     assert S.find_secrets(docs.limit(0), S.train_on(docs.limit(0))).count() == 0
     assert len(S.train_on(docs)) == len(ratio)
+
+
+HELD_OUT = """quick brown buffer session shipment warehouse temperature velocity pressure humidity satellite settlement mortgage
+insurance hospital patient diagnosis treatment vaccine university lecture semester student scholarship geburtstag krankenhaus
+schwierigkeit wissenschaft freundschaft bibliotheque ordinateur apprentissage gouvernement universidad conocimiento desarrollo
+ciudadano ambiente keyboard thumbnail checkout wishlist discount coupon""".split()
+ORDINARY = ["internationalization/localization", "customer_order_history_by_region", "Donaudampfschifffahrtsgesellschaft",
+            "/usr/local/share/applications/mimeinfo", "anticonstitutionnellement", "HTTP_ACCEPT_LANGUAGE_2024",
+            "getElementsByTagNameNS_2", "test_random_strings_and_identifiers"]
+
+
+@pytest.fixture(scope="module")
+def production(spark):
+    return S.train_on(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+
+
+def test_held_out_strings_with_the_production_model(production):
+    """Identifiers of words not trained on, and random strings, alone and inside paths."""
+    assert not set(HELD_OUT) & set(S.ORDINARY_WORDS)
+    own = random.Random(8)
+    names = [n for n in S.identifiers(3000, 99, HELD_OUT) if len(n) >= S.RUN_LEAST]
+    alphabets = [S.KEY_CHARS[:62], S.KEY_CHARS[:64], "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", S.KEY_CHARS[:52]]
+    keys = ["".join(own.choices(own.choice(alphabets), k=own.randint(20, 44))) for _ in range(2000)]
+    keys += [f"{own.choice(HELD_OUT)}/{own.choice(HELD_OUT)}_{own.choice(HELD_OUT)}/{''.join(own.choices(alphabets[0], k=24))}"
+             for _ in range(500)]
+    wrong = sum(bool(S.all_spans(f"x {n} y", production)) for n in names)
+    found = sum(bool(S.all_spans(f"x {k} y", production)) for k in keys)
+    assert found / len(keys) >= 0.95 and found / (found + wrong) >= 0.95, (found, wrong)
+    assert [w for w in ORDINARY if S.all_spans(w, production)] == []
+
+
+@pytest.mark.parametrize("least", [8, 16])
+def test_stretches_against_exhaustive_search(production, least):
+    import math
+    own = random.Random(least)
+    some = 0
+    for _ in range(400):
+        run = "".join(own.choice([own.choice(HELD_OUT), "".join(own.choices(S.KEY_CHARS, k=own.randint(3, 24))), "/", "_"])
+                      for _ in range(own.randint(1, 6)))
+        each = [production[k] for k in S.pairs(run)]
+        got = list(S.random_parts(run, production, S.THRESHOLD, least))
+        for a, b, score in got:
+            assert 0 <= a < b <= len(run) and abs(score - sum(each[a:b]) / (b - a)) < 1e-9 and score >= S.THRESHOLD
+        assert all(x[1] <= y[0] for x, y in zip(got, got[1:]))
+        if len(run) < least:
+            assert not got
+            continue
+        if sum(each) / len(run) >= S.THRESHOLD:
+            assert got[0][:2] == (0, len(run))
+            continue
+        gains = {(a, b): sum(each[a:b]) - S.THRESHOLD * (b - a)
+                 for a in range(len(run)) for b in range(a + least, len(run) + 1)}
+        (a, b), gain = max(gains.items(), key=lambda x: x[1])
+        if gain <= 2 * math.log(len(run)):
+            assert not got
+        elif sum(each[a + 1:b - 1]) / (b - a) >= S.STRICT + 0.3 and re.search("[0-9]", run[a + 1:b - 1]):
+            some += 1
+            assert any(x < b and y > a for x, y, _ in got), run
+    assert some > 5
