@@ -7,8 +7,11 @@ there, and one ends there. Any other window is no more like the item than one of
 moves to the next common shingle without losing one. A window whose common shingles, counted
 from above, cannot reach the least similarity is dropped. Each other window gets a 64-bit
 SimHash. Two fingerprints within ``radius`` bits agree on one of radius + 1 blocks, so
-equal (size, block, value) finds every item within the radius; the exact weighted similarity of
-the shingles (sum of least over sum of greatest counts) decides.
+equal (item, block, value) finds every pair within the radius; the exact weighted similarity of
+the shingles (sum of least over sum of greatest counts) decides. At a similarity of 0.8 some 10
+of 64 bits differ and up to 20 do, and blocks that allow as many are narrow: by themselves they
+would let most pairs of any window and any item through. So a window is looked up only under the
+item it was cut for, and candidates grow with the windows, not with windows times items.
 
 Everything is DataFrame expressions in one pass over the documents, without a shuffle of
 them: the benchmark's index is broadcast in slices of at most ``SLICE_BYTES`` by measured
@@ -85,9 +88,10 @@ def items_of(benchmark: DataFrame, shingle: int) -> DataFrame:
 
 
 def windows(docs: DataFrame, items: DataFrame, k: int, similarity: float) -> DataFrame:
-    """(doc_id, size, start, window): item-sized windows at common shingles that can reach the similarity."""
+    """(doc_id, key, start, window): item-sized windows at common shingles that can reach the
+    similarity, each with the item's key that it was cut for."""
     distinct = items.withColumn("own", F.array_distinct("item"))
-    index = distinct.select("item_id", F.explode("own").alias("h"), "item", F.size("own").alias("n_own"))
+    index = distinct.select(item_key().alias("key"), F.explode("own").alias("h"), "item", F.size("own").alias("n_own"))
     found = docs.select("doc_id", words_of(F.col("text")).alias("words"))
     hashed = found.select("doc_id", shingles_of(F.col("words"), k).alias("all"))
     # The outer form keeps the optimizer from computing the shingles once more to drop empty ones.
@@ -106,12 +110,17 @@ def windows(docs: DataFrame, items: DataFrame, k: int, similarity: float) -> Dat
     ends = (last > size) & ~common(first) & ((at >= size - 1) | ~between(at + 1, size))
     sides = F.array(F.struct(F.least(at, final).alias("start"), starts.alias("cut")),
                     F.struct(first.alias("start"), ends.alias("cut")))
-    cut = hits.select("doc_id", "all", "item", "n_own", F.inline(sides)).where("cut").select(
-        "doc_id", "item", "n_own", size.alias("size"), "start", F.slice("all", F.col("start") + 1, size).alias("window"))
+    cut = hits.select("doc_id", "key", "all", "item", "n_own", F.inline(sides)).where("cut").select(
+        "doc_id", "key", "item", "n_own", size.alias("size"), "start", F.slice("all", F.col("start") + 1, size).alias("window"))
     # Common shingles, repeated ones of the item as if all were in the window.
     most = F.size(F.array_intersect("window", "item")) + F.col("size") - F.col("n_own")
     least = similarity / (1 + similarity) * (F.col("size") + F.size("window"))
-    return cut.where(most >= least - 1e-6).select("doc_id", "size", "start", "window")
+    return cut.where(most >= least - 1e-6).select("doc_id", "key", "start", "window")
+
+
+def item_key() -> Column:
+    """An item's id as a key that is never null (a clash only costs a comparison)."""
+    return F.coalesce("item_id", F.lit(-(1 << 63)).cast("long"))
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY,
@@ -136,18 +145,27 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, si
                  F.struct("similarity", -F.col("distance"), -F.col("start_word"))).alias("best")).select("doc_id", "item_id", "best.*")
 
 
-def _leaks(cut: DataFrame, items: DataFrame, similarity: float, radius: int) -> DataFrame:
+def candidates(cut: DataFrame, items: DataFrame, radius: int) -> DataFrame:
+    """Windows and the items they were cut for that agree on a block, a row for each such block.
+
+    The item is part of the index's key: another item that the window resembles has
+    windows of its own at their common shingles, so nothing is lost, and windows meet no
+    more items than they share shingles with.
+    """
     printed = cut.withColumn("own", simhash(F.col("window")))
     probes = printed.select("*", F.inline(block_rows(F.col("own"), radius)))
-    index = items.select("item_id", "item", "print", F.size("item").alias("size"), F.inline(block_rows(F.col("print"), radius)))
-    candidates = join_measured(probes, index, ["size", "block", "value"], "inner", F.col("doc_id"))
+    index = items.select("item_id", item_key().alias("key"), "item", "print", F.inline(block_rows(F.col("print"), radius)))
+    return join_measured(probes, index, ["key", "block", "value"], "inner", F.col("doc_id"))
+
+
+def _leaks(cut: DataFrame, items: DataFrame, similarity: float, radius: int) -> DataFrame:
     distance = F.bit_count(F.col("own").bitwiseXOR(F.col("print")))
     # A pair that agrees on several blocks counts at the first.
     first = reduce(lambda acc, i: F.when(i[1], F.lit(i[0])).otherwise(acc),
                    reversed([(i, a == b) for i, (a, b) in enumerate(zip(blocks_of(F.col("own"), radius),
                                                                        blocks_of(F.col("print"), radius), strict=True))]),
                    F.lit(-1))
-    near = candidates.where((distance <= radius) & (F.col("block") == first)).select(
+    near = candidates(cut, items, radius).where((distance <= radius) & (F.col("block") == first)).select(
         "doc_id", "item_id", "window", "item", distance.cast("int").alias("distance"), F.col("start").cast("int").alias("start_word"))
     # The generator keeps the similarity from being computed once more for the condition on it.
     measured = near.select("doc_id", "item_id", "distance", "start_word", F.inline(F.array(F.struct(

@@ -38,6 +38,19 @@ def brute(docs, items, least=0.8):
     return out
 
 
+def best(t, q):
+    """The similarity of the document's window that is most like the item."""
+    qw, w = words(q), words(t)
+    k = min(5, len(qw))
+    own, s = Counter(shingles(qw, k)), shingles(w, k)
+    m, top = sum(own.values()), 0.0
+    for a in range(max(len(s) - m, 0) + 1):
+        window = Counter(s[a:a + m])
+        common = sum((own & window).values())
+        top = max(top, common / (m + sum(window.values()) - common))
+    return top
+
+
 def planted(seed):
     own = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(300)] + ["été", "ß", "日本"]
@@ -136,3 +149,37 @@ def test_agreeing_block(spark):
     df = spark.createDataFrame(rows, "a long, b long")
     same = [x == y for x, y in zip(D.blocks_of(F.col("a"), D.RADIUS), D.blocks_of(F.col("b"), D.RADIUS), strict=True)]
     assert df.where(F.greatest(*(s.cast("int") for s in same)) == 1).count() == 200
+
+
+def test_candidates_grow_with_windows_not_with_items(spark):
+    """Items of one size, each with some windows of its own: no window meets another's item."""
+    from pyspark.sql import functions as F
+    own = random.Random(4)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    counts = []
+    for n in (40, 400):
+        items = [(i, " ".join(own.choices(vocabulary, k=30))) for i in range(n)]
+        docs = [(d, " ".join(own.choices(vocabulary, k=20)) + " " + items[d % 40][1] + " " + items[(d * 7) % 40][1]) for d in range(60)]
+        frame = D.items_of(spark.createDataFrame(items, "item_id long, text string"), 5)
+        cut = D.windows(spark.createDataFrame(docs, "doc_id long, text string"), frame, 5, 0.8)
+        pairs = D.candidates(cut, frame, D.RADIUS).select("doc_id", "item_id", "start").distinct().count()
+        counts.append((pairs, cut.count()))
+    assert counts[0] == counts[1] and counts[1][0] <= counts[1][1] <= 0.05 * 400 * 60
+
+
+def test_recall_at_the_least_similarity(spark):
+    """Windows of similarity 0.80 to 0.85 lie within the radius."""
+    own = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    items, docs = [], []
+    for i in range(300):
+        text = own.choices(vocabulary, k=own.randint(60, 120))
+        items.append((i, " ".join(text)))
+        for k in own.sample(range(5, len(text) - 5), max(1, round(len(text) * 0.02))):
+            text[k] = "changed"
+        docs.append((i, "before it " + " ".join(text) + " and after"))
+    want = {(d, i): x for d, t in docs for i, q in items[d:d + 1] if (x := best(t, q)) >= 0.8}
+    got = {(r.doc_id, r.item_id) for r in D.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"),
+                                                      spark.createDataFrame(items, "item_id long, text string")).collect()}
+    close = {p for p, x in want.items() if x < 0.85}
+    assert len(close) > 40 and len(close & got) >= 0.99 * len(close) and len(want.keys() & got) >= 0.99 * len(want)
