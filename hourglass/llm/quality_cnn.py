@@ -5,8 +5,8 @@ chunks (``CHUNK`` bytes, one every ``HOP``) cover the text; each filter is max-p
 each chunk. The pooled values of all chunks are combined by their mean and their maximum
 over the text, and a logistic unit gives one probability.
 
-Training takes a bounded sample of labelled texts (``SAMPLE_DOCUMENTS``), and of each at
-most ``SAMPLE_CHUNKS`` chunks spread over it; scoring takes every byte of every text.
+Training takes a bounded sample of labelled texts (``SAMPLE_DOCUMENTS`` rows), and of each
+every chunk, as scoring does.
 Ids, languages, sources and labels are never inputs of a score.
 
 Defined results: a null or empty text has no chunks and scores by the bias alone; null ids
@@ -30,12 +30,14 @@ from hourglass.llm.shared_files import ship_package
 
 EMBED, WIDTH, STRIDE, FILTERS = 4, 8, 2, 16
 CHUNK, HOP = 256, 128
-SAMPLE_DOCUMENTS, SAMPLE_CHUNKS = 3000, 12
+SAMPLE_DOCUMENTS = 3000
 EPOCHS, BATCH, RATE, DECAY = 14, 48, 0.008, 1e-4
 #: A small sample is gone through more often.
 LEAST_STEPS = 600
 SHORT_SHARE = 0.25
 THRESHOLD = 0.7
+#: Chunks of training texts convolved at once.
+TRAIN_CHUNKS = 4096
 #: Bytes convolved at once.
 ROUND = 1 << 17
 
@@ -123,11 +125,9 @@ def n_chunks(size: int) -> int:
     return 0 if size == 0 else max(1, -(-size // HOP) - 1)
 
 
-def some_chunks(text: bytes, most: int = SAMPLE_CHUNKS) -> list[bytes]:
-    """At most ``most`` chunks spread evenly over a text, first and last among them."""
-    n = n_chunks(len(text))
-    picked = range(n) if n <= most else [i * (n - 1) // (most - 1) for i in range(most)]
-    return [text[i * HOP:i * HOP + CHUNK + WIDTH] for i in picked]
+def chunks_of(text: bytes) -> list[bytes]:
+    """All chunks of a text, each with the bytes that its last places reach into."""
+    return [text[i * HOP:i * HOP + CHUNK + WIDTH] for i in range(n_chunks(len(text)))]
 
 
 def train(samples: list[list[bytes]], labels: list[int], seed: int = 0, epochs: int = EPOCHS) -> Network:
@@ -167,17 +167,21 @@ def _shortened(chunks: list[bytes], own: np.random.Generator) -> list[bytes]:
     return [chunk[:int(own.integers(12, 160))]]
 
 
-def _gradients(net: Network, samples: list[list[bytes]], y: np.ndarray) -> list[np.ndarray]:
-    chunks = [c for s in samples for c in s]
+def _peaks(net: Network, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Each filter's greatest value in each chunk, and the bytes it was found over."""
     sizes = np.array([-(-min(len(c), CHUNK) // STRIDE) for c in chunks])    # places
     flat = np.frombuffer(b"".join(c + b"\0" * (n * STRIDE + WIDTH - len(c)) for c, n in zip(chunks, sizes, strict=True)), np.uint8)
     begin = np.concatenate(([0], np.cumsum(sizes + WIDTH // STRIDE)))[:-1]
-    windows = net.windows(flat)
     maps = net.convolve(flat) + net.bias
-    n = len(chunks)
-    # Only the place of each chunk's maximum passes a gradient on.
     place = np.stack([maps[b:b + k].argmax(0) + b for b, k in zip(begin, sizes, strict=True)])
-    peak = np.take_along_axis(maps, place, 0)
+    return np.take_along_axis(maps, place, 0), flat[STRIDE * place[:, :, None] + np.arange(WIDTH)]
+
+
+def _gradients(net: Network, samples: list[list[bytes]], y: np.ndarray) -> list[np.ndarray]:
+    """Over all chunks of the texts, ``TRAIN_CHUNKS`` at a time."""
+    chunks = [c for s in samples for c in s]
+    found = [_peaks(net, chunks[k:k + TRAIN_CHUNKS]) for k in range(0, len(chunks), TRAIN_CHUNKS)]
+    peak = np.concatenate([p for p, _ in found])
     pooled = np.maximum(peak, 0)
     counts = np.array([len(s) for s in samples])
     at = np.concatenate(([0], np.cumsum(counts)))
@@ -190,39 +194,35 @@ def _gradients(net: Network, samples: list[list[bytes]], y: np.ndarray) -> list[
     of = np.repeat(np.arange(len(samples)), counts)
     is_top = pooled == top[of]
     d_peak = ((d_features[of, :FILTERS] / counts[of][:, None]) + d_features[of, FILTERS:] * is_top) * (peak > 0)
-    d_filters = np.zeros_like(net.filters)
-    d_windows = np.zeros((n * FILTERS, WIDTH * EMBED), np.float32)
-    for f in range(FILTERS):
-        d_filters[:, f] = windows[place[:, f]].T @ d_peak[:, f]
-        d_windows[f * n:(f + 1) * n] = d_peak[:, f:f + 1] * net.filters[:, f]
-    codes = flat[STRIDE * place.T.ravel()[:, None] + np.arange(WIDTH)]
-    d_embed = np.zeros_like(net.embed)
-    np.add.at(d_embed, codes.ravel(), d_windows.reshape(-1, EMBED))
+    # Only the place of each chunk's maximum passes a gradient on.
+    d_filters, d_embed, done = np.zeros_like(net.filters), np.zeros_like(net.embed), 0
+    for _, codes in found:
+        own = d_peak[done:done + len(codes)]
+        done += len(codes)
+        for f in range(FILTERS):
+            used = np.flatnonzero(own[:, f])
+            read, weight = codes[used, f], own[used, f:f + 1]
+            d_filters[:, f] += (net.embed[read].reshape(len(used), WIDTH * EMBED) * weight).sum(0)
+            d_read = (weight * net.filters[:, f]).reshape(-1, EMBED)
+            for e in range(EMBED):
+                d_embed[:, e] += np.bincount(read.ravel(), d_read[:, e], 256)
     return [d_embed, d_filters, d_peak.sum(0), features.T @ dz, dz.sum(keepdims=True)]
 
 
 def sampled(docs: DataFrame, labels: DataFrame, sample_documents: int = SAMPLE_DOCUMENTS) -> list[tuple[list[bytes], int]]:
     """(chunks, quality) of at most ``sample_documents`` labelled texts that are not held out.
 
-    Labels are chosen evenly by the hash of their id; all of a smaller table.
+    Labels are chosen evenly by the hash of their id, the least hashes first; all of a smaller table.
     """
-    ship_package(docs.sparkSession)
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))) \
         .select("doc_id", "quality")
     every = max(1, -(-known.count() // sample_documents))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).limit(sample_documents)
+    order = [F.xxhash64("doc_id", F.lit(1)), "doc_id", "quality"]
+    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).orderBy(*order).limit(sample_documents)
     some = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")   # at most that many ids
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            chunks = [some_chunks((t or "").encode()) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(chunks, pa.list_(pa.binary())), batch.column("quality").cast(pa.int32())],
-                ["doc_id", "chunks", "quality"])
-
-    rows = some.mapInArrow(run, "doc_id long, chunks array<binary>, quality int") \
-        .orderBy("doc_id", "quality", "chunks").limit(2 * sample_documents).collect()
-    return [([bytes(c) for c in r.chunks], r.quality) for r in rows]
+    rows = some.orderBy(*order, F.xxhash64("text"), "text").limit(2 * sample_documents).collect()
+    return [(chunks_of((r.text or "").encode()), r.quality) for r in rows]
 
 
 def held_out(doc_id: Column) -> Column:
@@ -235,6 +235,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample_documents: int = SAMPLE_DOCUM
     return train([s for s, _ in samples], [q for _, q in samples])
 
 
+def keep_good(docs: DataFrame, net: Network, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that the network does not reject, columns as they are."""
+    scored = score(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text"), net)
+    return scored.where(F.col("score") >= threshold).select("row.*")
+
+
 def score(docs: DataFrame, net: Network) -> DataFrame:
     """``docs`` with one more column, ``score``, which replaces one of that name."""
     ship_package(docs.sparkSession)

@@ -34,12 +34,13 @@ def test_score_is_the_plain_network(monkeypatch, round_bytes):
     assert np.allclose(net.score(texts[::-1])[::-1], net.score(texts), atol=1e-5)
 
 
-def test_gradients():
+def test_gradients(monkeypatch):
     own = np.random.default_rng(2)
     net = C.Network(*(p.astype(np.float64) for p in dataclasses.astuple(C.Network.start(1))))
     net.mix[:] = own.normal(0, 1, len(net.mix))
     texts = [own.integers(97, 123, n, np.uint8).tobytes() for n in (40, 700, 3)]
-    samples, y = [C.some_chunks(t) for t in texts], np.array([1.0, 0.0, 1.0])
+    samples, y = [C.chunks_of(t) for t in texts], np.array([1.0, 0.0, 1.0])
+    monkeypatch.setattr(C, "TRAIN_CHUNKS", 3)       # chunks of one text in several rounds
 
     def loss():
         p = np.array([brute_score(net, t) for t in texts])
@@ -77,3 +78,23 @@ def test_edges(spark):
     one = C.fit(docs, spark.createDataFrame([(1, 1), (None, 0), (3, 7), (2, None)], "doc_id long, quality int"))
     assert all(0 <= r.score <= 1 for r in C.score(docs, one).collect())
     assert C.score(docs.limit(0), net).count() == 0
+
+
+def test_junk_between_clean_ends_of_long_texts_is_learned():
+    """Labels that only the middle of long texts tells: every chunk is learned from."""
+    own = np.random.default_rng(5)
+    words = ["house", "river", "people", "market", "winter", "letter", "garden", "street"]
+    clean = lambda n: " ".join(own.choice(words, n)).encode()
+    junk = lambda n: " ".join("".join(own.choice(list("#$%&*!"), 6)) for _ in range(n)).encode()
+    texts = [clean(200) + (junk(60) if k % 2 else clean(60)) + clean(400) for k in range(60)]
+    labels = [1 - k % 2 for k in range(60)]
+    net = C.train([C.chunks_of(t) for t in texts[:40]], labels[:40])
+    assert ((net.score(texts[40:]) >= C.THRESHOLD) == np.array(labels[40:], bool)).mean() >= 0.95
+
+
+def test_a_column_named_score_stays(spark):
+    docs = spark.createDataFrame([(1, "some text", 7.5, None), (2, None, None, 3)], "doc_id long, text string, score double, row int")
+    net = C.Network.start()
+    net.offset[:] = 5
+    assert sorted(C.keep_good(docs, net).collect()) == sorted(docs.collect())
+    assert C.keep_good(docs, net).columns == docs.columns
