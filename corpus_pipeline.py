@@ -21,9 +21,7 @@ from hourglass.session import work_dir
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the byte network, fit to the labelled ones, does not reject."""
-    net = quality_cnn.fit(docs, table(spark, sf_dir, "labels"))
-    scored = quality_cnn.score(docs, net)
-    return scored.where(F.col("score") >= quality_cnn.THRESHOLD).select(*docs.columns)
+    return quality_cnn.keep_good(docs, quality_cnn.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
