@@ -8,7 +8,8 @@
 * View store: partitions live in numbered generations; a small versioned file
   says which generation holds each partition and which runs are counted. A
   rebuild or refresh writes only new folders and then the next version, so
-  readers always have a whole view and a repeated run changes nothing.
+  readers always have a whole view and a repeated run changes nothing. Each
+  version has an index of its files (``file_index``) for lookups of literal URLs.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from hourglass import schemas as S
 from hourglass.functions import bucketed_key, serialize_long, view_period
-from hourglass.operators import views
+from hourglass.operators import file_index, views
 from hourglass.session import delete_folder, list_names, path_exists, read_json, write_json
 from hourglass.sources import facts as FS
 
@@ -164,12 +165,15 @@ def current_view(spark: SparkSession, root: str) -> dict | None:
     return read_json(spark, f"{root}/{names[-1]}") if names else None
 
 
-def _read_partitions(spark: SparkSession, root: str, partitions: dict[str, int]) -> DataFrame:
+def _partition_rows(spark: SparkSession, root: str, partitions: dict[str, int]) -> DataFrame:
     paths = [f"{root}/generation={g}/{part}" for part, g in sorted(partitions.items())]
-    if not paths:
+    return spark.read.schema(STORED_VIEW).option("basePath", root).parquet(*paths)
+
+
+def _read_partitions(spark: SparkSession, root: str, partitions: dict[str, int]) -> DataFrame:
+    if not partitions:
         return spark.createDataFrame([], STORED_VIEW)
-    return spark.read.schema(STORED_VIEW).option("basePath", root).parquet(*paths) \
-        .select(*STORED_VIEW.fieldNames())
+    return _partition_rows(spark, root, partitions).select(*STORED_VIEW.fieldNames())
 
 
 def read_current_view(spark: SparkSession, root: str, keep_layout: bool = False) -> DataFrame:
@@ -181,14 +185,49 @@ def read_current_view(spark: SparkSession, root: str, keep_layout: bool = False)
     return _read_partitions(spark, root, now["partitions"]).select(*cols)
 
 
+def read_view_of(spark: SparkSession, root: str, urls: list[str],
+                 pieces: list[tuple[str, int, int]]) -> DataFrame:
+    """The part of a store's view that can hold ``urls`` in ``pieces`` (granularity, first
+    bucket, last bucket), read with its layout: the files that the index names. Rows of
+    other URLs and buckets are still among it. A view without an index is read as it is."""
+    now = current_view(spark, root)
+    if now is None or not file_index.has_index(spark, root, now["version"]):
+        return read_current_view(spark, root, keep_layout=True)
+    files = file_index.find_files(spark, root, now["version"], urls, pieces)
+    if files is None:
+        return read_current_view(spark, root, keep_layout=True)
+    if not files:
+        return spark.createDataFrame([], STORED_VIEW)
+    return spark.read.schema(STORED_VIEW).option("basePath", root).parquet(*files) \
+        .select(*STORED_VIEW.fieldNames())
+
+
 def _written_partitions(spark: SparkSession, path: str) -> list[str]:
     """(granularity, period) folders of a written view, by listing."""
     return [f"{g}/{p}" for g in list_names(spark, path) if g.startswith("granularity=")
             for p in list_names(spark, f"{path}/{g}") if p.startswith("period=")]
 
 
+def _index(spark: SparkSession, root: str, version: int, partitions: dict[str, int],
+           before: int | None = None) -> None:
+    """Index the files of a new version: those it wrote are read (URL and bucket columns
+    only), the others are taken over from the index of the version ``before``."""
+    found = []
+    if before is not None and file_index.has_index(spark, root, before):
+        fresh = {p: g for p, g in partitions.items() if g == version}
+        place = F.concat_ws("/", F.concat(F.lit("granularity="), "granularity"),
+                            F.concat(F.lit("period="), F.col("period").cast("string")))
+        found.append(file_index.read_index(spark, root, before).where(~place.isin(list(fresh))))
+    else:
+        fresh = partitions
+    if fresh:
+        found.append(file_index.files_of(_partition_rows(spark, root, fresh)))
+    file_index.write_index(spark, root, version, found)
+
+
 def _publish(spark: SparkSession, root: str, version: int, partitions: dict[str, int],
-             runs: list[str]) -> None:
+             runs: list[str], before: int | None = None) -> None:
+    _index(spark, root, version, partitions, before)
     write_json(spark, f"{root}/_view-{version:08d}.json",
                {"version": version, "partitions": partitions, "runs": sorted(set(runs))})
     drop_unreferenced(spark, root)
@@ -225,7 +264,7 @@ def refresh_current_view(spark: SparkSession, root: str, new_facts: DataFrame,
         old = _read_partitions(spark, root, {p: now["partitions"][p] for p in touched if p in now["partitions"]})
         write_view(views.merge_views(old, delta), f"{root}/generation={version}")
     _publish(spark, root, version, now["partitions"] | dict.fromkeys(touched, version),
-             now["runs"] + runs)
+             now["runs"] + runs, before=now["version"])
     delete_folder(spark, staged)
     parts = [re.fullmatch("granularity=(.*)/period=(.*)", p) for p in touched]
     return [(m[1], int(m[2])) for m in parts]
@@ -249,3 +288,7 @@ def drop_unreferenced(spark: SparkSession, root: str, keep: int = 2) -> None:
                     delete_folder(spark, f"{root}/{p}")
     for n in names[:-keep]:
         delete_folder(spark, f"{root}/{n}")
+    indexed = {file_index.index_path(root, v["version"]) for v in kept}
+    for n in list_names(spark, root):
+        if n.startswith("_files-") and n < f"_files-{newest:08d}" and f"{root}/{n}" not in indexed:
+            delete_folder(spark, f"{root}/{n}")

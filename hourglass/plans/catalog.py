@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from hourglass import schemas as S
 from hourglass.functions import deserialize_long, key_bucket, key_granularity, key_url, normalize_url
-from hourglass.operators import decode, master, realtime, serving, storage, views
+from hourglass.operators import decode, master, realtime, serving, shards, storage, views
 from hourglass.plans import jobs
 from hourglass.plans import sqlgen as G
 from hourglass.session import work_dir
@@ -704,6 +704,22 @@ def q_incremental_view_in_place(spark, sf_dir):
     return storage.read_current_view(spark, f"{root}/view")
 
 
+@register("view_kv_incremental", VIEW_SQL)
+def q_view_kv_incremental(spark, sf_dir):
+    """Key/value shards of the facts before the split hour, then two refreshes with the rest,
+    the second repeated: only the shards that a delta's URLs hash to are rewritten (S17, R6);
+    the result equals the full view."""
+    root = work_dir(spark, "view_kv_incremental") + "/kv"
+    f = pageview_facts(spark, sf_dir)
+    hour = F.col("true_as_of_secs") / 3600
+    late = hour >= BATCH_SPLIT_HOUR + 24
+    shards.rebuild_shards(spark, root, views.batch_view(f.where(hour < BATCH_SPLIT_HOUR)), 64, runs=["a"])
+    shards.refresh_shards(spark, root, views.batch_view(f.where((hour >= BATCH_SPLIT_HOUR) & ~late)), ["b"])
+    for _ in range(2):
+        shards.refresh_shards(spark, root, views.batch_view(f.where(late)), ["c"])
+    return views.from_key_value(shards.read_shards(spark, root))
+
+
 TOP_URL_SQL = f"""
     SELECT url FROM ({NORM_PV}) GROUP BY url ORDER BY count(*) DESC, url LIMIT 1"""
 
@@ -725,6 +741,25 @@ def q_count_pageviews_one_url(spark, sf_dir):
                                    RANGE_START, RANGE_END)
 
 
+@register("count_pageviews_by_index", f"""
+    WITH c AS ({COUNT_SQL})
+    SELECT c.* FROM c WHERE c.url = ({TOP_URL_SQL})
+""")
+def q_count_pageviews_by_index(spark, sf_dir):
+    """countpageviews for the most viewed page over a view store built and refreshed from
+    all facts before the split: the store's file index names the files to open (F7, G1)."""
+    root = work_dir(spark, "count_by_index") + "/view"
+    f = pageview_facts(spark, sf_dir)
+    hour = F.col("true_as_of_secs") / 3600
+    storage.rebuild_view(spark, root, f.where(hour < BATCH_SPLIT_HOUR - 24), ["a"])
+    storage.refresh_current_view(
+        spark, root, f.where((hour >= BATCH_SPLIT_HOUR - 24) & (hour < BATCH_SPLIT_HOUR)), ["b"])
+    top = (views.pageview_fields(f).groupBy("url").agg(F.count(F.lit(1)).alias("n"))
+           .orderBy(F.desc("n"), "url").limit(1).first().url)
+    view = storage.read_view_of(spark, root, [top], serving.cover(RANGE_START, RANGE_END))
+    return serving.count_pageviews(view, realtime_pageview_rows(spark, sf_dir), [top], RANGE_START, RANGE_END)
+
+
 # All of January 2024 in hours (the whole time span of the events table).
 MONTH_START, MONTH_END = 473352, 474095
 

@@ -94,13 +94,23 @@ def run_incremental(spark: SparkSession, new_data_path: str, master_path: str,
         spark, view_path, master.read_runs(spark, master_path, new, S.PAGE_VIEW), new)
 
 
+def _view(spark: SparkSession, view_path: str, keys: list[str] | None, start, end, kw: dict,
+          hours_only: bool = False) -> DataFrame:
+    """The stored view with its layout; for literal URLs only the files they can lie in."""
+    if keys is None:
+        return storage.read_current_view(spark, view_path, keep_layout=True)
+    lo, hi = (serving.query_hour(x, kw.get("legacy_12h", False)) for x in (start, end))
+    pieces = [("h", lo, hi)] if hours_only else serving.cover(lo, hi)
+    return storage.read_view_of(spark, view_path, keys, pieces)
+
+
 def count_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
                     urls, start, end, snapshot_path: str | None = None, **kw) -> DataFrame:
     """J4 countpageviews over stored views: the realtime side is read from the hour
     bitmaps, of literal URLs only from their buckets."""
     keys = serving.literal_urls(urls, spark, kw.get("normalize", True))
     rt = read_hours(spark, realtime_root, f"{snapshot_path}/{HOURS}" if snapshot_path else None, keys)
-    view = storage.read_current_view(spark, view_path, keep_layout=True)
+    view = _view(spark, view_path, keys, start, end, kw)
     return serving.count_pageviews(view, rt, urls, start, end, **kw)
 
 
@@ -110,7 +120,7 @@ def get_pageviews(spark: SparkSession, view_path: str, realtime_root: str,
     keys = serving.literal_urls(urls, spark, kw.get("normalize", True))
     rt = read_realtime(spark, realtime_root, "pageviews",
                        f"{snapshot_path}/pageviews" if snapshot_path else None, keys)
-    view = storage.read_current_view(spark, view_path, keep_layout=True)
+    view = _view(spark, view_path, keys, start, end, kw, hours_only=True)
     return serving.get_pageviews(view, rt, urls, start, end, **kw)
 
 
