@@ -9,7 +9,9 @@ lower case and A-Z of the URL count as lower case. Each rule is indexed by the o
 its literal tokens that the fewest URLs hold. The tokens of a URL fetch candidate
 rules, and only those run their regular expressions. Without a whole literal token a
 rule is a candidate for every URL. A URL that an ``allow`` pattern fits is allowed, else
-one that a ``block`` pattern fits is blocked, else it is allowed.
+one that a ``block`` pattern fits is blocked, else it is allowed. The distinct URLs that no
+base rule decides, and what the patterns found, are written once to the shared folder and
+read from there.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path; no
 pattern rule sees a null URL; null ids, repeated rows and empty tables are kept as they
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass.llm.joins import join_measured
+from hourglass.session import work_dir
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -102,24 +105,31 @@ def token_index(rules: DataFrame, urls: DataFrame) -> DataFrame:
             .select(F.coalesce("token", F.lit("")).alias("token"), "verdict", "pattern", "regex"))
 
 
-def pattern_hits(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """(url, verdict, patterns) of the distinct URLs that any pattern rule fits."""
-    distinct = urls.select("url").where("url is not null").distinct()
+def stored(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def pattern_hits(urls: DataFrame, rules: DataFrame, folder: str) -> DataFrame:
+    """(url, _verdict, patterns) of the distinct URLs that any pattern rule fits."""
+    distinct = stored(urls.select("url").where("url is not null").distinct(), f"{folder}/urls")
     index = token_index(rules, distinct)
     candidates = join_measured(url_tokens(distinct), index, ["token"], "inner", F.col("url"))
     fits = candidates.where(F.rlike(lowered(F.col("url")), F.col("regex")))
-    return (fits.groupBy("url").agg(
+    return stored(fits.groupBy("url").agg(
         F.min("verdict").alias("_verdict"),                 # allow sorts before block
-        F.sort_array(F.collect_set("pattern")).alias("patterns")))   # at most the rules there are
+        F.sort_array(F.collect_set("pattern")).alias("patterns")),   # at most the rules there are
+        f"{folder}/hits")
 
 
-def judge_urls(pages: DataFrame, base_rules: Sequence[tuple[str, str, str]], pattern_rules: DataFrame) -> DataFrame:
+def judge_urls(pages: DataFrame, base_rules: Sequence[tuple[str, str, str]], pattern_rules: DataFrame,
+               folder: str | None = None) -> DataFrame:
     """(page_id, url, host, path, rule, verdict, patterns) of ``pages`` (page_id, url)."""
     host, path = host_and_path(F.col("url"))
     split = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     rule, verdict = base_rule(F.col("host"), F.col("path"), base_rules)
     ruled = split.withColumns({"rule": rule, "verdict": verdict})
-    hits = pattern_hits(ruled.where("rule is null"), pattern_rules)
+    hits = pattern_hits(ruled.where("rule is null"), pattern_rules, folder or work_dir(pages.sparkSession, "url-filter"))
     judged = join_measured(ruled, hits, ["url"], "left", F.col("page_id"))
     return judged.select(
         "page_id", "url", "host", "path", "rule",

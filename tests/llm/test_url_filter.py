@@ -62,3 +62,12 @@ def test_rarest_token(spark):
 def test_query_against_sql(spark, oracle, rows_of):
     sf = "/root/testdata/sf0.01"
     assert rows_of(queries.QUERIES["op9_url_filter"](spark, sf)) == oracle(queries.ORACLES["op9_url_filter"], sf)
+
+
+def test_the_plan_reads_pages_once_more(spark):
+    from hourglass.plans import inspect
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    judged = U.judge_urls(pages, U.BASE_RULES, U.rules_frame(spark, U.PATTERN_RULES))
+    # The URLs were read and stored before; what is left reads the pages once and the stored hits.
+    read = [line for line in inspect.plan_text(judged).splitlines() if line.startswith("Location:")]
+    assert sum("pages.parquet" in line for line in read) == 1 and len(read) == 2
