@@ -177,11 +177,13 @@ def learn(rows: list[dict], label: str = "bad", features: tuple[str, ...] = FEAT
 def learn_from(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """Learn from at most ``sample_rows`` labelled rows (quality 0 or 1) that pass the base rules.
 
-    Labels are chosen evenly by the hash of their id; every one of a smaller table.
+    Labels are chosen evenly by the hash of their id, the first ones in its order; every one
+    of a smaller table. The same tables always give the same rows.
     """
     known = labels.where("quality in (0, 1) and doc_id is not null").select("doc_id", "quality")
     every = max(1, -(-known.count() // sample_rows))
-    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).limit(sample_rows)
+    chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0) \
+        .orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample_rows)
     some = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")   # at most sample_rows ids
     rows = text_statistics(some, ("quality",)).where(~base_failed()) \
         .select("doc_id", *FEATURES, (F.col("quality") == 0).alias("bad")) \

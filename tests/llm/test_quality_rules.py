@@ -66,3 +66,10 @@ def test_verdicts_agree_with_labels(spark):
     assert sum(r.kept for r in clean) > 0.97 * len(clean)
     junk = [r for r in rows if r.quality == 0]
     assert sum(not r.kept for r in junk) > 0.8 * len(junk)
+
+
+def test_the_sample_does_not_depend_on_the_partitions(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    one, other = (Q.learn_from(docs, labels.repartition(n, *by), 400) for n, by in ((3, ["doc_id"]), (7, ["quality", "doc_id"])))
+    assert one and one == other
