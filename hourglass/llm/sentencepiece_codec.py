@@ -229,7 +229,7 @@ class Codec:
         normal, align = self.normalizer(text)
         sizes = self.covers[ids]
         if not self.byte_fallback:   # an unknown piece covers what the library put in it
-            found = self.library.encode(text.decode(), out_type="immutable_proto").pieces
+            found = self.library.encode(text.decode(), return_type="proto").pieces
             sizes = np.array([len(p.piece.encode()) for p in found], np.int64)
         at = np.cumsum(sizes) - sizes
         if len(ids) and at[-1] + sizes[-1] != len(normal):

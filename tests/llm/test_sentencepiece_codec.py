@@ -45,6 +45,48 @@ def test_spans_tile_the_text(text):
             assert span.decode() in (piece.replace("▁", " "), piece[1:].replace("▁", " "))
 
 
+def number(n):
+    out = bytearray()
+    while n > 127:
+        out.append(n & 127 | 128)
+        n >>= 7
+    return bytes([*out, n])
+
+
+def field(k, v, kind):
+    if kind == 0:
+        return number(k << 3) + number(v)
+    return number(k << 3 | kind) + (number(len(v)) if kind == 2 else b"") + v
+
+
+def without_byte_fallback(raw):
+    """The model with its byte pieces unused and the trainer's flag for them off."""
+    out = b""
+    for k, v in S.proto_fields(raw):
+        if k == 1:      # a piece: text, score, kind
+            v = b"".join(field(a, 5 if (a, b) == (3, 6) else b, {1: 2, 2: 5, 3: 0}[a]) for a, b in S.proto_fields(v))
+        elif k == 2:
+            v += field(35, 0, 0)
+        out += field(k, v, 2)
+    return out
+
+
+def test_spans_of_unknown_pieces_without_byte_fallback(tmp_path):
+    with open(PATH, "rb") as f:
+        model = without_byte_fallback(f.read())
+    (tmp_path / "own.model").write_bytes(model)
+    own = S.Codec(str(tmp_path / "own.model"))
+    assert not own.byte_fallback
+    unknown = 0
+    for text in ["", "hello 日本 wörld 😀 x  y", "ꙮ", "a ꙮꙮ𐎠 b\nc", " 𐎠", "a\tb \x01"]:
+        ids = next(own.ids(pa.array([text], pa.string())))
+        assert ids.tolist() == own.library.encode(text)
+        found = own.library.encode(text, return_type="proto").pieces
+        assert own.starts(text.encode(), ids).tolist() == [p.begin for p in found], text
+        unknown += ids.tolist().count(own.library.unk_id())
+    assert unknown >= 5
+
+
 @pytest.mark.parametrize("rules", ["nmt_nfkc", "nfkc_cf", "identity"])
 @pytest.mark.parametrize("dummy", [True, False])
 @pytest.mark.parametrize("extra", [True, False])
