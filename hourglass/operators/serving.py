@@ -244,14 +244,15 @@ def count_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
                     start: int | str, end: int | str, mode: str = "distinct_seconds",
                     normalize: bool = True, legacy_lower_bound: bool = False,
                     legacy_12h: bool = False,
-                    broadcast_rows: int | None = None) -> DataFrame:
+                    broadcast_rows: int | None = None, buckets: int | None = None) -> DataFrame:
     """Pageviews per URL in [start, end] hours: batch + realtime.
 
     Returns (url, batch_pageviews, hour_done, realtime_pageviews, pageviews),
     one row per distinct queried URL. ``start > end`` gives zeros (F5).
     URL lists are broadcast only when proven to have at most
     ``broadcast_rows`` rows (default ``joins.DEFAULT_BROADCAST_ROWS``; 0 never
-    broadcasts a DataFrame list).
+    broadcasts a DataFrame list). ``buckets`` is the number of URL buckets of a
+    ``view`` that is such a table: a longer list is then shuffled to these, the view is not.
     """
     spark = view.sparkSession
     a, b = query_hour(start, legacy_12h), query_hour(end, legacy_12h)
@@ -261,6 +262,8 @@ def count_pageviews(view: DataFrame, rt: DataFrame, urls: DataFrame | list[str],
     # size check covers every join of the plan
     limit = DEFAULT_BROADCAST_ROWS if broadcast_rows is None else broadcast_rows
     small = lits is not None or (limit > 0 and bounded_list(u, limit))
+    if buckets and not small:
+        u = u.repartition(buckets, "url")   # distinct by now, so no URL is a hot one
     batch = batch_range(view, u, a, b, small, lits)
     bounds = realtime_bounds(batch, a, b, legacy_lower_bound)
     if not legacy_lower_bound:   # lo >= start for every URL: prune statically too

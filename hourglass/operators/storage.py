@@ -117,8 +117,14 @@ def read_view(spark: SparkSession, path: str, keep_layout: bool = False) -> Data
 def write_view_sharded(view: DataFrame, table: str, path: str, shards: int = 4) -> None:
     """Batch view as a bucketed table: ``shards`` hash buckets on url (R7), one
     file each, sorted by (url, granularity, bucket). Joins on url against another
-    table bucketed the same way need no shuffle."""
-    (view.repartition(shards, "url").write.mode("overwrite").option("path", path)
+    table bucketed the same way need no shuffle.
+
+    A view with ``last_hour`` keeps it and its ``period``, so ``spark.table(table)`` can be
+    served as it is: with ``serving.count_pageviews(..., buckets=shards)`` a URL list beyond
+    the broadcast bound is shuffled to the view's buckets, and the view is not shuffled. Choose ``shards`` by the view's size: each is
+    written, and joined, by one task."""
+    v = with_period(view) if "last_hour" in view.columns else view
+    (v.repartition(shards, "url").write.mode("overwrite").option("path", path)
      .bucketBy(shards, "url").sortBy("url", "granularity", "bucket")
      .saveAsTable(table))
 

@@ -1127,6 +1127,21 @@ def q_count_pageviews_long_list(spark, sf_dir):
                                    RANGE_START, RANGE_END, broadcast_rows=10)
 
 
+@register("count_pageviews_bucketed", COUNT_SQL)
+def q_count_pageviews_bucketed(spark, sf_dir):
+    """countpageviews of a list beyond the broadcast bound over a view in 8 buckets: the list
+    goes to the buckets, the view is not shuffled (G5, S17)."""
+    root = work_dir(spark, "count_bucketed")
+    name = "hg_count_" + root.rsplit("-", 1)[-1]
+    f = pageview_facts(spark, sf_dir).where(F.col("true_as_of_secs") < BATCH_SPLIT_HOUR * 3600)
+    storage.write_view_sharded(views.batch_view(f, with_last_hour=True), name, f"{root}/table", shards=8)
+    found = serving.count_pageviews(spark.table(name), realtime_pageview_rows(spark, sf_dir),
+                                    page_urls(spark, sf_dir), RANGE_START, RANGE_END, broadcast_rows=10,
+                                    buckets=8)
+    spark.sql(f"DROP TABLE {name}")     # an external table: its files stay and are read
+    return found
+
+
 @register("count_pageviews_dates", COUNT_SQL.replace(str(RANGE_START), "473592").replace(str(RANGE_END), "473688"))
 def q_count_pageviews_dates(spark, sf_dir):
     """countpageviews with ``dd.MM.yyyy|HH`` dates on a 12-hour clock, where

@@ -150,3 +150,38 @@ def test_jobs_count_by_the_index(spark, workdir, monkeypatch):
     monkeypatch.setattr(file_index, "MOST_FILES", 0)
     again = jobs.count_pageviews(spark, root, f"{workdir}/rt", ["http://p00003.org/a"], 473352, 473400)
     assert again.collect() == named.collect()
+
+
+def above_the_scan(df):
+    """Names of the nodes from the only file scan up to the first join."""
+    tree = [(len(line) - len(line.lstrip(" :+-")), line) for line in inspect.physical_section(df).splitlines()]
+    k = next(i for i, (_, line) in enumerate(tree) if "Scan parquet" in line)
+    depth, path = tree[k][0], []
+    for d, line in reversed(tree[:k]):
+        if d < depth:
+            depth = d
+            path.append(line.strip(" :+-"))
+            if "Join" in line:
+                return path
+    raise AssertionError("no join above the scan")
+
+
+def test_a_long_list_is_shuffled_to_the_buckets_of_the_view(spark, workdir):
+    view = views.batch_view(facts_of(spark, 300, 3), with_last_hour=True)
+    storage.write_view_sharded(view, "hg_bucketed_view", f"{workdir}/table", shards=6)
+    storage.write_view(view, f"{workdir}/plain")
+    urls = serving.url_list(spark.range(0, 600, 2).select(F.format_string("http://p%05d.org/a", "id").alias("url")))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rt = spark.createDataFrame([], "url string, hour_bucket long, secs long")
+        stored = storage.read_view(spark, f"{workdir}/plain", keep_layout=True)
+        bucketed, plain = (serving.count_pageviews(v, rt, urls, 473352, 473360, broadcast_rows=10, buckets=n)
+                           for v, n in ((spark.table("hg_bucketed_view"), 6), (stored, None)))
+        assert not any("Exchange" in n for n in above_the_scan(bucketed))
+        assert any("Exchange" in n for n in above_the_scan(plain))
+        assert sorted(bucketed.collect(), key=str) == sorted(plain.collect(), key=str)
+        assert bucketed.where("pageviews = 3").count() == 150 and bucketed.count() == 300
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql("DROP TABLE hg_bucketed_view")
