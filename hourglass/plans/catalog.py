@@ -833,6 +833,16 @@ def part_of(lines: DataFrame, k: int) -> DataFrame:
     return lines.where(F.pmod(F.floor(F.col("id") / td.ENVELOPE_BLOCK), F.lit(PARTS)) == k).select("value")
 
 
+def deliveries(spark, root: str, lines: DataFrame) -> list[DataFrame]:
+    """The lines of each part, kept under ``root``: a query that delivers all parts reads the
+    tables once, not once for each. Dealt by id, the files of a part are of one size and hold
+    messages of all kinds."""
+    kept, part = f"{root}/lines", F.pmod(F.floor(F.col("id") / td.ENVELOPE_BLOCK), F.lit(PARTS))
+    lines.repartition("id").select("value", part.alias("part")).write.partitionBy("part").parquet(kept)
+    found = spark.read.schema("value string, part int").parquet(kept)
+    return [found.where(F.col("part") == k).select("value") for k in range(PARTS)]
+
+
 def ingest_part(spark, root: str, lines: DataFrame) -> None:
     """Append lines to the queue and ingest everything that is there."""
     lines.write.mode("append").text(f"{root}/queue")
@@ -854,10 +864,10 @@ def q_batch_job_view(spark, sf_dir):
     """J1 through the job: half the lines are ingested, a batch run builds the
     view, the rest arrives, and a second full run replaces the view."""
     root = work_dir(spark, "batch_job_view")
-    lines = td.message_lines(spark, sf_dir, kinds=("pageview",))
+    parts = deliveries(spark, root, td.message_lines(spark, sf_dir, kinds=("pageview",)))
     for half in ((0, 1), (2, 3)):
         for k in half:
-            ingest_part(spark, root, part_of(lines, k))
+            ingest_part(spark, root, parts[k])
         jobs.run_batch(spark, f"{root}/new", f"{root}/master", f"{root}/view", f"{root}/ck")
     return jobs.inspect_view(spark, f"{root}/view")
 
@@ -868,15 +878,15 @@ def q_incremental_job_view(spark, sf_dir):
     increments with a compaction between, and finished run ids asked for
     again, which must change nothing; read through the inspection job (J5)."""
     root = work_dir(spark, "incremental_job_view")
-    lines = td.message_lines(spark, sf_dir, kinds=("pageview",))
+    parts = deliveries(spark, root, td.message_lines(spark, sf_dir, kinds=("pageview",)))
     at = (f"{root}/new", f"{root}/master", f"{root}/view", f"{root}/ck")
-    ingest_part(spark, root, part_of(lines, 0))
+    ingest_part(spark, root, parts[0])
     jobs.run_batch(spark, *at, run_id="r0")
-    ingest_part(spark, root, part_of(lines, 1))
+    ingest_part(spark, root, parts[1])
     master.absorb(spark, f"{root}/new", f"{root}/master", f"{root}/ck/absorb", "given-up")
-    ingest_part(spark, root, part_of(lines, 2))
+    ingest_part(spark, root, parts[2])
     jobs.run_incremental(spark, *at, run_id="r1")
-    ingest_part(spark, root, part_of(lines, 3))
+    ingest_part(spark, root, parts[3])
     jobs.run_incremental(spark, *at, run_id="r2", compact_every=1)
     for old in ("r1", "given-up", "r2"):
         jobs.run_incremental(spark, *at, run_id=old)
@@ -891,9 +901,9 @@ def q_compact_then_absorb(spark, sf_dir):
     """Four rounds of ingest and absorb with a compaction after the first and
     the third; facts per partition of the master are the sum of all."""
     root = work_dir(spark, "compact_then_absorb")
-    lines = td.message_lines(spark, sf_dir)
+    parts = deliveries(spark, root, td.message_lines(spark, sf_dir))
     for k in range(PARTS):
-        ingest_part(spark, root, part_of(lines, k))
+        ingest_part(spark, root, parts[k])
         master.absorb(spark, f"{root}/new", f"{root}/master", f"{root}/ck", f"r{k}")
         if k in (0, 2):
             master.compact_master(spark, f"{root}/master")
@@ -907,9 +917,9 @@ def q_master_after_retention(spark, sf_dir):
     master are the sum of all deliveries, though neither their new-data files nor
     the compacted live folders are there any more."""
     root = work_dir(spark, "master_after_retention")
-    lines = td.message_lines(spark, sf_dir)
+    parts = deliveries(spark, root, td.message_lines(spark, sf_dir))
     for k in range(PARTS):
-        ingest_part(spark, root, part_of(lines, k))
+        ingest_part(spark, root, parts[k])
         jobs.run_batch(spark, f"{root}/new", f"{root}/master", f"{root}/view", f"{root}/ck",
                        compact_every=1, drop_consumed=True)
     master.compact_master(spark, f"{root}/master")
